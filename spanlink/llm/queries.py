@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from spanlink.llm import mixing, tokens
+from spanlink.llm import mixing, simhash, tokens, toxicity
 
 QUERIES = {
     "op3_source_mixing": mixing.op3_source_mixing,
     "op8_token_output": tokens.op8_token_output,
+    "op9_simhash_dedup": simhash.op9_simhash_dedup,
+    "op10_toxicity": toxicity.op10_toxicity,
 }
 
 ORACLE_SQL = {
