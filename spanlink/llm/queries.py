@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from spanlink.llm import mixing, simhash, tokens, toxicity
+from spanlink.llm import mixing, simhash, tokens, toxicity, warc
 
 QUERIES = {
+    "op1_warc_salvage": warc.op1_warc_salvage,
     "op3_source_mixing": mixing.op3_source_mixing,
     "op8_token_output": tokens.op8_token_output,
     "op9_simhash_dedup": simhash.op9_simhash_dedup,
@@ -12,5 +13,6 @@ QUERIES = {
 }
 
 ORACLE_SQL = {
+    "op1_warc_salvage": warc.OP1_SQL,
     "op3_source_mixing": mixing.OP3_SQL,
 }
