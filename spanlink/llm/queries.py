@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from spanlink.llm import mixing, simhash, tokens, toxicity, warc
+from spanlink.llm import mixing, quality, simhash, tokens, toxicity, warc
 
 QUERIES = {
     "op1_warc_salvage": warc.op1_warc_salvage,
     "op3_source_mixing": mixing.op3_source_mixing,
+    "op4_quality": quality.op4_quality,
     "op8_token_output": tokens.op8_token_output,
     "op9_simhash_dedup": simhash.op9_simhash_dedup,
     "op10_toxicity": toxicity.op10_toxicity,

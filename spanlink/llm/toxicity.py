@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spanlink.llm.common import materialize, table
+from spanlink.llm.common import table
 
 BITS = 20
 STEMS = (4, 6)
