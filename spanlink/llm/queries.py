@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from spanlink.llm import mixing, quality, simhash, tokens, toxicity, warc
+from spanlink.llm import mixing, permutation, quality, simhash, tokens, toxicity, warc
 
 QUERIES = {
     "op1_warc_salvage": warc.op1_warc_salvage,
+    "op2_permutation_index": permutation.op2_permutation_index,
     "op3_source_mixing": mixing.op3_source_mixing,
     "op4_quality": quality.op4_quality,
     "op8_token_output": tokens.op8_token_output,
