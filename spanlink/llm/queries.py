@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from spanlink.llm import mixing, permutation, quality, secrets, simhash, tokens, toxicity, warc
+from spanlink.llm import decontaminate, mixing, permutation, quality, secrets, simhash, tokens, toxicity, warc
 
 QUERIES = {
     "op1_warc_salvage": warc.op1_warc_salvage,
     "op2_permutation_index": permutation.op2_permutation_index,
     "op3_source_mixing": mixing.op3_source_mixing,
     "op4_quality": quality.op4_quality,
+    "op5_decontamination": decontaminate.op5_decontamination,
     "op7_secret_scan": secrets.op7_secret_scan,
     "op8_token_output": tokens.op8_token_output,
     "op9_simhash_dedup": simhash.op9_simhash_dedup,
