@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from spanlink.llm import decontaminate, mixing, permutation, quality, secrets, simhash, tokens, toxicity, warc
+from spanlink.llm import decontaminate, mixing, permutation, quality, secrets, simhash, substrings, tokens, toxicity, warc
 
 QUERIES = {
     "op1_warc_salvage": warc.op1_warc_salvage,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_source_mixing": mixing.op3_source_mixing,
     "op4_quality": quality.op4_quality,
     "op5_decontamination": decontaminate.op5_decontamination,
+    "op6_suffix_dedup": substrings.op6_suffix_dedup,
     "op7_secret_scan": secrets.op7_secret_scan,
     "op8_token_output": tokens.op8_token_output,
     "op9_simhash_dedup": simhash.op9_simhash_dedup,
