@@ -49,12 +49,15 @@ def source_targets(sizes: DataFrame, weights: Sequence[int], max_repeat: int) ->
     return s.select("source", "source_size", target.alias("target"))
 
 
-def mix_sources(docs: DataFrame, weights: Sequence[int] = (1, 2, 3), max_repeat: int = 3) -> DataFrame:
-    """Rows (doc_id, source, size, source_size, target, copies, taken), one per row of `docs` (doc_id, source, text).
+def sizes(docs: DataFrame) -> DataFrame:
+    return docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), cell(F.col("doc_id")).alias("cell"))
+
+
+def mix_rule(sized: DataFrame, weights: Sequence[int] = (1, 2, 3), max_repeat: int = 3) -> DataFrame:
+    """(source, source_size, target, whole, threshold), one row per source of a table that sizes() made.
 
-    `copies` is how often the mix repeats the document, at most max_repeat; taken = size * copies.
+    The mix takes each document `whole` times, and once more where its cell is at most `threshold`.
     """
-    sized = materialize(docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), cell(F.col("doc_id")).alias("cell")))
     coarse = sized.groupBy("source", F.shiftright("cell", FINE_BITS).alias("bucket")).agg(F.sum("size").alias("words"))
     coarse = materialize(coarse)
     totals = source_targets(coarse.groupBy("source").agg(F.sum("words").alias("source_size")), weights, max_repeat)
@@ -81,10 +84,27 @@ def mix_sources(docs: DataFrame, weights: Sequence[int] = (1, 2, 3), max_repeat:
 
     # no boundary: the partial pass has room for the whole source, which whole passes leave only to sources of size 0
     rule = plan.alias("p").join(edge.alias("e"), F.col("p.source").eqNullSafe(F.col("e.source")), "left").select("p.*", F.coalesce("threshold", F.lit(-1)).alias("threshold"))
-    rule = broadcast_if_small(materialize(rule), BROADCAST_SOURCES)
-    out = sized.alias("d").join(rule.alias("r"), F.col("d.source").eqNullSafe(F.col("r.source")))
-    copies = F.col("whole") + (F.col("cell") <= F.col("threshold")).cast("int")
-    return out.select("doc_id", "d.source", "size", "source_size", "target", copies.alias("copies"), (F.col("size") * copies).alias("taken"))
+    return broadcast_if_small(materialize(rule), BROADCAST_SOURCES)
+
+
+def with_copies(rows: DataFrame, rule: DataFrame, cell: Column) -> DataFrame:
+    """`rows` (struct column d, source among its fields) with the rule's columns and `copies`, at most max_repeat of each."""
+    met = rows.join(rule, F.col("d.source").eqNullSafe(rule["source"]))
+    return met.withColumn("copies", F.col("whole") + (cell <= F.col("threshold")).cast("int"))
+
+
+def mix_sources(docs: DataFrame, weights: Sequence[int] = (1, 2, 3), max_repeat: int = 3) -> DataFrame:
+    """(doc_id, source, size, source_size, target, copies, taken), one row per row of `docs` (doc_id, source, text); taken = size * copies."""
+    sized = materialize(sizes(docs))
+    out = with_copies(sized.select(F.struct("*").alias("d")), mix_rule(sized, weights, max_repeat), F.col("d.cell"))
+    return out.select("d.doc_id", "d.source", "d.size", "source_size", "target", "copies", (F.col("d.size") * F.col("copies")).alias("taken"))
+
+
+def mixed(docs: DataFrame, weights: Sequence[int] = (1, 2, 3), max_repeat: int = 3) -> DataFrame:
+    """The mix itself: the rows of `docs`, each as often as it is taken."""
+    rule = mix_rule(materialize(sizes(docs)), weights, max_repeat)
+    out = with_copies(docs.select(F.struct("*").alias("d")), rule, cell(F.col("d.doc_id")))
+    return out.where("copies > 0").select("d", F.explode(F.sequence(F.lit(1), "copies"))).select("d.*")
 
 
 def op3_source_mixing(spark, sf_dir: str) -> DataFrame:

@@ -106,6 +106,16 @@ def near_duplicates(docs: DataFrame, width: int = SHINGLE, prints: DataFrame | N
     return prints.join(label, "fp").select(*[c for c in prints.columns if c != "fp"], "fp", "component_id")
 
 
+def one_of_each(docs: DataFrame, width: int = SHINGLE) -> DataFrame:
+    """The rows of `docs` that name their component: of each component one row, that with the least doc_id."""
+    own = F.struct(*[F.col(c) for c in docs.columns]).alias("row")
+    rows = docs.select(own).withColumn("doc_id", F.col("row.doc_id").cast("long"))
+    prints = materialize(fingerprints(docs, width=width))
+    found = materialize(near_duplicates(docs, prints=prints).groupBy("component_id").agg(F.min(F.struct("doc_id", "fp")).alias("k")).select("k.doc_id").distinct())
+    kept = rows.join(found.withColumnRenamed("doc_id", "kept_id"), F.col("doc_id").eqNullSafe(F.col("kept_id")))
+    return kept.dropDuplicates(["doc_id"]).select("row.*")
+
+
 def op9_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")

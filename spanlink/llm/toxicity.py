@@ -17,6 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -145,6 +146,21 @@ def score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray, float], extra: l
     return out.withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
 
 
+def without_toxic(docs: DataFrame, model: tuple[np.ndarray, np.ndarray, float], threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of `docs` that score below the threshold, all columns as they are."""
+    used, weights, bias = model
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        dense = np.zeros(1 << BITS, np.float64)
+        dense[used] = weights
+        for batch in batches:
+            texts = batch.column("text").to_pylist()
+            parts = [score_texts(texts[s], dense, bias) < threshold for s in by_chars(texts)]
+            yield batch.filter(pa.array(np.concatenate(parts))) if parts else batch
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def remainder(parts: int):
     """crc32 of the id's decimal text, mod `parts`."""
     return F.crc32(F.col("doc_id").cast("string")) % parts
