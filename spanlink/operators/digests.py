@@ -7,12 +7,10 @@ import hashlib
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from spanlink.schemas import BOOK
 
-NUL = F.lit("\0")
-
-
 def content_hash(content: Column) -> Column:
     """16 hex digits of a line's SHA-1; null content counts as empty."""
     return F.substring(F.sha1(F.coalesce(content, F.lit(""))), 1, 16)
@@ -20,10 +18,10 @@ def content_hash(content: Column) -> Column:
 
 def line_identity(content: Column, context: Column) -> Column:
     """128 bits of content and context, for matching inside the library."""
-    return F.md5(F.concat(F.coalesce(content, F.lit("")), NUL, context))
+    return F.md5(F.concat(F.coalesce(content, F.lit("")), F.lit("\0"), context))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def line_fingerprint(content: pd.Series, context: pd.Series) -> pd.Series:
     """BLAKE2b-128 of content and context, for exchange with stored baselines; there is no built-in for it."""
     return pd.Series([hashlib.blake2b(f"{a or ''}\0{b}".encode(), digest_size=16).hexdigest() for a, b in zip(content, context, strict=True)])
@@ -31,7 +29,8 @@ def line_fingerprint(content: pd.Series, context: pd.Series) -> pd.Series:
 
 def book_digests(lines: DataFrame) -> DataFrame:
     """(source, title, hash, n_lines): SHA-1 over index, content and context of all lines in order."""
-    part = F.concat(F.col("line_index").cast("string"), NUL, F.coalesce("content", F.lit("")), NUL, "context", NUL)
+    nul = F.lit("\0")
+    part = F.concat(F.col("line_index").cast("string"), nul, F.coalesce("content", F.lit("")), nul, "context", nul)
     parts = F.transform(F.array_sort(F.collect_list(F.struct("line_index", part.alias("part")))), lambda x: x["part"])
     return lines.groupBy(*BOOK).agg(F.substring(F.sha1(F.array_join(parts, "")), 1, 16).alias("hash"), F.count("*").alias("n_lines"))
 
