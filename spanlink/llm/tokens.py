@@ -11,7 +11,10 @@ often as they occur; an empty table gives no files and an empty result.
 
 from __future__ import annotations
 
+import functools
+import json
 import os
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -25,6 +28,7 @@ from pyspark.sql import functions as F
 from spanlink.llm import huffman
 from spanlink.llm.common import materialize, shared_dir, table
 from spanlink.llm.files import reading, replacing
+from spanlink.llm.toxicity import by_chars
 
 MAGIC = b"SLHUF1\n"
 END_ID = 2
@@ -32,8 +36,8 @@ END_ID = 2
 SEGMENT = 1 << 20
 #: Ids in a file, about.
 FILE_TOKENS = 8 << 20
-#: Documents handed to the tokenizer at once, and characters that end such a batch early.
-BATCH_ROWS, BATCH_CHARS = 256, 1 << 20
+#: Characters handed to the tokenizer at once, or one longer text.
+BATCH_CHARS = 1 << 20
 _NULL_ID = -(1 << 63)
 
 
@@ -43,35 +47,89 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
-def tokenize(docs: DataFrame, tokenizer_file: str, end_id: int = END_ID) -> DataFrame:
-    """(doc_id, text) to (doc_id, n_tokens, ids): ids as little-endian unsigned 32-bit integers, with the end id."""
+def packing(tokenizer_file: str, end_id: int = END_ID) -> str:
+    """How ids lie in tables: unsigned little-endian integers of 16 bits if all fit, else of 32."""
+    from tokenizers import Tokenizer
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    return "<u2" if max(Tokenizer.from_file(tokenizer_file).get_vocab_size(), end_id + 1) <= 1 << 16 else "<u4"
+
+
+class Encoder:
+    """Whole texts to ids.
+
+    A byte-level BPE with the usual splitting rule never lets a token reach over white space that follows something visible, nor
+    from a letter into a mark after it. Texts are cut at single white space and the ids of recurring pieces are looked up; a
+    piece that ends in a mark is that of the letters plus that of the mark. Texts where a cut might not be one (runs of
+    white space, control characters, markup of special tokens) and other kinds of tokenizer get the text encoded as it is.
+    """
+
+    #: Pieces that are remembered; later ones are encoded again each time.
+    CACHE = 1_200_000
+    _whole = re.compile(r"[\s\x1c-\x1f]{2}|[\0\x1c-\x1f]|<\|")
+
+    def __init__(self, tokenizer_file: str, kind: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        model = Tokenizer.from_file(tokenizer_file)
-        end = np.array([end_id], "<u4").tobytes()
+        self.model, self.kind = Tokenizer.from_file(tokenizer_file), kind
+        self.known: dict[str, bytes] = {}
+        rules = json.loads(self.model.to_str())
+        pre = rules.get("pre_tokenizer") or {}
+        usual = pre.get("type") == "ByteLevel" and not pre.get("add_prefix_space") and pre.get("use_regex", True)
+        self.by_piece = usual and rules.get("normalizer") is None and not any(t["lstrip"] or t["rstrip"] or t["single_word"] or " " in t["content"] for t in rules["added_tokens"])
+
+    def _encode(self, texts: list[str]) -> list[bytes]:
+        return [np.array(e.ids, self.kind).tobytes() for e in self.model.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learn(self, pieces: set[str]) -> dict[str, bytes]:
+        """Ids of pieces that aren't known yet."""
+        ends = [p for p in pieces if p[-1:] in (".", ",") and p[-2:-1].isalpha()]
+        plain = pieces.difference(ends) | {p[:-1] for p in ends}
+        new = list(plain.union(".,").difference(self.known))
+        fresh = dict(zip(new, self._encode(new), strict=True))
+        for p in ends:
+            fresh[p] = (fresh.get(p[:-1]) or self.known[p[:-1]]) + (fresh.get(p[-1]) or self.known[p[-1]])
+        return fresh
+
+    def __call__(self, texts: list[str]) -> list[bytes]:
+        cut = [t.replace(" ", "\0 ").replace("\n", "\0\n").split("\0") if self.by_piece and not self._whole.search(t) else None for t in texts]
+        fresh = self._learn(set().union(*[c for c in cut if c]).difference(self.known))
+        whole = iter(self._encode([t for t, c in zip(texts, cut, strict=True) if c is None]))
+        if len(self.known) < self.CACHE:
+            self.known.update(fresh)
+            fresh = {}
+        known, rare = self.known, fresh
+        return [next(whole) if c is None else b"".join([rare[p] if p in rare else known[p] for p in c] if rare else map(known.__getitem__, c)) for c in cut]
+
+
+@functools.cache
+def encoder(tokenizer_file: str, kind: str) -> Encoder:
+    """One per Python worker, so that what it remembers serves all its tasks."""
+    return Encoder(tokenizer_file, kind)
+
+
+def tokenize(docs: DataFrame, tokenizer_file: str, end_id: int = END_ID) -> DataFrame:
+    """(doc_id, text) to (doc_id, n_tokens, ids): ids packed as packing() says, with the end id."""
+    kind = packing(tokenizer_file, end_id)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        encode, end = encoder(tokenizer_file, kind), np.array([end_id], kind).tobytes()
         for pdf in batches:
-            texts, out, at = pdf["text"].fillna("").tolist(), [], 0
-            while at < len(texts):
-                upto, chars = at, 0
-                while upto < len(texts) and upto - at < BATCH_ROWS and (chars := chars + len(texts[upto])) <= BATCH_CHARS or upto == at:
-                    upto += 1
-                out += [np.array(e.ids, "<u4").tobytes() + end for e in model.encode_batch_fast(texts[at:upto], add_special_tokens=False)]
-                at = upto
-            yield pd.DataFrame({"doc_id": pdf["doc_id"], "n_tokens": np.array([len(x) // 4 for x in out], np.int64), "ids": out})
+            texts, out = pdf["text"].fillna("").tolist(), []
+            for s in by_chars(texts, BATCH_CHARS):
+                out += [ids + end for ids in encode(texts[s])]
+            yield pd.DataFrame({"doc_id": pdf["doc_id"], "n_tokens": np.array([len(x) // len(end) for x in out], np.int64), "ids": out})
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInPandas(run, "doc_id long, n_tokens long, ids binary")
 
 
-def id_counts(ids: DataFrame) -> np.ndarray:
+def id_counts(ids: DataFrame, kind: str) -> np.ndarray:
     """Occurrences by id over all documents; each task sends one row per distinct id at most."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total = np.zeros(0, np.int64)
         for pdf in batches:
-            own = np.bincount(np.frombuffer(b"".join(pdf["ids"]), "<u4"))
+            own = np.bincount(np.frombuffer(b"".join(pdf["ids"]), kind))
             if len(own) > len(total):
                 own, total = total, own
             total[: len(own)] += own
@@ -84,30 +142,30 @@ def id_counts(ids: DataFrame) -> np.ndarray:
     return counts
 
 
-def _segments(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+def _segments(batches: Iterator[pd.DataFrame], kind: str) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     docs: list = []
     parts: list = []
-    held = 0
+    held, width = 0, int(kind[-1])
     for pdf in batches:
         for doc_id, raw in zip(pdf["doc_id"], pdf["ids"], strict=True):
-            if held and held + len(raw) // 4 > SEGMENT:
-                yield np.array(docs, "<i8"), np.array([len(x) // 4 for x in parts], "<u4"), np.frombuffer(b"".join(parts), "<u4")
+            if held and held + len(raw) // width > SEGMENT:
+                yield np.array(docs, "<i8"), np.array([len(x) // width for x in parts], "<u4"), np.frombuffer(b"".join(parts), kind)
                 docs, parts, held = [], [], 0
             docs.append(_NULL_ID if pd.isna(doc_id) else int(doc_id))
             parts.append(raw)
-            held += len(raw) // 4
+            held += len(raw) // width
     if docs:
-        yield np.array(docs, "<i8"), np.array([len(x) // 4 for x in parts], "<u4"), np.frombuffer(b"".join(parts), "<u4")
+        yield np.array(docs, "<i8"), np.array([len(x) // width for x in parts], "<u4"), np.frombuffer(b"".join(parts), kind)
 
 
-def write_archive(ids: DataFrame, folder: str, files: int, lengths: np.ndarray) -> DataFrame:
+def write_archive(ids: DataFrame, kind: str, folder: str, files: int, lengths: np.ndarray) -> DataFrame:
     """Write a (materialized) table of ids as coded files in order of doc_id; returns (file, path, n_tokens)."""
     codes = huffman.canonical_codes(lengths)
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         k = TaskContext.get().partitionId()
         path, total, head = f"{folder}/part-{k:06d}.slh", 0, zlib.compress(lengths.tobytes())
-        segments = _segments(batches)
+        segments = _segments(batches, kind)
         first = next(segments, None)
         if first is None:
             return
@@ -167,11 +225,12 @@ def read_archive(written: DataFrame) -> DataFrame:
 
 def encode_documents(docs: DataFrame, tokenizer_file: str | None = None) -> tuple[DataFrame, str]:
     """Tokenize (doc_id, text), write the archive to the shared folder; returns its list of files and that folder."""
-    spark: SparkSession = docs.sparkSession
-    ids = materialize(tokenize(docs, tokenizer_file or default_tokenizer()))
+    tokenizer_file = tokenizer_file or default_tokenizer()
+    kind = packing(tokenizer_file)
+    ids = materialize(tokenize(docs, tokenizer_file))
     total = ids.agg(F.sum("n_tokens")).first()[0] or 0
-    folder = shared_dir(spark)
-    return write_archive(ids, folder, max(1, -(-total // FILE_TOKENS)), huffman.code_lengths(id_counts(ids))), folder
+    folder = shared_dir(docs.sparkSession)
+    return write_archive(ids, kind, folder, max(1, -(-total // FILE_TOKENS)), huffman.code_lengths(id_counts(ids, kind))), folder
 
 
 def digest(decoded: DataFrame) -> DataFrame:
