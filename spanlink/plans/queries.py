@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spanlink.functions import numerals, text
-from spanlink.operators import audit, batching, catalog, checks, delta, digests, recognize, sequence
+from spanlink.functions import numerals, rules, text
+from spanlink.operators import audit, batching, catalog, checks, delta, digests, recognize, resolve, sequence
 from spanlink.plans import incremental
 from spanlink.plans.stand_ins import CTE, DIGESTS, PAIRS, current_lines, prior_lines, read, values
 from spanlink.schemas import BOOK, LINE, LINKS
@@ -534,6 +534,72 @@ def multiset_difference(spark, d):
     return audit.multiset_difference(l.where("l_linenumber <> 2").select("l_partkey", "l_returnflag"), l.where("l_linenumber > 2").select("l_partkey", "l_returnflag"))
 
 
+# rules on single citations; the expected answers are given as values
+
+
+def _case(spark, rows, schema, **columns):
+    """Numbered cases with the columns asked for."""
+    df = spark.createDataFrame([(k, *r) for k, r in enumerate(rows)], f"i int, {schema}")
+    return df.select("i", *[c.alias(n) for n, c in columns.items()])
+
+
+_MARKERS = [("(כג) text", 4), (' (ט"ו) x', 6), ("(שם) x", 0), ("(גכ) x", 0), ("text (כג)", 0), ("", 0)]
+
+
+@query(f"SELECT i, v AS ends FROM {values([(k, v) for k, (_, v) in enumerate(_MARKERS)], 'i, v')}")
+def leading_markers(spark, d):
+    return _case(spark, [(c,) for c, _ in _MARKERS], "c string", ends=rules.leading_marker_end(F.col("c")))
+
+
+_MISREAD = [("I Kings 3", 'מ"א', True), ("I Kings 3", 'מ"א ג, ד', False), ("Amos 4", "עמ' 4", True), ("Amos 4", "עמוס ד", False), ("Mishnah Eruvin 1", 'פ"ק דעירובין', True), ("Mishnah Eruvin 1", 'משנה פ"ק עירובין', False)]
+
+
+@query(f"SELECT i, v AS misread FROM {values([(k, v) for k, (*_, v) in enumerate(_MISREAD)], 'i, v')}")
+def implausible_targets(spark, d):
+    return _case(spark, [r[:2] for r in _MISREAD], "r string, a string", misread=rules.implausible(F.col("r"), F.col("a")))
+
+
+_SPELLED = [("Eruvin 20b", 'להלן עירובין טו, ע"ב', True, "Eruvin 15b"), ("Eruvin 15b", 'עירובין טו, ע"ב', False, "Eruvin 15b"), ("Eruvin 20b", "עירובין", False, None), ("Eruvin 20b", 'טו ע"א, טז ע"א', True, None)]
+
+
+@query(f"SELECT i, x AS contradicts, v AS spelled FROM {values([(k, x, v) for k, (_, _, x, v) in enumerate(_SPELLED)], 'i, x, v')}")
+def address_agreement(spark, d):
+    return _case(spark, [r[:2] for r in _SPELLED], "r string, a string", contradicts=rules.address_contradicts(F.col("r"), F.col("a")), spelled=rules.spelled_ref(F.col("r"), F.col("a")))
+
+
+_PLACED = [("x", "רשי על שבת", True), ("x", "על שבת", False), ("Sefaria", "רשי על שבת", False), ("x", "א על ב על ראש השנה", True)]
+
+
+@query(f"SELECT i, v AS placed FROM {values([(k, v) for k, (*_, v) in enumerate(_PLACED)], 'i, v')}")
+def placed_by_pages(spark, d):
+    return _case(spark, [r[:2] for r in _PLACED], "s string, t string", placed=rules.placed_by_pages(F.col("s"), F.col("t")))
+
+
+_POINTING = [("לעיל כ", True, 9, 3, "above"), ("לעיל כ", True, 3, 9, None), ("לקמן כ", True, 3, 9, "below"), ("לקמן כ", False, 3, 9, None), ("לעיל ולקמן", True, 9, 3, None)]
+
+
+@query(f"SELECT i, v AS direction FROM {values([(k, v) for k, (*_, v) in enumerate(_POINTING)], 'i, v')}")
+def relative_directions(spark, d):
+    labels = F.array(F.lit("RELATIVE"), F.lit("NUMBERED"))
+    return _case(spark, [r[:4] for r in _POINTING], "a string, s boolean, o int, t int", direction=rules.relative_direction(labels, F.col("a"), F.col("s"), F.col("o"), F.col("t")))
+
+
+@query(f"""WITH {_T}, c AS (SELECT *, 'Part ' || size % 40 || ':' || size % 3 AS one, 'Part ' || size % 7 || ':' || size % 5 AS two FROM t),
+g AS (SELECT DISTINCT 'Part ' || a || ':' || b AS ref FROM range(0, 40) x(a), range(0, 3) y(b) WHERE a % 4 <> 0)
+SELECT source, title, line_index, one AS target_ref FROM c JOIN g ON one = g.ref WHERE role <> 'assistant' AND (size % 2 = 0 OR one = two)""")
+def resolve_citations(spark, d):
+    """Citations of one or two candidates; those of two different ones are dropped, and so are targets without text."""
+    size = F.col("size")
+    one = F.concat(F.lit("Part "), (size % 40).cast("string"), F.lit(":"), (size % 3).cast("string"))
+    two = F.concat(F.lit("Part "), (size % 7).cast("string"), F.lit(":"), (size % 5).cast("string"))
+    parts = F.array(F.struct(F.lit("NAMED").alias("label"), F.lit("t").alias("text")))
+    t = _turns(spark, d).where("role <> 'assistant'")
+    cites = t.select(*LINE, "pos", F.lit("a text").alias("content"), F.lit(0).alias("start"), F.lit(6).alias("end"), parts.alias("parts"), F.when((size % 2 == 0) | (one == two), F.array(one)).otherwise(F.array(one, two)).alias("candidates"), F.lit(None).cast("string").alias("context"), F.lit(None).cast("long").alias("place"))
+    segments = spark.range(40).where("id % 4 <> 0").select(F.explode(F.sequence(F.lit(0), F.lit(2))).alias("s"), "id")
+    segments = segments.select(F.concat(F.lit("Part "), F.col("id").cast("string"), F.lit(":"), F.col("s").cast("string")).alias("ref"), F.concat(F.lit("Part "), F.col("id").cast("string")).alias("title"), F.col("s").cast("long").alias("place"), F.lit(True).alias("has_text"))
+    return resolve.resolve(cites, segments).select(*LINE, "target_ref")
+
+
 # the whole run
 
 
