@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from spanlink.llm import decontaminate, mixing, simhash, tokens, toxicity
+from spanlink.llm import decontaminate, mixing, similar, simhash, tokens, toxicity
 from spanlink.llm.common import materialize, table
 
 
@@ -18,7 +18,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return simhash.one_of_each(docs)
+    """One document of each group of fingerprints within the radius; then of those with five-word similarity of 0.8, which differ in more bits."""
+    return similar.without_similar(materialize(simhash.one_of_each(docs)))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
