@@ -27,6 +27,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -79,16 +81,17 @@ def _least(keys: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(ahead[: n - width + 1], behind[width - 1 : n])
 
 
-def regions(texts: list[bytes]) -> pd.DataFrame:
-    """doc (its number), lo (first window), n (windows), off (anchor from lo), h (anchor hash), rh (region hash)."""
-    lengths = np.fromiter(map(len, texts), np.int64, len(texts))
+def regions(data: np.ndarray, lengths: np.ndarray) -> dict[str, np.ndarray]:
+    """Regions of texts that lie one after the other in `data`.
+
+    doc (its number), lo (first window), n (windows), off (anchor from lo), h (anchor hash), rh (region hash).
+    """
     ends = np.cumsum(lengths)
-    data = np.frombuffer(b"".join(texts), np.uint8)
     starts = np.arange(max(0, len(data) - LENGTH + 1))
-    doc = np.repeat(np.arange(len(texts)), lengths)[: len(starts)]
+    doc = np.repeat(np.arange(len(lengths)), lengths)[: len(starts)]
     inside = np.flatnonzero(starts + LENGTH <= ends[doc]) if len(starts) else starts
     if not len(inside):
-        return pd.DataFrame({c: np.empty(0, np.int64) for c in ("doc", "lo", "n", "off", "h", "rh")})
+        return {c: np.empty(0, np.int64) for c in ("doc", "lo", "n", "h", "rh")}
     first, second = (_Hashes(data, b) for b in _BASES)
     grams = np.arange(len(data) - GRAM + 1)
     hashed = first(grams, grams + GRAM)
@@ -97,66 +100,70 @@ def regions(texts: list[bytes]) -> pd.DataFrame:
     last = np.append(new[1:], len(inside)) - 1
     lo, hi, place = inside[new], inside[last], anchor[new]
     own = doc[lo]
-    return pd.DataFrame({"doc": own, "lo": lo - (ends - lengths)[own], "n": hi - lo + 1, "off": place - lo, "h": hashed[place].view(np.int64), "rh": second(lo, hi + LENGTH).view(np.int64)})
+    return {"doc": own, "lo": lo - (ends - lengths)[own], "n": hi - lo + 1, "h": hashed[place].view(np.int64), "rh": second(lo, hi + LENGTH).view(np.int64)}
 
 
-def _batches(path: str, columns: list[str]) -> Iterator[tuple[int, pd.DataFrame, list[bytes]]]:
-    """(number of the first row, rows, texts as bytes) of a file of the copy, about BATCH_BYTES at a time."""
+def _batches(path: str, ids: bool = False) -> Iterator[tuple[int, list, np.ndarray, np.ndarray]]:
+    """(number of the first row, ids, texts' bytes one after the other, their lengths) of a file of the copy, about BATCH_BYTES at a time."""
     fs, local = resolve(path)
     at = 0
     with fs.open_input_file(local) as f:
-        for batch in pq.ParquetFile(f).iter_batches(batch_size=256, columns=columns):
-            pdf = batch.to_pandas(integer_object_nulls=True)
-            raw = [(t or "").encode() for t in pdf["text"]]
-            a, size = 0, 0
-            for b, r in enumerate(raw):
-                size += len(r)
-                if size > BATCH_BYTES and b > a:
-                    yield at + a, pdf.iloc[a:b], raw[a:b]
-                    a, size = b, len(r)
-            yield at + a, pdf.iloc[a:], raw[a:]
-            at += len(raw)
-
-
-def _count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for pdf in batches:
-        for path in pdf["path"]:
-            for _, _, raw in _batches(path, ["text"]):
-                r = regions(raw)
-                yield r.groupby(["h", "rh"], sort=False).size().rename("n").reset_index()
-
-
-def _places(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for pdf in batches:
-        for file, path in zip(pdf["file"], pdf["path"], strict=True):
-            for at, _, raw in _batches(path, ["text"]):
-                r = regions(raw)
-                if not len(r):
-                    continue
-                r = r.sort_values(["doc", "h", "rh", "lo"], kind="stable")
-                new = np.flatnonzero((r[["doc", "h", "rh"]].diff() != 0).any(axis=1).to_numpy())
-                los = r["lo"].to_numpy(np.int32)
-                one = r.iloc[new]
-                cut = np.append(new[1:], len(r))
-                yield pd.DataFrame({"file": file, "doc": one["doc"].to_numpy() + at, "h": one["h"], "rh": one["rh"], "windows": one["n"], "off": one["off"], "los": [los[a:b].tobytes() for a, b in zip(new, cut, strict=True)]})
+        for batch in pq.ParquetFile(f).iter_batches(batch_size=1024, columns=["doc_id", "text"] if ids else ["text"]):
+            text = batch.column("text")
+            text = pc.fill_null(text, "").cast(pa.large_binary())
+            offsets = np.frombuffer(text.buffers()[1], np.int64)[text.offset : text.offset + len(text) + 1]
+            raw = np.frombuffer(text.buffers()[2] or b"", np.uint8)
+            names = batch.column("doc_id").to_pylist() if ids else []
+            a = 0
+            while a < len(text):
+                b = max(a + 1, int(np.searchsorted(offsets, offsets[a] + BATCH_BYTES, side="right")) - 1)
+                yield at + a, names[a:b], raw[offsets[a] : offsets[b]], np.diff(offsets[a : b + 1])
+                a = b
+            at += len(text)
+
+
+def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for files in batches:
+        for path in files.column("path").to_pylist():
+            for _, _, data, lengths in _batches(path):
+                r = regions(data, lengths)
+                _, one, n = np.unique(_both(r), return_index=True, return_counts=True)
+                yield pa.RecordBatch.from_pydict({"h": r["h"][one], "rh": r["rh"][one], "n": n})
+
+
+def _both(r: dict[str, np.ndarray]) -> np.ndarray:
+    return r["rh"].view(np.uint64) * np.uint64(_BASES[0]) + r["h"].view(np.uint64)
+
+
+def _places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row per different region of a document, with the list of its places."""
+    for files in batches:
+        for file, path in zip(files.column("file").to_pylist(), files.column("path").to_pylist(), strict=True):
+            for at, _, data, lengths in _batches(path):
+                r = regions(data, lengths)
+                key = _both(r)
+                order = np.lexsort((r["lo"], key, r["doc"]))
+                key, doc = key[order], r["doc"][order]
+                new = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]) | (doc[1:] != doc[:-1])])) if len(order) else order
+                one = order[new]
+                los = pa.ListArray.from_arrays(pa.array(np.append(new, len(order)).astype(np.int32)), pa.array(r["lo"][order].astype(np.int32)))
+                yield pa.RecordBatch.from_pydict({"file": pa.array([file] * len(one), pa.int32()), "doc": r["doc"][one] + at, "h": r["h"][one], "rh": r["rh"][one], "windows": r["n"][one].astype(np.int32), "los": los})
 
 
 def _cut(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
     """One copy of each of the regions that lie in one file."""
     pdf = pdf.sort_values("doc")
     docs, out = pdf["doc"].to_numpy(), []
-    for at, _, raw in _batches(pdf["path"].iloc[0], ["text"]):
-        mine = pdf.iloc[np.searchsorted(docs, at) : np.searchsorted(docs, at + len(raw))]
-        for d, los, n in zip(mine["doc"], mine["los"], mine["windows"], strict=True):
-            lo = int.from_bytes(los[:4], "little")
-            out.append(raw[d - at][lo : lo + n + LENGTH - 1])
-    return pdf[["h", "rh", "copies", "off"]].assign(region=out)
+    for at, _, data, lengths in _batches(pdf["path"].iloc[0]):
+        a, b = np.searchsorted(docs, at), np.searchsorted(docs, at + len(lengths))
+        start = (np.cumsum(lengths) - lengths)[docs[a:b] - at] + pdf["lo"].to_numpy()[a:b]
+        out += [data[x : x + n + LENGTH - 1].tobytes() for x, n in zip(start.tolist(), pdf["windows"].to_numpy()[a:b].tolist(), strict=True)]
+    return pdf[["h", "rh", "copies", "kinds"]].assign(region=out)
 
 
-def _runs(flags: np.ndarray) -> bytes:
+def _runs(flags: np.ndarray) -> list[int]:
     """Starts and ends (exclusive) of the runs of set flags."""
-    edge = np.flatnonzero(np.diff(np.concatenate([[0], flags.astype(np.int8), [0]])))
-    return edge.astype(np.int16).tobytes()
+    return np.flatnonzero(np.diff(np.concatenate([[0], flags.astype(np.int8), [0]]))).tolist()
 
 
 def repeated_windows(parts: list[bytes], copies: np.ndarray) -> list[np.ndarray]:
@@ -165,10 +172,11 @@ def repeated_windows(parts: list[bytes], copies: np.ndarray) -> list[np.ndarray]
     text = np.frombuffer(b"\0".join([*parts, b""]), np.uint8).astype(np.int64) + 1
     ends = np.cumsum(lengths + 1) - 1
     text[ends] = 0  # after each region, below all bytes
-    order = suffix_array(text, LENGTH)
-    whole = common_prefixes(text, order, LENGTH) >= LENGTH
     owner = np.repeat(np.arange(len(parts)), lengths + 1)
-    fits = order + LENGTH <= ends[owner[order]]  # a common prefix that runs over an end is none
+    fits = np.arange(len(text)) + LENGTH <= ends[owner]
+    order = suffix_array(text, LENGTH, fits)
+    whole = common_prefixes(text, order, LENGTH) >= LENGTH
+    fits = fits[order]  # a common prefix that runs over an end is none
     flags = np.zeros(len(text), bool)
     pair = np.flatnonzero(whole & fits & np.concatenate([fits[:1], fits[:-1]]))
     flags[order[pair]] = True
@@ -183,7 +191,8 @@ def repeated_windows(parts: list[bytes], copies: np.ndarray) -> list[np.ndarray]
 def _sorted(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
     """Repeated windows of the regions of some anchors, about SORTED_BYTES at a time, an anchor's regions together."""
     pdf = pdf.sort_values(["h", "rh"])
-    h, size, out, a, held = pdf["h"].to_numpy(), pdf["region"].map(len).to_numpy(), [], 0, 0
+    h, size, a, held = pdf["h"].to_numpy(), pdf["region"].map(len).to_numpy(), 0, 0
+    out: list[list[int]] = []
     for b in range(1, len(pdf) + 1):
         held += size[b - 1]
         if b == len(pdf) or held >= SORTED_BYTES and h[b] != h[b - 1]:
@@ -213,19 +222,20 @@ def _kept(key: tuple, files: pd.DataFrame, side: pd.DataFrame) -> pd.DataFrame:
     docs, out = side["doc"].to_numpy(), []
     los, runs = side["los"].tolist(), side["runs"].tolist()
     for path in files["path"]:
-        for at, pdf, raw in _batches(path, ["doc_id", "text"]):
-            for k, (doc_id, r) in enumerate(zip(pdf["doc_id"], raw, strict=True)):
-                a, b = np.searchsorted(docs, at + k), np.searchsorted(docs, at + k, side="right")
-                edges = np.zeros(len(r) + 1, np.int32)
-                for i in range(a, b):
-                    span = np.frombuffer(runs[i], np.int16).astype(np.int64)
-                    lo = np.frombuffer(los[i], np.int32).astype(np.int64)[:, None]
-                    np.add.at(edges, (lo + span[0::2]).reshape(-1), 1)
-                    np.add.at(edges, (lo + span[1::2] + LENGTH - 1).reshape(-1), -1)
-                gone = np.cumsum(edges[:-1]) > 0
-                kept = np.frombuffer(r, np.uint8)[~gone].tobytes() if a < b else r
-                spans = int(np.count_nonzero(np.diff(np.concatenate([[0], gone.astype(np.int8)])) == 1))
-                out.append((doc_id, len(r), len(r) - len(kept), spans, hashlib.sha256(kept).hexdigest(), kept))
+        for at, names, data, lengths in _batches(path, ids=True):
+            starts = np.cumsum(lengths) - lengths
+            edges = np.zeros(len(data) + 1, np.int32)
+            a, b = np.searchsorted(docs, at), np.searchsorted(docs, at + len(lengths))
+            for i, base in zip(range(a, b), starts[docs[a:b] - at].tolist(), strict=True):
+                for lo in los[i]:
+                    edges[np.asarray(runs[i][0::2]) + (base + lo)] += 1
+                    edges[np.asarray(runs[i][1::2]) + (base + lo + LENGTH - 1)] -= 1
+            gone = np.cumsum(edges[:-1]) > 0
+            for doc_id, x, n in zip(names, starts.tolist(), lengths.tolist(), strict=True):
+                own = gone[x : x + n]
+                kept = data[x : x + n][~own].tobytes()
+                spans = int(np.count_nonzero(own[1:] & ~own[:-1])) + int(n > 0 and own[0])
+                out.append((doc_id, n, n - len(kept), spans, hashlib.sha256(kept).hexdigest(), kept))
     out = pd.DataFrame(out, columns=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
     return out.astype({"doc_id": "Int64"})
 
@@ -240,31 +250,31 @@ def remove_repeats(docs: DataFrame, keep_bytes: bool = True) -> DataFrame:
     n_files = files.count()
     spread = files.repartition(max(1, n_files))
 
-    counted = materialize(spread.mapInPandas(_count, "h long, rh long, n long").groupBy("h", "rh").agg(F.sum("n").alias("copies")))
+    counted = materialize(spread.select("path").mapInArrow(_count, "h long, rh long, n long").groupBy("h", "rh").agg(F.sum("n").alias("copies")))
     anchors = counted.groupBy("h").agg(F.sum("copies").alias("places"), F.count("*").alias("kinds")).where("places > 1")
     wanted = materialize(counted.join(anchors.select("h", "kinds"), "h"))
-    places = spread.mapInPandas(_places, "file int, doc long, h long, rh long, windows int, off int, los binary")
-    places = materialize(places.join(wanted, ["h", "rh"]))
+    places = spread.mapInArrow(_places, "file int, doc long, h long, rh long, windows int, los array<int>")
+    # sizes of what comes out of Python are guesses, too low for a list of files, so no side may be broadcast on their word
+    places = materialize(places.join(wanted.hint("merge"), ["h", "rh"]))
 
-    one = F.min(F.struct("file", "doc", F.col("windows"), F.col("off"), F.col("los"))).alias("p")
-    copies = places.groupBy("h", "rh", "copies", "kinds").agg(one).select("h", "rh", "copies", "kinds", "p.*")
-    copies = copies.join(files, "file")
-    kinds = wanted.select("h", "rh", "kinds")
-    cut = copies.select("file", "path", "doc", "h", "rh", "copies", "off", "windows", "los").groupBy("file").applyInPandas(_cut, "h long, rh long, copies long, off int, region binary")
-    cut = materialize(cut.join(kinds, ["h", "rh"]))
+    # where all regions of an anchor are one, counting has settled all of its windows
+    settled = places.where("kinds = 1").select("h", "rh", F.array(F.lit(0), "windows").alias("runs")).distinct()
+    one = F.min(F.struct("file", "doc", "windows", F.get("los", F.lit(0)).alias("lo"))).alias("p")
+    copies = places.where("kinds > 1").groupBy("h", "rh", "copies", "kinds").agg(one).select("h", "rh", "copies", "kinds", "p.*").join(files, "file")
+    cut = materialize(copies.groupBy("file").applyInPandas(_cut, "h long, rh long, copies long, kinds long, region binary"))
 
     total = cut.agg(F.sum(F.length("region"))).first()[0] or 0
     bucket = F.pmod(F.xxhash64("h"), F.lit(max(1, -(-total // (2 * SORTED_BYTES))))).cast("int")
-    by_sorting = cut.where(F.col("kinds") <= GROUP).withColumn("bucket", bucket).groupBy("bucket").applyInPandas(_sorted, "h long, rh long, runs binary")
+    by_sorting = cut.where(F.col("kinds") <= GROUP).withColumn("bucket", bucket).groupBy("bucket").applyInPandas(_sorted, "h long, rh long, runs array<int>")
     single = cut.where(F.col("kinds") > GROUP).mapInPandas(_windows, "h long, rh long, copies long, rel int, w1 long, w2 long")
     again = single.groupBy("w1", "w2").agg(F.sum("copies").alias("n")).where("n > 1").select("w1", "w2")
-    by_window = single.join(again, ["w1", "w2"]).groupBy("h", "rh").agg(F.collect_list("rel").alias("rels"))
+    by_window = single.join(again.hint("merge"), ["w1", "w2"]).groupBy("h", "rh").agg(F.collect_list("rel").alias("rels"))
 
     def runs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             yield pdf[["h", "rh"]].assign(runs=[_runs(np.bincount(np.asarray(r), minlength=1) > 0) for r in pdf["rels"]])
 
-    found = by_sorting.unionByName(by_window.mapInPandas(runs, "h long, rh long, runs binary")).where(F.length("runs") > 0)
+    found = by_sorting.unionByName(by_window.mapInPandas(runs, "h long, rh long, runs array<int>")).where(F.size("runs") > 0).unionByName(settled)
     side = places.select("file", "doc", "h", "rh", "los").join(materialize(found), ["h", "rh"]).select("file", "doc", "los", "runs")
     run = _kept if keep_bytes else lambda key, f, s: _kept(key, f, s).drop(columns="kept")
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * keep_bytes

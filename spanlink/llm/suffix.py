@@ -52,22 +52,32 @@ def direct_sort(places: np.ndarray, words: np.ndarray, depth: int) -> np.ndarray
     return out
 
 
-def suffix_array(text: np.ndarray, depth: int) -> np.ndarray:
-    """Starts of all suffixes in order of their first `depth` symbols at least.
+def suffix_array(text: np.ndarray, depth: int, wanted: np.ndarray | None = None) -> np.ndarray:
+    """Starts of suffixes in order of their first `depth` symbols at least: all, or those that `wanted` flags and few others.
 
     Suffixes smaller than their successors are sorted directly. Going through the buckets of first symbols upwards, each suffix
-    found induces the one before it when that is larger: it comes next in the bucket of its own first symbol.
+    found induces the one before it when that is larger: it comes next in the bucket of its own first symbol. A wanted larger one
+    needs those after it, up to the first that is smaller than its successor, and no more.
     """
     n = len(text)
     if not n:
         return np.empty(0, np.int64)
     small = smaller_than_successor(text)
-    direct = direct_sort(np.flatnonzero(small), _words(text), depth)
+    kept = np.ones(n, bool)
+    if wanted is not None:
+        bases = np.append(np.flatnonzero(small), n - 1)
+        needs = np.flatnonzero(wanted)
+        edge = np.zeros(n + 1, np.int32)
+        np.add.at(edge, needs, 1)
+        np.add.at(edge, bases[np.searchsorted(bases, needs)] + 1, -1)
+        kept = np.cumsum(edge[:-1]) > 0
+    direct = direct_sort(np.flatnonzero(small & kept), _words(text), depth)
     first = text[direct]
     symbols = np.flatnonzero(np.bincount(text))
     bounds = dict(zip(symbols.tolist(), zip(np.searchsorted(first, symbols).tolist(), np.searchsorted(first, symbols, side="right").tolist(), strict=True), strict=True))
     waiting: dict[int, list[np.ndarray]] = {c: [] for c in symbols.tolist()}
-    waiting[int(text[-1])].append(np.array([n - 1]))
+    if kept[-1]:
+        waiting[int(text[-1])].append(np.array([n - 1]))
     out = []
     for c in symbols.tolist():
         # larger ones of this bucket, in the order induced; within the bucket they induce further ones, round by round
@@ -76,14 +86,13 @@ def suffix_array(text: np.ndarray, depth: int) -> np.ndarray:
         while len(part):
             rounds.append(part)
             before = part[part > 0] - 1
-            part = before[(text[before] == c) & ~small[before]]
+            part = before[(text[before] == c) & ~small[before] & kept[before]]
         a, b = bounds[c]
         whole = np.concatenate([*rounds, direct[a:b]])
         out.append(whole)
         before = whole[whole > 0] - 1
+        before = before[(text[before] > c) & kept[before]]
         symbol = text[before]
-        before = before[symbol > c]
-        symbol = symbol[symbol > c]
         order = np.argsort(symbol, kind="stable")
         before, symbol = before[order], symbol[order]
         cuts = np.flatnonzero(np.diff(symbol)) + 1

@@ -19,6 +19,9 @@ def test_suffix_array_and_common_prefixes():
             m = min(len(a), len(b))
             same = np.flatnonzero(a[:m] != b[:m])
             assert lcp[k] == (same[0] if len(same) else m)
+        wanted = rng.random(len(x)) < 0.3
+        part = suffix.suffix_array(x, 100, wanted).tolist()
+        assert part == [k for k in order if k in set(part)] and set(np.flatnonzero(wanted)) <= set(part)
     assert suffix.suffix_array(np.empty(0, np.int64), 9).size == 0
 
 
