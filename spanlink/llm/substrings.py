@@ -8,8 +8,8 @@ offsets. Consecutive windows with one anchor form a region. So:
 2. Keep the places of the others, and cut one copy of each different region out of the texts.
 3. Regions with one anchor meet in one task, which builds a suffix array of them by two-stage sorting and reads repeated windows off
    the common prefixes of neighbours (or off the count of equal regions). An anchor with over GROUP different regions, such as
-   one near the edge of a passage that is everywhere, has its windows dealt and counted one by one instead, so
-   that no task gets more than GROUP regions of an anchor.
+   one near the edge of a passage that is everywhere, has them cut into cells of windows that are dealt by their own content and
+   counted instead, so that no task gets more than GROUP regions of an anchor.
 4. Send the repeated windows back to all places of their regions and remove what they cover.
 
 Texts are copied once into the shared folder; the steps go over its files and side tables go to the file they belong to, so
@@ -37,7 +37,7 @@ from spanlink.llm.common import materialize, shared_dir, table
 from spanlink.llm.files import resolve
 from spanlink.llm.suffix import common_prefixes, suffix_array
 
-LENGTH, GRAM = 200, 32
+LENGTH, GRAM, CELL = 200, 32, 8
 #: Different regions of an anchor that one task may get; bytes of regions in one suffix array, about; documents in a file.
 GROUP, SORTED_BYTES, FILE_ROWS = 1024, 1 << 20, 8192
 BATCH_BYTES = 1 << 20
@@ -91,7 +91,7 @@ def regions(data: np.ndarray, lengths: np.ndarray) -> dict[str, np.ndarray]:
     doc = np.repeat(np.arange(len(lengths)), lengths)[: len(starts)]
     inside = np.flatnonzero(starts + LENGTH <= ends[doc]) if len(starts) else starts
     if not len(inside):
-        return {c: np.empty(0, np.int64) for c in ("doc", "lo", "n", "h", "rh")}
+        return {c: np.empty(0, np.int64) for c in ("doc", "lo", "n", "off", "h", "rh")}
     first, second = (_Hashes(data, b) for b in _BASES)
     grams = np.arange(len(data) - GRAM + 1)
     hashed = first(grams, grams + GRAM)
@@ -100,7 +100,7 @@ def regions(data: np.ndarray, lengths: np.ndarray) -> dict[str, np.ndarray]:
     last = np.append(new[1:], len(inside)) - 1
     lo, hi, place = inside[new], inside[last], anchor[new]
     own = doc[lo]
-    return {"doc": own, "lo": lo - (ends - lengths)[own], "n": hi - lo + 1, "h": hashed[place].view(np.int64), "rh": second(lo, hi + LENGTH).view(np.int64)}
+    return {"doc": own, "lo": lo - (ends - lengths)[own], "n": hi - lo + 1, "off": place - lo, "h": hashed[place].view(np.int64), "rh": second(lo, hi + LENGTH).view(np.int64)}
 
 
 def _batches(path: str, ids: bool = False) -> Iterator[tuple[int, list, np.ndarray, np.ndarray]]:
@@ -147,7 +147,7 @@ def _places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 new = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]) | (doc[1:] != doc[:-1])])) if len(order) else order
                 one = order[new]
                 los = pa.ListArray.from_arrays(pa.array(np.append(new, len(order)).astype(np.int32)), pa.array(r["lo"][order].astype(np.int32)))
-                yield pa.RecordBatch.from_pydict({"file": pa.array([file] * len(one), pa.int32()), "doc": r["doc"][one] + at, "h": r["h"][one], "rh": r["rh"][one], "windows": r["n"][one].astype(np.int32), "los": los})
+                yield pa.RecordBatch.from_pydict({"file": pa.array([file] * len(one), pa.int32()), "doc": r["doc"][one] + at, "h": r["h"][one], "rh": r["rh"][one], "windows": r["n"][one].astype(np.int32), "off": r["off"][one].astype(np.int32), "los": los})
 
 
 def _cut(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
@@ -158,7 +158,7 @@ def _cut(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         a, b = np.searchsorted(docs, at), np.searchsorted(docs, at + len(lengths))
         start = (np.cumsum(lengths) - lengths)[docs[a:b] - at] + pdf["lo"].to_numpy()[a:b]
         out += [data[x : x + n + LENGTH - 1].tobytes() for x, n in zip(start.tolist(), pdf["windows"].to_numpy()[a:b].tolist(), strict=True)]
-    return pdf[["h", "rh", "copies", "kinds"]].assign(region=out)
+    return pdf[["h", "rh", "copies", "kinds", "off"]].assign(region=out)
 
 
 def _runs(flags: np.ndarray) -> list[int]:
@@ -202,19 +202,67 @@ def _sorted(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
     return pdf[["h", "rh"]].assign(runs=out)
 
 
-def _windows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Single windows of regions, by two hashes."""
+def _cells(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Regions in cells of CELL windows, aligned to the anchor: two hashes of each window and of what all windows of a whole cell share."""
     for pdf in batches:
         for s in range(0, len(pdf), 1024):
             part = pdf.iloc[s : s + 1024]
-            sizes = part["region"].map(len).to_numpy()
+            sizes, off = part["region"].map(len).to_numpy(), part["off"].to_numpy(np.int64)
             data = np.frombuffer(b"".join(part["region"]), np.uint8)
             first, second = (_Hashes(data, b) for b in _BASES)
             n = sizes - LENGTH + 1
             k = np.repeat(np.arange(len(part)), n)
             rel = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-            at = rel + (np.cumsum(sizes) - sizes)[k]
-            yield pd.DataFrame({"h": part["h"].to_numpy()[k], "rh": part["rh"].to_numpy()[k], "copies": part["copies"].to_numpy()[k], "rel": rel, "w1": first(at, at + LENGTH).view(np.int64), "w2": second(at, at + LENGTH).view(np.int64)})
+            base = (np.cumsum(sizes) - sizes)[k]
+            w1, w2 = (x(base + rel, base + rel + LENGTH).view(np.int64) for x in (first, second))
+            number = (rel - off[k]) // CELL
+            new = np.flatnonzero(np.concatenate([[True], (k[1:] != k[:-1]) | (number[1:] != number[:-1])]))
+            core = base[new] + off[k[new]] + CELL * number[new]
+            cuts = np.append(new[1:], len(k))
+            yield pd.DataFrame(
+                {
+                    "h": part["h"].to_numpy()[k[new]],
+                    "rh": part["rh"].to_numpy()[k[new]],
+                    "copies": part["copies"].to_numpy()[k[new]],
+                    "start": rel[new],
+                    "w1": [w1[a:b] for a, b in zip(new, cuts, strict=True)],
+                    "w2": [w2[a:b] for a, b in zip(new, cuts, strict=True)],
+                    "c1": first(core + CELL - 1, core + LENGTH).view(np.int64),
+                    "c2": second(core + CELL - 1, core + LENGTH).view(np.int64),
+                }
+            )
+
+
+def split_groups(cut: DataFrame) -> DataFrame:
+    """(h, rh, runs) of regions whose anchors have too many kinds for one task, by counting ever smaller pieces.
+
+    A cell that occurs again is repeated as a whole. Of the others those whose core occurs again are counted window by window, against
+    each other and one copy of each repeated cell; the rest hold no repeated window.
+    """
+    cells = cut.mapInPandas(_cells, "h long, rh long, copies long, start int, w1 array<long>, w2 array<long>, c1 long, c2 long")
+    cells = materialize(cells.withColumn("k1", F.xxhash64("w1")).withColumn("k2", F.xxhash64("w2")))
+    kinds = cells.groupBy("k1", "k2").agg(F.sum("copies").alias("n"), *[F.any_value(c).alias(c) for c in ("w1", "w2", "c1", "c2")])
+    whole = materialize(kinds.where("n > 1"))
+    cores = cells.groupBy("c1", "c2").agg(F.sum("copies").alias("n")).where("n > 1").select("c1", "c2")
+    done = cells.join(whole.select("k1", "k2"), ["k1", "k2"]).select("h", "rh", "start", F.size("w1").alias("n"))
+    rest = materialize(cells.join(whole.select("k1", "k2"), ["k1", "k2"], "left_anti").join(cores, ["c1", "c2"], "left_semi"))
+    windows = rest.select("h", "rh", "copies", "start", F.posexplode(F.arrays_zip("w1", "w2")).alias("k", "w")).select("h", "rh", "copies", (F.col("start") + F.col("k")).alias("start"), "w.*")
+    also = whole.select(F.col("n").alias("copies"), F.explode(F.arrays_zip("w1", "w2")).alias("w")).select("copies", "w.*")
+    again = windows.select("copies", "w1", "w2").unionByName(also).groupBy("w1", "w2").agg(F.sum("copies").alias("n")).where("n > 1").select("w1", "w2")
+    single = windows.join(again, ["w1", "w2"]).select("h", "rh", "start", F.lit(1).alias("n"))
+
+    def runs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            out = []
+            for pieces in pdf["pieces"]:
+                flags = np.zeros(_SPAN, bool)
+                for p in pieces:
+                    flags[p["start"] : p["start"] + p["n"]] = True
+                out.append(_runs(flags))
+            yield pdf[["h", "rh"]].assign(runs=out)
+
+    pieces = done.unionByName(single).groupBy("h", "rh").agg(F.collect_list(F.struct("start", "n")).alias("pieces"))
+    return pieces.mapInPandas(runs, "h long, rh long, runs array<int>")
 
 
 def _kept(key: tuple, files: pd.DataFrame, side: pd.DataFrame) -> pd.DataFrame:
@@ -253,28 +301,20 @@ def remove_repeats(docs: DataFrame, keep_bytes: bool = True) -> DataFrame:
     counted = materialize(spread.select("path").mapInArrow(_count, "h long, rh long, n long").groupBy("h", "rh").agg(F.sum("n").alias("copies")))
     anchors = counted.groupBy("h").agg(F.sum("copies").alias("places"), F.count("*").alias("kinds")).where("places > 1")
     wanted = materialize(counted.join(anchors.select("h", "kinds"), "h"))
-    places = spread.mapInArrow(_places, "file int, doc long, h long, rh long, windows int, los array<int>")
+    places = spread.mapInArrow(_places, "file int, doc long, h long, rh long, windows int, off int, los array<int>")
     # sizes of what comes out of Python are guesses, too low for a list of files, so no side may be broadcast on their word
     places = materialize(places.join(wanted.hint("merge"), ["h", "rh"]))
 
     # where all regions of an anchor are one, counting has settled all of its windows
     settled = places.where("kinds = 1").select("h", "rh", F.array(F.lit(0), "windows").alias("runs")).distinct()
-    one = F.min(F.struct("file", "doc", "windows", F.get("los", F.lit(0)).alias("lo"))).alias("p")
+    one = F.min(F.struct("file", "doc", "windows", "off", F.get("los", F.lit(0)).alias("lo"))).alias("p")
     copies = places.where("kinds > 1").groupBy("h", "rh", "copies", "kinds").agg(one).select("h", "rh", "copies", "kinds", "p.*").join(files, "file")
-    cut = materialize(copies.groupBy("file").applyInPandas(_cut, "h long, rh long, copies long, kinds long, region binary"))
+    cut = materialize(copies.groupBy("file").applyInPandas(_cut, "h long, rh long, copies long, kinds long, off int, region binary"))
 
     total = cut.agg(F.sum(F.length("region"))).first()[0] or 0
     bucket = F.pmod(F.xxhash64("h"), F.lit(max(1, -(-total // (2 * SORTED_BYTES))))).cast("int")
     by_sorting = cut.where(F.col("kinds") <= GROUP).withColumn("bucket", bucket).groupBy("bucket").applyInPandas(_sorted, "h long, rh long, runs array<int>")
-    single = cut.where(F.col("kinds") > GROUP).mapInPandas(_windows, "h long, rh long, copies long, rel int, w1 long, w2 long")
-    again = single.groupBy("w1", "w2").agg(F.sum("copies").alias("n")).where("n > 1").select("w1", "w2")
-    by_window = single.join(again.hint("merge"), ["w1", "w2"]).groupBy("h", "rh").agg(F.collect_list("rel").alias("rels"))
-
-    def runs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            yield pdf[["h", "rh"]].assign(runs=[_runs(np.bincount(np.asarray(r), minlength=1) > 0) for r in pdf["rels"]])
-
-    found = by_sorting.unionByName(by_window.mapInPandas(runs, "h long, rh long, runs array<int>")).where(F.size("runs") > 0).unionByName(settled)
+    found = by_sorting.unionByName(split_groups(cut.where(F.col("kinds") > GROUP))).where(F.size("runs") > 0).unionByName(settled)
     side = places.select("file", "doc", "h", "rh", "los").join(materialize(found), ["h", "rh"]).select("file", "doc", "los", "runs")
     run = _kept if keep_bytes else lambda key, f, s: _kept(key, f, s).drop(columns="kept")
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * keep_bytes

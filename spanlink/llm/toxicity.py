@@ -124,7 +124,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", max_rows: int
 
     rows = labelled_sample(docs, labels, label, max_rows).mapInPandas(run, "h long, doc_id long, y int, buckets binary").toPandas()
     rows = rows.sort_values(["h", "doc_id", "buckets"]).head(2 * max_rows)  # repeated ids at most double the sample
-    return fit_ftrl([np.frombuffer(b, np.uint32).astype(np.int64) for b in rows["buckets"]], rows["y"].to_numpy(np.float64))
+    return fit_ftrl([np.frombuffer(b, np.uint32) for b in rows["buckets"]], rows["y"].to_numpy(np.float64))
 
 
 def score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray, float], extra: list[str] | None = None) -> DataFrame:

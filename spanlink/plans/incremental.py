@@ -17,6 +17,9 @@ from spanlink.operators import checks, delta, digests
 from spanlink.schemas import BOOK, LINE, LINKS
 
 
+Keep = Callable[[DataFrame], DataFrame]
+
+
 @dataclass
 class Plan:
     """Tables of a run: books that changed or went, lines that keep their links, lines to compute."""
@@ -27,18 +30,20 @@ class Plan:
     compute: DataFrame
 
 
-def plan(current: DataFrame, prior: DataFrame, same_engine: bool = True, context_pattern: str = SAME_PLACE) -> Plan:
+def plan(current: DataFrame, prior: DataFrame, same_engine: bool = True, context_pattern: str = SAME_PLACE, keep: Keep = lambda df: df) -> Plan:
     """With another engine every current book is computed whole; removed books are those of the baseline in any case.
 
-    Books with lines that lean on those above are computed whole too.
+    Books with lines that lean on those above are computed whole too. keep: what to do with narrow tables that several steps
+    read (ids and hashes, no texts), such as DataFrame.persist or writing them; by default they are computed again.
     """
-    now, then = digests.book_digests(current), digests.book_digests(prior)
+    now, then = keep(digests.book_digests(current)), keep(digests.book_digests(prior))
     changed = digests.changed_books(now, then) if same_engine else now.select(*BOOK, "hash", F.lit(None).cast("string").alias("prior_hash"))
     lines = current.join(changed.select(*BOOK), BOOK, "left_semi")
-    ids, old = delta.identified(lines), delta.identified(prior)
+    ids, old = keep(delta.identified(lines)), delta.identified(prior)
     if same_engine:
         free = delta.needs_context(lines, context_pattern).where("not book_context").select(*BOOK)
-        pairs = delta.reuse(ids.join(free, BOOK, "left_semi"), old)
+        mine = old.join(changed.select(*BOOK), BOOK, "left_semi")
+        pairs = keep(delta.reuse(ids.join(free, BOOK, "left_semi"), keep(mine)))
     else:
         pairs = delta.reuse(ids, old).limit(0)
     return Plan(changed, digests.removed_books(now, then), pairs, delta.recompute(ids, pairs))
@@ -57,9 +62,9 @@ def renamed(links: DataFrame, renames: list[tuple[str, str]]) -> DataFrame:
     return links
 
 
-def run(current: DataFrame, prior: DataFrame, links: DataFrame, resolve: Callable[[DataFrame], DataFrame], same_engine: bool = True, renames: list[tuple[str, str]] = ()) -> tuple[Plan, DataFrame]:
+def run(current: DataFrame, prior: DataFrame, links: DataFrame, resolve: Callable[[DataFrame], DataFrame], same_engine: bool = True, renames: list[tuple[str, str]] = (), keep: Keep = lambda df: df) -> tuple[Plan, DataFrame]:
     """The plan and the next version of the links. resolve: lines (source, title, line_index, content, context) to LINKS."""
-    p = plan(current, prior, same_engine)
+    p = plan(current, prior, same_engine, keep=keep)
     links = renamed(links, list(renames))
     kept = links.join(p.changed.select(*BOOK), BOOK, "left_anti").join(p.removed, BOOK, "left_anti")
     todo = current.join(p.compute, LINE, "left_semi")

@@ -621,5 +621,5 @@ SELECT source, title, line_index, (length(array_to_string(g[1:k], '')) + length(
 def incremental_run(spark, d):
     """Links of the current snapshot from those of the baseline; the SQL computes them anew, so reuse must lose and add nothing."""
     current, prior = current_lines(spark, d), prior_lines(spark, d)
-    _, links = incremental.run(current, prior, resolve_numbers(prior), resolve_numbers)
+    _, links = incremental.run(current, prior, resolve_numbers(prior), resolve_numbers, keep=lambda df: df.persist())
     return links.select(*LINE, "start", "end", "target_ref", "source_hash")
