@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spanlink.llm.common import table
+from spanlink.llm.common import materialize, table
 
 BITS = 20
 STEMS = (4, 6)
@@ -62,8 +62,19 @@ def distinct_features(texts: list[str | None], bits: int = BITS) -> list[np.ndar
     return [x.astype(np.uint32) for x in np.split(keys & np.uint64((1 << bits) - 1), ends[:-1])]
 
 
-def fit_ftrl(rows: list[np.ndarray], labels: np.ndarray, bits: int = BITS, alpha: float = 1.0, beta: float = 1.0, l1: float = 12.0, l2: float = 1.0, epochs: int = 4) -> tuple[np.ndarray, np.ndarray, float]:
-    """Buckets with a weight, their weights, and the bias. Rows are visited in the order given, each epoch."""
+def packed(buckets: np.ndarray, bits: int = BITS) -> bytes:
+    """Sorted buckets in two bytes each: how many there are of each high part, then the low 16 bits."""
+    high = np.bincount(buckets >> 16, minlength=1 << max(0, bits - 16))
+    return high.astype("<u4").tobytes() + (buckets & 0xFFFF).astype("<u2").tobytes()
+
+
+def unpacked(raw: bytes, bits: int = BITS) -> np.ndarray:
+    n = 1 << max(0, bits - 16)
+    return np.repeat(np.arange(n, dtype=np.uint32) << 16, np.frombuffer(raw, "<u4", n)) | np.frombuffer(raw, "<u2", offset=4 * n)
+
+
+def fit_ftrl(rows: list[bytes], labels: np.ndarray, bits: int = BITS, alpha: float = 1.0, beta: float = 1.0, l1: float = 12.0, l2: float = 1.0, epochs: int = 4) -> tuple[np.ndarray, np.ndarray, float]:
+    """Buckets with a weight, their weights, and the bias. Rows (as packed() makes them) are visited in the order given, each epoch."""
     z, n = np.zeros(1 << bits), np.zeros(1 << bits)
     bias, bias_n = 0.0, 0.0
 
@@ -72,7 +83,8 @@ def fit_ftrl(rows: list[np.ndarray], labels: np.ndarray, bits: int = BITS, alpha
         return np.where(np.abs(zi) <= l1, 0.0, -(zi - np.sign(zi) * l1) / ((beta + np.sqrt(n[i])) / alpha + l2))
 
     for _ in range(epochs):
-        for i, y in zip(rows, labels, strict=True):
+        for raw, y in zip(rows, labels, strict=True):
+            i = unpacked(raw, bits)
             w = weights(i)
             g = 1 / (1 + np.exp(-np.clip(w.sum() + bias, -35, 35))) - y
             sigma = (np.sqrt(n[i] + g * g) - np.sqrt(n[i])) / alpha
@@ -120,11 +132,14 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", max_rows: int
         for pdf in batches:
             texts = pdf["text"].tolist()
             for s in by_chars(texts):
-                yield pdf.iloc[s].drop(columns="text").assign(buckets=[x.tobytes() for x in distinct_features(texts[s])])
-
-    rows = labelled_sample(docs, labels, label, max_rows).mapInPandas(run, "h long, doc_id long, y int, buckets binary").toPandas()
-    rows = rows.sort_values(["h", "doc_id", "buckets"]).head(2 * max_rows)  # repeated ids at most double the sample
-    return fit_ftrl([np.frombuffer(b, np.uint32) for b in rows["buckets"]], rows["y"].to_numpy(np.float64))
+                yield pdf.iloc[s].drop(columns="text").assign(buckets=[packed(x) for x in distinct_features(texts[s])])
+
+    sample = materialize(labelled_sample(docs, labels, label, max_rows).mapInPandas(run, "h long, doc_id long, y int, buckets binary"))
+    if sample.count() > 2 * max_rows:  # repeated ids at most double the sample
+        sample = materialize(sample.orderBy("h", "doc_id", "buckets").limit(2 * max_rows))
+    # a part after the other, so that the driver holds each row once
+    rows = sorted((r["h"], r["doc_id"], bytes(r["buckets"]), r["y"]) for r in sample.coalesce(8).toLocalIterator())
+    return fit_ftrl([r[2] for r in rows], np.array([r[3] for r in rows], np.float64))
 
 
 def score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray, float], extra: list[str] | None = None) -> DataFrame:
