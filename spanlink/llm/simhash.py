@@ -25,12 +25,14 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spanlink.llm.common import materialize, table
+from spanlink.llm.common import broadcast_if_small, materialize, table
 from spanlink.llm.graph import components
 
 RADIUS = 2
 SHINGLE = 3
 SEED = 42
+#: Ids, 8 bytes each, beyond which a side is shuffled instead of broadcast.
+BROADCAST_IDS = 1_000_000
 
 
 def hashes(text: str | None, width: int = SHINGLE) -> np.ndarray:
@@ -107,13 +109,20 @@ def near_duplicates(docs: DataFrame, width: int = SHINGLE, prints: DataFrame | N
 
 
 def one_of_each(docs: DataFrame, width: int = SHINGLE) -> DataFrame:
-    """The rows of `docs` that name their component: of each component one row, that with the least doc_id."""
+    """The rows of `docs` that name their component: of each component one row, that with the least doc_id.
+
+    Ids that one row has are looked up; only rows of repeated ids are brought together, to keep one.
+    """
     own = F.struct(*[F.col(c) for c in docs.columns]).alias("row")
     rows = docs.select(own).withColumn("doc_id", F.col("row.doc_id").cast("long"))
     prints = materialize(fingerprints(docs, width=width))
-    found = materialize(near_duplicates(docs, prints=prints).groupBy("component_id").agg(F.min(F.struct("doc_id", "fp")).alias("k")).select("k.doc_id").distinct())
-    kept = rows.join(found.withColumnRenamed("doc_id", "kept_id"), F.col("doc_id").eqNullSafe(F.col("kept_id")))
-    return kept.dropDuplicates(["doc_id"]).select("row.*")
+    found = near_duplicates(docs, prints=prints).groupBy("component_id").agg(F.min(F.struct("doc_id", "fp")).alias("k")).select(F.col("k.doc_id").alias("kept_id")).distinct()
+    counts = prints.groupBy("doc_id").agg(F.count("*").alias("n"))
+    found = materialize(found.join(counts, F.col("kept_id").eqNullSafe(F.col("doc_id"))).select("kept_id", "n"))
+    same = F.col("doc_id").eqNullSafe(F.col("kept_id"))
+    single = rows.join(broadcast_if_small(found.where("n = 1").select("kept_id"), BROADCAST_IDS), same, "left_semi")
+    several = rows.join(broadcast_if_small(found.where("n > 1").select("kept_id"), BROADCAST_IDS), same, "left_semi").dropDuplicates(["doc_id"])
+    return single.unionByName(several).select("row.*")
 
 
 def op9_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,7 +6,9 @@ chance of about 0.8^k, so with 32 parts and more some part nearly always is: the
 falls quickly above (0.001 at 0.9). A document smaller by up to a fifth is dealt for both of the sizes that its partner may have.
 
 A part that many documents share gives each of them two candidates, the least and the greatest id there, so pairs are linear in
-the rows however large a group is. Candidates are verified by exact similarity and linked.
+the rows however large a group is. Candidates are verified by exact similarity and linked, in two rounds: first each document with the
+candidate that it has most parts in common with, then the pairs whose documents these links haven't brought together yet. So the
+sets that are moved follow the documents, not the pairs, and the groups are those of all pairs.
 
 Defined cases: null and empty texts have no shingles and are kept; a text of 1 to 4 words is one shingle; doc_id must name a row (null
 ids are kept, repeated ones judged together); an empty table gives an empty result.
@@ -21,9 +23,9 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spanlink.llm.common import materialize
+from spanlink.llm.common import broadcast_if_small, materialize
 from spanlink.llm.graph import components
-from spanlink.llm.simhash import hashes
+from spanlink.llm.simhash import BROADCAST_IDS, hashes
 
 WIDTH, SIMILARITY = 5, 0.8
 LEAST_PARTS, PART = 32, 8
@@ -59,11 +61,25 @@ def parts(docs: DataFrame) -> DataFrame:
 
 
 def candidate_pairs(posted: DataFrame) -> DataFrame:
-    """(a, b) of documents with a part in common, two for each document and part at most."""
+    """(a, b, n) of documents with n parts in common, two pairs for each document and part at most."""
     keys = ["level", "part", "h"]
     shared = materialize(posted.groupBy(*keys).agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least <> most"))
     met = posted.join(shared, keys).select("doc_id", F.explode(F.array("least", "most")).alias("other")).where("doc_id <> other")
-    return met.select(F.least("doc_id", "other").alias("a"), F.greatest("doc_id", "other").alias("b")).distinct()
+    return met.select(F.least("doc_id", "other").alias("a"), F.greatest("doc_id", "other").alias("b")).groupBy("a", "b").agg(F.count("*").alias("n"))
+
+
+def closest(pairs: DataFrame) -> DataFrame:
+    """(a, b): each document's pair with most parts in common, the least partner of several; at most a pair per document."""
+    both = pairs.select(F.col("a").alias("x"), F.col("b").alias("y"), "n").unionByName(pairs.select(F.col("b").alias("x"), F.col("a").alias("y"), "n"))
+    best = both.groupBy("x").agg(F.max(F.struct("n", (-F.col("y")).alias("back"))).alias("k")).select("x", (-F.col("k.back")).alias("y"))
+    return best.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+
+
+def apart(pairs: DataFrame, found: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose documents are in different components of (node, component)."""
+    of = lambda c: found.select(F.col("node").alias(c), F.col("component").alias(f"of_{c}"))
+    met = pairs.select("a", "b").join(of("a"), "a", "left").join(of("b"), "b", "left")
+    return met.where(F.coalesce("of_a", "a") != F.coalesce("of_b", "b")).select("a", "b")
 
 
 def verified(pairs: DataFrame, docs: DataFrame, at_least: float) -> DataFrame:
@@ -82,8 +98,8 @@ def verified(pairs: DataFrame, docs: DataFrame, at_least: float) -> DataFrame:
                 keep.append(both >= at_least * (len(x) + len(y) - both))
             yield pdf.loc[keep, ["a", "b"]]
 
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    own = docs.select(F.col("doc_id").cast("long"), "text").join(ids, "doc_id", "left_semi")
+    ids = materialize(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct())
+    own = docs.select(F.col("doc_id").cast("long"), "text").join(broadcast_if_small(ids, BROADCAST_IDS), "doc_id", "left_semi")
     known = materialize(own.mapInPandas(sets, "doc_id long, s binary"))
     met = pairs.join(known.select(F.col("doc_id").alias("a"), F.col("s").alias("s_a")), "a").join(known.select(F.col("doc_id").alias("b"), F.col("s").alias("s_b")), "b")
     return met.mapInPandas(compare, "a long, b long")
@@ -92,6 +108,8 @@ def verified(pairs: DataFrame, docs: DataFrame, at_least: float) -> DataFrame:
 def without_similar(docs: DataFrame, at_least: float = SIMILARITY) -> DataFrame:
     """The rows of `docs` but those that links lead from to a smaller doc_id."""
     pairs = materialize(candidate_pairs(materialize(parts(docs))))
-    found = materialize(components(verified(pairs, docs, at_least)))
-    gone = found.where("node <> component").select(F.col("node").alias("gone_id"))
+    first = materialize(verified(materialize(closest(pairs)), docs, at_least))
+    rest = materialize(apart(pairs, materialize(components(first))))
+    found = materialize(components(first.unionByName(verified(rest, docs, at_least))))
+    gone = broadcast_if_small(found.where("node <> component").select(F.col("node").alias("gone_id")), BROADCAST_IDS)
     return docs.join(gone, F.col("doc_id") == F.col("gone_id"), "left_anti")
