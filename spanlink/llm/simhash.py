@@ -108,6 +108,13 @@ def near_duplicates(docs: DataFrame, width: int = SHINGLE, prints: DataFrame | N
     return prints.join(label, "fp").select(*[c for c in prints.columns if c != "fp"], "fp", "component_id")
 
 
+def keyed(docs: DataFrame) -> DataFrame:
+    """(row, doc_id, text, k1, k2): each row, and a key of 128 bits of all that it holds, null or not; only equal rows share one."""
+    columns = [F.col(c) for c in docs.columns]
+    key = lambda seed: F.xxhash64(F.lit(seed), *[c.isNull() for c in columns], *columns)
+    return docs.select(F.struct(*columns).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text", key(1).alias("k1"), key(2).alias("k2"))
+
+
 def one_of_each(docs: DataFrame, width: int = SHINGLE) -> DataFrame:
     """The rows of `docs` that name their component: of each component one row, that with the least doc_id.
 

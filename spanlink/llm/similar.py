@@ -1,17 +1,21 @@
 """Near duplicates by five-word shingles: what a SimHash radius of 2 bits is too narrow for.
 
-A document's different shingles are dealt into parts by their hashes, about 8 to 16 to a part and at least 32 parts; two
-documents that have a part in common, shingle for shingle, are a candidate pair. At similarity 0.8 a part of k shingles is common with a
-chance of about 0.8^k, so with 32 parts and more some part nearly always is: the chance to miss a pair is below 0.1 at 0.8 itself, and
-falls quickly above (0.001 at 0.9). A document smaller by up to a fifth is dealt for both of the sizes that its partner may have.
-
-A part that many documents share gives each of them two candidates, the least and the greatest id there, so pairs are linear in
-the rows however large a group is. Candidates are verified by exact similarity and linked, in two rounds: first each document with the
-candidate that it has most parts in common with, then the pairs whose documents these links haven't brought together yet. So the
-sets that are moved follow the documents, not the pairs, and the groups are those of all pairs.
-
-Defined cases: null and empty texts have no shingles and are kept; a text of 1 to 4 words is one shingle; doc_id must name a row (null
-ids are kept, repeated ones judged together); an empty table gives an empty result.
+An exact set-similarity join by prefixes. All shingles have one order, those found often in a sample of the documents last, the others by
+hash; the order decides the cost only, any gives the same pairs. Two sets of similarity 0.8 have a shingle in common within the first
+fifth (and one) of each, so documents that share a shingle there are all candidates there are. Of those, the sizes must allow 0.8, and so
+must the number of shingles that the prefixes have in common: what a set holds beyond its prefix is all that can be added to it. The
+rest are compared shingle for shingle. No pair is missed, at 0.8 or above.
+
+Links are found in two rounds, so that large groups don't need all of their pairs. First each set is compared with the one that it shares
+most prefix shingles with, out of the least and the greatest of each shingle's sets. Then the candidates are all pairs of sets in
+different components of these links: pairs within a component can't change it, so the groups are those of all pairs. The rows of
+that round are linear in a component's size and grow with the pairs between components only; a shingle of many sets of which none
+are similar costs all of their pairs, unless the sample has put it last.
+
+Sets are named by XXH64 of their hashes; equal sets are one node.
+
+Defined cases: null and empty texts have no shingles and are kept; a text of 1 to 4 words is one shingle; null ids are kept; rows of one
+doc_id are judged each for itself, rows equal in all columns together; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -20,15 +24,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+import xxhash
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from spanlink.llm.common import broadcast_if_small, materialize
 from spanlink.llm.graph import components
-from spanlink.llm.simhash import BROADCAST_IDS, hashes
+from spanlink.llm.simhash import BROADCAST_IDS, SEED, hashes, keyed
 
 WIDTH, SIMILARITY = 5, 0.8
-LEAST_PARTS, PART = 32, 8
+#: A shingle goes last if this many documents of a sample, one of SAMPLE, have it; of more than MAX_OFTEN the most frequent.
+SAMPLE, OFTEN, MAX_OFTEN = 8, 4, 500_000
+#: In the first round, pairs with a smaller share of their shingles in common within the prefixes wait for the second.
+PROMISING = 0.05
+EPS = 1e-9
 
 
 def shingle_set(text: str | None) -> np.ndarray:
@@ -36,58 +45,89 @@ def shingle_set(text: str | None) -> np.ndarray:
 
 
 def levels(n: int) -> list[int]:
-    """Numbers of parts that a set of n is dealt into, as powers of two: for its own size and for one larger by a fourth."""
-    return sorted({max(LEAST_PARTS.bit_length() - 1, int(np.log2(max(1, m / PART)))) for m in (n, n / SIMILARITY)})
+    """Size classes of a set of n and of one larger by a fourth. The join doesn't need them any more; their test does."""
+    return sorted({max(5, int(np.log2(max(1, m / 8)))) for m in (n, n / SIMILARITY)})
 
 
-def parts(docs: DataFrame) -> DataFrame:
-    """(doc_id, level, part, h): a row per part of each document, h the sum of its mixed hashes."""
+def prefix_length(n: int, at_least: float) -> int:
+    """Of n shingles in order, how many must be looked at to meet every set that is similar enough."""
+    return n - int(np.ceil(at_least * n - EPS)) + 1
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            out = []
-            for doc_id, text in zip(pdf["doc_id"], pdf["text"], strict=True):
-                s = shingle_set(text)
-                for level in levels(len(s)) if len(s) else ():
-                    # hashes are in order, so parts by their leading bits lie together
-                    part = (s >> np.uint64(64 - level)).astype(np.int64)
-                    first = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
-                    h = np.add.reduceat(s * np.uint64(0x9E3779B97F4A7C15) ^ (s >> np.uint64(29)), first)
-                    out.append(pd.DataFrame({"doc_id": doc_id, "level": level, "part": part[first], "h": h.view(np.int64)}))
-            if out:
-                yield pd.concat(out)
-
-    return docs.where("doc_id is not null").select(F.col("doc_id").cast("long"), "text").mapInPandas(run, "doc_id long, level int, part long, h long")
-
-
-def candidate_pairs(posted: DataFrame) -> DataFrame:
-    """(a, b, n) of documents with n parts in common, two pairs for each document and part at most."""
-    keys = ["level", "part", "h"]
-    shared = materialize(posted.groupBy(*keys).agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least <> most"))
-    met = posted.join(shared, keys).select("doc_id", F.explode(F.array("least", "most")).alias("other")).where("doc_id <> other")
-    return met.select(F.least("doc_id", "other").alias("a"), F.greatest("doc_id", "other").alias("b")).groupBy("a", "b").agg(F.count("*").alias("n"))
 
+def often(docs: DataFrame) -> np.ndarray:
+    """The hashes, in order, of shingles that many documents have, judged by a sample."""
 
-def closest(pairs: DataFrame) -> DataFrame:
-    """(a, b): each document's pair with most parts in common, the least partner of several; at most a pair per document."""
-    both = pairs.select(F.col("a").alias("x"), F.col("b").alias("y"), "n").unionByName(pairs.select(F.col("b").alias("x"), F.col("a").alias("y"), "n"))
-    best = both.groupBy("x").agg(F.max(F.struct("n", (-F.col("y")).alias("back"))).alias("k")).select("x", (-F.col("k.back")).alias("y"))
-    return best.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            sets = [shingle_set(t) for t in pdf["text"]]
+            if sets:
+                yield pd.DataFrame({"h": np.concatenate(sets).view(np.int64)})
 
+    some = docs.where(F.pmod(F.col("k1"), F.lit(SAMPLE)) == 0).select("text").mapInPandas(run, "h long")
+    most = some.groupBy("h").agg(F.count("*").alias("n")).where(F.col("n") >= OFTEN).orderBy(F.desc("n"), "h").limit(MAX_OFTEN)
+    return np.sort(most.select("h").toPandas()["h"].to_numpy(np.int64).view(np.uint64))
 
-def apart(pairs: DataFrame, found: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose documents are in different components of (node, component)."""
-    of = lambda c: found.select(F.col("node").alias(c), F.col("component").alias(f"of_{c}"))
-    met = pairs.select("a", "b").join(of("a"), "a", "left").join(of("b"), "b", "left")
-    return met.where(F.coalesce("of_a", "a") != F.coalesce("of_b", "b")).select("a", "b")
 
+def prefixes(docs: DataFrame, last: np.ndarray, at_least: float) -> DataFrame:
+    """(doc_id, k1, k2, node, n, prefix) of rows with shingles: the set's name, size and first shingles in order."""
 
-def verified(pairs: DataFrame, docs: DataFrame, at_least: float) -> DataFrame:
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            node, n, prefix = [], [], []
+            for text in pdf["text"]:
+                s = shingle_set(text)
+                node.append(xxhash.xxh64_intdigest(s.tobytes(), SEED))
+                n.append(len(s))
+                if len(last) and len(s):
+                    common = last[np.minimum(np.searchsorted(last, s), len(last) - 1)] == s
+                    first = np.concatenate([s[~common], s[common]])
+                else:
+                    first = s
+                prefix.append(first[: prefix_length(len(s), at_least)].view(np.int64))
+            out = pdf.drop(columns="text").assign(node=np.array(node, np.uint64).view(np.int64), n=n, prefix=prefix)
+            yield out[out["n"] > 0]
+
+    return docs.where("doc_id is not null").select("doc_id", "k1", "k2", "text").mapInPandas(run, "doc_id long, k1 long, k2 long, node long, n int, prefix array<long>")
+
+
+def shared(rows: DataFrame) -> DataFrame:
+    """(h, node, n, least, most): the sets of each prefix shingle that several have."""
+    of = Window.partitionBy("h")
+    posted = rows.select("node", "n", F.explode("prefix").alias("h"))
+    return posted.withColumn("least", F.min("node").over(of)).withColumn("most", F.max("node").over(of)).where("least <> most").distinct()
+
+
+def closest(met: DataFrame) -> DataFrame:
+    """(a, b): each set's pair with most shingles in common, out of the least and greatest of each shingle, if these are many."""
+    pairs = met.select("node", "n", F.explode(F.array("least", "most")).alias("other")).where("node <> other").groupBy("node", "other").agg(F.max("n").alias("n"), F.count("*").alias("c"))
+    best = pairs.where(F.col("c") >= PROMISING * F.col("n")).groupBy("node").agg(F.max(F.struct("c", "other")).alias("k"))
+    return best.select(F.least("node", "k.other").alias("a"), F.greatest("node", "k.other").alias("b")).distinct()
+
+
+def apart(met: DataFrame, found: DataFrame, at_least: float) -> DataFrame:
+    """All pairs (a, b) of sets in different components of (node, component) that may be similar by sizes and prefixes."""
+    labelled = met.join(found, "node", "left").select("h", "node", "n", F.coalesce("component", "node").alias("of"))
+    sizes = labelled.groupBy("h", "of").agg(F.count("*").alias("size"))
+    lists = sizes.groupBy("h").agg(F.max(F.struct("size", "of")).alias("k"), F.count("*").alias("kinds")).where("kinds > 1").select("h", F.col("k.of").alias("main"))
+    open_ = materialize(labelled.join(lists, "h"))
+    # of a pair in two components one at least is outside the shingle's main one
+    x = open_.where("of <> main").select("h", F.col("node").alias("x"), F.col("n").alias("n_x"), F.col("of").alias("of_x"))
+    y = open_.select("h", F.col("node").alias("y"), F.col("n").alias("n_y"), F.col("of").alias("of_y"), "main")
+    fits = F.least("n_x", "n_y") >= at_least * F.greatest("n_x", "n_y") - EPS
+    met = x.join(y, "h").where((F.col("of_x") != F.col("of_y")) & ((F.col("of_y") == F.col("main")) | (F.col("x") < F.col("y"))) & fits)
+    pairs = met.select(*[F.when(F.col("x") < F.col("y"), F.col(p)).otherwise(F.col(q)).alias(c) for p, q, c in (("x", "y", "a"), ("y", "x", "b"))], (F.col("n_x") + F.col("n_y")).alias("both"), F.greatest("n_x", "n_y").alias("larger"))
+    counted = pairs.groupBy("a", "b").agg(F.first("both").alias("both"), F.first("larger").alias("larger"), F.count("*").alias("c"))
+    # prefixes leave ceil(at_least * n) - 1 shingles out
+    most = F.col("c") + F.ceil(at_least * F.col("larger") - EPS) - 1
+    return counted.where(most >= at_least / (1 + at_least) * F.col("both") - EPS).select("a", "b")
+
+
+def verified(pairs: DataFrame, rows: DataFrame, docs: DataFrame, at_least: float) -> DataFrame:
     """The pairs whose sets of shingles are similar enough."""
 
     def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            yield pd.DataFrame({"doc_id": pdf["doc_id"], "s": [shingle_set(t).tobytes() for t in pdf["text"]]})
+            yield pd.DataFrame({"node": pdf["node"], "s": [shingle_set(t).tobytes() for t in pdf["text"]]})
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -98,18 +138,24 @@ def verified(pairs: DataFrame, docs: DataFrame, at_least: float) -> DataFrame:
                 keep.append(both >= at_least * (len(x) + len(y) - both))
             yield pdf.loc[keep, ["a", "b"]]
 
-    ids = materialize(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct())
-    own = docs.select(F.col("doc_id").cast("long"), "text").join(broadcast_if_small(ids, BROADCAST_IDS), "doc_id", "left_semi")
-    known = materialize(own.mapInPandas(sets, "doc_id long, s binary"))
-    met = pairs.join(known.select(F.col("doc_id").alias("a"), F.col("s").alias("s_a")), "a").join(known.select(F.col("doc_id").alias("b"), F.col("s").alias("s_b")), "b")
+    pairs = materialize(pairs)
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    one = rows.join(wanted, "node", "left_semi").groupBy("node").agg(F.min(F.struct("k1", "k2")).alias("k")).select("node", "k.k1", "k.k2")
+    own = docs.select("k1", "k2", "text").join(broadcast_if_small(materialize(one), BROADCAST_IDS), ["k1", "k2"])
+    known = materialize(own.select("node", "text").mapInPandas(sets, "node long, s binary"))
+    met = pairs.join(known.select(F.col("node").alias("a"), F.col("s").alias("s_a")), "a").join(known.select(F.col("node").alias("b"), F.col("s").alias("s_b")), "b")
     return met.mapInPandas(compare, "a long, b long")
 
 
 def without_similar(docs: DataFrame, at_least: float = SIMILARITY) -> DataFrame:
-    """The rows of `docs` but those that links lead from to a smaller doc_id."""
-    pairs = materialize(candidate_pairs(materialize(parts(docs))))
-    first = materialize(verified(materialize(closest(pairs)), docs, at_least))
-    rest = materialize(apart(pairs, materialize(components(first))))
-    found = materialize(components(first.unionByName(verified(rest, docs, at_least))))
-    gone = broadcast_if_small(found.where("node <> component").select(F.col("node").alias("gone_id")), BROADCAST_IDS)
-    return docs.join(gone, F.col("doc_id") == F.col("gone_id"), "left_anti")
+    """The rows of `docs` but those that links lead from to a smaller doc_id, or to the lesser row key of the same one."""
+    docs = keyed(docs)
+    rows = materialize(prefixes(docs, often(docs), at_least))
+    met = materialize(shared(rows))
+    first = materialize(verified(closest(met), rows, docs, at_least))
+    rest = verified(apart(met, materialize(components(first)), at_least), rows, docs, at_least)
+    found = materialize(components(first.unionByName(rest)))
+    named = rows.join(found, "node", "left").select(F.coalesce("component", "node").alias("of"), F.struct("doc_id", "k1", "k2").alias("k"))
+    least = named.groupBy("of").agg(F.min("k").alias("least"), F.max("k").alias("most")).where("least <> most").select("of", "least")
+    gone = materialize(named.join(least, "of").where("k <> least").select(F.col("k.k1").alias("k1"), F.col("k.k2").alias("k2")).distinct())
+    return docs.join(broadcast_if_small(gone, BROADCAST_IDS), ["k1", "k2"], "left_anti").select("row.*")

@@ -39,3 +39,38 @@ def test_levels_cover_partners():
     for n in range(1, 3000, 7):
         for m in range(n, int(n / 0.8) + 1, 11):
             assert set(similar.levels(n)) & set(similar.levels(m)[:1])
+
+
+def _kept(sets):
+    """The least of each component of all pairs, by brute force."""
+    least = {d: d for d in sets}
+
+    def root(d):
+        while least[d] != d:
+            d = least[d]
+        return d
+
+    for a in sets:
+        for b in sets:
+            if a < b and sets[a] and 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b]):
+                x, y = sorted((root(a), root(b)))
+                least[y] = x
+    return {d for d in sets if root(d) == d}
+
+
+def _left(spark, docs):
+    return sorted(r["doc_id"] for r in similar.without_similar(spark.createDataFrame(docs, "doc_id long, text string")).collect())
+
+
+def test_middle_members_of_a_large_group_are_compared(spark):
+    rng = random.Random(11)
+    base = [f"w{rng.randrange(10**6)}" for _ in range(404)]
+    docs = []
+    for d in range(300):
+        words = list(base)
+        for p in rng.sample(range(5, 399), rng.randrange(3, 7)):
+            words[p] = f"e{d}x{p}"
+        docs.append((d, " ".join(words)))
+    rng.shuffle(docs)
+    want = _kept({d: _set(t) for d, t in docs})
+    assert _left(spark, docs) == sorted(want) == [0]
