@@ -74,3 +74,32 @@ def test_middle_members_of_a_large_group_are_compared(spark):
     rng.shuffle(docs)
     want = _kept({d: _set(t) for d, t in docs})
     assert _left(spark, docs) == sorted(want) == [0]
+
+
+def test_no_pair_just_above_the_threshold_is_missed(spark):
+    rng = random.Random(12)
+    word = lambda: f"v{rng.randrange(10**7)}"
+    shared = [word() for _ in range(30)]
+    docs = []
+    for k in range(150):
+        n = rng.choice([5, 8, 30, 130, 250, 409, 511])
+        words = [word() for _ in range(n + 4)]
+        if k % 3 == 0:
+            words[:2] = shared[: len(words) // 2]
+        other = list(words)
+        if k % 2:
+            other += [word() for _ in range(n // 4)]  # similarity of 0.8 or a little more
+        else:
+            for p in range(2, 2 + int(5 * n / 9 / 5 * 0.98) // 5 * 5, 5):
+                other[p] = word()  # spoils up to five shingles each: 0.80 to 0.85 for most sizes
+        docs += [(2 * k, " ".join(words)), (2 * k + 1, " ".join(other))]
+    sets = {d: _set(t) for d, t in docs}
+    near = [len(sets[d] & sets[d + 1]) / len(sets[d] | sets[d + 1]) for d in range(0, 300, 2)]
+    assert sum(0.8 <= x <= 0.85 for x in near) >= 50
+    assert _left(spark, docs) == sorted(_kept(sets))
+
+
+def test_rows_of_one_id_are_judged_each_for_itself(spark):
+    text = " ".join(f"a{k}" for k in range(50))
+    df = spark.createDataFrame([(1, text), (7, text), (7, "quite another text altogether of seven words")], "doc_id long, text string")
+    assert sorted((r[0], r[1][:5]) for r in similar.without_similar(df).collect()) == [(1, "a0 a1"), (7, "quite")]
