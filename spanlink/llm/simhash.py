@@ -5,14 +5,14 @@ whose mask keeps the positions p with an odd <vector(p), v>. Positions where two
 of them, span less than the space, so some v is orthogonal to all of them: in that table the differing bits are all
 masked out and the pair collides. No pair within the radius is missed.
 
-Work is on distinct fingerprints, each named by its least doc_id. A bucket's fingerprints differ only in masked-out bits; for
+Work is on distinct fingerprints. A bucket's fingerprints differ only in masked-out bits; for
 radius 2 each is posted under itself and each variant with one of those bits flipped. Fingerprints that meet under a variant are
 within 2 bits of each other, and all that are within 2 bits meet, so linking each to the least of its meeting place gives
 exactly the links' components in rows linear in the bucket, however large it is.
 
 Defined cases: null or empty text has fingerprint 0 and is linked like any other; copies and repeated rows share a
-fingerprint; a null doc_id gets a fingerprint and never names a component unless all members are null; an empty table gives an empty
-result.
+fingerprint; a null doc_id gets a fingerprint and links like any other, but never names a component unless all members are null; rows
+are told apart by their contents, so null and repeated ids lose no text; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -97,15 +97,18 @@ def links(nodes: DataFrame) -> DataFrame:
     return spread.join(stars, "variant").where("node <> b").select(F.col("node").alias("a"), "b").distinct()
 
 
+def labels(prints: DataFrame) -> DataFrame:
+    """(fp, group, component_id) per distinct fp: the least fp, and the least doc_id if any, of all that chains of links within RADIUS bits reach."""
+    nodes = materialize(prints.groupBy("fp").agg(F.min("doc_id").alias("least")))
+    found = materialize(components(links(nodes.select("fp", F.col("fp").alias("node")))))
+    label = nodes.join(found, F.col("fp") == F.col("node"), "left").select("fp", F.coalesce("component", "fp").alias("group"), "least")
+    return label.join(label.groupBy("group").agg(F.min("least").alias("component_id")), "group").select("fp", "group", "component_id")
+
+
 def near_duplicates(docs: DataFrame, width: int = SHINGLE, prints: DataFrame | None = None) -> DataFrame:
     """(doc_id, fp, component_id) per row: the least doc_id of all that chains of links within RADIUS bits reach."""
     prints = materialize(fingerprints(docs, width=width)) if prints is None else prints
-    # where no member has an id the group is named by null
-    nodes = materialize(prints.groupBy("fp").agg(F.min("doc_id").alias("node")))
-    named = nodes.where("node is not null")
-    found = materialize(components(links(named)))
-    label = nodes.join(found, "node", "left").select("fp", F.coalesce("component", "node").alias("component_id"))
-    return prints.join(label, "fp").select(*[c for c in prints.columns if c != "fp"], "fp", "component_id")
+    return prints.join(labels(prints), "fp").select(*[c for c in prints.columns if c != "fp"], "fp", "component_id")
 
 
 def keyed(docs: DataFrame) -> DataFrame:
@@ -116,19 +119,17 @@ def keyed(docs: DataFrame) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame, width: int = SHINGLE) -> DataFrame:
-    """The rows of `docs` that name their component: of each component one row, that with the least doc_id.
+    """Of each component one row of `docs`: that with the least doc_id (rows without one last), of several the least row key.
 
-    Ids that one row has are looked up; only rows of repeated ids are brought together, to keep one.
+    Keys that one row has are looked up; only equal rows are brought together, to keep one.
     """
-    own = F.struct(*[F.col(c) for c in docs.columns]).alias("row")
-    rows = docs.select(own).withColumn("doc_id", F.col("row.doc_id").cast("long"))
-    prints = materialize(fingerprints(docs, width=width))
-    found = near_duplicates(docs, prints=prints).groupBy("component_id").agg(F.min(F.struct("doc_id", "fp")).alias("k")).select(F.col("k.doc_id").alias("kept_id")).distinct()
-    counts = prints.groupBy("doc_id").agg(F.count("*").alias("n"))
-    found = materialize(found.join(counts, F.col("kept_id").eqNullSafe(F.col("doc_id"))).select("kept_id", "n"))
-    same = F.col("doc_id").eqNullSafe(F.col("kept_id"))
-    single = rows.join(broadcast_if_small(found.where("n = 1").select("kept_id"), BROADCAST_IDS), same, "left_semi")
-    several = rows.join(broadcast_if_small(found.where("n > 1").select("kept_id"), BROADCAST_IDS), same, "left_semi").dropDuplicates(["doc_id"])
+    rows, key = keyed(docs), ["k1", "k2"]
+    prints = materialize(fingerprints(rows, key, width))
+    grouped = prints.join(labels(prints).select("fp", "group"), "fp")
+    found = grouped.groupBy("group").agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", *key)).alias("k")).select("k.k1", "k.k2")
+    found = materialize(found.join(prints.groupBy(*key).agg(F.count("*").alias("n")), key))
+    single = rows.join(broadcast_if_small(found.where("n = 1").select(*key), BROADCAST_IDS), key, "left_semi")
+    several = rows.join(broadcast_if_small(found.where("n > 1").select(*key), BROADCAST_IDS), key, "left_semi").dropDuplicates(key)
     return single.unionByName(several).select("row.*")
 
 
