@@ -4,8 +4,8 @@ Base kinds are matched leftmost and non-overlapping per kind over whole texts: `
 matches (split) and matches (extract) alternate, so running lengths give positions in code points.
 
 Parts of credentials that mean little alone are candidates: `weak_id` (account-like names), `weak_secret` (random-looking
-strings), `endpoint` (addresses of services). Every part is posted by its scope bucket, SCOPE code points wide, and candidates meet
-the parts of their own and neighbouring buckets in an equi-join cut down to gaps of at most SCOPE. A weak identifier is
+strings with a digit and a letter), `endpoint` (addresses of services), each of any length. Every part is posted by its scope buckets, SCOPE
+code points wide, and candidates meet the parts of all buckets within SCOPE in an equi-join cut down to gaps of at most SCOPE. A weak identifier is
 reported when a secret lies in its scope, a weak secret when an identifier does, an endpoint when both do. Candidates that overlap a base
 span are that span already. A bucket holds at most SCOPE code points' worth of parts, whatever the document's length.
 
@@ -29,10 +29,12 @@ BASE = {
     "hex": (r"[0-9a-f]{24,}", 0, 24),
 }
 WEAK = {
-    "weak_id": (r"""(?:(?<![A-Za-z0-9])(?:ASIA|AIDA|AROA|AGPA)[A-Z0-9]{12,}|(?i:client_?id|account_?id|access_?id|key_?id|user_?name|login)["']?\x20*[:=]\x20*["']?[A-Za-z0-9_.@-]{3,64})""", 0, 6),
-    "weak_secret": (r"(?<![A-Za-z0-9+/=_-])(?=[A-Za-z0-9+/_-]{0,40}[0-9])(?=[A-Za-z0-9+/_-]{0,40}[A-Za-z])[A-Za-z0-9+/_-]{28,88}={0,2}(?![A-Za-z0-9+/=_-])", 0, 28),
-    "endpoint": (r"""(?i:https?|ftp|postgres(?:ql)?|mysql|mongodb|redis|amqp|s3)://[^\s"'<>]{3,200}""", 0, 8),
+    "weak_id": (r"""(?:(?<![A-Za-z0-9])(?:ASIA|AIDA|AROA|AGPA)[A-Z0-9]{12,}|(?i:client_?id|account_?id|access_?id|key_?id|user_?name|login)["']?\x20*[:=]\x20*["']?[A-Za-z0-9_.@-]{3,}+)""", 0, 6),
+    "weak_secret": (r"(?<![A-Za-z0-9+/=_-])[A-Za-z0-9+/_-]{28,}+={0,2}+(?![A-Za-z0-9+/=_-])", 0, 28),
+    "endpoint": (r"""(?i:https?|ftp|postgres(?:ql)?|mysql|mongodb|redis|amqp|s3)://[^\s"'<>]{3,}+""", 0, 8),
 }
+#: What a value of the kind must hold besides, wherever in it.
+HOLDS = {"weak_secret": ("[0-9]", "[A-Za-z]")}
 KINDS = [*BASE, *WEAK]
 _SPAN = "array<struct<start:int,kind_no:int,end:int,kind:string>>"
 
@@ -49,7 +51,10 @@ def spans_of(text: Column, kind: str, pattern: str, group: int, least: int) -> C
         start = acc["at"] + F.length(x["gap"])
         end = start + F.length(x["hit"])
         span = F.struct(start.alias("start"), F.lit(KINDS.index(kind)).alias("kind_no"), end.alias("end"), F.lit(kind).alias("kind"))
-        kept = F.when(F.length(x["value"]) >= least, F.array_append(acc["spans"], span)).otherwise(acc["spans"])
+        counts = F.length(x["value"]) >= least
+        for held in HOLDS.get(kind, ()):
+            counts = counts & x["value"].rlike(held)
+        kept = F.when(counts, F.array_append(acc["spans"], span)).otherwise(acc["spans"])
         return F.struct(end.alias("at"), kept.alias("spans"))
 
     found = F.aggregate(steps, F.struct(F.lit(0).alias("at"), none.alias("spans")), step, lambda acc: acc["spans"])
@@ -72,10 +77,11 @@ def linked(scanned: DataFrame) -> DataFrame:
     role = F.when(F.col("kind").isin("access", "weak_id"), "identifier").when(F.col("kind") == "endpoint", "endpoint").otherwise("secret")
     some = scanned.where(F.size("weak") > 0)
     parts = some.select("row", F.explode(F.concat("base", "weak")).alias("s")).select("row", "s", F.col("s.kind").alias("kind"), F.col("s.start").alias("start"), F.col("s.end").alias("end")).withColumn("role", role)
-    # a part is posted in every bucket that it touches, a candidate asks those and their neighbours
+    # a part is posted in every bucket that it touches, a candidate asks all that a part within SCOPE may touch
     first, last = F.floor(F.col("start") / SCOPE), F.floor((F.col("end") - 1) / SCOPE)
+    from_, to = F.floor((F.col("start") - SCOPE - 1) / SCOPE), F.floor((F.col("end") + SCOPE) / SCOPE)
     posted = parts.where("role <> 'endpoint'").select("row", F.explode(F.sequence(first, last)).alias("bucket"), F.col("role").alias("near"), F.col("start").alias("p_start"), F.col("end").alias("p_end"))
-    asking = parts.where(F.col("kind").isin(*WEAK)).select("row", F.explode(F.sequence(first - 1, last + 1)).alias("bucket"), "role", "s")
+    asking = parts.where(F.col("kind").isin(*WEAK)).select("row", F.explode(F.sequence(from_, to)).alias("bucket"), "role", "s")
     near = asking.join(posted, ["row", "bucket"]).where((F.col("p_start") - F.col("s.end") <= SCOPE) & (F.col("s.start") - F.col("p_end") <= SCOPE))
     seen = near.groupBy("row", "role", "s").agg(F.max(F.col("near") == "identifier").alias("identifier"), F.max(F.col("near") == "secret").alias("secret"))
     role = F.col("role")

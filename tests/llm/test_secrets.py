@@ -45,3 +45,21 @@ def test_query_digest(spark, tmp_path):
         want = brute(TEXTS[r["doc_id"]])
         assert r["base_sha256"] == hashlib.sha256(want.encode()).hexdigest()
         assert [r["n_assign"], r["n_access"], r["n_hex"]] == [sum(s.startswith(k) for s in want.split(",")) for k in PATTERNS]
+
+
+def test_weak_parts_of_any_length_and_gaps_of_exactly_the_scope(spark):
+    long_token, letters = "github_pat_" + "aB" * 40 + "9_", "x" * 60
+    name = "user_name: " + "n" * 100
+    url = "https://h/" + "p" * 300
+    first = f"{name} {long_token} {letters} {url}"
+    secret = "Zm9vYmFyMTIzNDU2Nzg5MGFiY2RlZmdoaWo2"
+    at_edge = " " * (600 - len(secret)) + secret + " " * secrets.SCOPE + "login: bob9"
+    before = "login: bob9".rjust(600) + " " * secrets.SCOPE + secret
+    beyond = " " * (600 - len(secret)) + secret + " " * (secrets.SCOPE + 1) + "login: bob9"
+    docs = spark.createDataFrame(list(enumerate([first, at_edge, before, beyond])), "doc_id long, text string")
+    got = {r[0]: r[1] for r in secrets.find_secrets(docs).select("doc_id", secrets.joined(secrets.F.col("spans"))).collect()}
+    at = [first.index(x) for x in (name, long_token, url)]
+    assert got[0] == ",".join(f"{k}:{a}:{a + len(x)}" for k, a, x in zip(("weak_id", "weak_secret", "endpoint"), at, (name, long_token, url), strict=True))
+    assert got[1] == f"weak_secret:{600 - len(secret)}:600,weak_id:900:911"
+    assert got[2] == f"weak_id:589:600,weak_secret:900:{900 + len(secret)}"
+    assert got[3] == ""
