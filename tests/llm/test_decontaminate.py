@@ -58,3 +58,24 @@ def test_blocks_cover_the_radius():
     for _ in range(300):
         diff = sum(1 << p for p in rng.sample(range(64), decontaminate.RADIUS))
         assert any(not diff & m for m in masks)
+
+
+def test_pairs_just_above_the_limit(spark):
+    """Copies with words changed until the similarity is 0.80 to 0.85: none may be lost to the radius."""
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(5))
+    items = [(k, " ".join(word() for _ in range(60 + k))) for k in range(30)]
+    docs = []
+    for k, text in items:
+        for _ in range(4):
+            words = text.split()
+            at = rng.randrange(2)
+            while brute([(0, " ".join(words))], [(k, text)], 0.8).get((0, k), 0) >= 0.85:
+                kept = words[at]
+                words[at] = word()
+                if not brute([(0, " ".join(words))], [(k, text)], 0.8):
+                    words[at] = kept
+                at = (at + 1) % len(words)
+            docs.append((len(docs), " ".join([word() for _ in range(rng.randrange(30))] + words)))
+    got = {(r["doc_id"], r["item_id"]): r["similarity"] for r in decontaminate.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert got == brute(docs, items) and len(got) == len(docs) and min(got.values()) < 0.83
