@@ -16,7 +16,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 def shared_dir(spark: SparkSession) -> str:
     """A new folder that the driver and all executors see, inside spark.checkpoint.dir.
 
-    Where that setting is absent (tests in one process) a local folder is set once for the session.
+    Where that setting is absent a local folder is set once for the session, in one process only; on a cluster it must be there.
     The folders hold intermediate tables and archives; their owner may expire them after the result is written.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
@@ -24,6 +24,8 @@ def shared_dir(spark: SparkSession) -> str:
         jvm_dir = spark.sparkContext._jsc.sc().getCheckpointDir()
         if jvm_dir.isDefined():
             root = jvm_dir.get()
+        elif not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all machines share")
         else:
             root = "file://" + tempfile.mkdtemp(prefix="spanlink-")
             spark.sparkContext.setCheckpointDir(root)

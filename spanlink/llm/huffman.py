@@ -72,7 +72,7 @@ def encode(ids: np.ndarray, lengths: np.ndarray, codes: np.ndarray) -> tuple[byt
     word, n = at >> 5, (int(end[-1]) + 31) // 32 + 1 if len(ids) else 1
     # lanes of one word hold different bits, so their sum, exact below 2**53, is their union
     words = np.bincount(word, (lane >> np.uint64(32)).astype(np.float64), n) + np.bincount(word + 1, (lane & np.uint64(0xFFFFFFFF)).astype(np.float64), n)
-    return words.astype(">u4").tobytes(), at[::BLOCK].astype(np.uint32)
+    return words.astype(">u4").tobytes(), at[::BLOCK].astype(np.uint64)
 
 
 def decode(bits: bytes, checkpoints: np.ndarray, n: int, table: np.ndarray) -> np.ndarray:

@@ -1,12 +1,12 @@
 """Mixing sources to target weights by hash thresholds.
 
-Every document gets a 24-bit cell from the MD5 of its id. Sizes are summed by source and coarse bucket (the cell's top
+Every document gets a 24-bit cell from the MD5 of its id and text. Sizes are summed by source and coarse bucket (the cell's top
 12 bits); each source's budget is nested in that histogram, so a running sum finds the one bucket where it ends, and
 only that bucket is summed again by single cells. The result is a threshold per source, and choosing documents is a
 filter on the cell: nothing is sorted, and a larger budget always keeps what a smaller one kept.
 
-Defined cases: null text has size 0; a null source is a source of its own, last in order; null ids share one cell;
-repeated rows each count and share one decision; an empty table gives an empty result.
+Defined cases: null text has size 0; a null source is a source of its own, last in order; rows with null or repeated ids have cells by
+their texts; rows of equal id and text each count and share one decision; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -24,9 +24,10 @@ FINE_BITS = 12
 BROADCAST_SOURCES = 100_000
 
 
-def cell(doc_id: Column) -> Column:
-    """24 bits of the MD5 of the id's decimal text."""
-    return F.conv(F.substring(F.md5(F.coalesce(doc_id.cast("string"), F.lit(""))), 1, 6), 16, 10).cast("int")
+def cell(doc_id: Column, text: Column) -> Column:
+    """24 bits of the MD5 of the id's decimal text and the text's MD5."""
+    key = F.concat_ws(":", F.coalesce(doc_id.cast("string"), F.lit("")), F.md5(F.coalesce(text, F.lit(""))))
+    return F.conv(F.substring(F.md5(key), 1, 6), 16, 10).cast("int")
 
 
 def source_targets(sizes: DataFrame, weights: Sequence[int], max_repeat: int) -> DataFrame:
@@ -50,7 +51,7 @@ def source_targets(sizes: DataFrame, weights: Sequence[int], max_repeat: int) ->
 
 
 def sizes(docs: DataFrame) -> DataFrame:
-    return docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), cell(F.col("doc_id")).alias("cell"))
+    return docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), cell(F.col("doc_id"), F.col("text")).alias("cell"))
 
 
 def mix_rule(sized: DataFrame, weights: Sequence[int] = (1, 2, 3), max_repeat: int = 3) -> DataFrame:
@@ -103,7 +104,7 @@ def mix_sources(docs: DataFrame, weights: Sequence[int] = (1, 2, 3), max_repeat:
 def mixed(docs: DataFrame, weights: Sequence[int] = (1, 2, 3), max_repeat: int = 3) -> DataFrame:
     """The mix itself: the rows of `docs`, each as often as it is taken."""
     rule = mix_rule(materialize(sizes(docs)), weights, max_repeat)
-    out = with_copies(docs.select(F.struct("*").alias("d")), rule, cell(F.col("d.doc_id")))
+    out = with_copies(docs.select(F.struct("*").alias("d")), rule, cell(F.col("d.doc_id"), F.col("d.text")))
     return out.where("copies > 0").select("d", F.explode(F.sequence(F.lit(1), "copies"))).select("d.*")
 
 
@@ -114,7 +115,7 @@ def op3_source_mixing(spark, sf_dir: str) -> DataFrame:
 OP3_SQL = r"""
 WITH d AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
-         ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 6))::INTEGER AS cell
+         ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '') || ':' || md5(coalesce(text, ''))), 1, 6))::INTEGER AS cell
   FROM documents),
 s AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
 w AS (SELECT *, 1 + (row_number() OVER (ORDER BY source COLLATE "binary" NULLS LAST) - 1) % 3 AS weight, 3 * source_size AS cap FROM s),

@@ -9,13 +9,14 @@ double precision. The query set meets the index block by block; what leaves a bl
 Equal vectors are indexed once, as a class with its least ids: K + 1 of them are all that any answer can need. Pivots are at most
 PIVOTS vectors, lowest hash first, so their broadcast is bounded; every vector is indexed.
 
-Defined cases: vectors that are null, zero, or hold null or non-finite components take no part; nor do lengths other than the most
-frequent one; a null vec_id takes no part; repeated rows of an id count as one; fewer candidates than K give fewer rows; an empty table gives
-an empty result.
+Defined cases: vectors that are null, zero, or hold null or non-finite components take no part; a cosine is defined among vectors of one
+length, so each length is a table of its own; a null vec_id takes no part; of several rows of an id that vector counts which hashes
+lowest; fewer candidates than K give fewer rows; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -42,7 +43,8 @@ def classes(vectors: DataFrame) -> DataFrame:
     v = vectors.select(F.col("vec_id").cast("long"), F.col("embedding").cast("array<double>").alias("vector")).where("vec_id is not null").where(usable(F.col("vector")))
     v = v.withColumn("vector", F.transform("vector", lambda x: x + F.lit(0.0)))  # no negative zero
     v = v.withColumn("key", F.concat_ws(":", F.size("vector"), F.hex(F.xxhash64("vector")), F.hex(F.hash("vector"))))
-    return v.dropDuplicates(["vec_id"])
+    one = F.min(F.struct(F.col("key"), F.col("vector"))).alias("v")
+    return v.groupBy("vec_id").agg(one).select("vec_id", "v.vector", "v.key")
 
 
 def nearest_pivots(x: np.ndarray, pivots: np.ndarray, prefix: int) -> np.ndarray:
@@ -125,12 +127,14 @@ def search(index: DataFrame, queries: DataFrame, pivots: np.ndarray, prefix: int
 
 def nearest(vectors: DataFrame, is_query: Column, k: int = K) -> DataFrame:
     """(query_id, rank, vec_id, score) for the rows of (vec_id, embedding) that is_query picks, against all others."""
-    spark = vectors.sparkSession
     rows = materialize(classes(vectors))
-    lengths = rows.groupBy(F.size("vector").alias("d")).count().orderBy(F.desc("count"), "d").limit(1).collect()
-    if not lengths:
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    rows = rows.where(F.size("vector") == lengths[0]["d"])
+    lengths = sorted(r["d"] for r in rows.select(F.size("vector").alias("d")).distinct().collect())
+    found = [_nearest(rows.where(F.size("vector") == d), is_query, k) for d in lengths]
+    return functools.reduce(DataFrame.unionByName, found, vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double"))
+
+
+def _nearest(rows: DataFrame, is_query: Column, k: int) -> DataFrame:
+    """nearest() for the classes of one length."""
     # row_number() <= k + 1 is cut before the shuffle, so a very common vector moves little
     least = Window.partitionBy("key").orderBy("vec_id")
     members = materialize(rows.select("key", "vec_id", "vector").withColumn("r", F.row_number().over(least)).where(F.col("r") <= k + 1))

@@ -164,8 +164,8 @@ def _matrix(xs) -> np.ndarray:
 def fit(features: DataFrame, labels: DataFrame, label: str = "quality", max_rows: int = MAX_FIT_ROWS) -> Network:
     known = labels.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max(label).alias("y")).where("y is not null")
     picked = known.select("doc_id", "y", F.xxhash64(F.col("doc_id").cast("string")).alias("h")).orderBy("h", "doc_id").limit(max_rows)
-    rows = features.join(F.broadcast(picked), "doc_id").select("h", "doc_id", "y", "x").toPandas()
-    rows = rows.sort_values(["h", "doc_id", "x"]).head(2 * max_rows)  # repeated ids at most double the sample
+    rows = features.join(F.broadcast(picked), "doc_id").select("h", "doc_id", "y", "x")
+    rows = rows.orderBy("h", "doc_id", "x").limit(2 * max_rows).toPandas()  # repeated ids at most double the sample
     return Network(_matrix(rows["x"]), rows["y"].to_numpy(np.float64))
 
 

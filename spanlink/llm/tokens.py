@@ -3,7 +3,7 @@
 Whole texts are encoded once into a table of ids. Global counts of ids (a table no longer than the vocabulary) give one
 code for all files. The ids are dealt by ranges of doc_id and each range becomes a file of self-contained segments, so
 memory is bounded by a segment whatever the range holds. File: MAGIC, then the code lengths (deflated), then segments of
-header, doc_ids, counts, block checkpoints, bits; integers are little-endian.
+header, doc_ids, counts, block checkpoints, bits; integers are little-endian. A segment's first documents may have no id; the header says how many.
 
 Defined cases: null text is empty, that is the end id alone; a null doc_id sorts first; repeated rows are written as
 often as they occur; an empty table gives no files and an empty result.
@@ -32,13 +32,14 @@ from spanlink.llm.toxicity import by_chars
 
 MAGIC = b"SLHUF1\n"
 END_ID = 2
+#: Of a segment: documents, those without an id, ids, checkpoints, bytes of code, checksum.
+_HEAD = struct.Struct("<IIQIQI")
 #: Ids in a segment, about; a longer document is a segment of its own.
 SEGMENT = 1 << 20
 #: Ids in a file, about.
 FILE_TOKENS = 8 << 20
 #: Characters handed to the tokenizer at once, or one longer text.
 BATCH_CHARS = 1 << 20
-_NULL_ID = -(1 << 63)
 
 
 def default_tokenizer() -> str:
@@ -142,20 +143,20 @@ def id_counts(ids: DataFrame, kind: str) -> np.ndarray:
     return counts
 
 
-def _segments(batches: Iterator[pd.DataFrame], kind: str) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    docs: list = []
+def _segments(batches: Iterator[pd.DataFrame], kind: str) -> Iterator[tuple[list[int | None], np.ndarray, np.ndarray]]:
+    docs: list[int | None] = []
     parts: list = []
     held, width = 0, int(kind[-1])
     for pdf in batches:
         for doc_id, raw in zip(pdf["doc_id"], pdf["ids"], strict=True):
             if held and held + len(raw) // width > SEGMENT:
-                yield np.array(docs, "<i8"), np.array([len(x) // width for x in parts], "<u4"), np.frombuffer(b"".join(parts), kind)
+                yield docs, np.array([len(x) // width for x in parts], "<u4"), np.frombuffer(b"".join(parts), kind)
                 docs, parts, held = [], [], 0
-            docs.append(_NULL_ID if pd.isna(doc_id) else int(doc_id))
+            docs.append(None if pd.isna(doc_id) else int(doc_id))
             parts.append(raw)
             held += len(raw) // width
     if docs:
-        yield np.array(docs, "<i8"), np.array([len(x) // width for x in parts], "<u4"), np.frombuffer(b"".join(parts), kind)
+        yield docs, np.array([len(x) // width for x in parts], "<u4"), np.frombuffer(b"".join(parts), kind)
 
 
 def write_archive(ids: DataFrame, kind: str, folder: str, files: int, lengths: np.ndarray) -> DataFrame:
@@ -177,32 +178,34 @@ def write_archive(ids: DataFrame, kind: str, folder: str, files: int, lengths: n
                 total += _write_segment(out, docs, counts, flat, lengths, codes)
         yield pd.DataFrame({"file": [k], "path": [path], "n_tokens": [total]})
 
-    ranged = ids.repartitionByRange(files, F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "ids")
+    # rows of one id, or of none, and even equal rows may make up several files
+    order = [F.col("doc_id").asc_nulls_first(), F.col("own"), F.col("k")]
+    ranged = ids.select("doc_id", "ids", F.xxhash64("ids").alias("own"), F.monotonically_increasing_id().alias("k")).repartitionByRange(files, *order).sortWithinPartitions(*order)
     return materialize(ranged.select("doc_id", "ids").mapInPandas(write, "file int, path string, n_tokens long"))
 
 
-def _write_segment(out, docs: np.ndarray, counts: np.ndarray, flat: np.ndarray, lengths: np.ndarray, codes: np.ndarray) -> int:
+def _write_segment(out, docs: list[int | None], counts: np.ndarray, flat: np.ndarray, lengths: np.ndarray, codes: np.ndarray) -> int:
     bits, checkpoints = huffman.encode(flat, lengths, codes)
-    body = docs.tobytes() + counts.tobytes() + checkpoints.astype("<u4").tobytes() + bits
-    out.write(struct.pack("<IQIQI", len(docs), len(flat), len(checkpoints), len(bits), zlib.crc32(body)) + body)
+    body = np.array([d or 0 for d in docs], "<i8").tobytes() + counts.tobytes() + checkpoints.astype("<u8").tobytes() + bits
+    out.write(_HEAD.pack(len(docs), docs.count(None), len(flat), len(checkpoints), len(bits), zlib.crc32(body)) + body)
     return len(flat)
 
 
-def read_file(path: str) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+def read_file(path: str) -> Iterator[tuple[list[int | None], np.ndarray, np.ndarray]]:
     """Segments of a file, as (doc_ids, counts, ids)."""
     with reading(path) as f:
         if f.read(len(MAGIC)) != MAGIC:
             raise ValueError(f"{path}: not an archive of ids")
         n, size = struct.unpack("<II", f.read(8))
         codes = huffman.decode_table(np.frombuffer(zlib.decompress(f.read(size)), np.uint8, n))
-        while head := f.read(28):
-            n_docs, n_ids, n_points, n_bits, crc = struct.unpack("<IQIQI", head)
-            body = f.read(12 * n_docs + 4 * n_points + n_bits)
+        while head := f.read(_HEAD.size):
+            n_docs, n_none, n_ids, n_points, n_bits, crc = _HEAD.unpack(head)
+            body = f.read(12 * n_docs + 8 * n_points + n_bits)
             if zlib.crc32(body) != crc:
                 raise ValueError(f"{path}: a damaged segment")
             docs, counts = np.frombuffer(body, "<i8", n_docs), np.frombuffer(body, "<u4", n_docs, 8 * n_docs)
-            points = np.frombuffer(body, "<u4", n_points, 12 * n_docs)
-            yield docs, counts, huffman.decode(body[12 * n_docs + 4 * n_points :], points, n_ids, codes)
+            points = np.frombuffer(body, "<u8", n_points, 12 * n_docs)
+            yield [None] * n_none + docs[n_none:].tolist(), counts, huffman.decode(body[12 * n_docs + 8 * n_points :], points, n_ids, codes)
 
 
 def read_archive(written: DataFrame) -> DataFrame:
@@ -215,7 +218,7 @@ def read_archive(written: DataFrame) -> DataFrame:
                     ends = np.cumsum(counts, dtype=np.int64)
                     starts = ends - counts
                     raw = flat.astype("<u4").tobytes()
-                    yield pd.DataFrame({"doc_id": pd.array([None if x == _NULL_ID else x for x in docs.tolist()], "Int64"), "start": base + starts, "n_tokens": counts.astype(np.int64), "ids": [raw[4 * a : 4 * b] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]})
+                    yield pd.DataFrame({"doc_id": pd.array(docs, "Int64"), "start": base + starts, "n_tokens": counts.astype(np.int64), "ids": [raw[4 * a : 4 * b] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]})
                     base += len(flat)
 
     before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)  # one row per file

@@ -1,12 +1,15 @@
 """WARC archives of pages, and a salvage reader.
 
 Writing: every record is a gzip member of its own. Payloads of MIN_REVISIT bytes or more that occur again are stored once, in the
-response with the largest page_id; the others are revisit records that name it. Groups are counted on digests before any payload
-moves, and payloads meet that table in one join whose other side has a row per repeated digest.
+response with the largest page_id; the others are revisit records that name it. Groups are counted on digests, without payloads. The
+table of repeated digests is broadcast when its rows have been counted, so payloads don't move; a longer one meets them in a join
+that adaptive execution can split, as it has one row per digest.
 
 Reading: a record counts when its member inflates with a right checksum, its header parses, its lengths fit and its digests
-agree. Otherwise the reader looks for the next member or version line after the failed start, tries there, and so on; the bytes
-between the last good record and the next are logged as a gap. Members and bare records may alternate in a file.
+agree, as far as they are of a known kind (SHA-1, SHA-256, MD5, in hex or base32). Otherwise the reader looks for the next member or version
+line after the failed start, tries there, and so on; the bytes between the last good record and the next are logged as a gap.
+Members and bare records may alternate in a file, and a record may have any length that the rest of the file has room for. A
+member is inflated no further than its header says.
 
 Defined cases: null html is an empty payload; a null url is an empty target; a null page_id is written as such and comes
 back as null; rows with the same page_id and payload are the same record written twice and both responses when that id is the
@@ -15,6 +18,7 @@ largest; an empty table gives no archives and an empty result.
 
 from __future__ import annotations
 
+import base64
 import hashlib
 import re
 import zlib
@@ -27,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spanlink.llm.common import materialize, shared_dir, table
+from spanlink.llm.common import broadcast_if_small, materialize, shared_dir, table
 from spanlink.llm.files import reading, replacing
 
 MIN_REVISIT = 1000
@@ -37,9 +41,12 @@ FILE_BYTES = 64 << 20
 DATE = "1970-01-01T00:00:00Z"
 _HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
-#: A header or an inflated record beyond these is damage.
-MAX_HEADER, MAX_RECORD = 1 << 16, 1 << 28
+#: A longer header is damage.
+MAX_HEADER = 1 << 20
+#: Repeated digests, 28 bytes each, beyond which their table is shuffled instead of broadcast.
+BROADCAST_DIGESTS = 500_000
 _CHUNK = 1 << 18
+_KINDS = {"sha1": "sha1", "sha256": "sha256", "md5": "md5"}
 _START = re.compile(rb"\x1f\x8b\x08|WARC/1\.")
 
 
@@ -119,10 +126,19 @@ def _header(raw: bytes) -> tuple[dict[str, str], int]:
     return headers, end + 4
 
 
+def _agrees(said: str | None, data: bytes) -> bool:
+    """Whether a labelled digest is that of the data; one of an unknown kind says nothing."""
+    label, _, value = (said or "").partition(":")
+    kind = _KINDS.get(label.strip().lower().replace("-", ""))
+    if not kind:
+        return True
+    own = hashlib.new(kind, data).digest()
+    return value.strip().lower() == own.hex() or value.strip().upper().rstrip("=") == base64.b32encode(own).decode().rstrip("=")
+
+
 def _checked(headers: dict[str, str], block: bytes) -> bytes | None:
     """The payload, None for a revisit; digests must agree."""
-    said = headers.get("warc-block-digest")
-    if said and said != f"sha1:{hashlib.sha1(block).hexdigest()}":
+    if not _agrees(headers.get("warc-block-digest"), block):
         raise Damaged("block digest")
     if headers.get("warc-type") != "response":
         return None
@@ -131,8 +147,7 @@ def _checked(headers: dict[str, str], block: bytes) -> bytes | None:
         _, blank, payload = block.partition(b"\r\n\r\n")
         if not blank:
             raise Damaged("an endless HTTP header")
-    said = headers.get("warc-payload-digest")
-    if said and said != f"sha1:{hashlib.sha1(payload).hexdigest()}":
+    if not _agrees(headers.get("warc-payload-digest"), payload):
         raise Damaged("payload digest")
     return payload
 
@@ -141,31 +156,32 @@ def _bare(w: _Window) -> tuple[dict[str, str], bytes | None, int]:
     w.fill(MAX_HEADER)
     headers, start = _header(bytes(w.buf[:MAX_HEADER]))
     end = start + int(headers["content-length"])
-    if end - start > MAX_RECORD or w.fill(end + 4) < end + 4 or w.buf[end : end + 4] != b"\r\n\r\n":
+    if w.fill(end + 4) < end + 4 or w.buf[end : end + 4] != b"\r\n\r\n":
         raise Damaged("the record doesn't end where its length says")
     return headers, _checked(headers, bytes(w.buf[start:end])), end + 4
 
 
 def _member(w: _Window) -> tuple[dict[str, str], bytes | None, int]:
-    z, out, size, at = zlib.decompressobj(31), [], 0, 0
+    z, raw, at, end = zlib.decompressobj(31), bytearray(), 0, None
     while not z.eof:
-        if w.fill(at + 1) <= at:
-            raise Damaged("a truncated member")
-        piece = bytes(w.buf[at : at + _CHUNK])
-        at += len(piece)
+        piece = z.unconsumed_tail
+        if not piece:
+            if w.fill(at + 1) <= at:
+                raise Damaged("a truncated member")
+            piece = bytes(w.buf[at : at + _CHUNK])
+            at += len(piece)
         try:
-            out.append(z.decompress(piece))
+            raw += z.decompress(piece, _CHUNK << 4)
         except zlib.error as e:
             raise Damaged(f"member: {e}") from None
-        size += len(out[-1])
-        if size > MAX_RECORD:
-            raise Damaged("a member without end")
-    raw = b"".join(out)
-    headers, start = _header(raw)
-    end = start + int(headers["content-length"])
-    if raw[end:] != b"\r\n\r\n":
+        if end is None and (len(raw) >= MAX_HEADER or z.eof or b"\r\n\r\n" in raw):
+            headers, start = _header(bytes(raw[:MAX_HEADER]))
+            end = start + int(headers["content-length"])
+        if end is not None and len(raw) > end + 4:
+            break
+    if end is None or raw[end:] != b"\r\n\r\n":
         raise Damaged("the record doesn't end where its length says")
-    return headers, _checked(headers, raw[start:end]), at - len(z.unused_data)
+    return headers, _checked(headers, bytes(raw[start:end])), at - len(z.unused_data)
 
 
 def salvage(stream) -> Iterator[Found]:
@@ -199,10 +215,11 @@ def salvage(stream) -> Iterator[Found]:
 def with_revisits(pages: DataFrame) -> DataFrame:
     """(page_id, url, html, refers_to) from (page_id, url, html)."""
     html = F.coalesce("html", F.lit(""))
-    base = pages.select(F.col("page_id").cast("long"), "url", html.alias("html"), F.sha1(html).alias("digest"), (F.octet_length(html) >= MIN_REVISIT).alias("large"))
+    base = pages.select(F.col("page_id").cast("long"), "url", html.alias("html"), F.unhex(F.sha1(html)).alias("digest"), (F.octet_length(html) >= MIN_REVISIT).alias("large"))
     again = base.where("large").groupBy("digest").agg(F.max("page_id").alias("kept"), F.count("*").alias("n")).where("n > 1 and kept is not null")
+    again = broadcast_if_small(materialize(again.select("digest", "kept")), BROADCAST_DIGESTS)
     refers_to = F.when(F.col("large") & ~F.col("page_id").eqNullSafe(F.col("kept")), F.col("kept"))
-    return base.join(again.select("digest", "kept"), "digest", "left").select("page_id", "url", "html", refers_to.alias("refers_to"))
+    return base.join(again, "digest", "left").select("page_id", "url", "html", refers_to.alias("refers_to"))
 
 
 def write_archives(pages: DataFrame, folder: str) -> DataFrame:
@@ -232,7 +249,7 @@ def _id(urn: str | None) -> int | None:
 
 
 def read_archives(files: DataFrame, payloads: bool = True) -> DataFrame:
-    """Records and gaps of the files in column `path`.
+    """Records and gaps of the files in column `path`. A task reads one file at a time and holds one record of it.
 
     Columns: path, offset, length, reason (gaps only), page_id, record_type, payload_bytes, payload_digest, refers_to, and html
     unless payloads is False. Sizes and digests are those of the payload read; a revisit has them in its header.
@@ -256,7 +273,7 @@ def read_archives(files: DataFrame, payloads: bool = True) -> DataFrame:
                             held.append((path, f.offset, f.length, f.reason, None, None, None, None, None, None))
                             continue
                         h, p = f.headers, f.payload
-                        n, digest = (len(p), hashlib.sha1(p).hexdigest()) if p is not None else (int(h.get("x-payload-length", 0)), h.get("warc-payload-digest", "").removeprefix("sha1:"))
+                        n, digest = (len(p), hashlib.sha1(p).hexdigest()) if p is not None else (int(h.get("x-payload-length", 0)), h.get("warc-payload-digest", "").rpartition(":")[2])
                         held.append((path, f.offset, f.length, None, _id(h.get("warc-record-id")), h.get("warc-type"), n, digest, _id(h.get("warc-refers-to")), p.decode("utf-8", "replace") if payloads and p is not None else None))
                         size += f.length
                         if len(held) >= 1000 or size >= 8 << 20:
@@ -271,7 +288,9 @@ def read_archives(files: DataFrame, payloads: bool = True) -> DataFrame:
 def op1_warc_salvage(spark: SparkSession, sf_dir: str) -> DataFrame:
     archives = write_archives(table(spark, sf_dir, "pages"), shared_dir(spark))
     found = read_archives(archives, payloads=False)
-    return found.where("reason is null").select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    # these archives are fresh: a gap is an error, not something to leave out
+    sound = F.when(F.col("reason").isNotNull(), F.raise_error(F.concat_ws(" ", F.lit("a gap in"), "path", F.lit("at"), "offset", "reason"))).otherwise(F.col("record_type"))
+    return found.select("page_id", "payload_bytes", "payload_digest", sound.alias("record_type"), "refers_to")
 
 
 OP1_SQL = """

@@ -49,5 +49,27 @@ def test_every_byte_is_in_a_record_or_a_gap():
         assert at == len(data)
 
 
+def test_digests_of_other_kinds_and_spellings():
+    raw = warc.record(1, "http://x/", b"A" * 300)
+    own = warc.hashlib.sha1(b"A" * 300)
+    hexed, base32 = own.hexdigest().encode(), warc.base64.b32encode(own.digest())
+    for said in (base32, base32.lower(), hexed.upper()):
+        (found,) = warc.salvage(io.BytesIO(warc.member(raw.replace(b"Payload-Digest: sha1:" + hexed, b"Payload-Digest: sha1:" + said))))
+        assert found.reason is None and found.payload == b"A" * 300
+    for said, fine in ((b"sha256:" + warc.hashlib.sha256(b"A" * 300).hexdigest().encode(), True), (b"sha256:00", False), (b"blake9:00", True), (b"sha1:" + hexed[::-1], False)):
+        (found,) = warc.salvage(io.BytesIO(warc.member(raw.replace(b"Payload-Digest: sha1:" + hexed, b"Payload-Digest: " + said))))
+        assert (found.reason is None) == fine
+
+
+def test_long_records_and_members_that_inflate_without_end():
+    long = warc.record(1, "http://x/", b"A" * (300 << 20))
+    for pack in (warc.member, bytes):
+        found = list(warc.salvage(io.BytesIO(pack(long) + pack(_records(1)[0]))))
+        assert _ids(found) == [1, 0] and len(found[0].payload) == 300 << 20
+    bomb = warc.member(_records(1)[0] + b"\0" * (64 << 20))
+    found = list(warc.salvage(io.BytesIO(bomb + warc.member(_records()[3]))))
+    assert _ids(found) == [3] and found[0].length == len(bomb)
+
+
 def test_empty_stream():
     assert list(warc.salvage(io.BytesIO(b""))) == []
