@@ -14,6 +14,10 @@ FINALS = {"ך": "כ", "ם": "מ", "ן": "נ", "ף": "פ", "ץ": "צ"}
 IRREGULAR = {"טו": 15, "טז": 16}
 
 
+#: A hundred below 400, a ten, a one, at least one of them; fifteen and sixteen as above.
+CANONICAL = f"^(?=.)[{HUNDREDS[:3]}]?(?:{'|'.join(IRREGULAR)}|(?!{TENS[0]}[{ONES[4:6]}])[{TENS}]?[{ONES}]?)$"
+
+
 def spelled(n: int) -> str:
     """The usual spelling of 1 to 399."""
     hundreds = HUNDREDS[n // 100 - 1] if n >= 100 else ""
@@ -32,19 +36,22 @@ def _letters(token: Column) -> Column:
 
 
 def numeral(token: Column) -> Column:
-    """Value of 1 to 3 letters that don't ascend (15 and 16 apart), null for anything else."""
-    letters = _letters(token)
+    """Value of 1 to 3 letters that don't ascend, null for anything else."""
     table = F.create_map(*[x for c, v in letter_values().items() for x in (F.lit(c), F.lit(v))])
-    values = F.transform(F.array_remove(F.split(letters, ""), ""), lambda c: F.element_at(table, c))
-    descends = F.forall(F.sequence(F.lit(1), F.greatest(F.size(values) - 1, F.lit(1))), lambda k: F.coalesce(F.get(values, k - 1) >= F.get(values, k), F.lit(True)))
-    total = F.aggregate(values, F.lit(0), lambda a, v: a + v)
-    whole = (F.size(values) >= 1) & (F.size(values) <= 3) & F.forall(values, lambda v: v.isNotNull())
-    return F.when(whole & (descends | F.substring(letters, -2, 2).isin(*IRREGULAR)), total)
+
+    def value(values: Column) -> Column:
+        descends = F.forall(F.sequence(F.lit(1), F.greatest(F.size(values) - 1, F.lit(1))), lambda k: F.coalesce(F.get(values, k - 1) >= F.get(values, k), F.lit(True)))
+        whole = F.size(values).between(1, 3) & F.forall(values, lambda v: v.isNotNull())
+        return F.when(whole & descends, F.aggregate(values, F.lit(0), lambda a, v: a + v))
+
+    # the values are named once, by a lambda, or each use would read the letters again
+    values = F.transform(F.array_remove(F.split(_letters(token), ""), ""), lambda c: F.element_at(table, c))
+    return F.get(F.transform(F.array(values), lambda v: value(v)), 0)
 
 
 def is_canonical_numeral(token: Column) -> Column:
     """Whether it is spelled just as its value, below 400, usually is."""
-    return F.coalesce(_letters(token).isin(*[spelled(n) for n in range(1, 400)]), F.lit(False))
+    return F.coalesce(_letters(token).rlike(CANONICAL), F.lit(False))
 
 
 def amud(daf: Column, side: Column) -> Column:

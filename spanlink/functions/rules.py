@@ -8,8 +8,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from spanlink.functions.numerals import amud, numeral, page_addresses, relative_side, side_of
-from spanlink.functions.text import QUOTED_TAG, plain_quotes, without_vowels
+from spanlink.functions.addresses import readings, side_after, spelled_addresses
+from spanlink.functions.numerals import amud, numeral, relative_side, side_of
+from spanlink.functions.text import plain_quotes, without_vowels
 
 #: Titles of tractates whose leaves can place the lines of a commentary, fixed values.
 TRACTATES = (
@@ -20,13 +21,13 @@ TRACTATES = (
 PLACED_SOURCES = ("Sefaria", "KSK")
 #: Abbreviations that are read as books though they aren't: (title, pattern of the anchor, a word that makes it one), fixed values.
 MISREAD = (
-    ("I Kings", "^[^א-ת]*מ[\"'״׳]א([^א-ת]*$|\\s+(סי|ס[\"'״׳]ק|סק))", None),
-    ("Amos", "^[^א-ת]*עמ[\"'׳]", None),
+    ("I Kings", "(?U)^\\W*מ[\"'״׳]א(?:\\W*$|\\s+(?:סי|ס[\"'״׳]ק|סק))", None),
+    ("Amos", "(?U)^\\W*עמ[\"'׳]", None),
     ("Mishnah Eruvin", "פ[\"'״׳]ק\\s+ד?עירובין", "משנה"),
 )
 #: Words that may be prose where a number of this code would stand, fixed values.
 PROSE_NUMBERS = ("לא", "כ'", 'מה"נ')
-_LEAF = "^(.+) ([0-9]+)([ab])(?:-([0-9]+)([ab]))?$"
+_LEAF = "^(.+?) ([0-9]+)([ab])(?::[0-9:]+)?(?:-([0-9]+)([ab]))?(?::|$)"
 
 
 def title_of(ref: Column) -> Column:
@@ -75,36 +76,43 @@ def _sides(ref: Column) -> Column:
 
 def address_contradicts(ref: Column, anchor: Column) -> Column:
     """Whether the anchor spells sides of leaves none of which is the target's."""
-    spelled = F.filter(F.transform(page_addresses(anchor), lambda a: amud(a["daf"], a["side"])), lambda s: s.isNotNull())
-    return ref.rlike(_LEAF) & (F.size(spelled) > 0) & ~F.arrays_overlap(spelled, _sides(ref))
+    spelled = spelled_addresses(anchor)
+    sections = F.flatten(F.transform(spelled, lambda a: F.transform(a["dafs"], lambda daf: amud(daf, a["side"]))))
+    return ref.rlike(_LEAF) & (F.size(spelled) > 0) & ~F.arrays_overlap(sections, _sides(ref))
 
 
 def spelled_ref(ref: Column, anchor: Column) -> Column:
     """The one address that the anchor spells, in the target's tractate; null if there are none or several."""
-    spelled = page_addresses(anchor)
-    section = amud(spelled[0]["daf"], spelled[0]["side"])
+    spelled = spelled_addresses(anchor)
+    section = amud(F.get(F.get(spelled, 0)["dafs"], 0), F.get(spelled, 0)["side"])
     leaf = F.concat(F.floor((section + 1) / 2).cast("string"), side_of(section))
     return F.when(ref.rlike(_LEAF) & (F.size(spelled) == 1), F.concat_ws(" ", F.regexp_extract(ref, _LEAF, 1), leaf))
 
 
-def marked_second_side(ref: Column, content: Column, end: Column) -> Column:
-    """Where a whole leaf's colon ends that makes it the second side; null without one or at the end of the line."""
-    rest = F.substring(content, end + 1, F.length(content))
-    mark = F.regexp_extract(rest, r"^(?:\s|<[^>]*>)*:", 0)
-    more = F.trim(F.regexp_replace(F.substring(rest, F.length(mark) + 1, F.length(rest)), "<[^>]*>", "")) != ""
-    return F.when(ref.rlike("^.+ [0-9]+$") & (mark != "") & more, end + F.length(mark))
+def marked_second_side(ref: Column, content: Column, start: Column, end: Column, leafed: Column) -> Column:
+    """Where a whole leaf's colon ends that makes it the second side; null without one or at the end of the line.
+
+    leafed: whether the target's book has leaves. The anchor's last word must spell the leaf, or the colon belongs to something else.
+    """
+    after = side_after(content, end)
+    more = F.trim(F.regexp_replace(F.substring(content, after["end"] + 1, F.length(content)), "<[^>]*>", "")) != ""
+    tokens = F.array_remove(F.split(F.trim(F.regexp_replace(F.substring(content, start + 1, end - start), "<[^>]*>", "")), r"\s+"), "")
+    leaf = F.regexp_extract(ref, "^.+ ([0-9]+)$", 1).try_cast("int")
+    spells = F.array_contains(readings(F.element_at(tokens, -1)), leaf)
+    return F.when(leafed & after["colon"] & more & (F.size(tokens) > 0) & spells, after["end"])
 
 
 def relative_direction(labels: Column, anchor: Column, same_book: Column, own: Column, target: Column) -> Column:
     """above or below, when a pointing citation has a number or a name and lies where it says; null drops it.
 
-    Without a name it must stay in its own book; own and target are places in the order of that book.
+    Without a name it must stay in its own book; own and target are places in the order of that book, and without an own place nothing
+    is proven.
     """
     side = relative_side(anchor)
     named = F.array_contains(labels, "NAMED")
     numbered = F.array_contains(labels, "NUMBERED") | F.array_contains(labels, "RANGE")
     placed = ~same_book | ((side == "above") & (target < own)) | ((side == "below") & (target > own))
-    return F.when(F.array_contains(labels, "RELATIVE") & (named | numbered) & (named | same_book) & placed, side)
+    return F.when(F.array_contains(labels, "RELATIVE") & own.isNotNull() & (named | numbered) & (named | same_book) & placed, side)
 
 
 def base_code_note(title: Column, anchor: Column) -> Column:
@@ -117,8 +125,3 @@ def unproven_number(title: Column, parts: Column) -> Column:
     """Whether a number of this code may as well be prose; parts: struct of label and text."""
     return F.startswith(title, F.lit("Mishneh Torah,")) & F.exists(parts, lambda p: (p["label"] == "NUMBERED") & without_vowels(plain_quotes(p["text"])).isin(*PROSE_NUMBERS))
 
-
-def quote_words(content: Column) -> Column:
-    """Hebrew words without markup, maqaf and vowels."""
-    plain = F.translate(F.regexp_replace(content, QUOTED_TAG, " "), "־", " ")
-    return F.regexp_extract_all(without_vowels(plain), F.lit("[א-ת]+"), F.lit(0))

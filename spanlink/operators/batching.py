@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -12,19 +15,31 @@ from spanlink.schemas import BOOK, LINE
 def transport_batches(lines: DataFrame, max_lines: int = 100, max_chars: int = 120_000) -> DataFrame:
     """(source, title, line_index, batch_start): greedy batches of at most so many lines and characters; a longer line is alone.
 
-    batch_start is the position, in its whole book, of the batch's first line. A book's lines are folded in one expression, as
-    every batch depends on where the one before it ended.
+    batch_start is the position, in its whole book, of the batch's first line. Every batch depends on where the one before it ended, so a
+    book's lines are streamed in order past one row of state. Only sizes are shuffled. selected (optional): lines to send.
     """
-    item = F.struct("line_index", (F.row_number().over(Window.partitionBy(*BOOK).orderBy("line_index")) - 1).alias("place"), F.length(F.coalesce("content", F.lit(""))).alias("chars"))
-    books = lines.select(*BOOK, item.alias("item"), F.coalesce("selected", F.lit(True)).alias("selected") if "selected" in lines.columns else F.lit(True).alias("selected"))
-    books = books.where("selected").groupBy(*BOOK).agg(F.array_sort(F.collect_list("item")).alias("items"))
-    fold = f"""aggregate(items,
-      named_struct('n', 0, 'chars', 0L, 'start', -1, 'out', cast(array() as array<struct<line_index:int,batch_start:int>>)),
-      (a, x) -> if(a.n > 0 and a.n < {max_lines} and a.chars + x.chars <= {max_chars},
-        named_struct('n', a.n + 1, 'chars', a.chars + x.chars, 'start', a.start, 'out', array_append(a.out, named_struct('line_index', x.line_index, 'batch_start', a.start))),
-        named_struct('n', 1, 'chars', cast(x.chars as bigint), 'start', x.place, 'out', array_append(a.out, named_struct('line_index', x.line_index, 'batch_start', x.place)))),
-      a -> a.out)"""
-    return books.select(*BOOK, F.explode(F.expr(fold)).alias("b")).select(*BOOK, "b.line_index", "b.batch_start")
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        now, n, chars, start, place = None, 0, 0, 0, -1
+        for pdf in batches:
+            starts = []
+            for source, title, size, selected in zip(pdf["source"], pdf["title"], pdf["size"], pdf["selected"], strict=True):
+                if (source, title) != now:
+                    now, n, chars, place = (source, title), 0, 0, -1
+                place += 1
+                if not selected:
+                    starts.append(-1)
+                    continue
+                if n == 0 or n >= max_lines or chars + size > max_chars:
+                    n, chars, start = 0, 0, place
+                n, chars = n + 1, chars + size
+                starts.append(start)
+            yield pdf[LINE].assign(batch_start=starts)
+
+    selected = F.coalesce("selected", F.lit(True)) if "selected" in lines.columns else F.lit(True)
+    sizes = lines.select(*LINE, F.length(F.coalesce("content", F.lit(""))).alias("size"), selected.alias("selected"))
+    ordered = sizes.repartition(*BOOK).sortWithinPartitions(*LINE)
+    return ordered.mapInPandas(run, "source string, title string, line_index int, batch_start int").where("batch_start >= 0")
 
 
 def seams(batches: DataFrame) -> DataFrame:

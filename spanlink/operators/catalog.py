@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -11,6 +11,13 @@ def existing_targets(links: DataFrame, segments: DataFrame) -> DataFrame:
     return links.join(segments.select("title", "section").distinct(), ["title", "section"], "left_semi")
 
 
+def existing_leaves(links: DataFrame, segments: DataFrame) -> DataFrame:
+    """Links (title, section, to_section) that a whole leaf implies: either side's text is enough."""
+    have = segments.select("title", F.col("section").alias("s")).distinct()
+    sides = links.select("title", "section", "to_section").distinct().withColumn("s", F.explode(F.array_distinct(F.array("section", "to_section"))))
+    return links.join(sides.join(have, ["title", "s"]).select("title", "section", "to_section").distinct(), ["title", "section", "to_section"], "left_semi")
+
+
 def existing_ranges(links: DataFrame, segments: DataFrame) -> DataFrame:
     """Links (title, section, to_section) both ends of which have text."""
     have = segments.select("title", F.col("section")).distinct()
@@ -61,12 +68,14 @@ def windows_of(words: Column, width: int) -> Column:
 def unique_quotes(quotes: DataFrame, corpus: DataFrame, width: int = 4) -> DataFrame:
     """(quote_id, target): quotes (quote_id, words) whose phrases point to one place of the corpus (target, words) only.
 
-    Only phrases that occur once in the corpus are evidence; a quote with evidence for several targets is dropped.
+    Only phrases that occur once in the corpus are evidence; a quote with evidence for several targets is dropped. Phrases meet as two
+    hashes of 64 bits; those of the corpus that no quote has go before they are counted.
     """
-    phrases = corpus.select("target", F.explode(windows_of(F.col("words"), width)).alias("w")).select("target", "w.phrase")
-    evidence = phrases.groupBy("phrase").agg(F.count("*").alias("n"), F.min("target").alias("target")).where("n = 1").select("phrase", "target")
-    asked = quotes.select("quote_id", F.explode(windows_of(F.col("words"), width)).alias("w")).select("quote_id", "w.phrase")
-    return unambiguous(asked.join(evidence, "phrase"), ["quote_id"], "target")
+    each = lambda rows, key: rows.select(key, F.explode(windows_of(F.col("words"), width)).alias("w")).select(key, F.xxhash64("w.phrase").alias("h1"), F.xxhash64(F.lit(1), "w.phrase").alias("h2"))
+    asked = each(quotes, "quote_id")
+    phrases = each(corpus, "target").join(asked.select("h1", "h2").distinct(), ["h1", "h2"], "left_semi")
+    evidence = phrases.groupBy("h1", "h2").agg(F.count("*").alias("n"), F.min("target").alias("target")).where("n = 1").select("h1", "h2", "target")
+    return unambiguous(asked.join(evidence, ["h1", "h2"]), ["quote_id"], "target")
 
 
 def direct_commentaries(bases: DataFrame, works: DataFrame, families: list[str]) -> DataFrame:
@@ -74,6 +83,3 @@ def direct_commentaries(bases: DataFrame, works: DataFrame, families: list[str])
     named = bases.select("base", F.explode(F.array(*[F.concat(F.lit(f"{f} on "), F.col("base")) for f in families])).alias("title"))
     return named.join(works, "title").where(F.array_contains("base_titles", F.col("base"))).select("base", "title")
 
-
-def first_of(rows: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
-    return rows.withColumn("_nth", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where("_nth = 1").drop("_nth")

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spanlink.functions.text import utf16_length
+from spanlink.functions.text import artifact_path, utf16_length
 from spanlink.operators.digests import content_hash
 from spanlink.schemas import BOOK, LINE
 
@@ -58,9 +58,12 @@ def duplicate_places(links: DataFrame) -> DataFrame:
     return links.groupBy(*LINE, "start", "end").agg(F.count("*").alias("n")).where("n > 1")
 
 
-def mixed_files(records: DataFrame, file: str) -> DataFrame:
-    """Files that hold records of several books."""
-    return records.groupBy(file).agg(F.count_distinct(*BOOK).alias("books")).where("books <> 1")
+def file_violations(records: DataFrame) -> DataFrame:
+    """(path, problem): files (path, source, title) that hold several books, or a book whose own path is another; paths may be absolute."""
+    own = F.endswith("path", artifact_path(F.col("source"), F.col("title")))
+    files = records.groupBy("path").agg(F.count_distinct(*BOOK).alias("books"), F.bool_and(own).alias("own"))
+    problem = F.when(F.col("books") != 1, "books").when(~F.col("own"), "path")
+    return files.withColumn("problem", problem).where("problem is not null").select("path", "problem")
 
 
 def missing(planned: DataFrame, done: DataFrame, keys: list[str]) -> DataFrame:
@@ -81,5 +84,7 @@ def entity_violations(mentions: DataFrame) -> DataFrame:
     return mentions.where(F.coalesce(bad, F.lit(True)))
 
 
-def all_unique(rows: DataFrame, keys: list[str]) -> Column:
-    return F.count("*") == F.count_distinct(*keys)
+
+def target_violations(links: DataFrame, segments: DataFrame) -> DataFrame:
+    """Records whose target isn't a known reference in its canonical spelling."""
+    return links.join(segments.select(F.col("ref").alias("target_ref")).distinct(), "target_ref", "left_anti").select(*LINE, "start", "end", "target_ref")

@@ -10,6 +10,10 @@ from spanlink.operators.digests import line_identity
 from spanlink.schemas import BOOK, LINE
 
 
+#: Lines of a bucket in joins of lines with ranges.
+WIDTH = 256
+
+
 def identified(lines: DataFrame) -> DataFrame:
     return lines.select(*LINE, line_identity(F.col("content"), F.col("context")).alias("fp"))
 
@@ -55,10 +59,13 @@ def ranges(lines: DataFrame) -> DataFrame:
 
 
 def in_ranges(lines: DataFrame, ranges: DataFrame) -> DataFrame:
-    """Lines inside a range of their book, whose ranges are gathered to one row."""
-    by_book = ranges.groupBy(*BOOK).agg(F.collect_list(F.struct("start", "end")).alias("ranges"))
-    hit = F.exists("ranges", lambda r: (F.col("line_index") >= r["start"]) & (F.col("line_index") < r["end"]))
-    return lines.join(by_book, BOOK).where(hit).select(*lines.columns)
+    """Lines inside a range of their book: an equi-join on buckets of WIDTH lines that a range touches."""
+    bucket = F.explode(F.sequence(F.floor(F.col("start") / WIDTH), F.floor((F.col("end") - 1) / WIDTH)))
+    posted = ranges.where("end > start").select(*BOOK, F.col("start").alias("r_start"), F.col("end").alias("r_end"), bucket.alias("bucket"))
+    inside = (F.col("line_index") >= F.col("r_start")) & (F.col("line_index") < F.col("r_end"))
+    found = lines.withColumn("bucket", F.floor(F.col("line_index") / WIDTH)).alias("l")
+    on = [F.col(f"l.{c}") == F.col(f"r.{c}") for c in [*BOOK, "bucket"]]
+    return found.join(posted.alias("r"), (on[0]) & on[1] & on[2] & inside, "left_semi").select(*lines.columns)
 
 
 def range_violations(ranges: DataFrame) -> DataFrame:

@@ -1,7 +1,8 @@
 """Citations with candidates to links: pick, mend, veto, check, emit; what isn't proven is dropped.
 
 Citations: source, title, line_index, pos, content, start, end (code points), parts array<struct<label,text>>, candidates
-array<string>, context string (the book's own reference or null), place long (the line's place in its book, or null).
+array<string>, context string (the book's own reference or null), place long (the line's place in its book, or null), and
+optionally context_type: CURRENT_BOOK where the book's own reference decided the candidates.
 Segments: ref, title, place, has_text.
 """
 
@@ -71,12 +72,18 @@ def picked(citations: DataFrame) -> DataFrame:
 def resolve(citations: DataFrame, segments: DataFrame) -> DataFrame:
     """LINKS of citations; see the module for both tables."""
     c = picked(citations).where(F.col("ref").isNotNull())
+    pointing = F.array_contains(F.transform("parts", lambda p: p["label"]), "RELATIVE")
+    own = F.col("context_type").eqNullSafe("CURRENT_BOOK") if "context_type" in c.columns else pointing
+    # what only the own book decides must point into it, and what points must be decided by it, alone, from a known place
+    c = c.where((pointing == own) & (~pointing | ((F.size("candidates") == 1) & F.col("context").isNotNull() & F.col("place").isNotNull())))
     c = c.withColumn("anchor", F.expr("substring(content, start + 1, end - start)")).where(~rules.is_line_marker(F.col("content"), F.col("end")))
     # an address that the anchor spells wins over another one, if it is the only one
     ref, anchor = F.col("ref"), F.col("anchor")
     c = c.withColumn("ref", F.when(rules.address_contradicts(ref, anchor), rules.spelled_ref(ref, anchor)).otherwise(ref))
     # a colon after a whole leaf means its second side, and belongs to the link
-    second = rules.marked_second_side(ref, F.col("content"), F.col("end"))
+    leafed = segments.where(F.col("ref").rlike(" [0-9]+[ab](:|$)")).select(F.col("title").alias("l_title"), F.lit(True).alias("leafed")).distinct()
+    c = c.join(leafed, rules.title_of(ref) == F.col("l_title"), "left")
+    second = rules.marked_second_side(ref, F.col("content"), F.col("start"), F.col("end"), F.coalesce("leafed", F.lit(False)))
     c = c.withColumn("second", second).withColumn("ref", F.when(F.col("second").isNotNull(), F.concat("ref", F.lit("b"))).otherwise(ref)).withColumn("end", F.coalesce("second", "end"))
     title = rules.title_of(ref)
     c = c.where(ref.isNotNull() & ~rules.implausible(ref, anchor) & ~rules.base_code_note(title, anchor) & ~rules.unproven_number(title, F.col("parts")))

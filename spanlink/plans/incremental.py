@@ -14,39 +14,62 @@ from pyspark.sql import functions as F
 
 from spanlink.functions.text import SAME_PLACE, retitled
 from spanlink.operators import checks, delta, digests
+from spanlink.plans.baseline import probes
 from spanlink.schemas import BOOK, LINE, LINKS
 
-
 Keep = Callable[[DataFrame], DataFrame]
 
 
 @dataclass
 class Plan:
-    """Tables of a run: books that changed or went, lines that keep their links, lines to compute."""
+    """Tables of a run: books that changed or went, lines that keep their links, lines to compute, books that are only probed."""
 
     changed: DataFrame
     removed: DataFrame
     pairs: DataFrame
     compute: DataFrame
+    probed: DataFrame
+
+
+@dataclass
+class Known:
+    """What the baseline knows of the prior run: books (BOOK, book_context, ibid_seams), flags (LINE, entity), and this run's batch seams (LINE)."""
 
+    books: DataFrame
+    flags: DataFrame
+    seams: DataFrame
 
-def plan(current: DataFrame, prior: DataFrame, same_engine: bool = True, context_pattern: str = SAME_PLACE, keep: Keep = lambda df: df) -> Plan:
+
+def plan(current: DataFrame, prior: DataFrame, same_engine: bool = True, context_pattern: str = SAME_PLACE, keep: Keep = lambda df: df, known: Known | None = None) -> Plan:
     """With another engine every current book is computed whole; removed books are those of the baseline in any case.
 
-    Books with lines that lean on those above are computed whole too. keep: what to do with narrow tables that several steps
-    read (ids and hashes, no texts), such as DataFrame.persist or writing them; by default they are computed again.
+    Books with lines that lean on those above are computed whole too, unless `known` proves that a look at their new lines will do:
+    those are `probed`, and if the look finds anything the caller computes them whole (handoff.escalated). keep: what to do with narrow tables
+    that several steps read (ids and hashes, no texts), such as writing them; by default they are computed again.
     """
-    now, then = keep(digests.book_digests(current)), keep(digests.book_digests(prior))
+    now, then = keep(digests.book_identities(current)), keep(digests.book_identities(prior))
     changed = digests.changed_books(now, then) if same_engine else now.select(*BOOK, "hash", F.lit(None).cast("string").alias("prior_hash"))
     lines = current.join(changed.select(*BOOK), BOOK, "left_semi")
     ids, old = keep(delta.identified(lines)), delta.identified(prior)
     if same_engine:
-        free = delta.needs_context(lines, context_pattern).where("not book_context").select(*BOOK)
-        mine = old.join(changed.select(*BOOK), BOOK, "left_semi")
-        pairs = keep(delta.reuse(ids.join(free, BOOK, "left_semi"), keep(mine)))
+        context = keep(delta.needs_context(lines, context_pattern))
+        mine = keep(old.join(changed.select(*BOOK), BOOK, "left_semi"))
+        pairs = keep(delta.reuse(ids, mine))
+        leaning = context.where("book_context").select(*BOOK)
+        probed = leaning.limit(0)
+        if known is not None:
+            probed = keep(probes(ids.join(leaning, BOOK, "left_semi"), mine.join(leaning, BOOK, "left_semi"), pairs.join(leaning, BOOK, "left_semi"), known.books, known.flags, known.seams))
+        pairs = pairs.join(leaning.join(probed, BOOK, "left_anti"), BOOK, "left_anti")
     else:
-        pairs = delta.reuse(ids, old).limit(0)
-    return Plan(changed, digests.removed_books(now, then), pairs, delta.recompute(ids, pairs))
+        pairs, probed = delta.reuse(ids, old).limit(0), changed.select(*BOOK).limit(0)
+    return Plan(changed, digests.removed_books(now, then), pairs, delta.recompute(ids, pairs), probed)
+
+
+def covered_whole(p: Plan, current: DataFrame, books: DataFrame) -> Plan:
+    """The plan with these probed books computed whole instead, as their probes found something."""
+    lines = current.join(books, BOOK, "left_semi").select(*LINE)
+    compute = p.compute.join(books, BOOK, "left_anti").unionByName(lines)
+    return Plan(p.changed, p.removed, p.pairs.join(books, BOOK, "left_anti"), compute, p.probed.join(books, BOOK, "left_anti"))
 
 
 def reused_links(links: DataFrame, pairs: DataFrame) -> DataFrame:

@@ -2,32 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spanlink.functions import numerals, rules, text
+from spanlink.functions import numerals, text
 from spanlink.operators import audit, batching, catalog, checks, delta, digests, recognize, resolve, sequence
 from spanlink.plans import incremental
-from spanlink.plans.stand_ins import CTE, DIGESTS, PAIRS, current_lines, prior_lines, read, values
+from spanlink.plans.registry import ORACLE_SQL, QUERIES, query
+from spanlink.plans.stand_ins import CTE, DIGESTS, PAIRS, current_lines, prior_lines, read
 from spanlink.schemas import BOOK, LINE, LINKS
 
-Query = Callable[[SparkSession, str], DataFrame]
-QUERIES: dict[str, Query] = {}
-ORACLE_SQL: dict[str, str] = {}
-
-
-def query(sql: str | None) -> Callable[[Query], Query]:
-    def add(f: Query) -> Query:
-        QUERIES[f.__name__] = f
-        if sql:
-            ORACLE_SQL[f.__name__] = sql
-        return f
-
-    return add
-
-
 # digests and the plan of books
 
 
@@ -89,13 +73,6 @@ def lines_to_compute(spark, d):
     return delta.recompute(cur, delta.reuse(cur, pri))
 
 
-@query("SELECT ''::VARCHAR AS source, ''::VARCHAR AS title, 0::INTEGER AS line_index, 0::BIGINT AS times WHERE false")
-def line_partition_violations(spark, d):
-    """No rows: every line is reused or computed, once."""
-    cur, pri = _ids(spark, d)
-    pairs = delta.reuse(cur, pri)
-    return delta.partition_violations(cur, pairs, delta.recompute(cur, pairs))
-
 
 @query(f"WITH {PAIRS} SELECT * FROM rng")
 def ner_ranges(spark, d):
@@ -131,13 +108,6 @@ def range_overlap_violations(spark, d):
 
 # eligibility and batches
 
-_ROWS = ["<h2>כג</h2>", "<b>אב</b> x", "א", " אב ", "", None, "abc", "﻿ <H3 id='a'>אבג", "<i title='>'>אב</i>", "x <hr> שלום"]
-
-
-@query(f"SELECT i, coalesce(length(trim(c)) > 1 AND NOT regexp_matches(c, '(?i)^[\\s\\x{{FEFF}}]*<h[1-6](\\s|>)') AND length(regexp_replace(regexp_replace(c, '<[^>]*>', '', 'g'), '[^\\x{{0590}}-\\x{{05FF}}]', '', 'g')) >= 2, false) AS eligible FROM {values(list(enumerate(_ROWS)), 'i, c')}")
-def eligible_rows(spark, d):
-    return spark.createDataFrame(list(enumerate(_ROWS)), "i int, c string").select("i", text.eligible(F.col("c")).alias("eligible"))
-
 
 @query(f"WITH {CTE} SELECT source, title, line_index FROM cur WHERE length(trim(content)) > 1 AND NOT regexp_matches(content, '(?i)^[\\s]*<h[1-6](\\s|>)') AND length(regexp_replace(regexp_replace(content, '<[^>]*>', '', 'g'), '[^a-z]', '', 'g')) >= 20")
 def eligible_lines(spark, d):
@@ -198,28 +168,11 @@ def visible_text(spark, d):
     return read(spark, d, "pages").select("page_id", text.visible(F.col("html")).alias("visible"))
 
 
-_QUOTES = ["a <b>c</b>״d׳  e", "  x\t\ty ", "", None, "<i>מ״א</i>\nעמ׳"]
-
-
-@query(f"SELECT i, trim(regexp_replace(translate(regexp_replace(c, '<[^>]*>', ' ', 'g'), '״׳', '\"'''), '\\s+', ' ', 'g')) AS plain FROM {values(list(enumerate(_QUOTES)), 'i, c')}")
-def plain_quotes(spark, d):
-    return spark.createDataFrame(list(enumerate(_QUOTES)), "i int, c string").select("i", text.plain_quotes(F.col("c")).alias("plain"))
-
-
 @query(f"WITH {CTE}, c AS (SELECT source, title, line_index, list_filter(string_split_regex(trim(regexp_extract(substr(content, 1, 60), '([^.:;()\\[\\]]*)$', 1)), '\\s+'), lambda x: x <> '') AS w FROM cur) SELECT source, title, line_index, w[-5:] AS clause FROM c")
 def clause_before(spark, d):
     return current_lines(spark, d).select(*LINE, text.clause_before(F.col("content"), F.lit(60), 5).alias("clause"))
 
 
-_WIDE = [("a\U0001f600b\U0001d11ec", 3), ("plain", 2), ("אב", 1), ("\U0001f600", 1), ("", 0)]
-
-
-@query(f"SELECT i, (n + len(list_filter(string_split(substr(c, 1, n), ''), lambda x: unicode(x) > 65535)))::INTEGER AS units, (length(c) + len(list_filter(string_split(c, ''), lambda x: unicode(x) > 65535)))::INTEGER AS total FROM {values([(k, *r) for k, r in enumerate(_WIDE)], 'i, c, n')}")
-def utf16_offsets(spark, d):
-    rows = spark.createDataFrame([(k, *r) for k, r in enumerate(_WIDE)], "i int, c string, n int")
-    return rows.select("i", text.utf16_offset(F.col("c"), F.col("n")).alias("units"), text.utf16_length(F.col("c")).alias("total"))
-
-
 @query(f"WITH {CTE} SELECT source, title, line_index, substr(content, 4, 7) AS anchor FROM cur WHERE length(content) >= 10")
 def anchor_slice(spark, d):
     return current_lines(spark, d).where(F.length("content") >= 10).select(*LINE, text.utf16_slice(F.col("content"), F.lit(3), F.lit(10)).alias("anchor"))
@@ -231,47 +184,12 @@ def artifact_path(spark, d):
     return p.select("p_partkey", text.artifact_path(F.concat_ws("/", "p_brand", F.col("p_size").cast("string")), F.concat("p_type", F.lit("?"))).alias("path"))
 
 
-_REFS = [("Genesis", "Genesis", "Bereshit"), ("Genesis 1:1", "Genesis", "Bereshit"), ("Genesis Rabbah 1:1", "Genesis", "Bereshit"), ("Exodus 3", "Genesis", "X"), ("A.B 2", "A.B", "C"), ("AxB 2", "A.B", "C")]
-
-
-@query(f"SELECT i, CASE WHEN r = o THEN n WHEN starts_with(r, o) AND regexp_matches(substr(r, length(o) + 1), '^ [0-9]') THEN n || substr(r, length(o) + 1) ELSE r END AS ref FROM {values([(k, *r) for k, r in enumerate(_REFS)], 'i, r, o, n')}")
-def rename_targets(spark, d):
-    rows = spark.createDataFrame([(k, *r) for k, r in enumerate(_REFS)], "i int, r string, o string, n string")
-    return rows.select("i", text.retitled(F.col("r"), F.col("o"), F.col("n")).alias("ref"))
-
-
-@query("WITH n AS (SELECT * FROM range(1, 400) t(n)) SELECT n::INTEGER AS n, true AS canonical, n::INTEGER AS value FROM n")
-def canonical_numerals(spark, d):
-    """Every number below 400, spelled as usual, is canonical and reads as itself; four letters (such as 315 and more) have no short form."""
-    rows = spark.createDataFrame([(n, numerals.spelled(n)) for n in range(1, 400)], "n int, s string")
-    value = F.coalesce(numerals.numeral(F.col("s")), F.when(F.length("s") > 3, F.col("n")))
-    return rows.select("n", numerals.is_canonical_numeral(F.col("s")).alias("canonical"), value.alias("value"))
-
-
-_GEMATRIA = [("כג", 23), ("ט״ו", 15), ("טז", 16), ("גכ", None), ("ק'", 100), ("abc", None), ("", None), ("תקלג", None), ("קך", 120)]
-
-
-@query(f"SELECT i, v::INTEGER AS value FROM {values([(k, v) for k, (_, v) in enumerate(_GEMATRIA)], 'i, v')}")
-def gematria(spark, d):
-    rows = spark.createDataFrame([(k, s) for k, (s, _) in enumerate(_GEMATRIA)], "i int, s string")
-    return rows.select("i", numerals.numeral(F.col("s")).alias("value"))
-
-
 @query("SELECT p_partkey, CASE WHEN p_partkey % 2 = 0 THEN 2 * p_size - 1 ELSE 2 * p_size END AS section, p_size AS daf, CASE WHEN p_partkey % 2 = 0 THEN 'a' ELSE 'b' END AS side FROM part")
 def amud_ordinal(spark, d):
     p = read(spark, d, "part").withColumn("section", numerals.amud(F.col("p_size"), F.when(F.col("p_partkey") % 2 == 0, "a").otherwise("b")))
     return p.select("p_partkey", "section", numerals.daf_of(F.col("section")).alias("daf"), numerals.side_of(F.col("section")).alias("side"))
 
 
-_PAGES = ["דף כג ע״א וכן ל״ג, ע\"ב", "none", ""]
-
-
-@query(f"SELECT i, daf, side FROM {values([(0, 23, 'a'), (0, 33, 'b')], 'i, daf, side')}")
-def page_addresses(spark, d):
-    rows = spark.createDataFrame(list(enumerate(_PAGES)), "i int, c string")
-    return rows.select("i", F.explode(numerals.page_addresses(F.col("c"))).alias("a")).select("i", "a.daf", "a.side")
-
-
 @query("""WITH t AS (SELECT conv_id, turn, CASE WHEN turn % 3 = 0 THEN text || ' above' WHEN turn % 3 = 1 THEN text || ' below' ELSE text END AS text FROM conversations)
 SELECT conv_id, turn, CASE WHEN regexp_matches(text, 'above|supra') AND NOT regexp_matches(text, 'below|infra') THEN 'above' WHEN regexp_matches(text, 'below|infra') AND NOT regexp_matches(text, 'above|supra') THEN 'below' END AS side FROM t""")
 def relative_side(spark, d):
@@ -419,16 +337,6 @@ def last_emitted(spark, d):
     return sequence.resolve_in_order(mentions_of_turns(spark, d))
 
 
-_HEADINGS = [(0, 1, "A"), (1, None, None), (2, 2, "B"), (3, 3, "C"), (4, 2, "D"), (5, None, None), (6, 1, "E"), (7, 3, "F")]
-_STACKS = [(0, "A"), (1, "A"), (2, "A/B"), (3, "A/B/C"), (4, "A/D"), (5, "A/D"), (6, "E"), (7, "E/F")]
-
-
-@query(f"SELECT i::INTEGER AS line_index, s AS stack FROM {values(_STACKS, 'i, s')}")
-def heading_stack(spark, d):
-    rows = spark.createDataFrame([("s", "t", *r) for r in _HEADINGS], "source string, title string, line_index int, level int, heading string")
-    return sequence.heading_stack(rows).select("line_index", F.array_join("stack", "/").alias("stack"))
-
-
 # checks
 
 _RECORD = """SELECT source, doc_id::VARCHAR AS title, (doc_id % 9 - 1)::INTEGER AS line_index, (doc_id % 29 = 0)::INTEGER AS line_index_base, (doc_id % 13 - 1)::INTEGER AS "start", (doc_id % 17)::INTEGER AS "end",
@@ -520,13 +428,6 @@ def fingerprint_components(spark, d):
     return audit.fingerprint_parts(p)
 
 
-@query("""WITH r AS (SELECT c_nationkey AS "from", c_mktsegment AS "to", min(c_custkey) AS review FROM customer GROUP BY ALL HAVING count(*) = 1)
-SELECT n_nationkey AS "from", s AS "to", review FROM nation, (SELECT DISTINCT c_mktsegment AS s FROM customer), r WHERE r."from" = n_nationkey AND r."to" = s""")
-def migration_lookup(spark, d):
-    c = read(spark, d, "customer").select(F.col("c_nationkey").alias("from"), F.col("c_mktsegment").alias("to"), F.col("c_custkey").alias("review"))
-    pairs = c.select("from", "to").distinct().join(read(spark, d, "nation").select(F.col("n_nationkey").alias("from")), "from", "left_semi")
-    return audit.migrations_for(pairs, c)
-
 
 @query("SELECT l_partkey, l_returnflag FROM lineitem WHERE l_linenumber <> 2 EXCEPT ALL SELECT l_partkey, l_returnflag FROM lineitem WHERE l_linenumber > 2")
 def multiset_difference(spark, d):
@@ -537,53 +438,6 @@ def multiset_difference(spark, d):
 # rules on single citations; the expected answers are given as values
 
 
-def _case(spark, rows, schema, **columns):
-    """Numbered cases with the columns asked for."""
-    df = spark.createDataFrame([(k, *r) for k, r in enumerate(rows)], f"i int, {schema}")
-    return df.select("i", *[c.alias(n) for n, c in columns.items()])
-
-
-_MARKERS = [("(כג) text", 4), (' (ט"ו) x', 6), ("(שם) x", 0), ("(גכ) x", 0), ("text (כג)", 0), ("", 0)]
-
-
-@query(f"SELECT i, v AS ends FROM {values([(k, v) for k, (_, v) in enumerate(_MARKERS)], 'i, v')}")
-def leading_markers(spark, d):
-    return _case(spark, [(c,) for c, _ in _MARKERS], "c string", ends=rules.leading_marker_end(F.col("c")))
-
-
-_MISREAD = [("I Kings 3", 'מ"א', True), ("I Kings 3", 'מ"א ג, ד', False), ("Amos 4", "עמ' 4", True), ("Amos 4", "עמוס ד", False), ("Mishnah Eruvin 1", 'פ"ק דעירובין', True), ("Mishnah Eruvin 1", 'משנה פ"ק עירובין', False)]
-
-
-@query(f"SELECT i, v AS misread FROM {values([(k, v) for k, (*_, v) in enumerate(_MISREAD)], 'i, v')}")
-def implausible_targets(spark, d):
-    return _case(spark, [r[:2] for r in _MISREAD], "r string, a string", misread=rules.implausible(F.col("r"), F.col("a")))
-
-
-_SPELLED = [("Eruvin 20b", 'להלן עירובין טו, ע"ב', True, "Eruvin 15b"), ("Eruvin 15b", 'עירובין טו, ע"ב', False, "Eruvin 15b"), ("Eruvin 20b", "עירובין", False, None), ("Eruvin 20b", 'טו ע"א, טז ע"א', True, None)]
-
-
-@query(f"SELECT i, x AS contradicts, v AS spelled FROM {values([(k, x, v) for k, (_, _, x, v) in enumerate(_SPELLED)], 'i, x, v')}")
-def address_agreement(spark, d):
-    return _case(spark, [r[:2] for r in _SPELLED], "r string, a string", contradicts=rules.address_contradicts(F.col("r"), F.col("a")), spelled=rules.spelled_ref(F.col("r"), F.col("a")))
-
-
-_PLACED = [("x", "רשי על שבת", True), ("x", "על שבת", False), ("Sefaria", "רשי על שבת", False), ("x", "א על ב על ראש השנה", True)]
-
-
-@query(f"SELECT i, v AS placed FROM {values([(k, v) for k, (*_, v) in enumerate(_PLACED)], 'i, v')}")
-def placed_by_pages(spark, d):
-    return _case(spark, [r[:2] for r in _PLACED], "s string, t string", placed=rules.placed_by_pages(F.col("s"), F.col("t")))
-
-
-_POINTING = [("לעיל כ", True, 9, 3, "above"), ("לעיל כ", True, 3, 9, None), ("לקמן כ", True, 3, 9, "below"), ("לקמן כ", False, 3, 9, None), ("לעיל ולקמן", True, 9, 3, None)]
-
-
-@query(f"SELECT i, v AS direction FROM {values([(k, v) for k, (*_, v) in enumerate(_POINTING)], 'i, v')}")
-def relative_directions(spark, d):
-    labels = F.array(F.lit("RELATIVE"), F.lit("NUMBERED"))
-    return _case(spark, [r[:4] for r in _POINTING], "a string, s boolean, o int, t int", direction=rules.relative_direction(labels, F.col("a"), F.col("s"), F.col("o"), F.col("t")))
-
-
 @query(f"""WITH {_T}, c AS (SELECT *, 'Part ' || size % 40 || ':' || size % 3 AS one, 'Part ' || size % 7 || ':' || size % 5 AS two FROM t),
 g AS (SELECT DISTINCT 'Part ' || a || ':' || b AS ref FROM range(0, 40) x(a), range(0, 3) y(b) WHERE a % 4 <> 0)
 SELECT source, title, line_index, one AS target_ref FROM c JOIN g ON one = g.ref WHERE role <> 'assistant' AND (size % 2 = 0 OR one = two)""")
@@ -621,5 +475,10 @@ SELECT source, title, line_index, (length(array_to_string(g[1:k], '')) + length(
 def incremental_run(spark, d):
     """Links of the current snapshot from those of the baseline; the SQL computes them anew, so reuse must lose and add nothing."""
     current, prior = current_lines(spark, d), prior_lines(spark, d)
-    _, links = incremental.run(current, prior, resolve_numbers(prior), resolve_numbers, keep=lambda df: df.persist())
+    _, links = incremental.run(current, prior, resolve_numbers(prior), resolve_numbers)
     return links.select(*LINE, "start", "end", "target_ref", "source_hash")
+
+
+from spanlink.plans import citation_queries, contract_queries  # noqa: E402, F401  they register theirs
+
+__all__ = ["ORACLE_SQL", "QUERIES"]

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spanlink.functions.text import artifact_path
-from spanlink.operators.checks import record_violations, require
+from spanlink.operators.checks import file_violations, record_violations, require
 from spanlink.schemas import BOOK, LINE, LINKS
 
 _REQUIRED = ["book_key", "line_index", "line_index_base", "start", "end", "target_ref"]
@@ -51,5 +51,5 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     rows = raw.select("file", F.from_json("value", _NESTED, {"mode": "PERMISSIVE"}).alias("r"))
     links = rows.select("file", F.col("r.book_key.source_name").alias("source"), F.col("r.book_key.canonical_he_title").alias("title"), *[F.col(f"r.{c}").alias(c) for c in [*_REQUIRED[1:], *_OPTIONAL]])
     require(record_violations(links), "records")
-    require(links.groupBy("file").agg(F.count_distinct(*BOOK).alias("books")).where("books <> 1"), "files of several books")
+    require(file_violations(links.select(F.url_decode(F.replace("file", F.lit("+"), F.lit("%2B"))).alias("path"), *BOOK)), "files of other books")
     return links.select(*LINKS.names)

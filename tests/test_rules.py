@@ -28,8 +28,8 @@ def test_leading_markers(spark):
 
 
 def test_implausible_targets(spark):
-    rows = [("I Kings 3", 'מ"א'), ("I Kings 3", 'מ"א סי כ'), ("I Kings 3", 'מ"א ג, ד'), ("Amos 4", "עמ' 4"), ("Amos 4", "עמוס ד"), ("Mishnah Eruvin 1", 'פ"ק דעירובין'), ("Mishnah Eruvin 1", 'משנה פ"ק עירובין'), ("Eruvin 2a", 'פ"ק דעירובין')]
-    assert ask(spark, rows, "r string, a string", rules.implausible(F.col("r"), F.col("a"))) == [True, True, False, True, False, True, False, False]
+    rows = [("I Kings 3", 'מ"א'), ("I Kings 3", 'מ"א סי כ'), ("I Kings 3", 'מ"א ג, ד'), ("Amos 4", "עמ' 4"), ("Amos 4", "עמוס ד"), ("Mishnah Eruvin 1", 'פ"ק דעירובין'), ("Mishnah Eruvin 1", 'משנה פ"ק עירובין'), ("Eruvin 2a", 'פ"ק דעירובין'), ("I Kings 3", 'abc מ"א')]
+    assert ask(spark, rows, "r string, a string", rules.implausible(F.col("r"), F.col("a"))) == [True, True, False, True, False, True, False, False, False]
 
 
 def test_spelled_addresses(spark):
@@ -39,8 +39,17 @@ def test_spelled_addresses(spark):
 
 
 def test_second_side_mark(spark):
-    rows = [("Shabbat 21", "דף כא: ושם", 5), ("Shabbat 21", "דף כא:", 5), ("Shabbat 21", "דף כא<b>:</b>ושם", 5), ("Shabbat 21", "דף כא. ושם", 5), ("Shabbat 21a", "דף כא: ושם", 5)]
-    assert ask(spark, rows, "r string, c string, e int", rules.marked_second_side(F.col("r"), F.col("c"), F.col("e"))) == [6, None, 9, None, None]
+    rows = [
+        ("Shabbat 21", "דף כא: ושם", 5, True),
+        ("Shabbat 21", "דף כא:", 5, True),
+        ("Shabbat 21", "דף כא<b>:</b>ושם", 5, True),
+        ("Shabbat 21", "דף כא. ושם", 5, True),
+        ("Shabbat 21a", "דף כא: ושם", 5, True),
+        ("Genesis 21", "פרק כא: ושם", 6, False),
+        ("Shabbat 22", "דף כא: ושם", 5, True),
+    ]
+    column = rules.marked_second_side(F.col("r"), F.col("c"), F.lit(0), F.col("e"), F.col("l"))
+    assert ask(spark, rows, "r string, c string, e int, l boolean", column) == [6, None, 9, None, None, None, None]
 
 
 def test_relative_directions(spark):
@@ -53,9 +62,10 @@ def test_relative_directions(spark):
         (["RELATIVE"], "לעיל", True, 9, 3),
         (["NUMBERED"], "לעיל כ", True, 9, 3),
         (["RELATIVE", "NUMBERED"], "לעיל ולקמן", True, 9, 3),
+        (["RELATIVE", "NAMED"], "לקמן כ", False, None, 3),
     ]
     column = rules.relative_direction(F.col("l"), F.col("a"), F.col("s"), F.col("o"), F.col("t"))
-    assert ask(spark, rows, "l array<string>, a string, s boolean, o int, t int", column) == ["above", None, "below", None, "below", None, None, None]
+    assert ask(spark, rows, "l array<string>, a string, s boolean, o int, t int", column) == ["above", None, "below", None, "below", None, None, None, None]
 
 
 def test_code_vetoes(spark):
@@ -86,9 +96,11 @@ def test_resolve_end_to_end(spark):
         ("s", "b", 6, 0, "לעיל כ", 0, 6, parts("RELATIVE", "NUMBERED"), ["B 4"], "B 7", 7),
         ("s", "b", 7, 0, "לקמן כ", 0, 6, parts("RELATIVE", "NUMBERED"), ["B 4"], "B 7", 7),
         ("s", "b", 8, 0, "שבת כא: ושם", 0, 6, parts("NAMED"), ["Shabbat 21"], None, None),
+        ("s", "b", 9, 0, "בראשית ג: ושם", 0, 8, parts("NAMED"), ["Genesis 3"], None, None),
+        ("s", "b", 10, 0, "לעיל כ", 0, 6, parts("RELATIVE", "NAMED"), ["B 4"], None, 7),
     ]
     schema = "source string, title string, line_index int, pos int, content string, start int, end int, parts array<struct<label:string,text:string>>, candidates array<string>, context string, place long"
-    segments = [("A 1:2", "A", 2, True), ("A 1:3", "A", 3, True), ("A 2:3", "A", 9, True), ("B 4", "B", 4, True), ("B 9", "B", 9, False), ("Shabbat 21b", "Shabbat", 42, True)]
+    segments = [("A 1:2", "A", 2, True), ("A 1:3", "A", 3, True), ("A 2:3", "A", 9, True), ("B 4", "B", 4, True), ("B 9", "B", 9, False), ("Shabbat 21b", "Shabbat", 42, True), ("Genesis 3", "Genesis", 3, True)]
     got = resolve.resolve(spark.createDataFrame(rows, schema), spark.createDataFrame(segments, "ref string, title string, place long, has_text boolean"))
     found = {r["line_index"]: (r["start"], r["end"], r["target_ref"], r["relative_direction"]) for r in got.collect()}
-    assert found == {0: (3, 8, "A 1:2", None), 1: (0, 4, "A 1:3", None), 6: (0, 6, "B 4", "above"), 8: (0, 7, "Shabbat 21b", None)}
+    assert found == {0: (3, 8, "A 1:2", None), 1: (0, 4, "A 1:3", None), 6: (0, 6, "B 4", "above"), 8: (0, 7, "Shabbat 21b", None), 9: (0, 8, "Genesis 3", None)}

@@ -112,10 +112,14 @@ def test_artifacts_round_trip_and_strictness(spark, tmp_path):
     files = artifacts.as_files(links).orderBy("line_index").collect()
     assert files[0]["path"] == "artifacts/s/a_b.jsonl"
     assert files[0]["line"] == '{"book_key":{"canonical_he_title":"a/b","source_name":"s"},"end":3,"line_index":0,"line_index_base":0,"source_hash":"0123456789abcdef","start":0,"target_ref":"Ref 1"}'
-    good = tmp_path / "good" / "s"
+    good = tmp_path / "good" / "artifacts" / "s"
     good.mkdir(parents=True)
-    (good / "x.jsonl").write_text("\n".join([files[0]["line"], "", files[1]["line"]]) + "\n")
+    (good / "a_b.jsonl").write_text("\n".join([files[0]["line"], "", files[1]["line"]]) + "\n")
     assert sorted(map(tuple, artifacts.read_lines(spark, f"{tmp_path}/good").collect()), key=str) == sorted(map(tuple, links.collect()), key=str)
+    (tmp_path / "other").mkdir()
+    (tmp_path / "other" / "x.jsonl").write_text(files[0]["line"])
+    with pytest.raises(checks.ContractError, match="other books"):
+        artifacts.read_lines(spark, f"{tmp_path}/other")
     for k, line in enumerate([files[0]["line"].replace('"end"', '"fin"'), files[0]["line"].replace('"end":3', '"end":0'), "{"]):
         bad = tmp_path / f"bad{k}"
         bad.mkdir()
