@@ -154,3 +154,22 @@ def without_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+OP5_SQL = r"""
+WITH w AS (SELECT doc_id, row_number() OVER () AS row, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+s AS (SELECT doc_id, row, CASE WHEN len(ws) >= 5 THEN list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' ')) WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE [] END AS sh FROM w),
+v AS (SELECT item_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM benchmark),
+t AS (SELECT item_id, CASE WHEN len(ws) >= 5 THEN list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' ')) WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE [] END AS sh FROM v),
+known AS (SELECT DISTINCT len(sh) AS size, unnest(sh) AS h FROM t),
+placed AS (SELECT row, len(sh) AS n, unnest(sh) AS h, generate_subscripts(sh, 1) - 1 AS pos FROM s WHERE len(sh) > 0),
+hits AS (SELECT row, n, size, pos FROM placed JOIN known USING (h)),
+starts AS (SELECT DISTINCT row, size, unnest(range(greatest(0, least(pos - size + 1, n - size)), greatest(0, least(pos, n - size)) + 1)) AS start FROM hits),
+win AS (SELECT row, size, start, len(sh[start + 1:start + size]) AS n, unnest(sh[start + 1:start + size]) AS h FROM starts JOIN s USING (row)),
+wc AS (SELECT row, size, start, n, h, count(*) AS c FROM win GROUP BY ALL),
+ic AS (SELECT item_id, size, h, count(*) AS c FROM (SELECT item_id, len(sh) AS size, unnest(sh) AS h FROM t) GROUP BY ALL),
+b AS (SELECT row, item_id, start, n + size AS total, sum(least(wc.c, ic.c)) AS common FROM wc JOIN ic USING (size, h) GROUP BY ALL),
+m AS (SELECT doc_id, item_id, start, common::DOUBLE / (total - common)::DOUBLE AS similarity FROM b JOIN s USING (row)),
+r AS (SELECT *, row_number() OVER (PARTITION BY doc_id, item_id ORDER BY similarity DESC, start) AS k FROM m WHERE similarity >= 0.8)
+SELECT doc_id, item_id, similarity, start FROM r WHERE k = 1
+"""

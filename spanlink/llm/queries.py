@@ -20,4 +20,5 @@ QUERIES = {
 ORACLE_SQL = {
     "op1_warc_salvage": warc.OP1_SQL,
     "op3_source_mixing": mixing.OP3_SQL,
+    "op5_decontamination": decontaminate.OP5_SQL,
 }

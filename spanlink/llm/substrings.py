@@ -42,7 +42,8 @@ LENGTH, GRAM, CELL = 200, 32, 8
 GROUP, SORTED_BYTES, FILE_ROWS = 1024, 1 << 20, 8192
 BATCH_BYTES = 1 << 20
 _SPAN = LENGTH - GRAM + 1
-_PLACE = np.uint64((1 << 28) - 1)
+#: Places share a word with the high bits of hashes; no text of Spark's is longer.
+_PLACE = np.uint64((1 << 31) - 1)
 _BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
 
 
@@ -104,11 +105,17 @@ def regions(data: np.ndarray, lengths: np.ndarray) -> dict[str, np.ndarray]:
 
 
 def _batches(path: str, ids: bool = False) -> Iterator[tuple[int, list, np.ndarray, np.ndarray]]:
-    """(number of the first row, ids, texts' bytes one after the other, their lengths) of a file of the copy, about BATCH_BYTES at a time."""
+    """(number of the first row, ids, texts' bytes one after the other, their lengths) of a file of the copy, about BATCH_BYTES at a time.
+
+    Rows are read so many at once that they hold about 8 * BATCH_BYTES by the file's mean.
+    """
     fs, local = resolve(path)
     at = 0
     with fs.open_input_file(local) as f:
-        for batch in pq.ParquetFile(f).iter_batches(batch_size=1024, columns=["doc_id", "text"] if ids else ["text"]):
+        table = pq.ParquetFile(f)
+        size = sum(table.metadata.row_group(k).total_byte_size for k in range(table.metadata.num_row_groups))
+        rows = max(1, min(1024, 8 * BATCH_BYTES * table.metadata.num_rows // max(1, size)))
+        for batch in table.iter_batches(batch_size=rows, columns=["doc_id", "text"] if ids else ["text"]):
             text = batch.column("text")
             text = pc.fill_null(text, "").cast(pa.large_binary())
             offsets = np.frombuffer(text.buffers()[1], np.int64)[text.offset : text.offset + len(text) + 1]
@@ -265,7 +272,7 @@ def split_groups(cut: DataFrame) -> DataFrame:
     return pieces.mapInPandas(runs, "h long, rh long, runs array<int>")
 
 
-def _kept(key: tuple, files: pd.DataFrame, side: pd.DataFrame) -> pd.DataFrame:
+def _kept(key: tuple, files: pd.DataFrame, side: pd.DataFrame, keep_bytes: bool) -> pd.DataFrame:
     side = side.sort_values("doc")
     docs, out = side["doc"].to_numpy(), []
     los, runs = side["los"].tolist(), side["runs"].tolist()
@@ -283,8 +290,8 @@ def _kept(key: tuple, files: pd.DataFrame, side: pd.DataFrame) -> pd.DataFrame:
                 own = gone[x : x + n]
                 kept = data[x : x + n][~own].tobytes()
                 spans = int(np.count_nonzero(own[1:] & ~own[:-1])) + int(n > 0 and own[0])
-                out.append((doc_id, n, n - len(kept), spans, hashlib.sha256(kept).hexdigest(), kept))
-    out = pd.DataFrame(out, columns=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
+                out.append((doc_id, n, n - len(kept), spans, hashlib.sha256(kept).hexdigest(), *([kept] if keep_bytes else [])))
+    out = pd.DataFrame(out, columns=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", *(["kept"] if keep_bytes else [])])
     return out.astype({"doc_id": "Int64"})
 
 
@@ -316,7 +323,10 @@ def remove_repeats(docs: DataFrame, keep_bytes: bool = True) -> DataFrame:
     by_sorting = cut.where(F.col("kinds") <= GROUP).withColumn("bucket", bucket).groupBy("bucket").applyInPandas(_sorted, "h long, rh long, runs array<int>")
     found = by_sorting.unionByName(split_groups(cut.where(F.col("kinds") > GROUP))).where(F.size("runs") > 0).unionByName(settled)
     side = places.select("file", "doc", "h", "rh", "los").join(materialize(found), ["h", "rh"]).select("file", "doc", "los", "runs")
-    run = _kept if keep_bytes else lambda key, f, s: _kept(key, f, s).drop(columns="kept")
+
+    def run(key: tuple, f: pd.DataFrame, s: pd.DataFrame) -> pd.DataFrame:
+        return _kept(key, f, s, keep_bytes)
+
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * keep_bytes
     return files.groupBy("file").cogroup(side.groupBy("file")).applyInPandas(run, schema)
 

@@ -5,7 +5,7 @@ bytes, so that inflected forms share a weight), word pairs and pairs with one wo
 exactly zero, so what tasks receive is a short list (bucket, weight), at most 2**BITS entries. Scoring streams whole
 texts and looks at nothing but the buckets that have a weight.
 
-The model is fitted on at most `max_rows` labelled documents, those whose ids hash lowest; everything is scored.
+The model is fitted on at most `max_rows` labelled documents and MAX_FIT_BYTES of features, those whose ids hash lowest; everything is scored.
 Defined cases: null or empty text scores as the bias alone; a document with several labels counts as the largest; with
 no labelled row the model is empty and every score is 0.5; repeated rows score alike.
 """
@@ -18,7 +18,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from spanlink.llm.common import materialize, table
@@ -27,6 +27,8 @@ BITS = 20
 STEMS = (4, 6)
 #: Bound of the labelled sample that the model is fitted on.
 MAX_FIT_ROWS = 12_000
+#: Bound of that sample's features on the driver; rows beyond it, in the order of the hashes, are left out.
+MAX_FIT_BYTES = 96 << 20
 THRESHOLD = 0.3
 #: Characters of text worked on at once.
 BATCH_CHARS = 1 << 21
@@ -137,6 +139,11 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", max_rows: int
     sample = materialize(labelled_sample(docs, labels, label, max_rows).mapInPandas(run, "h long, doc_id long, y int, buckets binary"))
     if sample.count() > 2 * max_rows:  # repeated ids at most double the sample
         sample = materialize(sample.orderBy("h", "doc_id", "buckets").limit(2 * max_rows))
+    if (sample.agg(F.sum(F.length("buckets"))).first()[0] or 0) > MAX_FIT_BYTES:
+        sizes = sample.select("h", "doc_id", F.length("buckets").alias("n"))  # 2 * max_rows rows at most
+        upto = F.sum("n").over(Window.orderBy("h", "doc_id"))
+        within = sizes.withColumn("upto", upto).where(F.col("upto") <= MAX_FIT_BYTES).agg(F.max(F.struct("h", "doc_id")).alias("m")).first()["m"]
+        sample = sample.where(F.struct("h", "doc_id") <= F.struct(F.lit(within["h"]), F.lit(within["doc_id"]))) if within else sample.limit(0)
     # a part after the other, so that the driver holds each row once
     rows = sorted((r["h"], r["doc_id"], bytes(r["buckets"]), r["y"]) for r in sample.coalesce(8).toLocalIterator())
     return fit_ftrl([r[2] for r in rows], np.array([r[3] for r in rows], np.float64))
