@@ -8,8 +8,9 @@ offsets. Consecutive windows with one anchor form a region. So:
 2. Keep the places of the others, and cut one copy of each different region out of the texts.
 3. Regions with one anchor meet in one task, which builds a suffix array of them by two-stage sorting and reads repeated windows off
    the common prefixes of neighbours (or off the count of equal regions). An anchor with over GROUP different regions, such as
-   one near the edge of a passage that is everywhere, has them cut into cells of windows that are dealt by their own content and
-   counted instead, so that no task gets more than GROUP regions of an anchor.
+   one near the edge of a passage that is everywhere, has them cut into cells of windows, which are sorted the same way with those
+   that share the cell's core; cores with over GROUP different cells are cut into windows, dealt by their own bytes. So no task
+   gets more than GROUP pieces of one key, and every verdict on windows that differ somewhere comes from a suffix array.
 4. Send the repeated windows back to all places of their regions and remove what they cover.
 
 Texts are copied once into the shared folder; the steps go over its files and side tables go to the file they belong to, so
@@ -42,6 +43,8 @@ LENGTH, GRAM, CELL = 200, 32, 8
 GROUP, SORTED_BYTES, FILE_ROWS = 1024, 1 << 20, 8192
 BATCH_BYTES = 1 << 20
 _SPAN = LENGTH - GRAM + 1
+#: Bytes that all windows of a whole cell share.
+_CORE = LENGTH - CELL + 1
 #: Places share a word with the high bits of hashes; no text of Spark's is longer.
 _PLACE = np.uint64((1 << 31) - 1)
 _BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
@@ -210,53 +213,76 @@ def _sorted(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
 
 
 def _cells(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Regions in cells of CELL windows, aligned to the anchor: two hashes of each window and of what all windows of a whole cell share."""
+    """Regions in cells of CELL windows, aligned to the anchor: bytes of the cell, hashes of them and of the core that its windows share."""
     for pdf in batches:
         for s in range(0, len(pdf), 1024):
             part = pdf.iloc[s : s + 1024]
             sizes, off = part["region"].map(len).to_numpy(), part["off"].to_numpy(np.int64)
-            data = np.frombuffer(b"".join(part["region"]), np.uint8)
-            first, second = (_Hashes(data, b) for b in _BASES)
+            raw = b"".join(part["region"])
+            first, second = (_Hashes(np.frombuffer(raw, np.uint8), x) for x in _BASES)
             n = sizes - LENGTH + 1
             k = np.repeat(np.arange(len(part)), n)
             rel = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-            base = (np.cumsum(sizes) - sizes)[k]
-            w1, w2 = (x(base + rel, base + rel + LENGTH).view(np.int64) for x in (first, second))
+            base = np.cumsum(sizes) - sizes
             number = (rel - off[k]) // CELL
             new = np.flatnonzero(np.concatenate([[True], (k[1:] != k[:-1]) | (number[1:] != number[:-1])]))
-            core = base[new] + off[k[new]] + CELL * number[new]
-            cuts = np.append(new[1:], len(k))
-            yield pd.DataFrame(
-                {
-                    "h": part["h"].to_numpy()[k[new]],
-                    "rh": part["rh"].to_numpy()[k[new]],
-                    "copies": part["copies"].to_numpy()[k[new]],
-                    "start": rel[new],
-                    "w1": [w1[a:b] for a, b in zip(new, cuts, strict=True)],
-                    "w2": [w2[a:b] for a, b in zip(new, cuts, strict=True)],
-                    "c1": first(core + CELL - 1, core + LENGTH).view(np.int64),
-                    "c2": second(core + CELL - 1, core + LENGTH).view(np.int64),
-                }
-            )
+            last = np.append(new[1:], len(k)) - 1
+            lo, hi = base[k[new]] + rel[new], base[k[last]] + rel[last] + LENGTH
+            core = base[k[new]] + off[k[new]] + CELL * number[new] + CELL - 1
+            hashes = {c: f(x, y).view(np.int64) for c, f, x, y in (("c1", first, core, core + _CORE), ("c2", second, core, core + _CORE), ("k1", first, lo, hi), ("k2", second, lo, hi))}
+            own = part[["h", "rh", "copies"]].iloc[k[new]].reset_index(drop=True)
+            yield own.assign(start=rel[new], piece=[raw[x:y] for x, y in zip(lo.tolist(), hi.tolist(), strict=True)], **hashes)
+
+
+def _windows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Cells window by window."""
+    for pdf in batches:
+        for s in range(0, len(pdf), 1024):
+            part = pdf.iloc[s : s + 1024].reset_index(drop=True)
+            n = part["piece"].map(len).to_numpy() - LENGTH + 1
+            k = np.repeat(np.arange(len(part)), n)
+            at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            pieces = part["piece"].tolist()
+            yield part[["k1", "k2", "copies"]].iloc[k].reset_index(drop=True).assign(at=at, region=[pieces[i][x : x + LENGTH] for i, x in zip(k.tolist(), at.tolist(), strict=True)])
+
+
+def _combined(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Equal windows of a batch as one row, so that a very common window reaches its task as few rows."""
+    for pdf in batches:
+        yield pdf.groupby(["h", "rh", "region"], as_index=False, sort=False)["copies"].sum()
+
+
+def sort_groups(cut: DataFrame) -> DataFrame:
+    """(h, rh, runs): repeated windows of regions (h, rh, copies, region), sorted in buckets that hold all regions of an h.
+
+    Buckets hold about 2 * SORTED_BYTES, and there are as many as shuffle partitions at least.
+    """
+    total = cut.agg(F.sum(F.length("region"))).first()[0] or 0
+    buckets = max(int(cut.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // (2 * SORTED_BYTES)))
+    bucket = F.pmod(F.xxhash64("h"), F.lit(buckets)).cast("int")
+    return cut.withColumn("bucket", bucket).groupBy("bucket").applyInPandas(_sorted, "h long, rh long, runs array<int>").where(F.size("runs") > 0)
 
 
 def split_groups(cut: DataFrame) -> DataFrame:
-    """(h, rh, runs) of regions whose anchors have too many kinds for one task, by counting ever smaller pieces.
+    """(h, rh, runs) of regions whose anchors have too many kinds for one task: their cells are sorted by core, or else their windows.
 
-    A cell that occurs again is repeated as a whole. Of the others those whose core occurs again are counted window by window, against
-    each other and one copy of each repeated cell; the rest hold no repeated window.
+    Equal windows at one anchor lie in cells of equal cores, so cells whose core occurs once go no further, and those with one core are
+    sorted together. The windows of cores that have too many kinds themselves are dealt by their own content.
     """
-    cells = cut.mapInPandas(_cells, "h long, rh long, copies long, start int, w1 array<long>, w2 array<long>, c1 long, c2 long")
-    cells = materialize(cells.withColumn("k1", F.xxhash64("w1")).withColumn("k2", F.xxhash64("w2")))
-    kinds = cells.groupBy("k1", "k2").agg(F.sum("copies").alias("n"), *[F.any_value(c).alias(c) for c in ("w1", "w2", "c1", "c2")])
-    whole = materialize(kinds.where("n > 1"))
-    cores = cells.groupBy("c1", "c2").agg(F.sum("copies").alias("n")).where("n > 1").select("c1", "c2")
-    done = cells.join(whole.select("k1", "k2"), ["k1", "k2"]).select("h", "rh", "start", F.size("w1").alias("n"))
-    rest = materialize(cells.join(whole.select("k1", "k2"), ["k1", "k2"], "left_anti").join(cores, ["c1", "c2"], "left_semi"))
-    windows = rest.select("h", "rh", "copies", "start", F.posexplode(F.arrays_zip("w1", "w2")).alias("k", "w")).select("h", "rh", "copies", (F.col("start") + F.col("k")).alias("start"), "w.*")
-    also = whole.select(F.col("n").alias("copies"), F.explode(F.arrays_zip("w1", "w2")).alias("w")).select("copies", "w.*")
-    again = windows.select("copies", "w1", "w2").unionByName(also).groupBy("w1", "w2").agg(F.sum("copies").alias("n")).where("n > 1").select("w1", "w2")
-    single = windows.join(again, ["w1", "w2"]).select("h", "rh", "start", F.lit(1).alias("n"))
+    cells = materialize(cut.mapInPandas(_cells, "h long, rh long, copies long, start int, piece binary, c1 long, c2 long, k1 long, k2 long"))
+    kinds = materialize(cells.groupBy("c1", "c2", "k1", "k2").agg(F.sum("copies").alias("copies"), F.any_value("piece").alias("piece")))
+    cores = kinds.groupBy("c1", "c2").agg(F.sum("copies").alias("places"), F.count("*").alias("kinds")).where("places > 1")
+    wanted = materialize(kinds.join(cores, ["c1", "c2"]).withColumn("h", F.xxhash64("c1", "c2")))
+    by_core = sort_groups(wanted.where(F.col("kinds") <= GROUP).select("h", F.col("k1").alias("rh"), "k2", "copies", F.col("piece").alias("region")))
+    # starts and ends take turns
+    spans = F.transform(F.sequence(F.lit(0), F.size("runs") - 2, F.lit(2)), lambda k: F.struct(F.get("runs", k).alias("at"), F.get("runs", k + 1).alias("end")))
+    few = by_core.select("h", F.col("rh").alias("k1"), F.explode(spans).alias("r")).select("h", "k1", "r.*")
+    few = wanted.select("h", "k1", "k2").join(few, ["h", "k1"]).select("k1", "k2", "at", (F.col("end") - F.col("at")).alias("n"))
+
+    windows = wanted.where(F.col("kinds") > GROUP).mapInPandas(_windows, "k1 long, k2 long, copies long, at int, region binary")
+    windows = materialize(windows.withColumn("h", F.xxhash64("region")).withColumn("rh", F.xxhash64("region", F.lit(1))))
+    again = sort_groups(materialize(windows.select("h", "rh", "copies", "region").mapInPandas(_combined, "h long, rh long, region binary, copies long")))
+    many = windows.join(again.select("h", "rh").distinct(), ["h", "rh"]).select("k1", "k2", "at", F.lit(1).alias("n"))
 
     def runs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -268,7 +294,9 @@ def split_groups(cut: DataFrame) -> DataFrame:
                 out.append(_runs(flags))
             yield pdf[["h", "rh"]].assign(runs=out)
 
-    pieces = done.unionByName(single).groupBy("h", "rh").agg(F.collect_list(F.struct("start", "n")).alias("pieces"))
+    found = materialize(few.unionByName(many))
+    back = cells.select("h", "rh", "start", "k1", "k2").join(found, ["k1", "k2"]).select("h", "rh", (F.col("start") + F.col("at")).alias("start"), "n")
+    pieces = back.groupBy("h", "rh").agg(F.collect_list(F.struct("start", "n")).alias("pieces"))
     return pieces.mapInPandas(runs, "h long, rh long, runs array<int>")
 
 
@@ -318,10 +346,7 @@ def remove_repeats(docs: DataFrame, keep_bytes: bool = True) -> DataFrame:
     copies = places.where("kinds > 1").groupBy("h", "rh", "copies", "kinds").agg(one).select("h", "rh", "copies", "kinds", "p.*").join(files, "file")
     cut = materialize(copies.groupBy("file").applyInPandas(_cut, "h long, rh long, copies long, kinds long, off int, region binary"))
 
-    total = cut.agg(F.sum(F.length("region"))).first()[0] or 0
-    bucket = F.pmod(F.xxhash64("h"), F.lit(max(1, -(-total // (2 * SORTED_BYTES))))).cast("int")
-    by_sorting = cut.where(F.col("kinds") <= GROUP).withColumn("bucket", bucket).groupBy("bucket").applyInPandas(_sorted, "h long, rh long, runs array<int>")
-    found = by_sorting.unionByName(split_groups(cut.where(F.col("kinds") > GROUP))).where(F.size("runs") > 0).unionByName(settled)
+    found = sort_groups(cut.where(F.col("kinds") <= GROUP)).unionByName(split_groups(cut.where(F.col("kinds") > GROUP))).unionByName(settled)
     side = places.select("file", "doc", "h", "rh", "los").join(materialize(found), ["h", "rh"]).select("file", "doc", "los", "runs")
 
     def run(key: tuple, f: pd.DataFrame, s: pd.DataFrame) -> pd.DataFrame:
