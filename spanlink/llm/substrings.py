@@ -9,8 +9,9 @@ offsets. Consecutive windows with one anchor form a region. So:
 3. Regions with one anchor meet in one task, which builds a suffix array of them by two-stage sorting and reads repeated windows off
    the common prefixes of neighbours (or off the count of equal regions). An anchor with over GROUP different regions, such as
    one near the edge of a passage that is everywhere, has them cut into cells of windows, which are sorted the same way with those
-   that share the cell's core; cores with over GROUP different cells are cut into windows, dealt by their own bytes. So no task
-   gets more than GROUP pieces of one key, and every verdict on windows that differ somewhere comes from a suffix array.
+   that share the cell's core; cores with over GROUP different cells are cut into windows, dealt by their own bytes. Pieces
+   that are equal as a whole are counted as copies first and so are repeated; what pieces share in part is read off suffix arrays.
+   A key brings a task GROUP pieces at most, or a very common window a row for each batch it was read in.
 4. Send the repeated windows back to all places of their regions and remove what they cover.
 
 Texts are copied once into the shared folder; the steps go over its files and side tables go to the file they belong to, so
