@@ -14,13 +14,14 @@ from __future__ import annotations
 import functools
 import json
 import os
-import re
 import struct
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -39,7 +40,7 @@ SEGMENT = 1 << 20
 #: Ids in a file, about.
 FILE_TOKENS = 8 << 20
 #: Characters handed to the tokenizer at once, or one longer text.
-BATCH_CHARS = 1 << 20
+BATCH_CHARS = 4 << 20
 
 
 def default_tokenizer() -> str:
@@ -59,48 +60,96 @@ class Encoder:
     """Whole texts to ids.
 
     A byte-level BPE with the usual splitting rule never lets a token reach over white space that follows something visible, nor
-    from a letter into a mark after it. Texts are cut at single white space and the ids of recurring pieces are looked up; a
-    piece that ends in a mark is that of the letters plus that of the mark. Texts where a cut might not be one (runs of
-    white space, control characters, markup of special tokens) and other kinds of tokenizer get the text encoded as it is.
+    from a letter into a mark after it. Texts are cut at single white space, a batch's distinct pieces are looked up, and numpy
+    lays their ids out in the order of the texts; a piece that ends in a mark is that of the letters plus that of the mark. Texts where
+    a cut might not be one (runs of white space, control characters, markup of special tokens) and other kinds of tokenizer get the
+    text encoded as it is.
     """
 
-    #: Pieces that are remembered; later ones are encoded again each time.
+    #: Pieces that are remembered; later ones are encoded again for each batch.
     CACHE = 1_200_000
-    _whole = re.compile(r"[\s\x1c-\x1f]{2}|[\0\x1c-\x1f]|<\|")
+    #: Bytes of new pieces in one string for the tokenizer.
+    JOINED = 1 << 14
+    _whole = r"[\s\x0b\x{85}\pZ\x1c-\x1f]{2}|[\x00\x1c-\x1f]|<\|"
 
     def __init__(self, tokenizer_file: str, kind: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.model, self.kind = Tokenizer.from_file(tokenizer_file), kind
-        self.known: dict[str, bytes] = {}
         rules = json.loads(self.model.to_str())
         pre = rules.get("pre_tokenizer") or {}
         usual = pre.get("type") == "ByteLevel" and not pre.get("add_prefix_space") and pre.get("use_regex", True)
         self.by_piece = usual and rules.get("normalizer") is None and not any(t["lstrip"] or t["rstrip"] or t["single_word"] or " " in t["content"] for t in rules["added_tokens"])
+        vocab = self.model.get_vocab(with_added_tokens=False)
+        #: Bytes that a token stands for: its alphabet has one character for each.
+        self.width = np.zeros(max(vocab.values(), default=0) + 1, np.int64)
+        self.width[list(vocab.values())] = [len(t) for t in vocab]
+        #: Of known piece k, the ids are ids[begin[k]:begin[k + 1]].
+        self.known: dict[str, int] = {}
+        self.ids, self.begin = np.zeros(0, kind), np.zeros(1, np.int64)
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, self.kind).tobytes() for e in self.model.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, pieces: set[str]) -> dict[str, bytes]:
-        """Ids of pieces that aren't known yet."""
-        ends = [p for p in pieces if p[-1:] in (".", ",") and p[-2:-1].isalpha()]
-        plain = pieces.difference(ends) | {p[:-1] for p in ends}
-        new = list(plain.union(".,").difference(self.known))
-        fresh = dict(zip(new, self._encode(new), strict=True))
-        for p in ends:
-            fresh[p] = (fresh.get(p[:-1]) or self.known[p[:-1]]) + (fresh.get(p[-1]) or self.known[p[-1]])
-        return fresh
+    def _encode_joined(self, pieces: list[str]) -> list[bytes]:
+        """Ids of pieces that each begin with white space and end in something visible, which may stand in one text therefore."""
+        sizes = np.array([len(p.encode()) for p in pieces], np.int64)
+        flat = np.array(self.model.encode_batch_fast(["".join(pieces)], add_special_tokens=False)[0].ids, self.kind)
+        if len(flat) and flat.max() >= len(self.width):
+            return self._encode(pieces)
+        ends, want = np.cumsum(self.width[flat]), np.cumsum(sizes)
+        to = np.searchsorted(ends, want)
+        if to[-1] >= len(ends) or ends[-1] != want[-1] or (ends[to] != want).any():
+            return self._encode(pieces)
+        raw, cut, width = flat.tobytes(), (to + 1).tolist(), flat.itemsize
+        return [raw[width * a : width * b] for a, b in zip([0, *cut[:-1]], cut, strict=True)]
+
+    def _learn(self, pieces: list[str]) -> list[bytes]:
+        """Ids of pieces, in their order."""
+        ends = {p for p in pieces if p[-1:] in (".", ",") and p[-2:-1].isalpha()}
+        plain = list({p[:-1] if p in ends else p for p in pieces} | {".", ","})
+        joined, alone = [], []
+        for p in plain:
+            (joined if len(p) > 1 and p[0] in " \n" and not p[-1].isspace() else alone).append(p)
+        fresh = dict(zip(alone, self._encode(alone), strict=True))
+        for some in by_chars(joined, self.JOINED):
+            fresh.update(zip(joined[some], self._encode_joined(joined[some]), strict=True))
+        return [fresh[p[:-1]] + fresh[p[-1]] if p in ends else fresh[p] for p in pieces]
+
+    def _cut(self, texts: pa.Array) -> list[bytes]:
+        marked = pc.replace_substring(pc.replace_substring(texts, " ", "\0 "), "\n", "\0\n")
+        lists = pc.split_pattern(marked, "\0")
+        pieces = lists.flatten().dictionary_encode()
+        distinct, bounds = pieces.dictionary.to_pylist(), lists.offsets.to_numpy()
+        at = np.array([self.known.get(p, -1) for p in distinct], np.int64)
+        new = np.flatnonzero(at < 0)
+        ids, begin = self.ids, self.begin
+        if len(new):
+            names = [distinct[k] for k in new.tolist()]
+            raw = self._learn(names)
+            at[new] = np.arange(len(new)) + len(begin) - 1
+            ids = np.concatenate([ids, np.frombuffer(b"".join(raw), self.kind)])
+            begin = np.concatenate([begin, begin[-1] + np.cumsum([len(x) for x in raw]) // ids.itemsize])
+            if len(self.known) < self.CACHE:
+                self.known.update(zip(names, at[new].tolist(), strict=True))
+                self.ids, self.begin = ids, begin
+        place = at[pieces.indices.to_numpy()]
+        n = begin[place + 1] - begin[place]
+        end = np.concatenate([np.zeros(1, np.int64), np.cumsum(n)])
+        flat = ids[np.repeat(begin[place] - end[:-1], n) + np.arange(end[-1])].tobytes()
+        cuts = (end[bounds - bounds[0]] * ids.itemsize).tolist()
+        return [flat[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        cut = [t.replace(" ", "\0 ").replace("\n", "\0\n").split("\0") if self.by_piece and not self._whole.search(t) else None for t in texts]
-        fresh = self._learn(set().union(*[c for c in cut if c]).difference(self.known))
-        whole = iter(self._encode([t for t, c in zip(texts, cut, strict=True) if c is None]))
-        if len(self.known) < self.CACHE:
-            self.known.update(fresh)
-            fresh = {}
-        known, rare = self.known, fresh
-        return [next(whole) if c is None else b"".join([rare[p] if p in rare else known[p] for p in c] if rare else map(known.__getitem__, c)) for c in cut]
+        if not self.by_piece:
+            return self._encode(texts)
+        column = pa.array(texts, pa.large_string())
+        whole = pc.match_substring_regex(column, self._whole)
+        marks = whole.to_pylist()
+        out = iter(self._cut(column.filter(pc.invert(whole))))
+        plain = iter(self._encode([t for t, w in zip(texts, marks, strict=True) if w]))
+        return [next(plain if w else out) for w in marks]
 
 
 @functools.cache
