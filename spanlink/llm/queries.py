@@ -21,4 +21,6 @@ ORACLE_SQL = {
     "op1_warc_salvage": warc.OP1_SQL,
     "op3_source_mixing": mixing.OP3_SQL,
     "op5_decontamination": decontaminate.OP5_SQL,
+    "op6_suffix_dedup": substrings.OP6_SQL,
+    "op7_secret_scan": secrets.OP7_SQL,
 }

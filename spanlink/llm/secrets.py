@@ -109,3 +109,48 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find_secrets(table(spark, sf_dir, "documents"))
     counts = [count_of(k).alias(f"n_{k}") for k in BASE]
     return found.select("doc_id", *counts, F.sha2(joined(F.col("base")), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
+
+
+def _letters(*words: str) -> str:
+    """An alternation of words whose ASCII letters may be of either case; `?` stays."""
+    return "|".join("".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in w) for w in words)
+
+
+_NAMES = _letters("password", "passwd", "secret", "token", "api_?key")
+_IDS = _letters("client_?id", "account_?id", "access_?id", "key_?id", "user_?name", "login")
+_SCHEMES = _letters("https?", "ftp", "postgres(?:ql)?", "mysql", "mongodb", "redis", "amqp", "s3")
+#: kind: (pattern without look-around, group, condition on hit and value). What an identifier must not follow is taken into the hit
+#: and off again; a weak secret is a maximal run of its characters and of "=" that has the right form.
+_SQL_RULES = {
+    "assign": (rf"""({_NAMES})["\']?\x20*[:=]\x20*["\']?([A-Za-z0-9+/_.=-]+)""", 2, "length(val) >= 6"),
+    "access": ("AKIA[A-Z0-9]+", 0, "length(val) >= 20"),
+    "hex": ("[0-9a-f]{24,}", 0, "true"),
+    "weak_id": (rf"""(?:^|[^A-Za-z0-9])(?:ASIA|AIDA|AROA|AGPA)[A-Z0-9]{{12,}}|(?:{_IDS})["\']?\x20*[:=]\x20*["\']?[A-Za-z0-9_.@-]{{3,}}""", 0, "true"),
+    "weak_secret": ("[A-Za-z0-9+/=_-]{28,}", 0, "regexp_full_match(hit, '[A-Za-z0-9+/_-]{28,}={0,2}') AND regexp_matches(hit, '[0-9]') AND regexp_matches(hit, '[A-Za-z]')"),
+    "endpoint": (rf"""(?:{_SCHEMES})://[^\x20\x09-\x0D"\'<>]{{3,}}""", 0, "true"),
+}
+
+
+def _sql_spans(kind: str) -> str:
+    pattern, group, holds = _SQL_RULES[kind]
+    p = "'" + pattern.replace("\\'", "''") + "'"
+    cut = f"(SELECT row, regexp_extract_all(text, {p}) AS hits, regexp_extract_all(text, {p}, {group}) AS vals, regexp_split_to_array(text, {p}) AS gaps FROM d WHERE regexp_matches(text, {p}))"
+    each = f"(SELECT row, unnest(hits) AS hit, unnest(vals) AS val, unnest(gaps[1:len(hits)]) AS gap, generate_subscripts(hits, 1) AS i FROM {cut})"
+    ends = f"(SELECT row, hit, val, sum(length(gap) + length(hit)) OVER (PARTITION BY row ORDER BY i) AS stop FROM {each})"
+    body = "regexp_replace(hit, '^[^A-Za-z0-9]', '')" if kind == "weak_id" else "hit"
+    return f"SELECT row, {KINDS.index(kind)} AS no, '{kind}' AS kind, (stop - length({body}))::BIGINT AS start, stop::BIGINT AS stop FROM {ends} WHERE {holds}"
+
+
+OP7_SQL = f"""
+WITH d AS MATERIALIZED (SELECT doc_id, row_number() OVER () AS row, coalesce(text, '') AS text FROM documents),
+base AS MATERIALIZED ({" UNION ALL ".join(map(_sql_spans, BASE))}),
+weak AS MATERIALIZED (SELECT * FROM ({" UNION ALL ".join(map(_sql_spans, WEAK))}) w WHERE NOT EXISTS (SELECT 1 FROM base b WHERE b.row = w.row AND b.start < w.stop AND w.start < b.stop)),
+parts AS (SELECT *, CASE WHEN kind IN ('access', 'weak_id') THEN 'identifier' WHEN kind = 'endpoint' THEN 'endpoint' ELSE 'secret' END AS role FROM (SELECT * FROM base UNION ALL SELECT * FROM weak)),
+near AS (SELECT w.row, w.no, w.kind, w.start, w.stop, w.role, bool_or(p.role = 'identifier') AS identifier, bool_or(p.role = 'secret') AS secret
+  FROM parts w JOIN parts p ON p.row = w.row AND p.role <> 'endpoint' AND p.start - w.stop <= {SCOPE} AND w.start - p.stop <= {SCOPE} WHERE w.kind LIKE 'weak%' OR w.kind = 'endpoint' GROUP BY ALL),
+found AS (SELECT row, no, kind, start, stop FROM base UNION ALL
+  SELECT row, no, kind, start, stop FROM near WHERE (role = 'identifier' AND secret) OR (role = 'secret' AND identifier) OR (role = 'endpoint' AND secret AND identifier)),
+said AS (SELECT row, {", ".join(f"count(*) FILTER (kind = '{k}') AS n_{k}" for k in BASE)},
+  coalesce(string_agg(concat(kind, ':', start, ':', stop), ',' ORDER BY start, no) FILTER (no < {len(BASE)}), '') AS base, string_agg(concat(kind, ':', start, ':', stop), ',' ORDER BY start, no) AS spans FROM found GROUP BY row)
+SELECT doc_id, {", ".join(f"coalesce(n_{k}, 0) AS n_{k}" for k in BASE)}, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans FROM d LEFT JOIN said USING (row)
+"""

@@ -359,3 +359,18 @@ def remove_repeats(docs: DataFrame, keep_bytes: bool = True) -> DataFrame:
 
 def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(table(spark, sf_dir, "documents"), keep_bytes=False)
+
+
+#: Texts as hexadecimal, two characters a byte; windows are compared by their MD5 numbers.
+OP6_SQL = f"""
+WITH d AS MATERIALIZED (SELECT doc_id, row_number() OVER () AS row, hex(encode(coalesce(text, ''))) AS x FROM documents),
+w AS MATERIALIZED (SELECT row, i, md5_number(substr(x, 2 * i + 1, {2 * LENGTH})) AS h FROM (SELECT row, x, unnest(range(0, length(x) // 2 - {LENGTH - 1})) AS i FROM d)),
+hit AS (SELECT row, i FROM w WHERE h IN (SELECT h FROM w GROUP BY h HAVING count(*) > 1)),
+opened AS (SELECT row, i, i > lag(i) OVER (PARTITION BY row ORDER BY i) + {LENGTH} AS apart FROM hit),
+numbered AS (SELECT row, i, sum(CASE WHEN apart THEN 1 ELSE 0 END) OVER (PARTITION BY row ORDER BY i) AS k FROM opened),
+span AS (SELECT row, k, min(i) AS a, max(i) + {LENGTH} AS b FROM numbered GROUP BY row, k),
+gap AS (SELECT row, a, b, coalesce(lag(b) OVER (PARTITION BY row ORDER BY a), 0) AS before FROM span),
+cut AS (SELECT row, count(*) AS n_spans, sum(b - a)::BIGINT AS n_removed, max(b) AS last, string_agg(substr(x, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) AS kept FROM gap JOIN d USING (row) GROUP BY row)
+SELECT doc_id, length(x) // 2 AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+  sha256(unhex(CASE WHEN n_spans IS NULL THEN x ELSE concat(kept, substr(x, 2 * last + 1)) END)) AS kept_sha256 FROM d LEFT JOIN cut USING (row)
+"""
