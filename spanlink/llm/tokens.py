@@ -107,22 +107,22 @@ class Encoder:
 
     def _learn(self, pieces: list[str]) -> list[bytes]:
         """Ids of pieces, in their order."""
-        ends = {p for p in pieces if p[-1:] in (".", ",") and p[-2:-1].isalpha()}
-        plain = list({p[:-1] if p in ends else p for p in pieces} | {".", ","})
-        joined, alone = [], []
-        for p in plain:
-            (joined if len(p) > 1 and p[0] in " \n" and not p[-1].isspace() else alone).append(p)
+        marked = [p.endswith((".", ",")) and p[-2:-1].isalpha() for p in pieces]
+        plain = {p[:-1] if m else p for p, m in zip(pieces, marked, strict=True)}
+        joined = [p for p in plain if p.startswith((" ", "\n")) and not p[-1].isspace()]
+        alone = list(plain.difference(joined).union(".,"))
         fresh = dict(zip(alone, self._encode(alone), strict=True))
         for some in by_chars(joined, self.JOINED):
             fresh.update(zip(joined[some], self._encode_joined(joined[some]), strict=True))
-        return [fresh[p[:-1]] + fresh[p[-1]] if p in ends else fresh[p] for p in pieces]
+        return [fresh[p[:-1]] + fresh[p[-1]] if m else fresh[p] for p, m in zip(pieces, marked, strict=True)]
 
     def _cut(self, texts: pa.Array) -> list[bytes]:
         marked = pc.replace_substring(pc.replace_substring(texts, " ", "\0 "), "\n", "\0\n")
         lists = pc.split_pattern(marked, "\0")
         pieces = lists.flatten().dictionary_encode()
-        distinct, bounds = pieces.dictionary.to_pylist(), lists.offsets.to_numpy()
-        at = np.array([self.known.get(p, -1) for p in distinct], np.int64)
+        distinct, bounds = pieces.dictionary.to_numpy(zero_copy_only=False).tolist(), lists.offsets.to_numpy()
+        known = self.known.get
+        at = np.fromiter([known(p, -1) for p in distinct], np.int64, len(distinct))
         new = np.flatnonzero(at < 0)
         ids, begin = self.ids, self.begin
         if len(new):
@@ -146,7 +146,7 @@ class Encoder:
             return self._encode(texts)
         column = pa.array(texts, pa.large_string())
         whole = pc.match_substring_regex(column, self._whole)
-        marks = whole.to_pylist()
+        marks = whole.to_numpy(zero_copy_only=False).tolist()
         out = iter(self._cut(column.filter(pc.invert(whole))))
         plain = iter(self._encode([t for t, w in zip(texts, marks, strict=True) if w]))
         return [next(plain if w else out) for w in marks]
