@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from spanlink.llm import decontaminate, mixing, permutation, quality, search, secrets, simhash, substrings, tokens, toxicity, warc
+from spanlink.llm import collocations, decontaminate, mixing, permutation, quality, search, secrets, simhash, substrings, tokens, toxicity, warc
 
 QUERIES = {
     "op1_warc_salvage": warc.op1_warc_salvage,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_token_output": tokens.op8_token_output,
     "op9_simhash_dedup": simhash.op9_simhash_dedup,
     "op10_toxicity": toxicity.op10_toxicity,
+    "op11_collocations": collocations.op11_collocations,
     "op12_lexical_search": search.op12_lexical_search,
 }
 
@@ -24,5 +25,6 @@ ORACLE_SQL = {
     "op5_decontamination": decontaminate.OP5_SQL,
     "op6_suffix_dedup": substrings.OP6_SQL,
     "op7_secret_scan": secrets.OP7_SQL,
+    "op11_collocations": collocations.OP11_SQL,
     "op12_lexical_search": search.OP12_SQL,
 }
