@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from spanlink.llm import collocations, decontaminate, mixing, permutation, quality, search, secrets, simhash, substrings, tokens, toxicity, warc
+from spanlink.llm import collocations, decontaminate, mixing, permutation, quality, recompress, search, secrets, simhash, substrings, tokens, toxicity, warc
 
 QUERIES = {
     "op1_warc_salvage": warc.op1_warc_salvage,
@@ -17,6 +17,7 @@ QUERIES = {
     "op10_toxicity": toxicity.op10_toxicity,
     "op11_collocations": collocations.op11_collocations,
     "op12_lexical_search": search.op12_lexical_search,
+    "op13_recompression_dedup": recompress.op13_recompression_dedup,
 }
 
 ORACLE_SQL = {
@@ -27,4 +28,5 @@ ORACLE_SQL = {
     "op7_secret_scan": secrets.OP7_SQL,
     "op11_collocations": collocations.OP11_SQL,
     "op12_lexical_search": search.OP12_SQL,
+    "op13_recompression_dedup": recompress.OP13_SQL,
 }
