@@ -2,10 +2,10 @@
 
 1. Lower-cased texts are split into pieces. Identical pieces become one row with a multiplicity, combined before the shuffle, so a line that
    is everywhere is cut into phrases once.
-2. Tasks cut CHUNK_WORDS words of pieces at a time into weighted n-grams and add up equal ones, so a common word leaves a chunk as one
-   row. Rows are dealt into hash buckets by (lang, n-gram), and duckdb counts each bucket from the stream of its rows, within
-   MEMORY_LIMIT; what doesn't fit goes to a folder of the task in spark.checkpoint.dir, where that is a path of files. The number
-   of buckets follows the number of words, BUCKET_ROWS n-grams each at most. Only counts of `least` or more go on: no phrase counts more than its parts.
+2. Tasks cut CHUNK_WORDS words of pieces at a time into weighted n-grams and add up equal ones, so a common word leaves a chunk once.
+   N-grams are dealt into hash buckets by (lang, words); those of a chunk and bucket are shuffled as one compressed block, and duckdb
+   counts each bucket from the stream of its blocks, within MEMORY_LIMIT; what doesn't fit goes to a folder of the task in
+   spark.checkpoint.dir, where that is a path of files. The number of buckets follows the number of words, about BUCKET_ROWS n-grams each. Only counts of `least` or more go on: no phrase counts more than its parts.
 3. Candidates ask for the counts of their parts by requests, which are shuffled to the parts, answered, and shuffled back. Parts
    with more than a HOT_SHARE of all requests, so at most 1 / HOT_SHARE of them, are answered in SALT places.
 4. Scores are whole numbers in decimals of 38 digits, exact for counts below 10^15. Each language's best are found in two steps.
@@ -17,12 +17,14 @@ and repeated rows count each; ties are broken by the count and then by the phras
 from __future__ import annotations
 
 import contextlib
+import itertools
 import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -30,9 +32,10 @@ from spanlink.llm.common import materialize, shared_dir, table
 from spanlink.llm.files import resolve
 
 LONGEST, LEAST, BEST, CONTAINED = 3, 10, 2000, 50
-CHUNK_WORDS, BUCKET_ROWS, MEMORY_LIMIT = 1 << 21, 4_000_000, "512MB"
+CHUNK_WORDS, BUCKET_ROWS, MEMORY_LIMIT = 1 << 21, 32_000_000, "512MB"
 HOT_SHARE, HOT_LEAST, SALT = 1 / 10_000, 1_000, 64
 MARKS = r"[.,;:!?\x0A-\x0D]"
+_ODD = np.uint64(0x9E3779B97F4A7C15)
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -55,28 +58,66 @@ def _totals(names: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndar
     return order[starts], np.add.reduceat(weights[order], starts), number
 
 
-def weighted_grams(chunk: pa.Table, longest: int) -> Iterator[pa.RecordBatch]:
-    """(lang, gram, k, n) of some (lang, piece, times), each gram once."""
+def weighted_grams(chunk: pa.Table, longest: int) -> tuple[pa.Array, pa.Array, list[tuple[np.ndarray, list[np.ndarray], np.ndarray]]]:
+    """Languages and words of some (lang, piece, times); for each length the distinct grams as codes into them: (language, words by place, weights)."""
     lists = pc.split_pattern(chunk.column("piece").combine_chunks(), " ")
     sizes = np.diff(lists.offsets.to_numpy())
     words = pc.dictionary_encode(lists.flatten())
     langs = pc.dictionary_encode(chunk.column("lang").combine_chunks())
     row = np.repeat(np.arange(len(sizes)), sizes)
     times = chunk.column("times").to_numpy()[row]
-    text, code = words.dictionary, words.indices.to_numpy().astype(np.int64)
+    code = words.indices.to_numpy().astype(np.int64)
     lang = langs.indices.to_numpy().astype(np.int64)[row]
-    name = lang
+    name, found = lang, []
     for k in range(1, longest + 1):
         at = np.flatnonzero(row[k - 1 :] == row[: max(0, len(row) - k + 1)])
         if not len(at):
-            return
+            break
         # a gram's name follows from that of its first k - 1 words, or the language, and its last word
-        one, n, number = _totals(name[at] * len(text) + code[at + k - 1], times[at])
+        one, n, number = _totals(name[at] * len(words.dictionary) + code[at + k - 1], times[at])
         start = at[one]
-        gram = pc.binary_join_element_wise(*[text.take(pa.array(code[start + j])) for j in range(k)], " ") if k > 1 else text.take(pa.array(code[start]))
-        yield pa.RecordBatch.from_arrays([langs.dictionary.take(pa.array(lang[start])), gram, pa.array(np.full(len(n), k, np.int32)), pa.array(n)], ["lang", "gram", "k", "n"])
+        found.append((lang[start], [code[start + j] for j in range(k)], n))
         name = np.full(len(row), -1, np.int64)
         name[at] = number
+    return langs.dictionary, words.dictionary, found
+
+
+def _hashes(values: pa.Array) -> np.ndarray:
+    return np.fromiter((xxhash.xxh64_intdigest(v) for v in values.to_pylist()), np.uint64, len(values))
+
+
+def _coded(code: np.ndarray, values: pa.Array) -> pa.DictionaryArray:
+    used, own = np.unique(code, return_inverse=True)
+    return pa.DictionaryArray.from_arrays(pa.array(own.astype(np.uint16 if len(used) < 1 << 16 else np.uint32)), values.take(pa.array(used)))
+
+
+def blocks(chunk: pa.Table, longest: int, buckets: int) -> Iterator[tuple[int, bytes]]:
+    """(bucket, grams): a chunk's grams of one length that fall into one bucket, their words in codes, compressed."""
+    langs, words, grams = weighted_grams(chunk, longest)
+    lang_hash, word_hash = _hashes(langs), _hashes(words)
+    for lang, codes, n in grams:
+        h = lang_hash[lang]
+        for code in codes:
+            h = (h ^ (h >> np.uint64(29))) * _ODD + word_hash[code]
+        bucket = ((h ^ (h >> np.uint64(32))) * _ODD >> np.uint64(16)) % np.uint64(buckets)
+        order = np.argsort(bucket.astype(np.uint32), kind="stable")
+        cuts = np.flatnonzero(np.diff(bucket[order])) + 1
+        for own in np.split(order, cuts):
+            columns = {"lang": _coded(lang[own], langs), "n": pa.array(n[own])} | {f"w{j}": _coded(code[own], words) for j, code in enumerate(codes)}
+            out = pa.BufferOutputStream()
+            batch = pa.RecordBatch.from_pydict(columns)
+            with pa.ipc.new_stream(out, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as stream:
+                stream.write_batch(batch)
+            yield int(bucket[own[0]]), out.getvalue().to_pybytes()
+
+
+def opened(block: bytes) -> pa.RecordBatch:
+    """(lang, gram, k, n) of a block."""
+    rows = pa.ipc.open_stream(block).read_next_batch()
+    k = rows.num_columns - 2
+    words = [rows.column(f"w{j}").dictionary_decode() for j in range(k)]
+    gram = pc.binary_join_element_wise(*words, " ") if k > 1 else words[0]
+    return pa.RecordBatch.from_arrays([rows.column("lang").dictionary_decode(), gram, pa.array(np.full(len(gram), k, np.int32)), rows.column("n")], ["lang", "gram", "k", "n"])
 
 
 def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
@@ -117,37 +158,33 @@ def gram_counts(found: DataFrame, longest: int = LONGEST, least: int = LEAST) ->
     """(lang, gram, k, a) of (lang, piece, times): phrases of 1 to `longest` words that occur `least` times or more."""
     spill = shared_dir(found.sparkSession)
 
+    words = found.agg(F.sum(word_count())).first()[0] or 0
+    buckets = max(int(found.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-longest * words // BUCKET_ROWS))
+
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk in _chunks(batches):
-            yield from weighted_grams(chunk, longest)
+            for bucket, block in blocks(chunk, longest, buckets):
+                yield pa.RecordBatch.from_arrays([pa.array([bucket], pa.int32()), pa.array([block], pa.binary())], ["bucket", "block"])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import duckdb
 
-        first = next(batches, None)
+        grams = (opened(block.as_py()) for batch in batches for block in batch.column("block"))
+        first = next(grams, None)
         if first is None:
             return
-        schema = first.schema
-
-        def all_batches() -> Iterator[pa.RecordBatch]:
-            yield first
-            yield from batches
-
-        rows = pa.RecordBatchReader.from_batches(schema, all_batches())
+        rows = pa.RecordBatchReader.from_batches(first.schema, itertools.chain([first], grams))
         with _spill(spill) as folder, duckdb.connect(config={"threads": "1", "memory_limit": MEMORY_LIMIT, "preserve_insertion_order": "false", **folder}) as db:
             db.register("bucket", rows)
             counted = db.sql(f"SELECT lang, gram, k, CAST(sum(n) AS BIGINT) AS a FROM bucket GROUP BY ALL HAVING sum(n) >= {int(least)}")
             yield from counted.to_arrow_reader(50_000)
 
-    schema = "lang string, gram string, k int, {} long"
-    words = found.agg(F.sum(word_count())).first()[0] or 0
-    buckets = max(int(found.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-longest * words // BUCKET_ROWS))
-    grams = found.select("lang", "piece", "times").mapInArrow(cut, schema.format("n"))
-    return grams.repartition(buckets, "lang", "gram").mapInArrow(count, schema.format("a"))
+    grams = found.select("lang", "piece", "times").mapInArrow(cut, "bucket int, block binary")
+    return grams.repartition(buckets, "bucket").mapInArrow(count, "lang string, gram string, k int, a long")
 
 
 def word_count() -> Column:
-    return F.regexp_count("piece", F.lit(" ")).cast("long") + 1
+    return F.expr("CAST(octet_length(piece) - octet_length(replace(piece, ' ', '')) + 1 AS BIGINT)")
 
 
 def _words(a: Column | int, n: Column | int) -> Column:

@@ -54,19 +54,19 @@ def test_chunks_cut_between_pieces(monkeypatch):
     batch = pa.RecordBatch.from_pylist([dict(zip(("lang", "piece", "times"), r, strict=True)) for r in rows])
     cut = list(collocations._chunks(iter([batch, batch.slice(0, 2)])))
     assert [c.column("piece").to_pylist() for c in cut] == [["a b c"], ["a b c d e f"], ["a", "b c"], ["b c"], ["a b c"], ["a b c d e f"]]
-    total = Counter()
+    total, place = Counter(), {}
     for c in cut:
-        for b in collocations.weighted_grams(c, 3):
-            for r in b.to_pylist():
+        for bucket, block in collocations.blocks(c, 3, 5):
+            for r in collocations.opened(block).to_pylist():
                 total[r["lang"], r["gram"]] += r["n"]
-                assert r["k"] == len(r["gram"].split(" "))
+                assert r["k"] == len(r["gram"].split(" ")) and place.setdefault((r["lang"], r["gram"]), bucket) == bucket
     want = Counter()
     for lang, piece, times in rows + rows[:2]:
         ws = piece.split()
         for k in (1, 2, 3):
             for i in range(len(ws) - k + 1):
                 want[lang, " ".join(ws[i : i + k])] += times
-    assert total == want
+    assert total == want and len(set(place.values())) > 1
 
 
 def test_scores_beyond_64_bits(spark):
