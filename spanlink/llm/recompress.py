@@ -9,10 +9,10 @@ at its ends. Names are hashes of what they stand for, so all tasks agree on them
    document alone holds can't be part of a repeat: windows with such a name in their interior drop out, and what only they hold isn't
    sent in later rounds.
 2. The windows left get a name of their own, folded from what was popped and the last interior, and a second hash of their words, which must agree too
-   (128 bits). The least doc_id of each goes back to the files that hold a later document of it.
+   (96 bits). The least doc_id of each goes back to the files that hold a later document of it.
 
-Texts are copied once into the shared folder, in files of about FILE_BYTES; names are combined per file before they are shuffled, so a passage
-that is everywhere is one row a file. Texts longer than UNIT_WORDS words are read in stretches that overlap by WIDTH - 1 words, which changes no
+Texts are copied once into the shared folder, in files of about FILE_BYTES. Names are combined per file and shuffled in compressed blocks, a
+block for each file and bucket of names, there and back; a passage that is everywhere is one name a file, and no task holds more of it. Texts longer than UNIT_WORDS words are read in stretches that overlap by WIDTH - 1 words, which changes no
 window's interior.
 
 Defined cases: null and empty texts have no words; a document shorter than WIDTH keeps everything; rows of one doc_id are no earlier
@@ -25,7 +25,7 @@ import functools
 import hashlib
 import itertools
 import re
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -40,8 +40,10 @@ from spanlink.llm.files import replacing, resolve
 
 WIDTH = 13
 #: Pair steps of each Spark round; the first round begins with a step on runs.
-ROUNDS = (2, 2)
-FILE_BYTES, CHUNK_BYTES, UNIT_WORDS = 32 << 20, 1 << 20, 1 << 18
+ROUNDS = (4,)
+FILE_BYTES, CHUNK_BYTES, UNIT_WORDS = 16 << 20, 1 << 20, 1 << 18
+#: Bytes of text whose names, of all files, meet in a task.
+BUCKET_BYTES = 64 << 20
 MAX_TASKS = 100_000
 _SPACE = re.compile(rb"[\x20\x09-\x0D]")
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -238,9 +240,9 @@ def _parsed(ids: pa.Array, texts: list[bytes], width: int, seeds: tuple[int, ...
         yield Parse(names[0], own, width, known[own]), value[own], names, spans
 
 
-def _least_and_greatest(keys: list[np.ndarray], docs: np.ndarray) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
-    """Distinct keys, and the least and the greatest doc_id of each."""
-    order = np.lexsort((docs, *keys))
+def _distinct(keys: list[np.ndarray], docs: np.ndarray) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+    """Distinct keys in order, and the least and the greatest doc_id of each."""
+    order = np.lexsort((docs, *keys[::-1]))
     keys, docs = [k[order] for k in keys], docs[order]
     new = np.ones(len(docs), bool)
     new[1:] = np.any([k[1:] != k[:-1] for k in keys], axis=0)
@@ -248,20 +250,45 @@ def _least_and_greatest(keys: list[np.ndarray], docs: np.ndarray) -> tuple[list[
     return [k[begin] for k in keys], docs[begin], docs[np.append(begin[1:], len(docs)) - 1] if len(docs) else docs
 
 
-def _combined(found: list[tuple[list[np.ndarray], np.ndarray]], n_keys: int) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+def _of_file(found: list[tuple[list[np.ndarray], np.ndarray]], n_keys: int) -> dict[str, np.ndarray]:
+    """The distinct keys of a file with the least doc_id and how far the greatest is from it."""
     docs = np.concatenate([np.empty(0, np.int64), *[d for _, d in found]])
-    return _least_and_greatest([np.concatenate([np.empty(0, np.uint64), *[k[j] for k, _ in found]]) for j in range(n_keys)], docs)
+    keys = [np.concatenate([np.empty(0, np.uint64), *[k[j] for k, _ in found]]) for j in range(n_keys)]
+    keys, low, high = _distinct(keys, docs)
+    return dict(zip(("name", "check"), keys, strict=False)) | {"low": low, "more": high - low}
 
 
-def _both(keys: list[np.ndarray], docs: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
+def _thinned(keys: list[np.ndarray], docs: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
     """Keys with their least and greatest doc_ids as two rows, or one."""
-    keys, low, high = _least_and_greatest(keys, docs)
+    keys, low, high = _distinct(keys, docs)
     more = high > low
     return [np.concatenate([k, k[more]]) for k in keys], np.concatenate([low, high[more]])
 
 
-def symbol_rows(file: int, path: str, width: int, rounds: tuple[int, ...], shared: np.ndarray) -> pa.Table:
-    """(file, name, low, high): names of the last of some rounds in interiors of windows that earlier rounds have left."""
+def _block(columns: dict[str, np.ndarray]) -> bytes:
+    batch, out = pa.RecordBatch.from_pydict({c: pa.array(x) for c, x in columns.items()}), pa.BufferOutputStream()
+    with pa.ipc.new_stream(out, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as stream:
+        stream.write_batch(batch)
+    return out.getvalue().to_pybytes()
+
+
+def _opened(blocks: list[bytes], names: tuple[str, ...]) -> dict[str, np.ndarray]:
+    batches = [pa.ipc.open_stream(b).read_next_batch() for b in blocks]
+    kinds = {"name": np.uint64, "check": np.uint32}
+    return {c: np.concatenate([np.empty(0, kinds.get(c, np.int64)), *[b.column(c).to_numpy() for b in batches]]) for c in names}
+
+
+def _dealt(file: int, columns: dict[str, np.ndarray], buckets: int) -> pa.Table:
+    """(bucket, file, block): a file's rows by buckets of names."""
+    bucket = (columns["name"] >> np.uint64(8)) % np.uint64(buckets)
+    order = np.argsort(bucket.astype(np.uint32), kind="stable")
+    parts = np.split(order, np.flatnonzero(np.diff(bucket[order])) + 1) if len(order) else []
+    rows = [(int(bucket[own[0]]), file, _block({c: x[own] for c, x in columns.items()})) for own in parts]
+    return pa.table([pa.array(x, t) for x, t in zip(zip(*rows, strict=True) if rows else ((), (), ()), (pa.int32(), pa.int64(), pa.binary()), strict=True)], ["bucket", "file", "block"])
+
+
+def symbol_rows(path: str, width: int, rounds: tuple[int, ...], shared: np.ndarray) -> dict[str, np.ndarray]:
+    """Names of the last of some rounds in interiors of windows that earlier rounds have left."""
     found = []
     for ids, texts in _read(path):
         for parse, doc, _, _ in _parsed(ids, texts, width):
@@ -270,23 +297,49 @@ def symbol_rows(file: int, path: str, width: int, rounds: tuple[int, ...], share
                 if k + 1 < len(rounds):
                     parse.drop_lone(shared)
             s = parse.inside()
-            found.append(_both([parse.name[s]], doc[parse.start[s]]))
-    (name,), low, high = _combined(found, 1)
-    return pa.table({"file": np.full(len(name), file), "name": name.view(np.int64), "low": low, "high": high})
+            found.append(_thinned([parse.name[s]], doc[parse.start[s]]))
+    return _of_file(found, 1)
 
 
-def window_rows(file: int, path: str, width: int, rounds: tuple[int, ...], shared: np.ndarray) -> pa.Table:
-    """(file, name, check, low, high) of the windows that all rounds have left."""
+def window_rows(path: str, width: int, rounds: tuple[int, ...], shared: np.ndarray) -> dict[str, np.ndarray]:
+    """Names and checks of the windows that all rounds have left."""
     found = []
     for ids, texts in _read(path):
         for parse, doc, names, _ in _parsed(ids, texts, width, (0, 1)):
             for k, steps in enumerate(rounds):
                 parse.round(k, steps)
                 parse.drop_lone(shared)
-            check = _stretch(names[1], parse.first, parse.first + width)
-            found.append(_both([parse.window_names(), check], doc[parse.first]))
-    (name, check), low, high = _combined(found, 2)
-    return pa.table({"file": np.full(len(name), file), "name": name.view(np.int64), "check": check.view(np.int64), "low": low, "high": high})
+            check = _check(names[1], parse.first, width).astype(np.uint64)
+            found.append(_thinned([parse.window_names(), check], doc[parse.first]))
+    rows = _of_file(found, 2)
+    return rows | {"check": rows["check"].astype(np.uint32)}
+
+
+def _check(names: np.ndarray, first: np.ndarray, width: int) -> np.ndarray:
+    return (_stretch(names, first, first + width) >> np.uint64(32)).astype(np.uint32)
+
+
+def meet(blocks: list[bytes], files: list[int], windows: bool) -> Iterator[tuple[int, bytes]]:
+    """(file, block) from all files' blocks of some names: names that several documents hold, or windows with the least doc_id of an earlier document."""
+    keys = ("name", "check") if windows else ("name",)
+    opened = _opened(blocks, (*keys, "low", "more"))
+    sizes = [pa.ipc.open_stream(b).read_next_batch().num_rows for b in blocks]
+    file = np.repeat(np.array(files, np.int64), sizes)
+    order = np.lexsort([opened[k] for k in reversed(keys)])
+    rows = {c: x[order] for c, x in opened.items()}
+    file, high = file[order], rows["low"] + rows["more"]
+    new = np.ones(len(file), bool)
+    new[1:] = np.any([rows[k][1:] != rows[k][:-1] for k in keys], axis=0)
+    begin, group = np.flatnonzero(new), np.cumsum(new) - 1
+    if not len(begin):
+        return
+    least, greatest = np.minimum.reduceat(rows["low"], begin), np.maximum.reduceat(high, begin)
+    kept = high > least[group] if windows else (least < greatest)[group]
+    out = {k: rows[k][kept] for k in keys} | ({"least": least[group][kept]} if windows else {})
+    file = file[kept]
+    by_file = np.argsort(file, kind="stable")
+    for own in np.split(by_file, np.flatnonzero(np.diff(file[by_file])) + 1) if len(by_file) else []:
+        yield int(file[own[0]]), _block({c: x[own] for c, x in out.items()})
 
 
 def _least_of(name: np.ndarray, check: np.ndarray, side: tuple[np.ndarray, np.ndarray, np.ndarray]) -> np.ndarray:
@@ -325,7 +378,7 @@ def _removed(ids: pa.Array, texts: list[bytes], width: int, rounds: tuple[int, .
     for parse, doc, names, spans in _parsed(ids, texts, width, (0, 1)):
         for k, steps in enumerate(rounds):
             parse.round(k, steps)
-        check = _stretch(names[1], parse.first, parse.first + width)
+        check = _check(names[1], parse.first, width)
         late = parse.first[doc[parse.first] > _least_of(parse.window_names(), check, side)]
         edges = np.zeros(parse.n + 1, np.int64)
         np.add.at(edges, late, 1)
@@ -348,7 +401,7 @@ def kept_rows(path: str, width: int, rounds: tuple[int, ...], side: tuple[np.nda
 
 
 def write_files(docs: DataFrame) -> DataFrame:
-    """(file, path): the rows (doc_id, text as binary) in files of about FILE_BYTES in the shared folder."""
+    """(file, path, bytes): the rows (doc_id, text as binary) in files of about FILE_BYTES in the shared folder."""
     folder = shared_dir(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -361,7 +414,7 @@ def write_files(docs: DataFrame) -> DataFrame:
             path = f"{folder}/{part:06d}-{k:06d}.parquet"
             with replacing(path) as out:
                 pq.write_table(pa.Table.from_batches(held), out, compression="zstd", row_group_size=4096)
-            return pa.RecordBatch.from_pydict({"file": [(part << 32) + k], "path": [path]})
+            return pa.RecordBatch.from_pydict({"file": [(part << 32) + k], "path": [path], "bytes": [size]})
 
         for batch in batches:
             for at in range(0, len(batch), 64):
@@ -374,44 +427,54 @@ def write_files(docs: DataFrame) -> DataFrame:
         if held:
             yield write()
 
-    return materialize(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text")).mapInArrow(run, "file long, path string"))
+    return materialize(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text")).mapInArrow(run, "file long, path string, bytes long"))
 
 
 def remove_repeats(docs: DataFrame, width: int = WIDTH, rounds: tuple[int, ...] = ROUNDS, keep_text: bool = False) -> DataFrame:
     """(doc_id, n_words, n_removed, kept_sha256[, kept]) per row of (doc_id, text); kept: the remaining words joined by one space."""
     files = write_files(docs)
-    tasks = max(1, min(MAX_TASKS, files.count()))
-    files = files.repartition(tasks, "file")
+    n_files, size = files.agg(F.count("*"), F.coalesce(F.sum("bytes"), F.lit(0))).first()
+    tasks = max(1, min(MAX_TASKS, n_files))
+    buckets = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), size // BUCKET_BYTES)
+    files = files.select("file", "path").repartition(tasks, "file")
 
-    def with_files(side: DataFrame, run, schema: str) -> DataFrame:
+    def with_files(side: DataFrame, run: Callable[[int, str, list[bytes]], pa.Table], schema: str) -> DataFrame:
         def one(files: pa.Table, side: pa.Table) -> pa.Table:
-            out = [run(f, p, side) for f, p in zip(files.column("file").to_pylist(), files.column("path").to_pylist(), strict=True)]
-            return pa.concat_tables(out)
+            blocks = side.column("block").to_pylist()
+            return pa.concat_tables(run(f, p, blocks) for f, p in zip(files.column("file").to_pylist(), files.column("path").to_pylist(), strict=True))
 
         return files.groupBy("file").cogroup(side.repartition(tasks, "file").groupBy("file")).applyInArrow(one, schema)
 
-    def names(side: pa.Table) -> np.ndarray:
-        return np.sort(side.column("name").to_numpy().view(np.uint64))
+    def together(dealt: DataFrame, windows: bool) -> DataFrame:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            blocks, owners = [], []
+            for batch in batches:
+                blocks += batch.column("block").to_pylist()
+                owners += batch.column("file").to_pylist()
+            for file, block in meet(blocks, owners, windows) if blocks else ():
+                yield pa.RecordBatch.from_arrays([pa.array([file], pa.int64()), pa.array([block], pa.binary())], ["file", "block"])
+
+        return dealt.repartition(buckets, "bucket").mapInArrow(run, "file long, block binary")
+
+    def names(blocks: list[bytes]) -> np.ndarray:
+        return np.sort(_opened(blocks, ("name",))["name"])
 
-    shared = files.sparkSession.createDataFrame([], "file long, name long")
+    shared = docs.sparkSession.createDataFrame([], "file long, block binary")
     for k in range(len(rounds)):
-        found = materialize(with_files(shared, lambda f, p, side, k=k: symbol_rows(f, p, width, rounds[: k + 1], names(side)), _SYMBOLS))
-        several = found.groupBy("name").agg(F.min("low").alias("least"), F.max("high").alias("greatest")).where("least < greatest").select("name")
-        shared = shared.unionByName(materialize(found.join(several, "name").select("file", "name")))
-    windows = materialize(with_files(shared, lambda f, p, side: window_rows(f, p, width, rounds, names(side)), _WINDOWS))
-    least = windows.groupBy("name", "check").agg(F.min("low").alias("least"), F.max("high").alias("greatest")).where("least < greatest")
-    side = materialize(windows.join(least, ["name", "check"]).where("high > least").select("file", "name", "check", "least"))
+        found = with_files(shared, lambda f, p, blocks, k=k: _dealt(f, symbol_rows(p, width, rounds[: k + 1], names(blocks)), buckets), _DEALT)
+        shared = shared.unionByName(together(found, False))
+        shared = materialize(shared) if k + 1 < len(rounds) else shared  # a later round and the windows both read it
+    windows = with_files(shared, lambda f, p, blocks: _dealt(f, window_rows(p, width, rounds, names(blocks)), buckets), _DEALT)
 
-    def kept(file: int, path: str, side: pa.Table) -> pa.Table:
-        name, check, least = (side.column(c).to_numpy() for c in ("name", "check", "least"))
-        order = np.argsort(name.view(np.uint64), kind="stable")
-        return pa.Table.from_batches(kept_rows(path, width, rounds, (name.view(np.uint64)[order], check.view(np.uint64)[order], least[order]), keep_text))
+    def kept(file: int, path: str, blocks: list[bytes]) -> pa.Table:
+        side = _opened(blocks, ("name", "check", "least"))
+        order = np.argsort(side["name"], kind="stable")
+        return pa.Table.from_batches(kept_rows(path, width, rounds, tuple(x[order] for x in side.values()), keep_text))
 
-    return with_files(side, kept, _KEPT + ", kept string" * keep_text)
+    return with_files(together(windows, True), kept, _KEPT + ", kept string" * keep_text)
 
 
-_SYMBOLS = "file long, name long, low long, high long"
-_WINDOWS = "file long, name long, check long, low long, high long"
+_DEALT = "bucket int, file long, block binary"
 _KEPT = "doc_id long, n_words long, n_removed long, kept_sha256 string"
 
 
