@@ -3,8 +3,8 @@
 1. Lower-cased texts are split into pieces. Identical pieces become one row with a multiplicity, combined before the shuffle, so a line that
    is everywhere is cut into phrases once.
 2. Tasks cut CHUNK_WORDS words of pieces at a time into weighted n-grams and add up equal ones, so a common word leaves a chunk once.
-   N-grams are dealt into hash buckets by (lang, words); those of a chunk and bucket are shuffled as one compressed block, and duckdb
-   counts each bucket from the stream of its blocks, within MEMORY_LIMIT; what doesn't fit goes to a folder of the task in
+   N-grams are dealt into hash buckets by (lang, words); those of a chunk and bucket are shuffled as one compressed block of codes, and
+   duckdb counts each bucket from the stream of its blocks, within MEMORY_LIMIT; what doesn't fit goes to a folder of the task in
    spark.checkpoint.dir, where that is a path of files. The number of buckets follows the number of words, about BUCKET_ROWS n-grams each. Only counts of `least` or more go on: no phrase counts more than its parts.
 3. Candidates ask for the counts of their parts by requests, which are shuffled to the parts, answered, and shuffled back. Parts
    with more than a HOT_SHARE of all requests, so at most 1 / HOT_SHARE of them, are answered in SALT places.
@@ -19,7 +19,7 @@ from __future__ import annotations
 import contextlib
 import itertools
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +32,7 @@ from spanlink.llm.common import materialize, shared_dir, table
 from spanlink.llm.files import resolve
 
 LONGEST, LEAST, BEST, CONTAINED = 3, 10, 2000, 50
-CHUNK_WORDS, BUCKET_ROWS, MEMORY_LIMIT = 1 << 21, 32_000_000, "512MB"
+CHUNK_WORDS, BUCKET_ROWS, MEMORY_LIMIT = 1 << 21, 4_000_000, "512MB"
 HOT_SHARE, HOT_LEAST, SALT = 1 / 10_000, 1_000, 64
 MARKS = r"[.,;:!?\x0A-\x0D]"
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -86,38 +86,53 @@ def _hashes(values: pa.Array) -> np.ndarray:
     return np.fromiter((xxhash.xxh64_intdigest(v) for v in values.to_pylist()), np.uint64, len(values))
 
 
-def _coded(code: np.ndarray, values: pa.Array) -> pa.DictionaryArray:
-    used, own = np.unique(code, return_inverse=True)
-    return pa.DictionaryArray.from_arrays(pa.array(own.astype(np.uint16 if len(used) < 1 << 16 else np.uint32)), values.take(pa.array(used)))
+def _packed(batch: pa.RecordBatch) -> bytes:
+    out = pa.BufferOutputStream()
+    with pa.ipc.new_stream(out, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as stream:
+        stream.write_batch(batch)
+    return out.getvalue().to_pybytes()
 
 
-def blocks(chunk: pa.Table, longest: int, buckets: int) -> Iterator[tuple[int, bytes]]:
-    """(bucket, grams): a chunk's grams of one length that fall into one bucket, their words in codes, compressed."""
+def blocks(chunk: pa.Table, longest: int, buckets: int) -> Iterator[tuple[int, bytes, bytes]]:
+    """(bucket, names, grams): a chunk's grams that fall into one bucket, as codes of names (words and languages; an empty name stands for no word)."""
     langs, words, grams = weighted_grams(chunk, longest)
     lang_hash, word_hash = _hashes(langs), _hashes(words)
+    names = pa.concat_arrays([pa.array([""]), words.cast(pa.string()), langs.cast(pa.string())])
+    columns, hashes = [], []
     for lang, codes, n in grams:
         h = lang_hash[lang]
         for code in codes:
             h = (h ^ (h >> np.uint64(29))) * _ODD + word_hash[code]
-        bucket = ((h ^ (h >> np.uint64(32))) * _ODD >> np.uint64(16)) % np.uint64(buckets)
-        order = np.argsort(bucket.astype(np.uint32), kind="stable")
-        cuts = np.flatnonzero(np.diff(bucket[order])) + 1
-        for own in np.split(order, cuts):
-            columns = {"lang": _coded(lang[own], langs), "n": pa.array(n[own])} | {f"w{j}": _coded(code[own], words) for j, code in enumerate(codes)}
-            out = pa.BufferOutputStream()
-            batch = pa.RecordBatch.from_pydict(columns)
-            with pa.ipc.new_stream(out, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as stream:
-                stream.write_batch(batch)
-            yield int(bucket[own[0]]), out.getvalue().to_pybytes()
-
-
-def opened(block: bytes) -> pa.RecordBatch:
-    """(lang, gram, k, n) of a block."""
-    rows = pa.ipc.open_stream(block).read_next_batch()
-    k = rows.num_columns - 2
-    words = [rows.column(f"w{j}").dictionary_decode() for j in range(k)]
-    gram = pc.binary_join_element_wise(*words, " ") if k > 1 else words[0]
-    return pa.RecordBatch.from_arrays([rows.column("lang").dictionary_decode(), gram, pa.array(np.full(len(gram), k, np.int32)), rows.column("n")], ["lang", "gram", "k", "n"])
+        hashes.append(h)
+        none = [np.zeros(len(n), np.int64)] * (longest - len(codes))
+        columns.append([lang + len(words) + 1, *[code + 1 for code in codes], *none, n])
+    if not columns:
+        return
+    h, columns = np.concatenate(hashes), [np.concatenate(x) for x in zip(*columns, strict=True)]
+    bucket = (((h ^ (h >> np.uint64(32))) * _ODD) >> np.uint64(16)) % np.uint64(buckets)
+    order = np.argsort(bucket.astype(np.uint32), kind="stable")
+    for own in np.split(order, np.flatnonzero(np.diff(bucket[order])) + 1):
+        codes = [x[own] for x in columns[:-1]]
+        used = np.zeros(len(names), bool)
+        for code in codes:
+            used[code] = True
+        local = np.cumsum(used) - 1
+        kind = np.uint16 if local[-1] < 1 << 16 else np.uint32
+        batch = pa.RecordBatch.from_arrays([pa.array(local[code].astype(kind)) for code in codes] + [pa.array(columns[-1][own])], _columns(longest))
+        yield int(bucket[own[0]]), _packed(pa.RecordBatch.from_arrays([names.filter(pa.array(used))], ["name"])), _packed(batch)
+
+
+def _columns(longest: int) -> list[str]:
+    return ["lang", *[f"w{j}" for j in range(longest)], "n"]
+
+
+def opened(rows: Iterable[tuple[bytes, bytes]], numbers: dict[str, int]) -> Iterator[pa.RecordBatch]:
+    """Grams of blocks (names, grams) with one number for each name; `numbers` grows by the names that are new."""
+    for names, grams in rows:
+        known = pa.ipc.open_stream(names).read_next_batch().column(0).to_pylist()
+        number = np.array([numbers.setdefault(x, len(numbers)) for x in known], np.int32)
+        batch = pa.ipc.open_stream(grams).read_next_batch()
+        yield pa.RecordBatch.from_arrays([pa.array(number[c.to_numpy()]) for c in batch.columns[:-1]] + [batch.column("n")], batch.schema.names)
 
 
 def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
@@ -163,23 +178,36 @@ def gram_counts(found: DataFrame, longest: int = LONGEST, least: int = LEAST) ->
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk in _chunks(batches):
-            for bucket, block in blocks(chunk, longest, buckets):
-                yield pa.RecordBatch.from_arrays([pa.array([bucket], pa.int32()), pa.array([block], pa.binary())], ["bucket", "block"])
+            for bucket, names, grams in blocks(chunk, longest, buckets):
+                yield pa.RecordBatch.from_arrays([pa.array([bucket], pa.int32()), pa.array([names], pa.binary()), pa.array([grams], pa.binary())], ["bucket", "names", "grams"])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import duckdb
 
-        grams = (opened(block.as_py()) for batch in batches for block in batch.column("block"))
-        first = next(grams, None)
-        if first is None:
-            return
-        rows = pa.RecordBatchReader.from_batches(first.schema, itertools.chain([first], grams))
-        with _spill(spill) as folder, duckdb.connect(config={"threads": "1", "memory_limit": MEMORY_LIMIT, "preserve_insertion_order": "false", **folder}) as db:
-            db.register("bucket", rows)
-            counted = db.sql(f"SELECT lang, gram, k, CAST(sum(n) AS BIGINT) AS a FROM bucket GROUP BY ALL HAVING sum(n) >= {int(least)}")
-            yield from counted.to_arrow_reader(50_000)
-
-    grams = found.select("lang", "piece", "times").mapInArrow(cut, "bucket int, block binary")
+        by_bucket: dict[int, list[tuple[bytes, bytes]]] = {}
+        for batch in batches:
+            for bucket, *block in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                by_bucket.setdefault(bucket, []).append(tuple(block))
+        names = _columns(longest)
+        for rows in by_bucket.values():
+            numbers: dict[str, int] = {"": 0}
+            opening = opened(rows, numbers)
+            first = next(opening)
+            reader = pa.RecordBatchReader.from_batches(first.schema, itertools.chain([first], opening))
+            with _spill(spill) as folder, duckdb.connect(config={"threads": "1", "memory_limit": MEMORY_LIMIT, "preserve_insertion_order": "false", **folder}) as db:
+                db.register("bucket", reader)
+                keys = ", ".join(names[:-1])
+                frequent = db.sql(f"SELECT {keys}, CAST(sum(n) AS BIGINT) AS a FROM bucket GROUP BY {keys} HAVING sum(n) >= {int(least)}").to_arrow_table()
+            text = pa.array(list(numbers))  # numbered in order
+            of = lambda c: text.take(frequent.column(c).combine_chunks())  # noqa: B023, E731
+            length = sum((frequent.column(c).to_numpy() > 0).astype(np.int32) for c in names[1:-1])
+            gram = of("w0")
+            for c in names[2:-1]:
+                none = pa.array(frequent.column(c).to_numpy() == 0)
+                gram = pc.if_else(none, gram, pc.binary_join_element_wise(gram, of(c), " "))
+            yield pa.RecordBatch.from_arrays([of("lang"), gram, pa.array(length), frequent.column("a").combine_chunks()], ["lang", "gram", "k", "a"])
+
+    grams = found.select("lang", "piece", "times").mapInArrow(cut, "bucket int, names binary, grams binary")
     return grams.repartition(buckets, "bucket").mapInArrow(count, "lang string, gram string, k int, a long")
 
 
