@@ -98,7 +98,7 @@ def marked_second_side(ref: Column, content: Column, start: Column, end: Column,
     more = F.trim(F.regexp_replace(F.substring(content, after["end"] + 1, F.length(content)), "<[^>]*>", "")) != ""
     tokens = F.array_remove(F.split(F.trim(F.regexp_replace(F.substring(content, start + 1, end - start), "<[^>]*>", "")), r"\s+"), "")
     leaf = F.regexp_extract(ref, "^.+ ([0-9]+)$", 1).try_cast("int")
-    spells = F.array_contains(readings(F.element_at(tokens, -1)), leaf)
+    spells = F.array_contains(readings(F.try_element_at(tokens, F.lit(-1))), leaf)
     return F.when(leafed & after["colon"] & more & (F.size(tokens) > 0) & spells, after["end"])
 
 

@@ -18,10 +18,14 @@ from spanlink.operators.catalog import unambiguous
 from spanlink.schemas import LINE
 
 KEY = [*LINE, "pos"]
-#: Abbreviations and authors of notes on codes, fixed values.
+#: One printed side in a list, a fixed pattern: that of an address, without groups.
+CHAPTER_SIDE = "(?:דף\\s+|ד['׳]\\s*)?(?:[א-ת]{1,3}|[א-ת]{1,2}[\"״][א-ת]|[א-ת]['׳])(?:\\s*(?:[.:])|\\s*,\\s*(?:[אב])|\\s+ע[\"״](?:[אב]))"
+# fixed values: parts and authors of notes on codes, the whole note (part, chapter, note), the author at the end of a clause, what may be before him
 CODE_PARTS = {'יו"ד': "Yoreh De'ah", 'חו"מ': "Choshen Mishpat"}
 CODE_AUTHORS = {'ש"ך': "Siftei Kohen", 'ט"ז': "Turei Zahav"}
-_CODE_NOTE = "^({parts})\\s+(?:סי['\"]?|סימן)\\s*({number})\\s+(?:ס[\"']ק|סק[\"'])\\s*({number})$"
+CODE_NOTE = r"""^ו?ב?(יו["]ד|חו["]מ)\s+(?:(?:סימן|סי['"]?)\s+)?([א-ת'"]{1,7})\s+(?:ס["]ק\s*|סק["]?\s*|סעיף\s+קטן\s+)([א-ת'"]{1,7})$"""
+CODE_AUTHOR = r"""(?<![א-ת])ו?[כשה]?(?:ה)?(ש["]ך|ט["]ז)(?:\s+ז["]ל)?(?:\s+שם)?(?:\s+בסי'\s+הנ["]ל)?$"""
+CODE_LEAD = "^$|(?:כתב|ועיין|ועי'|ולא|קושית|קושיית)$"
 
 
 def anchor() -> Column:
@@ -103,16 +107,22 @@ def own_relative(citations: DataFrame, segments: DataFrame) -> DataFrame:
     return existing(c.where(on_side).select(*KEY, side_ref(F.col("own_title"), F.col("daf"), F.col("a.side")).alias("ref"), F.col("a.direction").alias("direction")), segments)
 
 
-def names_elsewhere(citations: DataFrame, works: DataFrame, width: int = 3) -> DataFrame:
-    """KEYs whose clause before the anchor names a work other than own_title, with or without a prefix, or is over 64 words long."""
+def names_elsewhere(citations: DataFrame, works: DataFrame) -> DataFrame:
+    """KEYs whose clause before the anchor names a work other than own_title, with or without a prefix, or is over 64 words long.
+
+    Aliases are met by their first word and then compared whole, so names of any length are found.
+    """
     tokens = F.transform(clause_before(plain_quotes(F.col("content").substr(F.lit(1), F.col("start"))), F.col("start"), 65), lambda w: F.btrim(w, F.lit("(),;:.[]")))
     c = citations.select(*KEY, "own_title", tokens.alias("tokens"))
     long = c.where(F.size("tokens") > 64).select(*KEY)
-    starts = F.explode(F.sequence(F.lit(0), F.size("tokens") - 1)).alias("at")
-    runs = c.where(F.size("tokens") > 0).select(*KEY, "own_title", "tokens", starts).select(*KEY, "own_title", F.explode(F.array(*[F.array_join(F.slice("tokens", F.col("at") + 1, n), " ") for n in range(1, width + 1)])).alias("run"))
-    forms = F.explode(F.array(F.col("run"), *[F.when(F.startswith("run", F.lit(p)), F.substring("run", len(p) + 1, 1000)) for p in addresses.LEAD_PREFIXES if p])).alias("alias")
-    aliases = works.select(F.col("title").alias("work"), F.explode("aliases").alias("alias")).distinct()
-    other = runs.select(*KEY, "own_title", forms).join(aliases, "alias").where("work <> own_title").select(*KEY)
+    each = c.where("size(tokens) <= 64").select(*KEY, "own_title", "tokens", F.posexplode("tokens").alias("at", "token"))
+    first = F.explode(F.array(F.col("token"), *[F.when(F.startswith("token", F.lit(p)), F.substring("token", len(p) + 1, 1000)) for p in addresses.LEAD_PREFIXES if p])).alias("first")
+    begun = each.select(*KEY, "own_title", "tokens", "at", first).where("first <> ''")
+    aliases = works.select(F.col("title").alias("work"), F.explode("aliases").alias("alias")).distinct().withColumn("words", F.split("alias", " "))
+    met = begun.join(aliases.withColumn("first", F.get("words", 0)), "first").where("work <> own_title")
+    rest = lambda n: F.slice("tokens", F.col("at") + 2, n)
+    whole = rest(F.size("words") - 1) == F.slice("words", 2, F.size("words") - 1)
+    other = met.where((F.size("words") == 1) | F.coalesce(whole, F.lit(False))).select(*KEY)
     return other.unionByName(long).distinct()
 
 
@@ -173,7 +183,7 @@ def parenthesized(citations: DataFrame, works: DataFrame, segments: DataFrame, c
     locates = F.forall("lead", lambda p: (p["end"] <= F.col("paren")) & ((p["label"] == "RELATIVE") | ((p["label"] == "NAMED") & F.trim(part_text(p)).rlike(addresses.CHAPTER_LEAD))))
     kinds = F.transform("inner", lambda p: p["label"])
     c = c.where((F.size("lead") > 0) & locates & (F.array_join(kinds, ",").rlike("^NAMED,NUMBERED$")))
-    first, last = F.col("inner")[0], F.element_at("inner", -1)
+    first, last = F.col("inner")[0], F.try_element_at("inner", F.lit(-1))
     c = c.select(*KEY, "content", F.col("start").alias("from"), part_text(first).alias("alias"), part_text(last).alias("address"), F.expr("substring(content, start + 1, paren)").alias("lead"), (F.col("start") + first["start"]).alias("start"), (F.col("start") + last["end"]).alias("end"))
     return existing(narrowed(_addressed(c, works), chapters, must=False), segments).select(*KEY, "start", "end", "ref")
 
@@ -190,7 +200,7 @@ def chapter_led(citations: DataFrame, works: DataFrame, segments: DataFrame, cha
     before = F.array_join(F.transform(F.slice("parts", 1, F.greatest(F.size("parts") - 2, F.lit(0))), part_text), " ")
     whole = F.when(F.size("parts") > 2, F.struct(before.alias("lead"), text.alias("alias")))
     splits = F.array_compact(F.concat(F.array(whole), F.transform(tails, lambda t: F.struct(F.trim(F.concat_ws(" ", before, t["lead"])).alias("lead"), t["alias"].alias("alias")))))
-    c = c.select(*KEY, "content", "start", "end", part_text(F.element_at("parts", -1)).alias("address"), F.explode(splits).alias("s")).select(*KEY, "content", "start", "end", "address", "s.*")
+    c = c.select(*KEY, "content", "start", "end", part_text(F.try_element_at("parts", F.lit(-1))).alias("address"), F.explode(splits).alias("s")).select(*KEY, "content", "start", "end", "address", "s.*")
     found = existing(narrowed(_addressed(c, works), chapters, must=True), segments)
     return one_ref(found.select(*KEY, "ref"))
 
@@ -210,7 +220,7 @@ def narrowed(found: DataFrame, chapters: DataFrame, must: bool) -> DataFrame:
 
 
 def chapter_lists(citations: DataFrame, works: DataFrame, segments: DataFrame, chapters: DataFrame) -> DataFrame:
-    """(KEY, k, ref): a named chapter with one to four printed sides in its parenthesis, each a citation of its own; all or none.
+    """(KEY, k, start, end, ref): a named chapter with one to four printed sides in its parenthesis, each a citation of its own; all or none.
 
     The chapter's name must be of one tractate: the one that the lead names too, or the only one that has it.
     """
@@ -218,9 +228,13 @@ def chapter_lists(citations: DataFrame, works: DataFrame, segments: DataFrame, c
     opening = F.instr(text, "(")
     lead = without_vowels(plain_quotes(F.substring(text, F.lit(1), opening - 1)))
     body = F.regexp_replace(F.substring(text, opening + 1, F.length(text)), "[ )]+$", "")
-    one = addresses.DAF_ADDRESS.replace("(דף", "(?:דף", 1).replace(f"({addresses.UNTITLED_DAF})", f"(?:{addresses.UNTITLED_DAF})").replace("([.:])", "(?:[.:])").replace("([אב])", "(?:[אב])")
+    one = CHAPTER_SIDE
     c = citations.where(~F.arrays_overlap(labels(), F.array(*[F.lit(x) for x in ("RELATIVE", "IBID", "DH")])) & (F.regexp_count(text, F.lit("[(]")) == 1) & body.rlike(rf"^\s*(?:{one})(?:\s*[.;]\s*(?:{one})){{0,3}}$"))
-    c = c.select(*KEY, lead.alias("lead"), F.transform(F.regexp_extract_all(body, F.lit(one), F.lit(0)), addresses.daf_address).alias("at")).where(F.forall("at", lambda a: a.isNotNull()))
+    printed, gaps = F.regexp_extract_all(body, F.lit(one), F.lit(0)), F.split(body, one, -1)
+    before = lambda k: F.aggregate(F.slice("printed", 1, k), F.lit(0), lambda n, x: n + F.length(x)) + F.aggregate(F.slice("gaps", 1, k + 1), F.lit(0), lambda n, x: n + F.length(x))
+    c = c.withColumns({"printed": printed, "gaps": gaps, "from": F.col("start") + opening})
+    sides = F.transform("printed", lambda t, k: F.struct(addresses.daf_address(t).alias("a"), (F.col("from") + before(k)).alias("start"), (F.col("from") + before(k) + F.length(t)).alias("end")))
+    c = c.select(*KEY, lead.alias("lead"), sides.alias("at")).where(F.forall("at", lambda x: x["a"].isNotNull()))
     titles = works.where("category = 'Talmud'").select(F.col("title").alias("work"), F.explode("aliases").alias("alias"))
     chapters = _of_works(chapters)
     # "<chapter> [of] <title>" or the chapter alone
@@ -232,31 +246,31 @@ def chapter_lists(citations: DataFrame, works: DataFrame, segments: DataFrame, c
     alone = named.where("alias = ''").join(chapters, "name").join(explicit.select(*KEY).distinct(), KEY, "left_anti")
     met = explicit.select(*KEY, "at", "work", "first", "last").unionByName(alone.select(*KEY, "at", "work", "first", "last"))
     met = met.join(unambiguous(met, KEY, "work"), [*KEY, "work"], "left_semi")
-    each = met.select(*KEY, F.size("at").alias("n"), "work", "first", "last", F.posexplode("at").alias("k", "a")).where(numerals.amud(F.col("a.daf"), F.col("a.side")).between(F.col("first"), F.col("last")))
-    found = existing(each.select(*KEY, "n", "k", side_ref(F.col("work"), F.col("a.daf"), F.col("a.side")).alias("ref")).distinct(), segments)
-    return found.withColumn("whole", F.count("*").over(Window.partitionBy(*KEY)) == F.col("n")).where("whole").select(*KEY, "k", "ref")
+    each = met.select(*KEY, F.size("at").alias("n"), "work", "first", "last", F.posexplode("at").alias("k", "x")).select("*", "x.*").where(numerals.amud(F.col("a.daf"), F.col("a.side")).between(F.col("first"), F.col("last")))
+    found = existing(each.select(*KEY, "n", "k", "start", "end", side_ref(F.col("work"), F.col("a.daf"), F.col("a.side")).alias("ref")).distinct(), segments)
+    return found.withColumn("whole", F.count("*").over(Window.partitionBy(*KEY)) == F.col("n")).where("whole").select(*KEY, "k", "start", "end", "ref")
 
 
 def code_commentary(citations: DataFrame, segments: DataFrame) -> DataFrame:
-    """(KEY, ref): a note of one of two commentaries on a code, by its printed numbers and the author right before the anchor.
+    """(KEY, ref): a note on a code by its own author. candidates: the code itself, alone.
 
-    candidates: the code itself. Numbers must be spelled as usual; a second author or other words before the author leave it out.
+    The whole anchor must read as part, chapter and note, both numbers spelled as usual, and one of the two authors must end the clause
+    before it, after nothing or after a word that hands over to him.
     """
-    number = f"(?:{addresses.UNTITLED_DAF})"
-    pattern = _CODE_NOTE.format(parts="|".join(CODE_PARTS), number=number)
-    plain = lambda x: without_vowels(plain_quotes(F.regexp_replace(x, QUOTED_TAG, " ")))
-    a = F.btrim(plain(anchor()), F.lit(" ()[]"))
-    before = F.regexp_replace(plain(F.col("content").substr(F.lit(1), F.col("start"))), r"[ (\[]+$", "")
-    clause = F.trim(F.regexp_extract(before, r"([^.:;()\[\]]*)$", 1))
-    author = f"^(?:(.*)\\s)?ו?[בדה]?({'|'.join(CODE_AUTHORS)})$"
-    lead = F.trim(F.regexp_extract(clause, author, 1))
-    by = lambda known, key: F.element_at(F.create_map(*[F.lit(x) for kv in known.items() for x in kv]), key)
-    c = citations.where(a.rlike(pattern) & clause.rlike(author) & ((lead == "") | lead.rlike("(?:כתב|ועיין|ועי'|ולא|קושית|קושיית)$")))
-    part, letters = by(CODE_PARTS, F.regexp_extract(a, pattern, 1)), [F.regexp_replace(F.regexp_extract(a, pattern, k), "[^א-ת]", "") for k in (2, 3)]
-    code = F.concat(F.lit("Shulchan Arukh, "), part)
-    ref = F.concat(by(CODE_AUTHORS, F.regexp_extract(clause, author, 2)), F.lit(" on "), code, F.lit(" "), numerals.numeral(letters[0]).cast("string"), F.lit(":"), numerals.numeral(letters[1]).cast("string"))
-    c = c.where((F.size("candidates") == 1) & (title_of(F.col("candidates")[0]) == code) & numerals.is_canonical_numeral(letters[0]) & numerals.is_canonical_numeral(letters[1]))
-    return c.select(*KEY, ref.alias("ref")).join(segments.where("has_text").select("ref").distinct(), "ref", "left_semi")
+    visible = lambda x: without_vowels(plain_quotes(F.regexp_replace(x, QUOTED_TAG, " ")))
+    said = citations.where(F.size("candidates") == 1).select(
+        *KEY, F.get("candidates", 0).alias("code"), F.btrim(visible(anchor()), F.lit(" ()[]")).alias("note"), visible(F.substring("content", F.lit(1), F.col("start"))).alias("ahead")
+    )
+    clause = F.trim(F.regexp_extract(F.regexp_replace("ahead", r"[ (\[]+$", ""), r"([^.:;()\[\]]*)$", 1))
+    read = said.withColumns({"clause": clause, "part": F.regexp_extract("note", CODE_NOTE, 1), "numbers": F.transform(F.array(*[F.regexp_extract("note", CODE_NOTE, k) for k in (2, 3)]), lambda t: F.regexp_replace(t, "[^א-ת]", ""))})
+    read = read.withColumns({"author": F.regexp_extract("clause", CODE_AUTHOR, 1), "lead": F.trim(F.regexp_replace("clause", CODE_AUTHOR, ""))})
+    read = read.where((F.col("part") != "") & (F.col("author") != "") & F.forall("numbers", numerals.is_canonical_numeral) & F.col("lead").rlike(CODE_LEAD))
+    spell = lambda names, key: F.element_at(F.create_map(*[F.lit(x) for pair in names.items() for x in pair]), key)
+    code = F.concat(F.lit("Shulchan Arukh, "), spell(CODE_PARTS, F.col("part")))
+    at = F.array_join(F.transform("numbers", lambda n: numerals.numeral(n).cast("string")), ":")
+    target = F.concat(spell(CODE_AUTHORS, F.col("author")), F.lit(" on "), code, F.lit(" "), at)
+    found = read.where(title_of(F.col("code")) == code).select(*KEY, target.alias("ref"))
+    return found.join(segments.where("has_text").select("ref").distinct(), "ref", "left_semi")
 
 
 def chapter_content(refs: DataFrame, segments: DataFrame) -> DataFrame:

@@ -1,27 +1,52 @@
-"""Citations with candidates to links: pick, mend, veto, check, emit; what isn't proven is dropped.
+"""Citations with candidates to links: every rule on a citation's own text as a column beforehand, then one fold per book for what history decides.
 
-Citations: source, title, line_index, pos, content, start, end (code points), parts array<struct<label,text>>, candidates
-array<string>, context string (the book's own reference or null), place long (the line's place in its book, or null), and
-optionally context_type: CURRENT_BOOK where the book's own reference decided the candidates.
-Segments: ref, title, place, has_text.
+1. `entries`: lists that the text itself cuts (chapter-led leaves, groups of verses) become rows of their own.
+2. `options`: each target that a citation may get, with the rule that offers it: its candidates, and what it spells by itself.
+3. `checked`: the vetoes and mends that need no history, for all options at once; what fails is gone before the fold.
+4. `folded`: a book's citations in order. History is what was emitted last and the citation right before with its proven target. A
+   citation that is dropped is no antecedent for the next "there"; what was rebuilt from text is emitted and trusted, but never
+   becomes what is emitted last.
+
+The fold is `step`, one function of (history, row); a table streams sorted partitions past it, and a stream keeps its history as state.
+
+Citations: LINE, pos, content, start, end (code points), parts array<struct<label,text,start,end>> (relative to start), candidates
+array<string> (empty: failed), context string (the line's own reference or null), place long (the line's place in its book, or null); optionally
+own_title, own_he, section, section_last (see `recover`), and context_type: CURRENT_BOOK where the book's own reference decided the candidates.
+Segments: ref, title, place, has_text. Works: title, aliases, category. Chapters: title, name, first, last.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from typing import NamedTuple
 
-import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from spanlink.functions import rules, text
+from spanlink.functions import addresses, attribution, numerals, rules, text
+from spanlink.operators import recover
 from spanlink.operators.digests import content_hash
-from spanlink.schemas import LINE, LINKS
+from spanlink.operators.recover import KEY, anchor, labels
+from spanlink.schemas import BOOK, LINE, LINKS
+
+Keep = Callable[[DataFrame], DataFrame]
+ROW = [*KEY, "sub"]
+OPTION = "struct<kind:string,offered:string,ref:string,start:int,end:int,direction:string>"
+#: Rules that rebuild a citation from text in the order in which they are asked; `own` comes before the candidates.
+FAILED = ("parenthesized", "chapter", "geresh")
+
+
+class History(NamedTuple):
+    """What a book has said so far: the last emitted ordinary target, and the proven target of the citation right before."""
+
+    last: str | None = None
+    trusted: str | None = None
 
 
-def _same_book(refs: list[str]) -> str | None:
-    titles = {r.rpartition(" ")[0] or r for r in refs}
-    return titles.pop() if len(titles) == 1 else None
+def title_of(ref: str) -> str:
+    head, _, tail = ref.rpartition(" ")
+    return head if head and tail[:1].isdigit() else ref
 
 
 def _sections(ref: str) -> list[str]:
@@ -32,78 +57,256 @@ def pick(candidates: list[str], same_as_above: bool, last: str | None) -> str |
     """The one candidate. Of several, only a "there" is decided: by the last reference, when all are of its book and just one has its outer sections."""
     if len(candidates) < 2:
         return candidates[0] if candidates else None
-    if not same_as_above or last is None or _same_book([*candidates, last]) is None:
+    if not same_as_above or last is None or len({title_of(r) for r in [*candidates, last]}) > 1:
         return None
     near = [c for c in candidates if len(_sections(c)) == len(_sections(last)) > 1 and _sections(c)[:-1] == _sections(last)[:-1]]
     return near[0] if len(near) == 1 else None
 
 
-def picked(citations: DataFrame) -> DataFrame:
-    """Citations with `ref`, in the order of their books.
+def step(history: History, row: dict) -> tuple[History, dict | None]:
+    """The option that a citation takes, or None, and the history after it.
 
-    A "there" without a name whose pick isn't of the last reference's book is vetoed. Every citation but an unresolved one resets what
-    is last to its own pick, so a book is folded in order; rows are streamed, and no book is held whole.
+    row: labels, candidates, rebuilt, resets, own_context, outcomes (options that passed), address and homes ("there" with a printed leaf,
+    and the titles in which that leaf has text), evidence (verses that the words beside the citation quote), verse (printed numbers).
     """
+    is_a = set(row["labels"])
+    candidates, outcomes = row["candidates"], row["outcomes"]
+    rebuilt, failed = row["rebuilt"], not row["candidates"] and not row["rebuilt"]
+    there, relative = "IBID" in is_a, "RELATIVE" in is_a
+    by_kind = {o["kind"]: o for o in outcomes if o["kind"] != "candidate"}
+    picked = None
+    if not rebuilt and not (row["own_context"] and not relative):
+        picked = pick(candidates, there, history.last)
+    # a citation that this book drops is no antecedent for the next "there"
+    last = history.last if failed or rebuilt and not row["resets"] else None
+    taken = by_kind.get("given") if rebuilt else by_kind.get("own")
+    kept = taken is not None and taken["kind"] == "own" and picked == taken["ref"]
+    if taken is None and not rebuilt:
+        if picked is not None:
+            taken = next((o for o in outcomes if o["offered"] == picked), None)
+        elif failed:
+            taken = next((by_kind[k] for k in FAILED if k in by_kind), None)
+        else:
+            taken = by_kind.get("own_leaf")
+        if taken is None and picked is None and not relative:
+            taken = _continued(history.trusted, row) or by_kind.get("quoted")
+    foreign = history.trusted is None or taken is not None and title_of(taken["ref"]) != title_of(history.trusted)
+    if taken is not None and there and "NAMED" not in is_a and foreign and taken["kind"] not in ("own", "own_leaf", "quoted", "chapter_proven"):
+        # "there" in another work than the citation before needs a proof of its own
+        taken = by_kind.get("quoted") or (by_kind.get("chapter_proven") if picked is not None else None)
+    if taken is not None and (taken["kind"] == "candidate" or kept):
+        last = taken["ref"]
+    return History(last, None if taken is None else taken["ref"]), taken
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        now, last = None, None
-        for pdf in batches:
-            refs = []
-            for source, title, labels, candidates in zip(pdf["source"], pdf["title"], pdf["labels"], pdf["candidates"], strict=True):
-                if (source, title) != now:
-                    now, last = (source, title), None
-                candidates, labels = ([] if x is None else list(x) for x in (candidates, labels))
-                there = "IBID" in labels
-                ref = pick(candidates, there, last)
-                if ref is not None and there and "NAMED" not in labels and (last is None or _same_book([ref, last]) is None):
-                    ref = None
-                if candidates:
-                    last = ref
-                refs.append(ref)
-            yield pdf.drop(columns=["labels", "candidates"]).assign(ref=refs)
-
-    rows = citations.select(*LINE, "pos", F.transform("parts", lambda p: p["label"]).alias("labels"), "candidates")
-    ordered = rows.repartition("source", "title").sortWithinPartitions(*LINE, "pos")
-    kinds = dict(citations.dtypes)
-    found = ordered.mapInPandas(run, ", ".join(f"{c} {kinds[c]}" for c in [*LINE, "pos"]) + ", ref string")
-    return citations.join(found.hint("merge"), [*LINE, "pos"])
-
-
-def resolve(citations: DataFrame, segments: DataFrame) -> DataFrame:
-    """LINKS of citations; see the module for both tables."""
-    c = picked(citations).where(F.col("ref").isNotNull())
-    pointing = F.array_contains(F.transform("parts", lambda p: p["label"]), "RELATIVE")
-    own = F.col("context_type").eqNullSafe("CURRENT_BOOK") if "context_type" in c.columns else pointing
-    # what only the own book decides must point into it, and what points must be decided by it, alone, from a known place
-    c = c.where((pointing == own) & (~pointing | ((F.size("candidates") == 1) & F.col("context").isNotNull() & F.col("place").isNotNull())))
-    c = c.withColumn("anchor", F.expr("substring(content, start + 1, end - start)")).where(~rules.is_line_marker(F.col("content"), F.col("end")))
-    # an address that the anchor spells wins over another one, if it is the only one
-    ref, anchor = F.col("ref"), F.col("anchor")
-    c = c.withColumn("ref", F.when(rules.address_contradicts(ref, anchor), rules.spelled_ref(ref, anchor)).otherwise(ref))
+
+def _continued(trusted: str | None, row: dict) -> dict | None:
+    """ "There" with a printed address of its own, in the work of the citation right before."""
+    if trusted is None or "IBID" not in row["labels"]:
+        return None
+    title, ref = title_of(trusted), None
+    if row["address"] is not None and title in row["homes"]:
+        ref = f"{title} {row['address']}"
+    elif row["verse"]:
+        before = trusted[len(title) + 1 :].split(":")
+        numbers = row["verse"] if len(row["verse"]) == 2 else [before[0], *row["verse"]]
+        found = f"{title} {':'.join(map(str, numbers))}"
+        # a printed verse may be wrong or no citation at all: the words beside it must be that verse's
+        ref = found if len(before) == 2 and found in row["evidence"] else None
+    return ref and {"kind": "continued", "offered": None, "ref": ref, "start": row["start"], "end": row["end"], "direction": None}
+
+
+def entries(citations: DataFrame, works: DataFrame, segments: DataFrame, chapters: DataFrame) -> DataFrame:
+    """Citations with sub, rebuilt, resets, given and writer (who governs them): lists cut by their own text are a row for each address, all others as they are.
+
+    Only the first row of a list that had candidates resets what was emitted last. Who writes before a list governs all of it.
+    """
+    citations = citations.withColumn("writer", attribution.governing(F.col("content"), F.col("start"), F.col("end")))
+    lists = recover.chapter_lists(citations, works, segments, chapters).withColumn("leaves", F.lit(True))
+    verses = recover.split_verses(citations, works, segments).withColumn("leaves", F.lit(False)).join(lists.select(*KEY).distinct(), KEY, "left_anti")
+    cut = lists.unionByName(verses).select(*KEY, F.col("k").cast("int").alias("sub"), F.col("start").alias("g_start"), F.col("end").alias("g_end"), F.col("ref").alias("given"), "leaves")
+    plain = citations.join(cut.select(*KEY).distinct(), KEY, "left_anti")
+    plain = plain.withColumns({"sub": F.lit(0), "rebuilt": F.lit(False), "resets": F.size("candidates") > 0, "given": F.lit(None).cast("string")})
+    of_lists = citations.join(cut, KEY).withColumns(
+        {"start": F.col("g_start"), "end": F.col("g_end"), "rebuilt": F.lit(True), "resets": F.col("leaves") & (F.col("sub") == 0) & (F.size("candidates") > 0), "parts": F.slice("parts", 1, 0)}
+    )
+    return plain.unionByName(of_lists.drop("g_start", "g_end", "leaves"))
+
+
+def options(rows: DataFrame, works: DataFrame, segments: DataFrame, chapters: DataFrame, quoted: DataFrame | None = None) -> DataFrame:
+    """(ROW, kind, offered, ref, start, end, direction) of all targets that rules offer for entries; spans as the rule found them."""
+    plain = rows.where("not rebuilt")
+    none = {"offered": F.lit(None).cast("string"), "direction": F.lit(None).cast("string")}
+    own_span = {"start": F.col("start"), "end": F.col("end")}
+
+    def offered(found: DataFrame, kind: str) -> DataFrame:
+        """A rule's (KEY, ref[, start, end][, direction]) for plain rows."""
+        spans = found if "start" in found.columns else found.join(plain.select(*KEY, "start", "end"), KEY)
+        wide = spans.withColumns({"sub": F.lit(0), "kind": F.lit(kind), "offered": F.lit(None).cast("string")})
+        return wide.withColumns({k: v for k, v in none.items() if k not in wide.columns}).select(*ROW, "kind", "offered", "ref", "start", "end", "direction")
+
+    each = plain.select(*ROW, F.explode("candidates").alias("ref"), "start", "end").distinct().withColumns({"kind": F.lit("candidate"), "offered": F.col("ref"), "direction": none["direction"]})
+    given = rows.where("rebuilt").select(*ROW, F.col("given").alias("ref"), *own_span).withColumns({"kind": F.lit("given"), **none})
+    pointing = F.array_contains(labels(), "RELATIVE")
+    # a pointing word is the source's own only where no writer and no other work govern it
+    free = plain.where("writer is null")
+    free = free.join(recover.names_elsewhere(free.where("own_title is not null"), works), KEY, "left_anti")
+    found = [
+        offered(recover.own_relative(free, segments), "own"),
+        offered(recover.own_daf(plain, works, segments, chapters), "own_leaf"),
+        offered(recover.parenthesized(plain, works, segments, chapters), "parenthesized"),
+        offered(recover.chapter_led(plain, works, segments, chapters), "chapter"),
+        offered(recover.geresh_verses(plain.where(~pointing), works, segments), "geresh"),
+    ]
+    if quoted is not None:
+        found.append(offered(quoted.where("decides").select(*KEY, "ref"), "quoted"))
+    out = each.select(*ROW, "kind", "offered", "ref", "start", "end", "direction").unionByName(given.select(*ROW, "kind", "offered", "ref", "start", "end", "direction"))
+    for part in found:
+        out = out.unionByName(part)
+    return out
+
+
+def checked(found: DataFrame, rows: DataFrame, segments: DataFrame) -> DataFrame:
+    """Options that pass all rules without history, with their final ref, span and direction."""
+    facts = rows.select(*ROW, "content", "parts", "candidates", "context", "place", "writer")
+    c = found.join(facts, ROW)
+    kind, ref = F.col("kind"), F.col("ref")
+    # a candidate keeps its pointing word's duties; what was rebuilt has met them by its own rule
+    c = c.withColumn("relative", (kind == "candidate") & F.array_contains(labels(), "RELATIVE")).withColumn("anchor", anchor())
+    c = c.where(~rules.is_line_marker(F.col("content"), F.col("end")) & (~F.col("relative") | ((F.size("candidates") == 1) & F.col("context").isNotNull() & F.col("place").isNotNull())))
     # a colon after a whole leaf means its second side, and belongs to the link
     leafed = segments.where(F.col("ref").rlike(" [0-9]+[ab](:|$)")).select(F.col("title").alias("l_title"), F.lit(True).alias("leafed")).distinct()
     c = c.join(leafed, rules.title_of(ref) == F.col("l_title"), "left")
     second = rules.marked_second_side(ref, F.col("content"), F.col("start"), F.col("end"), F.coalesce("leafed", F.lit(False)))
     c = c.withColumn("second", second).withColumn("ref", F.when(F.col("second").isNotNull(), F.concat("ref", F.lit("b"))).otherwise(ref)).withColumn("end", F.coalesce("second", "end"))
+    # an address that the anchor spells wins over another one, if it is the only one
+    c = c.withColumn("ref", F.when(rules.address_contradicts(ref, F.col("anchor")), rules.spelled_ref(ref, F.col("anchor"))).otherwise(ref))
+    c = c.where(ref.isNotNull() & ~rules.implausible(ref, F.col("anchor")))
+    # a writer who governs the citation, or may, is no evidence for the base text that a failed one was rebuilt to
+    c = c.where(~kind.isin("given", "geresh") | ~ref.rlike(" [0-9]+[ab]$") | F.col("writer").isNull())
+    # a note on a code by its own author and numbers takes the place of the code
+    notes = recover.code_commentary(rows.where("not rebuilt"), segments).select(*KEY, F.col("ref").alias("note"))
+    c = c.join(notes, KEY, "left").withColumn("noted", (kind == "candidate") & F.col("note").isNotNull())
+    c = c.withColumn("ref", F.when(F.col("noted"), F.col("note")).otherwise(ref)).withColumn("kind", F.when(F.col("noted"), "note").otherwise(kind))
     title = rules.title_of(ref)
-    c = c.where(ref.isNotNull() & ~rules.implausible(ref, anchor) & ~rules.base_code_note(title, anchor) & ~rules.unproven_number(title, F.col("parts")))
-    # availability and place of the target
+    c = c.where(F.col("noted") | (~rules.base_code_note(title, F.col("anchor")) & ~rules.unproven_number(title, F.col("parts"))))
     known = segments.where("has_text").select("ref", F.col("title").alias("t_title"), F.col("place").alias("t_place"))
     c = c.join(known, "ref")
-    labels = F.transform("parts", lambda p: p["label"])
-    relative = F.array_contains(labels, "RELATIVE")
     same = F.coalesce(rules.title_of(F.col("context")) == F.col("t_title"), F.lit(False))
-    c = c.withColumn("direction", rules.relative_direction(labels, anchor, same, F.col("place"), F.col("t_place"))).withColumn("relative", relative)
-    c = c.where(~F.col("relative") | F.col("direction").isNotNull())
-    start, end = (text.utf16_offset(F.col("content"), F.col(x)) for x in ("start", "end"))
-    cols = {
+    side = rules.relative_direction(labels(), F.col("anchor"), same, F.col("place"), F.col("t_place"))
+    c = c.withColumn("direction", F.when(F.col("relative") & ~F.col("noted"), side).otherwise(F.col("direction")))
+    return c.where(~F.col("relative") | F.col("noted") | F.col("direction").isNotNull()).select(*ROW, "kind", "offered", "ref", "start", "end", "direction")
+
+
+#: "There", twice at most, with a chapter's and a verse's numbers or a verse's alone; a fixed pattern of the language of citations.
+THERE_VERSE = r"^(?:שם|התם)(?: שם)?,? (?:(?:פסוק )?([א-ת]{1,2}['\"]?[א-ת]?))(?:,? ([א-ת]{1,2}['\"]?[א-ת]?))?$"
+
+
+def continuations(rows: DataFrame, segments: DataFrame, found: DataFrame, quoted: DataFrame | None = None) -> DataFrame:
+    """(ROW, address, homes, verse, evidence): what "there" with printed numbers of its own needs, wherever it turns out to point.
+
+    homes: titles that the book's own options name and that have text at the printed leaf.
+    """
+    plain = recover.part_text(F.struct(text.bare(anchor()).alias("text")))
+    there = rows.where("not rebuilt").where(F.array_contains(labels(), "IBID") & ~F.arrays_overlap(labels(), F.array(F.lit("NAMED"), F.lit("RELATIVE"))))
+    c = there.withColumn("plain", F.btrim(plain, F.lit(" ()[]")))
+    leaf = addresses.daf_address(F.regexp_replace("plain", "^(?:שם|התם),? ", ""))
+    numbers = F.filter(F.array(F.regexp_extract("plain", THERE_VERSE, 1), F.regexp_extract("plain", THERE_VERSE, 2)), lambda t: t != "")
+    letters = F.transform(numbers, lambda t: F.regexp_replace(t, "[^א-ת]", ""))
+    fine = F.forall(letters, numerals.is_canonical_numeral)
+    c = c.withColumn("leaf", F.when(F.col("plain").rlike("^(?:שם|התם),? "), leaf))
+    c = c.withColumn("address", F.when(F.col("leaf").isNotNull(), F.concat(F.col("leaf.daf").cast("string"), F.col("leaf.side"))))
+    c = c.withColumn("verse", F.when(F.col("address").isNull() & fine, F.transform(letters, numerals.numeral)).otherwise(F.array().cast("array<int>")))
+    titles = found.select(*BOOK, rules.title_of(F.col("ref")).alias("work")).distinct()
+    asked = c.where("address is not null").select(*ROW, "address").join(titles, BOOK)
+    have = segments.where("has_text").select(F.col("title").alias("work"), F.regexp_extract("ref", " ([0-9]+[ab])(?::[0-9:]+)?$", 1).alias("address")).where("address <> ''").distinct()
+    homes = asked.join(have, ["work", "address"]).groupBy(*ROW).agg(F.sort_array(F.collect_set("work")).alias("homes"))
+    out = c.select(*ROW, "address", "verse").join(homes, ROW, "left")
+    if quoted is None:
+        return out.withColumn("evidence", F.array().cast("array<string>"))
+    evidence = quoted.groupBy(*KEY).agg(F.sort_array(F.collect_set("ref")).alias("evidence"))
+    return out.join(evidence, KEY, "left")
+
+
+def prepared(rows: DataFrame, good: DataFrame, more: DataFrame) -> DataFrame:
+    """A row for each entry as `step` takes it."""
+    o = F.struct("kind", "offered", "ref", F.col("start").cast("int").alias("start"), F.col("end").cast("int").alias("end"), "direction")
+    outcomes = good.groupBy(*ROW).agg(F.sort_array(F.collect_list(o)).alias("outcomes"))
+    own = F.col("context_type").eqNullSafe("CURRENT_BOOK")
+    empty = lambda kind: F.array().cast(kind)
+    # a list of verses that failed keeps no candidates, so `rebuilt` alone says that it isn't a failure
+    base = rows.select(*ROW, labels().alias("labels"), F.when(F.col("rebuilt"), empty("array<string>")).otherwise(F.col("candidates")).alias("candidates"), "rebuilt", "resets", own.alias("own_context"), F.col("start").cast("int").alias("start"), F.col("end").cast("int").alias("end"))
+    wide = base.join(outcomes, ROW, "left").join(more, ROW, "left")
+    return wide.withColumns({"outcomes": F.coalesce("outcomes", empty(f"array<{OPTION}>")), "homes": F.coalesce("homes", empty("array<string>")), "verse": F.coalesce("verse", empty("array<int>")), "evidence": F.coalesce("evidence", empty("array<string>"))})
+
+
+FOLDED = "source string, title string, line_index int, pos int, sub int, kind string, ref string, start int, end int, direction string"
+TAKEN = ("kind", "ref", "start", "end", "direction")
+
+
+def folded(rows: DataFrame) -> DataFrame:
+    """(ROW, kind, ref, start, end, direction) of the citations that get a target, folded in the order of their books.
+
+    A partition's rows are streamed; one history is held, not a book.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, history = None, History()
+        for batch in batches:
+            out = []
+            for row in batch.to_pylist():
+                if (row["source"], row["title"]) != now:
+                    now, history = (row["source"], row["title"]), History()
+                history, taken = step(history, row)
+                if taken is not None:
+                    out.append({k: row[k] for k in ROW} | {k: taken[k] for k in TAKEN})
+            yield pa.RecordBatch.from_pylist(out, schema)
+
+    schema = pa.schema([(f.split()[0], pa.int32() if f.endswith("int") else pa.string()) for f in FOLDED.split(", ")])
+    ordered = rows.withColumns({k: F.col(k).cast("int") for k in ("line_index", "pos", "sub")}).repartition(*BOOK).sortWithinPartitions(*ROW)
+    return ordered.mapInArrow(run, FOLDED)
+
+
+WORKS, CHAPTERS = "title string, aliases array<string>, category string", "title string, name string, first int, last int"
+_OPTIONAL = {"own_title": "string", "own_he": "string", "section": "int", "section_last": "int", "context_type": "string"}
+
+
+def complete(citations: DataFrame) -> DataFrame:
+    """With the optional columns, and with spans of parts, null where they aren't known."""
+    part = citations.schema["parts"].dataType.elementType.names
+    spans = [F.lit(None).cast("int").alias(x) for x in ("start", "end") if x not in part]
+    out = citations.withColumn("parts", F.transform("parts", lambda p: F.struct(*[p[x].alias(x) for x in part], *spans)))
+    return out.withColumns({c: F.lit(None).cast(kind) for c, kind in _OPTIONAL.items() if c not in citations.columns})
+
+
+def resolved(citations: DataFrame, segments: DataFrame, works: DataFrame | None = None, chapters: DataFrame | None = None, quoted: DataFrame | None = None, keep: Keep = lambda df: df) -> DataFrame:
+    """`folded` for citations and catalogs; quoted: (KEY, ref, decides) of `quotes.evidence`.
+
+    keep: what to do with tables that several rules read, such as writing them; by default they are computed again.
+    """
+    spark = citations.sparkSession
+    works = spark.createDataFrame([], WORKS) if works is None else works
+    chapters = spark.createDataFrame([], CHAPTERS) if chapters is None else chapters
+    rows = keep(entries(complete(citations), works, segments, chapters))
+    found = keep(options(rows, works, segments, chapters, quoted))
+    return folded(prepared(rows, checked(found, rows, segments), continuations(rows, segments, found, quoted)))
+
+
+def resolve(citations: DataFrame, segments: DataFrame, works: DataFrame | None = None, chapters: DataFrame | None = None, quoted: DataFrame | None = None, keep: Keep = lambda df: df) -> DataFrame:
+    """LINKS of citations."""
+    return links(resolved(citations, segments, works, chapters, quoted, keep), citations)
+
+
+def links(taken: DataFrame, citations: DataFrame) -> DataFrame:
+    """LINKS of folded rows, offsets in UTF-16; only a pointing link carries the line's own context."""
+    c = taken.join(citations.select(*KEY, "content", "context"), KEY)
+    at = {x: text.utf16_offset(F.col("content"), F.col(x)) for x in ("start", "end")}
+    cols: dict[str, Column] = {
         "line_index_base": F.lit(0),
-        "start": start,
-        "end": end,
+        **at,
         "target_ref": F.col("ref"),
         "source_path": F.lit(None),
         "source_hash": content_hash(F.col("content")),
-        "context_ref": F.when(F.col("relative"), F.col("context")),
-        "relative_direction": F.when(F.col("relative"), F.col("direction")),
+        "context_ref": F.when(F.col("direction").isNotNull(), F.col("context")),
+        "relative_direction": F.col("direction"),
     }
     return c.select(*LINE, *[v.cast(LINKS[k].dataType).alias(k) for k, v in cols.items()])

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from spanlink.functions import addresses, numerals, rules, text
 from spanlink.functions.numerals import letter_values, spelled
-from spanlink.operators import recover, sequence
+from spanlink.operators import recover, resolve, sequence
 from spanlink.plans.registry import query
 from spanlink.plans.stand_ins import read, values
 from spanlink.schemas import LINE
+from spanlink.sources.kept import kept
 
 TOP = 120
 #: Rows of `part` with a number n, its letters s, the number that all but the first of them are, and a form f.
@@ -229,3 +231,81 @@ def chapter_led_leaves(spark, d):
     c = _citations(numbered(spark, d), F.concat(parts[0][1], F.lit(" "), parts[1][1]), parts)
     chapters = spark.createDataFrame([("Ketubot", "פרק שני", 28, 55), ("Gittin", "פרק קמא", 3, 40), ("Sukkah", "פרק קמא", 3, 40)], "title string, name string, first int, last int")
     return recover.chapter_led(c, _works(spark), _leaves(spark), chapters).select("line_index", "ref")
+
+
+# the resolver in the order of its books
+
+#: Lines of orders as citations of twelve forms f with numbers x and y; letters s of x. Chapters 4, 8, .. and leaves 5, 10, .. have no text.
+_ORDERED = f"""n AS {values([(k, spelled(k)) for k in range(1, 31)], 'n, s')},
+m AS (SELECT l_orderkey AS o, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) AS k, l_partkey % 30 + 1 AS x, l_suppkey % 9 + 1 AS y, s, (l_partkey // 30 + l_linenumber) % 12 AS f FROM lineitem JOIN n ON n = l_partkey % 30 + 1)"""
+
+
+def _ordered_citations(spark, d):
+    known = spark.createDataFrame([(k, spelled(k)) for k in range(1, 31)], "x long, s string")
+    l = read(spark, d, "lineitem").withColumn("x", F.col("l_partkey") % 30 + 1)  # noqa: E741
+    k = F.row_number().over(Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey"))
+    l = l.withColumns({"k": k, "y": F.col("l_suppkey") % 9 + 1, "f": F.floor(F.col("l_partkey") / 30) + F.col("l_linenumber")}).withColumn("f", F.col("f") % 12).join(F.broadcast(known), "x")  # noqa: E741
+    s, x, y, next_ = F.col("s"), F.col("x").cast("string"), F.col("y").cast("string"), (F.col("x") + 1).cast("string")
+    verse, later = with_("Psalms ", x, ":", y), with_("Psalms ", next_, ":", y)
+    leaf = lambda title, n: with_(title + " ", n, "a")
+    none = F.array().cast("array<string>")
+    forms = [  # content, labels, candidates
+        (F.lit("Psalms"), ["NAMED"], F.array(verse)),
+        (F.lit("שם"), ["IBID"], F.array(verse, later)),
+        (F.lit("שם"), ["IBID"], F.array(leaf("Gittin", next_))),
+        (with_("תהלים ", s, "'"), [], none),
+        (F.lit("two works"), ["NAMED"], F.array(verse, leaf("Gittin", next_))),
+        (with_("(", s, ") a"), ["NUMBERED"], F.array(verse)),
+        (F.lit("שם כתובות"), ["IBID", "NAMED"], F.array(leaf("Ketubot", next_))),
+        (with_("שם ", s, "."), ["IBID"], none),
+        (F.lit("לעיל כ"), ["RELATIVE", "NUMBERED"], F.array(leaf("Gittin", next_))),
+        (F.lit('ס"ק ג'), ["NUMBERED"], F.array(with_("Shulchan Arukh, Yoreh De'ah ", x))),
+        (F.lit('מ"א'), ["NAMED"], F.array(with_("I Kings ", x, ":", y))),
+        (with_("(דף ", s, ".)"), [], F.array(leaf("Gittin", x), leaf("Rashi on Gittin", x))),
+    ]
+    of = lambda items: F.element_at(F.array(*items), (F.col("f") + 1).cast("int"))
+    labelled = [F.array(*[F.lit(v) for v in labels]) if labels else none for _, labels, _ in forms]
+    content = of([t for t, _, _ in forms])
+    rows = l.select(F.lit("l").alias("source"), F.col("l_orderkey").cast("string").alias("title"), F.col("k").cast("int").alias("line_index"), F.lit(0).alias("pos"), "f", "s", content.alias("content"), of(labelled).alias("labels"), of([c for _, _, c in forms]).alias("candidates"))
+    part = lambda v: F.struct(v.alias("label"), F.lit("").alias("text"), F.lit(0).alias("start"), F.lit(0).alias("end"))
+    pointing, own = F.col("f") == 8, F.col("f") == 11
+    return rows.select(
+        *LINE, "pos", "content", F.lit(0).alias("start"), F.when(F.col("f") == 5, F.length("s") + 2).otherwise(F.length("content")).alias("end"), F.transform("labels", part).alias("parts"), "candidates",
+        F.when(pointing, "Gittin 10a").alias("context"), F.when(pointing, 20).cast("long").alias("place"), F.when(own, "Gittin").alias("own_title"), F.when(own, "גיטין").alias("own_he"), F.when(own, 21).alias("section"), F.when(own, 21).alias("section_last"),
+    )
+
+
+def _ordered_segments(spark):
+    n = spark.range(1, 32)
+    verses = n.select(F.lit("Psalms").alias("title"), F.explode(F.concat(F.array(F.lit("")), F.transform(F.sequence(F.lit(1), F.lit(9)), lambda v: with_(":", v.cast("string"))))).alias("v"), "id", (F.col("id") * 10).alias("place"), (F.col("id") % 4 != 0).alias("has_text"))
+    leaves = n.where("id > 1").select(F.explode(F.array(F.lit("Gittin"), F.lit("Ketubot"))).alias("title"), F.lit("a").alias("v"), "id", (2 * F.col("id") - 1).alias("place"), (F.col("id") % 5 != 0).alias("has_text"))
+    return verses.unionByName(leaves).select(with_(F.col("title"), " ", F.col("id").cast("string"), F.col("v")).alias("ref"), "title", "place", "has_text")
+
+
+@query(f"""WITH RECURSIVE {_ORDERED},
+r(o, k, f, ref, direction, chapter, trusted) AS (
+  SELECT DISTINCT o, 0::BIGINT, 0::BIGINT, NULL::VARCHAR, NULL::VARCHAR, NULL::BIGINT, NULL::VARCHAR FROM m
+  UNION ALL
+  SELECT o, k, f, ref, CASE WHEN f = 8 AND ref IS NOT NULL THEN 'above' END,
+    CASE WHEN f IN (3, 7) THEN chapter WHEN f IN (0, 1) AND ref IS NOT NULL THEN c END, CASE WHEN ref IS NOT NULL THEN regexp_extract(ref, '^[A-Z][a-z]+') END
+  FROM (SELECT o, k, f, x, c, chapter, CASE
+      WHEN f = 0 AND x % 4 <> 0 THEN 'Psalms ' || x || ':' || y
+      WHEN f = 1 AND c % 4 <> 0 AND trusted = 'Psalms' THEN 'Psalms ' || c || ':' || y
+      WHEN f = 2 AND (x + 1) % 5 <> 0 AND trusted = 'Gittin' THEN 'Gittin ' || (x + 1) || 'a'
+      WHEN f = 3 AND length(s) > 1 AND x % 4 <> 0 THEN 'Psalms ' || x
+      WHEN f = 6 AND (x + 1) % 5 <> 0 THEN 'Ketubot ' || (x + 1) || 'a'
+      WHEN f = 7 AND trusted IN ('Gittin', 'Ketubot') AND x > 1 AND x % 5 <> 0 THEN trusted || ' ' || x || 'a'
+      WHEN f = 8 AND (x + 1) % 5 <> 0 AND x < 10 THEN 'Gittin ' || (x + 1) || 'a'
+      WHEN f = 11 AND x > 1 AND x % 5 <> 0 THEN 'Gittin ' || x || 'a' END AS ref
+    FROM (SELECT m.*, r.chapter, r.trusted, CASE WHEN m.f = 0 THEN x WHEN r.chapter IN (x, x + 1) THEN r.chapter END AS c FROM r JOIN m ON m.o = r.o AND m.k = r.k + 1)))
+SELECT o::VARCHAR AS title, k::INTEGER AS line_index, ref AS target_ref, direction AS relative_direction FROM r WHERE ref IS NOT NULL""")
+def resolve_ordered(spark, d):
+    """Every line of an order as a citation of one of twelve forms; SQL folds the orders by recursion.
+
+    Names, "there" with and without a name, a printed leaf after "there", a rebuilt verse, an untitled own leaf, a pointing word; and
+    two works, a line's marker, a note of a code, a misread abbreviation and missing text, which are dropped and clear the history.
+    """
+    c = _ordered_citations(spark, d)
+    chapters = spark.createDataFrame([], resolve.CHAPTERS)
+    found = resolve.resolve(c, _ordered_segments(spark), _works(spark), chapters, keep=kept)
+    return found.select("title", "line_index", "target_ref", "relative_direction")

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from spanlink.operators import resolve
 from spanlink.schemas import BOOK
 
 HISTORY = 3
@@ -42,6 +43,26 @@ def resolve_stream(mentions: DataFrame) -> DataFrame:
     return mentions.groupBy(*BOOK).applyInPandasWithState(step, "source string, title string, line_index int, pos int, ref string, history array<string>", "last string, history array<string>", "append", GroupStateTimeout.NoTimeout)
 
 
+def fold_stream(rows: DataFrame) -> DataFrame:
+    """`resolve.folded` for a stream of prepared rows: the same step, with a book's history as its state.
+
+    Within a micro-batch a book's rows are put in order; batches must come in order, as lines of a growing book do.
+    """
+
+    def run(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        history = resolve.History(*(state.get if state.exists else ()))
+        out = []
+        for row in pd.concat(list(parts)).sort_values(resolve.ROW[2:]).to_dict("records"):
+            lists = {k: [] if row[k] is None else list(row[k]) for k in ("labels", "candidates", "outcomes", "homes", "verse", "evidence")}
+            history, taken = resolve.step(history, row | lists)
+            if taken is not None:
+                out.append({k: row[k] for k in resolve.ROW} | {k: taken[k] for k in resolve.TAKEN})
+        state.update(tuple(history))
+        yield pd.DataFrame(out, columns=[*resolve.ROW, *resolve.TAKEN])
+
+    return rows.groupBy(*BOOK).applyInPandasWithState(run, resolve.FOLDED, "last string, trusted string", "append", GroupStateTimeout.NoTimeout)
+
+
 def follow_snapshots(spark: SparkSession, lines: DataFrame, publish: Callable[[DataFrame, int], None], checkpoint: str) -> StreamingQuery:
     """Run publish(lines, version) once for each batch of a stream of lines that is there now, then stop."""
     return lines.writeStream.foreachBatch(publish).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
