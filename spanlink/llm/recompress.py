@@ -217,10 +217,10 @@ def units(texts: Iterable[bytes], width: int) -> Iterator[tuple[list[bytes], lis
         yield words, spans
 
 
-def _names(words: list[bytes], seeds: tuple[int, ...]) -> list[np.ndarray]:
-    coded = pa.array(words, pa.large_binary()).dictionary_encode()
-    kinds, code = coded.dictionary.to_pylist(), coded.indices.to_numpy()
-    return [np.fromiter((xxhash.xxh64_intdigest(w, s) for w in kinds), np.uint64, len(kinds))[code] for s in seeds]
+def _names(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Two independent hashes of each word."""
+    both = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, words)), np.uint64).reshape(-1, 2)
+    return both[:, 0].copy(), both[:, 1].copy()
 
 
 def _read(path: str) -> Iterator[tuple[pa.Array, list[bytes]]]:
@@ -231,23 +231,25 @@ def _read(path: str) -> Iterator[tuple[pa.Array, list[bytes]]]:
             yield batch.column("doc_id"), [t or b"" for t in batch.column("text").to_pylist()]
 
 
-def _parsed(ids: pa.Array, texts: list[bytes], width: int, seeds: tuple[int, ...] = (0,)) -> Iterator[tuple[Parse, np.ndarray, list[np.ndarray], list[tuple[int, int, int, int]]]]:
-    """(parse, doc_id of each word, names of the words by each seed, spans) of each unit of some texts."""
+def _parsed(ids: pa.Array, texts: list[bytes], width: int) -> Iterator[tuple[Parse, np.ndarray, np.ndarray, list[tuple[int, int, int, int]]]]:
+    """(parse, doc_id of each word, second names of the words, spans) of each unit of some texts."""
     known, value = ids.is_valid().to_numpy(zero_copy_only=False), ids.fill_null(0).to_numpy()
     for words, spans in units(texts, width):
         own = np.repeat([s[0] for s in spans], [s[3] - s[2] for s in spans])
-        names = _names(words, seeds)
-        yield Parse(names[0], own, width, known[own]), value[own], names, spans
+        names, others = _names(words)
+        yield Parse(names, own, width, known[own]), value[own], others, spans
 
 
 def _distinct(keys: list[np.ndarray], docs: np.ndarray) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
-    """Distinct keys in order, and the least and the greatest doc_id of each."""
-    order = np.lexsort((docs, *keys[::-1]))
+    """Keys in the order of the first one, and the least and the greatest doc_id of each; some keys that share the first one may come again."""
+    order = np.argsort(keys[0])
     keys, docs = [k[order] for k in keys], docs[order]
     new = np.ones(len(docs), bool)
     new[1:] = np.any([k[1:] != k[:-1] for k in keys], axis=0)
     begin = np.flatnonzero(new)
-    return [k[begin] for k in keys], docs[begin], docs[np.append(begin[1:], len(docs)) - 1] if len(docs) else docs
+    if not len(begin):
+        return keys, docs, docs
+    return [k[begin] for k in keys], np.minimum.reduceat(docs, begin), np.maximum.reduceat(docs, begin)
 
 
 def _of_file(found: list[tuple[list[np.ndarray], np.ndarray]], n_keys: int) -> dict[str, np.ndarray]:
@@ -305,11 +307,11 @@ def window_rows(path: str, width: int, rounds: tuple[int, ...], shared: np.ndarr
     """Names and checks of the windows that all rounds have left."""
     found = []
     for ids, texts in _read(path):
-        for parse, doc, names, _ in _parsed(ids, texts, width, (0, 1)):
+        for parse, doc, others, _ in _parsed(ids, texts, width):
             for k, steps in enumerate(rounds):
                 parse.round(k, steps)
                 parse.drop_lone(shared)
-            check = _check(names[1], parse.first, width).astype(np.uint64)
+            check = _check(others, parse.first, width).astype(np.uint64)
             found.append(_thinned([parse.window_names(), check], doc[parse.first]))
     rows = _of_file(found, 2)
     return rows | {"check": rows["check"].astype(np.uint32)}
@@ -375,10 +377,10 @@ def _digest(text: bytes, gone: np.ndarray | None, keep_text: bool) -> tuple[int,
 def _removed(ids: pa.Array, texts: list[bytes], width: int, rounds: tuple[int, ...], side: tuple[np.ndarray, np.ndarray, np.ndarray]) -> dict[int, np.ndarray]:
     """Flags of the words that go, of the texts that lose any."""
     gone: dict[int, np.ndarray] = {}
-    for parse, doc, names, spans in _parsed(ids, texts, width, (0, 1)):
+    for parse, doc, others, spans in _parsed(ids, texts, width):
         for k, steps in enumerate(rounds):
             parse.round(k, steps)
-        check = _check(names[1], parse.first, width)
+        check = _check(others, parse.first, width)
         late = parse.first[doc[parse.first] > _least_of(parse.window_names(), check, side)]
         edges = np.zeros(parse.n + 1, np.int64)
         np.add.at(edges, late, 1)
