@@ -66,7 +66,8 @@ def words_of(s: str) -> list[str]:
 
 
 def _clause(s: str, most: int = 24) -> list[str]:
-    return words_of(_CLAUSE.search(s)[0])[-most:]
+    """The last words of a prefix, back to the end of the clause before; a bracket that opens the citation itself ends none."""
+    return words_of(_CLAUSE.search(s.rstrip(" (["))[0])[-most:]
 
 
 def _ends_scope(words: list[str]) -> bool:

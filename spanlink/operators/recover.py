@@ -110,9 +110,10 @@ def own_relative(citations: DataFrame, segments: DataFrame) -> DataFrame:
 def names_elsewhere(citations: DataFrame, works: DataFrame) -> DataFrame:
     """KEYs whose clause before the anchor names a work other than own_title, with or without a prefix, or is over 64 words long.
 
-    Aliases are met by their first word and then compared whole, so names of any length are found.
+    Aliases are met by their first word and then compared whole, so names of any length are found. Words of clauses may come as `tokens`.
     """
-    tokens = F.transform(clause_before(plain_quotes(F.col("content").substr(F.lit(1), F.col("start"))), F.col("start"), 65), lambda w: F.btrim(w, F.lit("(),;:.[]")))
+    head = F.regexp_replace(plain_quotes(F.col("content").substr(F.lit(1), F.col("start"))), r"[ (\[]+$", "")  # what opens the citation's own bracket
+    tokens = F.col("tokens") if "tokens" in citations.columns else F.transform(clause_before(head, F.length(head), 65), lambda w: F.btrim(w, F.lit("(),;:.[]")))
     c = citations.select(*KEY, "own_title", tokens.alias("tokens"))
     long = c.where(F.size("tokens") > 64).select(*KEY)
     each = c.where("size(tokens) <= 64").select(*KEY, "own_title", "tokens", F.posexplode("tokens").alias("at", "token"))

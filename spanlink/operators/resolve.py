@@ -24,8 +24,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from spanlink.functions import addresses, attribution, numerals, rules, text
-from spanlink.operators import recover
+from spanlink.functions import addresses, attribution, rules, text
+from spanlink.operators import quotes, recover
 from spanlink.operators.digests import content_hash
 from spanlink.operators.recover import KEY, anchor, labels
 from spanlink.schemas import BOOK, LINE, LINKS
@@ -115,25 +115,30 @@ def _continued(trusted: str | None, row: dict) -> dict | None:
     return ref and {"kind": "continued", "offered": None, "ref": ref, "start": row["start"], "end": row["end"], "direction": None}
 
 
-def entries(citations: DataFrame, works: DataFrame, segments: DataFrame, chapters: DataFrame) -> DataFrame:
+def entries(citations: DataFrame, segments: DataFrame, works: DataFrame | None = None, chapters: DataFrame | None = None) -> DataFrame:
     """Citations with sub, rebuilt, resets, given and writer (who governs them): lists cut by their own text are a row for each address, all others as they are.
 
     Only the first row of a list that had candidates resets what was emitted last. Who writes before a list governs all of it.
     """
     citations = citations.withColumn("writer", attribution.governing(F.col("content"), F.col("start"), F.col("end")))
+    whole = {"sub": F.lit(0), "rebuilt": F.lit(False), "resets": F.size("candidates") > 0, "given": F.lit(None).cast("string")}
+    if works is None or chapters is None:
+        return citations.withColumns(whole)
     lists = recover.chapter_lists(citations, works, segments, chapters).withColumn("leaves", F.lit(True))
     verses = recover.split_verses(citations, works, segments).withColumn("leaves", F.lit(False)).join(lists.select(*KEY).distinct(), KEY, "left_anti")
     cut = lists.unionByName(verses).select(*KEY, F.col("k").cast("int").alias("sub"), F.col("start").alias("g_start"), F.col("end").alias("g_end"), F.col("ref").alias("given"), "leaves")
-    plain = citations.join(cut.select(*KEY).distinct(), KEY, "left_anti")
-    plain = plain.withColumns({"sub": F.lit(0), "rebuilt": F.lit(False), "resets": F.size("candidates") > 0, "given": F.lit(None).cast("string")})
+    plain = citations.join(cut.select(*KEY).distinct(), KEY, "left_anti").withColumns(whole)
     of_lists = citations.join(cut, KEY).withColumns(
         {"start": F.col("g_start"), "end": F.col("g_end"), "rebuilt": F.lit(True), "resets": F.col("leaves") & (F.col("sub") == 0) & (F.size("candidates") > 0), "parts": F.slice("parts", 1, 0)}
     )
     return plain.unionByName(of_lists.drop("g_start", "g_end", "leaves"))
 
 
-def options(rows: DataFrame, works: DataFrame, segments: DataFrame, chapters: DataFrame, quoted: DataFrame | None = None) -> DataFrame:
-    """(ROW, kind, offered, ref, start, end, direction) of all targets that rules offer for entries; spans as the rule found them."""
+def options(rows: DataFrame, segments: DataFrame, works: DataFrame | None = None, chapters: DataFrame | None = None, quoted: DataFrame | None = None) -> DataFrame:
+    """(ROW, kind, offered, ref, start, end, direction) of all targets that rules offer for entries; spans as the rule found them.
+
+    Without catalogs of works and chapters only the candidates (and quotations) are offered.
+    """
     plain = rows.where("not rebuilt")
     none = {"offered": F.lit(None).cast("string"), "direction": F.lit(None).cast("string")}
     own_span = {"start": F.col("start"), "end": F.col("end")}
@@ -146,17 +151,18 @@ def options(rows: DataFrame, works: DataFrame, segments: DataFrame, chapters: Da
 
     each = plain.select(*ROW, F.explode("candidates").alias("ref"), "start", "end").distinct().withColumns({"kind": F.lit("candidate"), "offered": F.col("ref"), "direction": none["direction"]})
     given = rows.where("rebuilt").select(*ROW, F.col("given").alias("ref"), *own_span).withColumns({"kind": F.lit("given"), **none})
-    pointing = F.array_contains(labels(), "RELATIVE")
-    # a pointing word is the source's own only where no writer and no other work govern it
-    free = plain.where("writer is null")
-    free = free.join(recover.names_elsewhere(free.where("own_title is not null"), works), KEY, "left_anti")
-    found = [
-        offered(recover.own_relative(free, segments), "own"),
-        offered(recover.own_daf(plain, works, segments, chapters), "own_leaf"),
-        offered(recover.parenthesized(plain, works, segments, chapters), "parenthesized"),
-        offered(recover.chapter_led(plain, works, segments, chapters), "chapter"),
-        offered(recover.geresh_verses(plain.where(~pointing), works, segments), "geresh"),
-    ]
+    found = []
+    if works is not None and chapters is not None:
+        # a pointing word is the source's own only where no writer and no other work govern it
+        free = plain.where("writer is null")
+        free = free.join(recover.names_elsewhere(free.where("own_title is not null"), works), KEY, "left_anti")
+        found = [
+            offered(recover.own_relative(free, segments), "own"),
+            offered(recover.own_daf(plain, works, segments, chapters), "own_leaf"),
+            offered(recover.parenthesized(plain, works, segments, chapters), "parenthesized"),
+            offered(recover.chapter_led(plain, works, segments, chapters), "chapter"),
+            offered(recover.geresh_verses(plain.where(~F.array_contains(labels(), "RELATIVE")), works, segments), "geresh"),
+        ]
     if quoted is not None:
         found.append(offered(quoted.where("decides").select(*KEY, "ref"), "quoted"))
     out = each.select(*ROW, "kind", "offered", "ref", "start", "end", "direction").unionByName(given.select(*ROW, "kind", "offered", "ref", "start", "end", "direction"))
@@ -197,10 +203,6 @@ def checked(found: DataFrame, rows: DataFrame, segments: DataFrame) -> DataFrame
     return c.where(~F.col("relative") | F.col("noted") | F.col("direction").isNotNull()).select(*ROW, "kind", "offered", "ref", "start", "end", "direction")
 
 
-#: "There", twice at most, with a chapter's and a verse's numbers or a verse's alone; a fixed pattern of the language of citations.
-THERE_VERSE = r"^(?:שם|התם)(?: שם)?,? (?:(?:פסוק )?([א-ת]{1,2}['\"]?[א-ת]?))(?:,? ([א-ת]{1,2}['\"]?[א-ת]?))?$"
-
-
 def continuations(rows: DataFrame, segments: DataFrame, found: DataFrame, quoted: DataFrame | None = None) -> DataFrame:
     """(ROW, address, homes, verse, evidence): what "there" with printed numbers of its own needs, wherever it turns out to point.
 
@@ -210,12 +212,10 @@ def continuations(rows: DataFrame, segments: DataFrame, found: DataFrame, quoted
     there = rows.where("not rebuilt").where(F.array_contains(labels(), "IBID") & ~F.arrays_overlap(labels(), F.array(F.lit("NAMED"), F.lit("RELATIVE"))))
     c = there.withColumn("plain", F.btrim(plain, F.lit(" ()[]")))
     leaf = addresses.daf_address(F.regexp_replace("plain", "^(?:שם|התם),? ", ""))
-    numbers = F.filter(F.array(F.regexp_extract("plain", THERE_VERSE, 1), F.regexp_extract("plain", THERE_VERSE, 2)), lambda t: t != "")
-    letters = F.transform(numbers, lambda t: F.regexp_replace(t, "[^א-ת]", ""))
-    fine = F.forall(letters, numerals.is_canonical_numeral)
     c = c.withColumn("leaf", F.when(F.col("plain").rlike("^(?:שם|התם),? "), leaf))
     c = c.withColumn("address", F.when(F.col("leaf").isNotNull(), F.concat(F.col("leaf.daf").cast("string"), F.col("leaf.side"))))
-    c = c.withColumn("verse", F.when(F.col("address").isNull() & fine, F.transform(letters, numerals.numeral)).otherwise(F.array().cast("array<int>")))
+    verses = quotes.printed(there).where((F.col("theres") < 2) | (F.size("numbers") == 1)).select(*ROW, F.col("numbers").alias("verse"))
+    c = c.join(verses, ROW, "left").withColumn("verse", F.when(F.col("address").isNull(), F.col("verse")))
     titles = found.select(*BOOK, rules.title_of(F.col("ref")).alias("work")).distinct()
     asked = c.where("address is not null").select(*ROW, "address").join(titles, BOOK)
     have = segments.where("has_text").select(F.col("title").alias("work"), F.regexp_extract("ref", " ([0-9]+[ab])(?::[0-9:]+)?$", 1).alias("address")).where("address <> ''").distinct()
@@ -283,12 +283,10 @@ def resolved(citations: DataFrame, segments: DataFrame, works: DataFrame | None
 
     keep: what to do with tables that several rules read, such as writing them; by default they are computed again.
     """
-    spark = citations.sparkSession
-    works = spark.createDataFrame([], WORKS) if works is None else works
-    chapters = spark.createDataFrame([], CHAPTERS) if chapters is None else chapters
-    rows = keep(entries(complete(citations), works, segments, chapters))
-    found = keep(options(rows, works, segments, chapters, quoted))
-    return folded(prepared(rows, checked(found, rows, segments), continuations(rows, segments, found, quoted)))
+    rows = keep(entries(complete(citations), segments, works, chapters))
+    found = keep(options(rows, segments, works, chapters, quoted))
+    good = keep(checked(found, rows, segments))
+    return folded(prepared(rows, good, continuations(rows, segments, found, quoted)))
 
 
 def resolve(citations: DataFrame, segments: DataFrame, works: DataFrame | None = None, chapters: DataFrame | None = None, quoted: DataFrame | None = None, keep: Keep = lambda df: df) -> DataFrame:

@@ -6,11 +6,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spanlink.functions import numerals, text
-from spanlink.operators import audit, batching, catalog, checks, delta, digests, recognize, resolve, sequence
+from spanlink.operators import audit, batching, catalog, checks, delta, digests, quotes, recognize, resolve, sequence
 from spanlink.plans import incremental
 from spanlink.plans.registry import ORACLE_SQL, QUERIES, query
 from spanlink.plans.stand_ins import CTE, DIGESTS, PAIRS, current_lines, prior_lines, read
 from spanlink.schemas import BOOK, LINE, LINKS
+from spanlink.sources.kept import kept
 
 # digests and the plan of books
 
@@ -271,6 +272,23 @@ def unique_quote(spark, d):
     return catalog.unique_quotes(read(spark, d, "documents").select(F.col("doc_id").alias("quote_id"), split.alias("words")), read(spark, d, "benchmark").select(F.col("item_id").alias("target"), split.alias("words")))
 
 
+_PAIRS = "SELECT {key}, unnest(range(1, len(w))) AS k, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS pair FROM {table}"
+
+
+@query(f"""WITH q AS (SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '\\s+'), lambda x: x <> '') AS w FROM documents),
+b AS (SELECT item_id, list_filter(string_split_regex(coalesce(text, ''), '\\s+'), lambda x: x <> '') AS w FROM benchmark),
+m AS (SELECT doc_id, item_id, x.k AS q, y.k AS at FROM ({_PAIRS.format(key='doc_id', table='q')}) x JOIN ({_PAIRS.format(key='item_id', table='b')}) y USING (pair)),
+first AS (SELECT m.* FROM m LEFT JOIN m p ON p.doc_id = m.doc_id AND p.item_id = m.item_id AND p.q = m.q - 1 AND p.at = m.at - 1 WHERE p.q IS NULL),
+s AS (SELECT f.doc_id, f.item_id, f.q, f.at, (SELECT min(l.q) FROM m l LEFT JOIN m n ON n.doc_id = l.doc_id AND n.item_id = l.item_id AND n.q = l.q + 1 AND n.at = l.at + 1 WHERE n.q IS NULL AND l.doc_id = f.doc_id AND l.item_id = f.item_id AND l.q - l.at = f.q - f.at AND l.q >= f.q) - f.q + 2 AS length FROM first f)
+SELECT doc_id, item_id::VARCHAR AS work, max(length)::BIGINT AS longest, count(*) AS stretches FROM s WHERE length >= 4 GROUP BY doc_id, item_id""")
+def quoted_stretches(spark, d):
+    """The longest stretch of four words or more that a document quotes from a benchmark item, and how many there are."""
+    split = F.array_remove(F.split(F.coalesce("text", F.lit("")), r"\s+"), "")
+    corpus = read(spark, d, "benchmark").select(F.col("item_id").cast("string").alias("work"), F.lit(0).alias("order"), F.col("item_id").cast("string").alias("ref"), split.alias("words"))
+    found = quotes.stretches(read(spark, d, "documents").select("doc_id", split.alias("words")), quotes.postings(corpus), ["doc_id"])
+    return found.where("length >= 4").groupBy("doc_id", "work").agg(F.max("length").alias("longest"), F.count("*").alias("stretches"))
+
+
 @query("SELECT r_name AS base, 'Notes on ' || r_name AS title FROM region WHERE r_regionkey % 2 = 0")
 def direct_commentaries(spark, d):
     r = read(spark, d, "region")
@@ -451,7 +469,7 @@ def resolve_citations(spark, d):
     cites = t.select(*LINE, "pos", F.lit("a text").alias("content"), F.lit(0).alias("start"), F.lit(6).alias("end"), parts.alias("parts"), F.when((size % 2 == 0) | (one == two), F.array(one)).otherwise(F.array(one, two)).alias("candidates"), F.lit(None).cast("string").alias("context"), F.lit(None).cast("long").alias("place"))
     segments = spark.range(40).where("id % 4 <> 0").select(F.explode(F.sequence(F.lit(0), F.lit(2))).alias("s"), "id")
     segments = segments.select(F.concat(F.lit("Part "), F.col("id").cast("string"), F.lit(":"), F.col("s").cast("string")).alias("ref"), F.concat(F.lit("Part "), F.col("id").cast("string")).alias("title"), F.col("s").cast("long").alias("place"), F.lit(True).alias("has_text"))
-    return resolve.resolve(cites, segments).select(*LINE, "target_ref")
+    return resolve.resolve(cites, segments, keep=kept).select(*LINE, "target_ref")
 
 
 # the whole run

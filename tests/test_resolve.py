@@ -127,6 +127,8 @@ def test_books_of_all_rules(spark):
         ("פירשתי לעיל. ", "שבועות ב.", "", None),
         ("פירשתי אבל לעיל ", "(דף ב.)", "", None),
         ("<b>פֵּירַשְׁתִּי</b> [לעיל] ", "(דף ב.)", "", "self"),
+        ('רש"י פירש (', "שבועות ב.", ")", "other"),
+        ("פירשתי לעיל (", "שבועות ב.", ")", "self"),
         ("", "", "", None),
     ],
 )

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from spanlink.functions import rules, text
 from spanlink.operators import resolve
+from spanlink.sources.kept import kept
 
 F_TEXT = "content string"
 
@@ -101,6 +102,6 @@ def test_resolve_end_to_end(spark):
     ]
     schema = "source string, title string, line_index int, pos int, content string, start int, end int, parts array<struct<label:string,text:string>>, candidates array<string>, context string, place long"
     segments = [("A 1:2", "A", 2, True), ("A 1:3", "A", 3, True), ("A 2:3", "A", 9, True), ("B 4", "B", 4, True), ("B 9", "B", 9, False), ("Shabbat 21b", "Shabbat", 42, True), ("Genesis 3", "Genesis", 3, True)]
-    got = resolve.resolve(spark.createDataFrame(rows, schema), spark.createDataFrame(segments, "ref string, title string, place long, has_text boolean"))
+    got = resolve.resolve(spark.createDataFrame(rows, schema), spark.createDataFrame(segments, "ref string, title string, place long, has_text boolean"), keep=kept)
     found = {r["line_index"]: (r["start"], r["end"], r["target_ref"], r["relative_direction"]) for r in got.collect()}
     assert found == {0: (3, 8, "A 1:2", None), 1: (0, 4, "A 1:3", None), 6: (0, 6, "B 4", "above"), 8: (0, 7, "Shabbat 21b", None), 9: (0, 8, "Genesis 3", None)}
