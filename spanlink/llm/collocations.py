@@ -32,7 +32,7 @@ from spanlink.llm.common import materialize, shared_dir, table
 from spanlink.llm.files import resolve
 
 LONGEST, LEAST, BEST, CONTAINED = 3, 10, 2000, 50
-CHUNK_WORDS, BUCKET_ROWS, MEMORY_LIMIT = 1 << 21, 4_000_000, "512MB"
+CHUNK_WORDS, BUCKET_ROWS, MEMORY_LIMIT = 3 << 19, 4_000_000, "512MB"
 HOT_SHARE, HOT_LEAST, SALT = 1 / 10_000, 1_000, 64
 MARKS = r"[.,;:!?\x0A-\x0D]"
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -76,7 +76,7 @@ def weighted_grams(chunk: pa.Table, longest: int) -> tuple[pa.Array, pa.Array, l
         # a gram's name follows from that of its first k - 1 words, or the language, and its last word
         one, n, number = _totals(name[at] * len(words.dictionary) + code[at + k - 1], times[at])
         start = at[one]
-        found.append((lang[start], [code[start + j] for j in range(k)], n))
+        found.append((lang[start].astype(np.int32), [code[start + j].astype(np.int32) for j in range(k)], n))
         name = np.full(len(row), -1, np.int64)
         name[at] = number
     return langs.dictionary, words.dictionary, found
@@ -104,13 +104,14 @@ def blocks(chunk: pa.Table, longest: int, buckets: int) -> Iterator[tuple[int, b
         for code in codes:
             h = (h ^ (h >> np.uint64(29))) * _ODD + word_hash[code]
         hashes.append(h)
-        none = [np.zeros(len(n), np.int64)] * (longest - len(codes))
+        none = [np.zeros(len(n), np.int32)] * (longest - len(codes))
         columns.append([lang + len(words) + 1, *[code + 1 for code in codes], *none, n])
     if not columns:
         return
     h, columns = np.concatenate(hashes), [np.concatenate(x) for x in zip(*columns, strict=True)]
     bucket = (((h ^ (h >> np.uint64(32))) * _ODD) >> np.uint64(16)) % np.uint64(buckets)
-    order = np.argsort(bucket.astype(np.uint32), kind="stable")
+    bucket = bucket.astype(np.uint32)
+    order = np.argsort(bucket, kind="stable").astype(np.int32)
     for own in np.split(order, np.flatnonzero(np.diff(bucket[order])) + 1):
         codes = [x[own] for x in columns[:-1]]
         used = np.zeros(len(names), bool)

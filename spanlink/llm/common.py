@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -53,12 +54,19 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def dealt(df: DataFrame, rows: int = 2000) -> DataFrame:
-    """Spread a small table over many tasks when each row stands for much work."""
-    n = max(1, df.count())
-    return df.repartition(min(n, rows))
+def beside(df: DataFrame, carried: list[str], used: list[str], made: str, start: Callable[[], Callable[[pa.RecordBatch], list[pa.Array]]]) -> DataFrame:
+    """Columns `carried` as they are, and those that a function makes of each batch of columns `used`; `start` gives a task that function.
 
+    What is carried stays in Arrow: in pandas a column of long numbers with a null in it becomes floating-point, and large ids change.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        each = start()
+        for batch in batches:
+            columns = [batch.column(c) for c in carried] + each(batch)
+            yield pa.RecordBatch.from_arrays(columns, [*carried, *names])
 
-def chunks(items: list, n: int) -> Iterator[list]:
-    for i in range(0, len(items), n):
-        yield items[i : i + n]
+    rows = df.select(*dict.fromkeys([*carried, *used]))
+    names = [field.split()[0] for field in made.split(", ")]
+    kinds = {f.name: f.dataType.simpleString() for f in rows.schema}
+    return rows.mapInArrow(run, ", ".join([f"`{c}` {kinds[c]}" for c in carried] + [made]))

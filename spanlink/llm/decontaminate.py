@@ -21,10 +21,14 @@ an id; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import functools
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spanlink.llm.common import broadcast_if_small, materialize, table
+from spanlink.llm.simhash import keyed
 
 WIDTH, SIMILARITY, RADIUS = 5, 0.8, 22
 #: Starts of windows that are cut out of a document together.
@@ -80,14 +84,15 @@ def similarity(a: str, b: str) -> Column:
     return F.expr(f"transform(array({both}), c -> c / (size({a}) + size({b}) - c))[0]")
 
 
-def matching(docs: DataFrame, known: DataFrame) -> DataFrame:
-    """(row, doc_id, shingles) of the documents that share a shingle with an item; `row` tells rows of one id apart."""
+def matching(docs: DataFrame, known: DataFrame, by: Sequence[str] = ("doc_id",)) -> DataFrame:
+    """(row, `by`, shingles) of the documents that share a shingle with an item; `row` tells rows of one id apart."""
     posted = broadcast_if_small(known.select("h").distinct(), BROADCAST_ROWS)
-    hashed = docs.select("doc_id", shingles(F.col("text")).alias("shingles"))
-    ids = materialize(hashed.select("doc_id", F.explode("shingles").alias("h")).join(posted, "h", "left_semi").select("doc_id").distinct())
+    hashed = docs.select(*by, shingles(F.col("text")).alias("shingles"))
+    ids = materialize(hashed.select(*by, F.explode("shingles").alias("h")).join(posted, "h", "left_semi").select(*by).distinct())
     ids = broadcast_if_small(ids, BROADCAST_ROWS).alias("i")
-    some = docs.select("doc_id", "text").alias("d").join(ids, F.col("d.doc_id").eqNullSafe(F.col("i.doc_id")), "left_semi")
-    return materialize(some.select(F.monotonically_increasing_id().alias("row"), "d.doc_id", shingles(F.col("text")).alias("shingles")))
+    same = functools.reduce(Column.__and__, [F.col(f"d.{c}").eqNullSafe(F.col(f"i.{c}")) for c in by])
+    some = docs.select(*by, "text").alias("d").join(ids, same, "left_semi")
+    return materialize(some.select(F.monotonically_increasing_id().alias("row"), *by, shingles(F.col("text")).alias("shingles")))
 
 
 def starts(some: DataFrame, known: DataFrame, at_least: float) -> DataFrame:
@@ -109,18 +114,18 @@ def starts(some: DataFrame, known: DataFrame, at_least: float) -> DataFrame:
     return spans.select("row", "size", F.explode(F.sequence("r.a", "r.b")).alias("start")).distinct()
 
 
-def candidates(docs: DataFrame, items: DataFrame, at_least: float = SIMILARITY) -> DataFrame:
-    """(doc_id, start, size, window): the item-sized windows that may be similar enough to an item of that size."""
+def candidates(docs: DataFrame, items: DataFrame, at_least: float = SIMILARITY, by: Sequence[str] = ("doc_id",)) -> DataFrame:
+    """(`by`, start, size, window): the item-sized windows that may be similar enough to an item of that size."""
     known = materialize(items.select("size", F.explode("shingles").alias("h")).distinct())
-    some = matching(docs, known)
+    some = matching(docs, known, by)
     piece = F.floor(F.col("start") / CHUNK).cast("int")
     pieces = starts(some, known, at_least).groupBy("row", "size", piece.alias("piece")).agg(F.collect_list(F.col("start") - piece * CHUNK).alias("starts"))
     by_row = pieces.groupBy("row").agg(F.collect_list(F.struct("size", "piece", "starts")).alias("pieces"))
     # a document's row gives pieces of CHUNK starts, a piece gives its windows
     cut = F.transform("pieces", lambda p: F.struct(p["size"].alias("size"), (p["piece"] * CHUNK).alias("base"), p["starts"].alias("starts"), F.slice(F.col("shingles"), p["piece"] * CHUNK + 1, p["size"] + CHUNK - 1).alias("part")))
-    pieces = some.join(by_row, "row").select("doc_id", F.explode(cut).alias("p")).select("doc_id", "p.*")
+    pieces = some.join(by_row, "row").select(*by, F.explode(cut).alias("p")).select(*by, "p.*")
     windows = F.transform("starts", lambda s: F.struct((F.col("base") + s).alias("start"), F.slice(F.col("part"), s + 1, F.col("size")).alias("window")))
-    return pieces.select("doc_id", "size", F.explode(windows).alias("w")).select("doc_id", "size", "w.*")
+    return pieces.select(*by, "size", F.explode(windows).alias("w")).select(*by, "size", "w.*")
 
 
 def near(windows: DataFrame, items: DataFrame) -> DataFrame:
@@ -132,24 +137,24 @@ def near(windows: DataFrame, items: DataFrame) -> DataFrame:
     return met.where(within).select("size", "fp", "item_fp")
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, at_least: float = SIMILARITY) -> DataFrame:
-    """(doc_id, item_id, similarity, start): each pair once, with its best window's first word."""
+def contaminated(docs: DataFrame, benchmark: DataFrame, at_least: float = SIMILARITY, by: Sequence[str] = ("doc_id",)) -> DataFrame:
+    """(doc_id, item_id, similarity, start): each pair once, with its best window's first word. Other columns `by` may tell documents apart."""
     items = benchmark.select("item_id", shingles(F.col("text")).alias("shingles")).withColumn("size", F.size("shingles")).where("size > 0")
     items = materialize(items.withColumn("item_fp", simhash("shingles")))
-    windows = materialize(candidates(docs, items, at_least).withColumn("fp", simhash("window")))
+    windows = materialize(candidates(docs, items, at_least, by).withColumn("fp", simhash("window")))
     pairs = broadcast_if_small(materialize(near(windows, items)), BROADCAST_ROWS)
     met = windows.join(pairs, ["size", "fp"]).join(items, ["size", "item_fp"])
     verified = met.withColumn("similarity", similarity("window", "shingles")).where(F.col("similarity") >= at_least)
     best = F.max(F.struct(F.col("similarity"), (-F.col("start")).alias("back"))).alias("best")
-    found = verified.groupBy("doc_id", "item_id").agg(best)
-    return found.select("doc_id", "item_id", F.col("best.similarity").alias("similarity"), (-F.col("best.back")).alias("start"))
+    found = verified.groupBy(*by, "item_id").agg(best)
+    return found.select(*by, "item_id", F.col("best.similarity").alias("similarity"), (-F.col("best.back")).alias("start"))
 
 
 def without_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of `docs` that no item contaminates."""
-    hit = materialize(contaminated(docs, benchmark).select("doc_id").distinct())
-    hit = broadcast_if_small(hit, BROADCAST_ROWS)
-    return docs.alias("d").join(hit.alias("h"), F.col("d.doc_id").eqNullSafe(F.col("h.doc_id")), "left_anti")
+    """The rows of `docs` that no item contaminates. Rows are told apart by their contents, so null and repeated ids lose no clean text."""
+    rows, key = keyed(docs), ["k1", "k2"]
+    hit = materialize(contaminated(rows.select(*key, "text"), benchmark, by=key).select(*key).distinct())
+    return rows.join(broadcast_if_small(hit, BROADCAST_ROWS), key, "left_anti").select("row.*")
 
 
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -17,10 +17,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spanlink.llm.common import materialize, table
+from spanlink.llm.common import beside, materialize, table
 from spanlink.llm.toxicity import by_chars, remainder
 
 BITS, DIM, NONZERO, REACH = 14, 32, 2, 2
@@ -108,14 +109,13 @@ def pool(bucket: np.ndarray, doc: np.ndarray, n: int, vectors: np.ndarray) -> np
 def pooled(docs: DataFrame, vectors: np.ndarray) -> DataFrame:
     """(doc_id, x): pooled features as float32 bytes."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            texts, xs = pdf["text"].tolist(), []
-            for s in by_chars(texts):
-                xs += [x.tobytes() for x in pool(*tokens(texts[s]), s.stop - s.start, vectors)]
-            yield pd.DataFrame({"doc_id": pdf["doc_id"], "x": xs})
+    def run(batch: pa.RecordBatch) -> list[pa.Array]:
+        texts, xs = batch.column("text").to_pylist(), []
+        for s in by_chars(texts):
+            xs += [x.tobytes() for x in pool(*tokens(texts[s]), s.stop - s.start, vectors)]
+        return [pa.array(xs, pa.binary())]
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInPandas(run, "doc_id long, x binary")
+    return beside(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), ["doc_id"], ["text"], "x binary", lambda: run)
 
 
 class Network:
@@ -170,11 +170,10 @@ def fit(features: DataFrame, labels: DataFrame, label: str = "quality", max_rows
 
 
 def score(features: DataFrame, network: Network) -> DataFrame:
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            yield pd.DataFrame({"doc_id": pdf["doc_id"], "score": network(_matrix(pdf["x"]))})
+    def run(batch: pa.RecordBatch) -> list[pa.Array]:
+        return [pa.array(network(_matrix(batch.column("x").to_pylist())))]
 
-    out = features.mapInPandas(run, "doc_id long, score double")
+    out = beside(features, ["doc_id"], ["x"], "score double", lambda: run)
     return out.withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
 
 

@@ -31,12 +31,11 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.parquet as pq
 import xxhash
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spanlink.llm.common import materialize, shared_dir, table
-from spanlink.llm.files import replacing, resolve
+from spanlink.llm.common import materialize, table
+from spanlink.llm.files import resolve, text_files
 
 WIDTH = 13
 #: Pair steps of each Spark round; the first round begins with a step on runs.
@@ -402,39 +401,9 @@ def kept_rows(path: str, width: int, rounds: tuple[int, ...], side: tuple[np.nda
         yield pa.RecordBatch.from_pydict(columns | ({"kept": pa.array([r[2].decode() for r in rows], pa.string())} if keep_text else {}))
 
 
-def write_files(docs: DataFrame) -> DataFrame:
-    """(file, path, bytes): the rows (doc_id, text as binary) in files of about FILE_BYTES in the shared folder."""
-    folder = shared_dir(docs.sparkSession)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, number = TaskContext.get().partitionId(), itertools.count()
-        held: list[pa.RecordBatch] = []
-        size = 0
-
-        def write() -> pa.RecordBatch:
-            k = next(number)
-            path = f"{folder}/{part:06d}-{k:06d}.parquet"
-            with replacing(path) as out:
-                pq.write_table(pa.Table.from_batches(held), out, compression="zstd", row_group_size=4096)
-            return pa.RecordBatch.from_pydict({"file": [(part << 32) + k], "path": [path], "bytes": [size]})
-
-        for batch in batches:
-            for at in range(0, len(batch), 64):
-                some = batch.slice(at, 64)
-                held.append(some)
-                size += sum(len(t) for t in some.column("text").to_pylist() if t)
-                if size >= FILE_BYTES:
-                    yield write()
-                    held, size = [], 0
-        if held:
-            yield write()
-
-    return materialize(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text")).mapInArrow(run, "file long, path string, bytes long"))
-
-
 def remove_repeats(docs: DataFrame, width: int = WIDTH, rounds: tuple[int, ...] = ROUNDS, keep_text: bool = False) -> DataFrame:
     """(doc_id, n_words, n_removed, kept_sha256[, kept]) per row of (doc_id, text); kept: the remaining words joined by one space."""
-    files = write_files(docs)
+    files = text_files(docs, FILE_BYTES)
     n_files, size = files.agg(F.count("*"), F.coalesce(F.sum("bytes"), F.lit(0))).first()
     tasks = max(1, min(MAX_TASKS, n_files))
     buckets = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), size // BUCKET_BYTES)

@@ -17,15 +17,13 @@ are told apart by their contents, so null and repeated ids lose no text; an empt
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spanlink.llm.common import broadcast_if_small, materialize, table
+from spanlink.llm.common import beside, broadcast_if_small, materialize, table
 from spanlink.llm.graph import components
 
 RADIUS = 2
@@ -61,14 +59,11 @@ def fingerprints(docs: DataFrame, keep: list[str] | None = None, width: int = SH
     """(doc_id, fp), fp as a signed long, and columns `keep`."""
     keep = keep or []
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            fps = np.array([fingerprint(hashes(t, width)) for t in pdf["text"]], np.uint64)
-            yield pdf.drop(columns="text").assign(fp=fps.view(np.int64))
+    def run(batch: pa.RecordBatch) -> list[pa.Array]:
+        fps = np.array([fingerprint(hashes(t.as_py(), width)) for t in batch.column("text")], np.uint64)
+        return [pa.array(fps.view(np.int64))]
 
-    base = docs.select(F.col("doc_id").cast("long"), *keep, "text")
-    kinds = {f.name: f.dataType.simpleString() for f in base.schema}
-    return base.mapInPandas(run, ", ".join(f"`{c}` {kinds[c]}" for c in ["doc_id", *keep]) + ", fp long")
+    return beside(docs.select(F.col("doc_id").cast("long").alias("doc_id"), *keep, "text"), ["doc_id", *keep], ["text"], "fp long", lambda: run)
 
 
 def _signed(x: int) -> int:

@@ -32,16 +32,16 @@ import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import pyarrow.parquet as pq
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spanlink.llm.common import materialize, shared_dir, table
-from spanlink.llm.files import resolve
+from spanlink.llm.common import materialize, table
+from spanlink.llm.files import resolve, text_files
 from spanlink.llm.suffix import common_prefixes, suffix_array
 
 LENGTH, GRAM, CELL = 200, 32, 8
-#: Different regions of an anchor that one task may get; bytes of regions in one suffix array, about; documents in a file.
-GROUP, SORTED_BYTES, FILE_ROWS = 1024, 1 << 20, 8192
+#: Different regions of an anchor that one task may get; bytes of regions in one suffix array, and of texts in a file, about.
+GROUP, SORTED_BYTES, FILE_BYTES = 1024, 1 << 20, 16 << 20
 BATCH_BYTES = 1 << 20
 _SPAN = LENGTH - GRAM + 1
 #: Bytes that all windows of a whole cell share.
@@ -108,7 +108,7 @@ def regions(data: np.ndarray, lengths: np.ndarray) -> dict[str, np.ndarray]:
     return {"doc": own, "lo": lo - (ends - lengths)[own], "n": hi - lo + 1, "off": place - lo, "h": hashed[place].view(np.int64), "rh": second(lo, hi + LENGTH).view(np.int64)}
 
 
-def _batches(path: str, ids: bool = False) -> Iterator[tuple[int, list, np.ndarray, np.ndarray]]:
+def _batches(path: str, ids: bool = False) -> Iterator[tuple[int, pa.Array, np.ndarray, np.ndarray]]:
     """(number of the first row, ids, texts' bytes one after the other, their lengths) of a file of the copy, about BATCH_BYTES at a time.
 
     Rows are read so many at once that they hold about 8 * BATCH_BYTES by the file's mean.
@@ -121,14 +121,14 @@ def _batches(path: str, ids: bool = False) -> Iterator[tuple[int, list, np.ndarr
         rows = max(1, min(1024, 8 * BATCH_BYTES * table.metadata.num_rows // max(1, size)))
         for batch in table.iter_batches(batch_size=rows, columns=["doc_id", "text"] if ids else ["text"]):
             text = batch.column("text")
-            text = pc.fill_null(text, "").cast(pa.large_binary())
+            text = pc.fill_null(text.cast(pa.large_binary()), b"")
             offsets = np.frombuffer(text.buffers()[1], np.int64)[text.offset : text.offset + len(text) + 1]
             raw = np.frombuffer(text.buffers()[2] or b"", np.uint8)
-            names = batch.column("doc_id").to_pylist() if ids else []
+            names = batch.column("doc_id") if ids else pa.nulls(len(text), pa.int64())
             a = 0
             while a < len(text):
                 b = max(a + 1, int(np.searchsorted(offsets, offsets[a] + BATCH_BYTES, side="right")) - 1)
-                yield at + a, names[a:b], raw[offsets[a] : offsets[b]], np.diff(offsets[a : b + 1])
+                yield at + a, names.slice(a, b - a), raw[offsets[a] : offsets[b]], np.diff(offsets[a : b + 1])
                 a = b
             at += len(text)
 
@@ -158,7 +158,7 @@ def _places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 new = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]) | (doc[1:] != doc[:-1])])) if len(order) else order
                 one = order[new]
                 los = pa.ListArray.from_arrays(pa.array(np.append(new, len(order)).astype(np.int32)), pa.array(r["lo"][order].astype(np.int32)))
-                yield pa.RecordBatch.from_pydict({"file": pa.array([file] * len(one), pa.int32()), "doc": r["doc"][one] + at, "h": r["h"][one], "rh": r["rh"][one], "windows": r["n"][one].astype(np.int32), "off": r["off"][one].astype(np.int32), "los": los})
+                yield pa.RecordBatch.from_pydict({"file": pa.array([file] * len(one), pa.int64()), "doc": r["doc"][one] + at, "h": r["h"][one], "rh": r["rh"][one], "windows": r["n"][one].astype(np.int32), "off": r["off"][one].astype(np.int32), "los": los})
 
 
 def _cut(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
@@ -301,11 +301,11 @@ def split_groups(cut: DataFrame) -> DataFrame:
     return pieces.mapInPandas(runs, "h long, rh long, runs array<int>")
 
 
-def _kept(key: tuple, files: pd.DataFrame, side: pd.DataFrame, keep_bytes: bool) -> pd.DataFrame:
+def _kept(paths: list[str], side: pd.DataFrame, keep_bytes: bool) -> Iterator[pa.RecordBatch]:
     side = side.sort_values("doc")
-    docs, out = side["doc"].to_numpy(), []
+    docs = side["doc"].to_numpy()
     los, runs = side["los"].tolist(), side["runs"].tolist()
-    for path in files["path"]:
+    for path in paths:
         for at, names, data, lengths in _batches(path, ids=True):
             starts = np.cumsum(lengths) - lengths
             edges = np.zeros(len(data) + 1, np.int32)
@@ -314,30 +314,27 @@ def _kept(key: tuple, files: pd.DataFrame, side: pd.DataFrame, keep_bytes: bool)
                 for lo in los[i]:
                     edges[np.asarray(runs[i][0::2]) + (base + lo)] += 1
                     edges[np.asarray(runs[i][1::2]) + (base + lo + LENGTH - 1)] -= 1
-            gone = np.cumsum(edges[:-1]) > 0
-            for doc_id, x, n in zip(names, starts.tolist(), lengths.tolist(), strict=True):
+            gone, out = np.cumsum(edges[:-1]) > 0, []
+            for x, n in zip(starts.tolist(), lengths.tolist(), strict=True):
                 own = gone[x : x + n]
                 kept = data[x : x + n][~own].tobytes()
                 spans = int(np.count_nonzero(own[1:] & ~own[:-1])) + int(n > 0 and own[0])
-                out.append((doc_id, n, n - len(kept), spans, hashlib.sha256(kept).hexdigest(), *([kept] if keep_bytes else [])))
-    out = pd.DataFrame(out, columns=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", *(["kept"] if keep_bytes else [])])
-    return out.astype({"doc_id": "Int64"})
+                out.append((n, n - len(kept), spans, hashlib.sha256(kept).hexdigest(), kept if keep_bytes else None))
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary())[: 4 + keep_bytes]
+            arrays = [pa.array(x, t) for x, t in zip(zip(*out, strict=True), kinds, strict=False)]
+            yield pa.RecordBatch.from_arrays([names, *arrays], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"][: 5 + keep_bytes])
 
 
 def remove_repeats(docs: DataFrame, keep_bytes: bool = True) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256[, kept]) per row of (doc_id, text); kept: the remaining bytes."""
-    spark: SparkSession = docs.sparkSession
-    copy = shared_dir(spark)
-    docs.select(F.col("doc_id").cast("long"), "text").write.option("compression", "zstd").option("maxRecordsPerFile", FILE_ROWS).parquet(copy)
-    listed = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(copy).select("path")
-    files = materialize(listed.select((F.row_number().over(Window.orderBy("path")) - 1).alias("file"), "path"))  # a row per file
+    files = text_files(docs, FILE_BYTES).select("file", "path")
     n_files = files.count()
     spread = files.repartition(max(1, n_files))
 
     counted = materialize(spread.select("path").mapInArrow(_count, "h long, rh long, n long").groupBy("h", "rh").agg(F.sum("n").alias("copies")))
     anchors = counted.groupBy("h").agg(F.sum("copies").alias("places"), F.count("*").alias("kinds")).where("places > 1")
     wanted = materialize(counted.join(anchors.select("h", "kinds"), "h"))
-    places = spread.mapInArrow(_places, "file int, doc long, h long, rh long, windows int, off int, los array<int>")
+    places = spread.mapInArrow(_places, "file long, doc long, h long, rh long, windows int, off int, los array<int>")
     # sizes of what comes out of Python are guesses, too low for a list of files, so no side may be broadcast on their word
     places = materialize(places.join(wanted.hint("merge"), ["h", "rh"]))
 
@@ -350,11 +347,11 @@ def remove_repeats(docs: DataFrame, keep_bytes: bool = True) -> DataFrame:
     found = sort_groups(cut.where(F.col("kinds") <= GROUP)).unionByName(split_groups(cut.where(F.col("kinds") > GROUP))).unionByName(settled)
     side = places.select("file", "doc", "h", "rh", "los").join(materialize(found), ["h", "rh"]).select("file", "doc", "los", "runs")
 
-    def run(key: tuple, f: pd.DataFrame, s: pd.DataFrame) -> pd.DataFrame:
-        return _kept(key, f, s, keep_bytes)
+    def run(files: pa.Table, side: pa.Table) -> pa.Table:
+        return pa.Table.from_batches(_kept(files.column("path").to_pylist(), side.to_pandas(), keep_bytes))
 
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * keep_bytes
-    return files.groupBy("file").cogroup(side.groupBy("file")).applyInPandas(run, schema)
+    return files.groupBy("file").cogroup(side.groupBy("file")).applyInArrow(run, schema)
 
 
 def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from spanlink.llm import huffman
-from spanlink.llm.common import materialize, shared_dir, table
+from spanlink.llm.common import beside, materialize, shared_dir, table
 from spanlink.llm.files import reading, replacing
 from spanlink.llm.toxicity import by_chars
 
@@ -162,15 +162,18 @@ def tokenize(docs: DataFrame, tokenizer_file: str, end_id: int = END_ID) -> Data
     """(doc_id, text) to (doc_id, n_tokens, ids): ids packed as packing() says, with the end id."""
     kind = packing(tokenizer_file, end_id)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def start():
         encode, end = encoder(tokenizer_file, kind), np.array([end_id], kind).tobytes()
-        for pdf in batches:
-            texts, out = pdf["text"].fillna("").tolist(), []
+
+        def run(batch: pa.RecordBatch) -> list[pa.Array]:
+            texts, out = [t or "" for t in batch.column("text").to_pylist()], []
             for s in by_chars(texts, BATCH_CHARS):
                 out += [ids + end for ids in encode(texts[s])]
-            yield pd.DataFrame({"doc_id": pdf["doc_id"], "n_tokens": np.array([len(x) // len(end) for x in out], np.int64), "ids": out})
+            return [pa.array([len(x) // len(end) for x in out], pa.int64()), pa.array(out, pa.binary())]
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInPandas(run, "doc_id long, n_tokens long, ids binary")
+        return run
+
+    return beside(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), ["doc_id"], ["text"], "n_tokens long, ids binary", start)
 
 
 def id_counts(ids: DataFrame, kind: str) -> np.ndarray:
@@ -192,16 +195,16 @@ def id_counts(ids: DataFrame, kind: str) -> np.ndarray:
     return counts
 
 
-def _segments(batches: Iterator[pd.DataFrame], kind: str) -> Iterator[tuple[list[int | None], np.ndarray, np.ndarray]]:
+def _segments(batches: Iterator[pa.RecordBatch], kind: str) -> Iterator[tuple[list[int | None], np.ndarray, np.ndarray]]:
     docs: list[int | None] = []
     parts: list = []
     held, width = 0, int(kind[-1])
-    for pdf in batches:
-        for doc_id, raw in zip(pdf["doc_id"], pdf["ids"], strict=True):
+    for batch in batches:
+        for doc_id, raw in zip(batch.column("doc_id").to_pylist(), batch.column("ids").to_pylist(), strict=True):
             if held and held + len(raw) // width > SEGMENT:
                 yield docs, np.array([len(x) // width for x in parts], "<u4"), np.frombuffer(b"".join(parts), kind)
                 docs, parts, held = [], [], 0
-            docs.append(None if pd.isna(doc_id) else int(doc_id))
+            docs.append(doc_id)
             parts.append(raw)
             held += len(raw) // width
     if docs:
@@ -212,7 +215,7 @@ def write_archive(ids: DataFrame, kind: str, folder: str, files: int, lengths: n
     """Write a (materialized) table of ids as coded files in order of doc_id; returns (file, path, n_tokens)."""
     codes = huffman.canonical_codes(lengths)
 
-    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         k = TaskContext.get().partitionId()
         path, total, head = f"{folder}/part-{k:06d}.slh", 0, zlib.compress(lengths.tobytes())
         segments = _segments(batches, kind)
@@ -225,12 +228,12 @@ def write_archive(ids: DataFrame, kind: str, folder: str, files: int, lengths: n
                 total += _write_segment(out, docs, counts, flat, lengths, codes)
             for docs, counts, flat in segments:
                 total += _write_segment(out, docs, counts, flat, lengths, codes)
-        yield pd.DataFrame({"file": [k], "path": [path], "n_tokens": [total]})
+        yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([path]), pa.array([total], pa.int64())], ["file", "path", "n_tokens"])
 
     # rows of one id, or of none, and even equal rows may make up several files
     order = [F.col("doc_id").asc_nulls_first(), F.col("own"), F.col("k")]
     ranged = ids.select("doc_id", "ids", F.xxhash64("ids").alias("own"), F.monotonically_increasing_id().alias("k")).repartitionByRange(files, *order).sortWithinPartitions(*order)
-    return materialize(ranged.select("doc_id", "ids").mapInPandas(write, "file int, path string, n_tokens long"))
+    return materialize(ranged.select("doc_id", "ids").mapInArrow(write, "file int, path string, n_tokens long"))
 
 
 def _write_segment(out, docs: list[int | None], counts: np.ndarray, flat: np.ndarray, lengths: np.ndarray, codes: np.ndarray) -> int:
@@ -260,19 +263,20 @@ def read_file(path: str) -> Iterator[tuple[list[int | None], np.ndarray, np.ndar
 def read_archive(written: DataFrame) -> DataFrame:
     """(doc_id, start, n_tokens, ids) from the files that write_archive() lists; start counts the ids of all documents before."""
 
-    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            for path, base in zip(pdf["path"], pdf["base"], strict=True):
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for path, base in zip(batch.column("path").to_pylist(), batch.column("base").to_pylist(), strict=True):
                 for docs, counts, flat in read_file(path):
                     ends = np.cumsum(counts, dtype=np.int64)
                     starts = ends - counts
                     raw = flat.astype("<u4").tobytes()
-                    yield pd.DataFrame({"doc_id": pd.array(docs, "Int64"), "start": base + starts, "n_tokens": counts.astype(np.int64), "ids": [raw[4 * a : 4 * b] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]})
+                    ids = [raw[4 * a : 4 * b] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
+                    yield pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), pa.array(base + starts), pa.array(counts.astype(np.int64)), pa.array(ids, pa.binary())], ["doc_id", "start", "n_tokens", "ids"])
                     base += len(flat)
 
     before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)  # one row per file
     files = written.withColumn("base", F.coalesce(F.sum("n_tokens").over(before), F.lit(0)))
-    return files.repartition(max(1, written.count())).select("path", "base").mapInPandas(read, "doc_id long, start long, n_tokens long, ids binary")
+    return files.repartition(max(1, written.count())).select("path", "base").mapInArrow(read, "doc_id long, start long, n_tokens long, ids binary")
 
 
 def encode_documents(docs: DataFrame, tokenizer_file: str | None = None) -> tuple[DataFrame, str]:

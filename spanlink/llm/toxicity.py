@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from spanlink.llm.common import materialize, table
+from spanlink.llm.common import beside, materialize, table
 
 BITS = 20
 STEMS = (4, 6)
@@ -154,17 +154,17 @@ def score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray, float], extra: l
     used, weights, bias = model
     keep = ["doc_id", *(extra or [])]
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def start():
         dense = np.zeros(1 << BITS, np.float64)
         dense[used] = weights
-        for pdf in batches:
-            texts = pdf["text"].tolist()
-            parts = [score_texts(texts[s], dense, bias) for s in by_chars(texts)]
-            yield pdf[keep].assign(score=np.concatenate(parts) if parts else np.empty(0))
 
-    kinds = {f.name: f.dataType.simpleString() for f in docs.schema}
-    schema = ", ".join(f"`{c}` {kinds[c]}" for c in keep) + ", score double"
-    out = docs.select(*dict.fromkeys([*keep, "text"])).mapInPandas(run, schema)
+        def run(batch: pa.RecordBatch) -> list[pa.Array]:
+            texts = batch.column("text").to_pylist()
+            return [pa.array(np.concatenate([np.empty(0), *[score_texts(texts[s], dense, bias) for s in by_chars(texts)]]))]
+
+        return run
+
+    out = beside(docs, keep, ["text"], "score double", start)
     return out.withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
 
 

@@ -26,7 +26,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 from urllib.parse import quote
 
-import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -225,27 +225,28 @@ def with_revisits(pages: DataFrame) -> DataFrame:
 def write_archives(pages: DataFrame, folder: str) -> DataFrame:
     """Write (page_id, url, html) under `folder`; returns (path, records, bytes), one row per archive."""
 
-    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rows = (r for pdf in batches for r in zip(pdf["page_id"], pdf["url"], pdf["html"], pdf["refers_to"], strict=True))
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = (r for batch in batches for r in zip(*[batch.column(c).to_pylist() for c in ("page_id", "url", "html", "refers_to")], strict=True))
         row, k, done = next(rows, None), 0, []
         while row is not None:
             path, size, n = f"{folder}/pages-{TaskContext.get().partitionId():06d}-{k:04d}.warc.gz", 0, 0
             with replacing(path) as out:
                 while row is not None and size < FILE_BYTES:
                     page_id, url, html, refers_to = row
-                    raw = member(record(None if pd.isna(page_id) else int(page_id), url, html.encode(), None if pd.isna(refers_to) else int(refers_to)))
+                    raw = member(record(page_id, url, html.encode(), refers_to))
                     out.write(raw)
                     size, n, row = size + len(raw), n + 1, next(rows, None)
             done.append((path, n, size))
             k += 1
-        yield pd.DataFrame(done, columns=["path", "records", "bytes"])
+        columns = list(zip(*done, strict=True)) or [(), (), ()]
+        yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(columns, (pa.string(), pa.int64(), pa.int64()), strict=True)], ["path", "records", "bytes"])
 
-    return materialize(with_revisits(pages).mapInPandas(write, "path string, records long, bytes long"))
+    return materialize(with_revisits(pages).mapInArrow(write, "path string, records long, bytes long"))
 
 
 def _id(urn: str | None) -> int | None:
     m = re.fullmatch(r"<urn:page:(-?\d+)>", urn or "")
-    return int(m[1]) if m else None
+    return int(m[1]) if m and -(1 << 63) <= int(m[1]) < 1 << 63 else None
 
 
 def read_archives(files: DataFrame, payloads: bool = True) -> DataFrame:
@@ -255,18 +256,20 @@ def read_archives(files: DataFrame, payloads: bool = True) -> DataFrame:
     unless payloads is False. Sizes and digests are those of the payload read; a revisit has them in its header.
     """
 
-    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    longs = ("offset", "length", "page_id", "payload_bytes", "refers_to")
+    names = ["path", "offset", "length", "reason", "page_id", "record_type", "payload_bytes", "payload_digest", "refers_to", "html"][: 9 + payloads]
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
         size = 0
-        columns = ["path", "offset", "length", "reason", "page_id", "record_type", "payload_bytes", "payload_digest", "refers_to", "html"]
 
-        def out() -> pd.DataFrame:
-            df = pd.DataFrame(held, columns=columns).astype({c: "Int64" for c in ("page_id", "payload_bytes", "refers_to")})
+        def out() -> pa.RecordBatch:
+            arrays = [pa.array([r[k] for r in held], pa.int64() if c in longs else pa.string()) for k, c in enumerate(names)]
             held.clear()
-            return df if payloads else df.drop(columns="html")
+            return pa.RecordBatch.from_arrays(arrays, names)
 
-        for pdf in batches:
-            for path in pdf["path"]:
+        for batch in batches:
+            for path in batch.column("path").to_pylist():
                 with reading(path) as stream:
                     for f in salvage(stream):
                         if f.headers is None:
@@ -281,8 +284,8 @@ def read_archives(files: DataFrame, payloads: bool = True) -> DataFrame:
                             size = 0
         yield out()
 
-    schema = "path string, offset long, length long, reason string, page_id long, record_type string, payload_bytes long, payload_digest string, refers_to long" + ", html string" * payloads
-    return files.select("path").repartition(max(1, files.count())).mapInPandas(read, schema)
+    schema = ", ".join(f"{c} {'long' if c in longs else 'string'}" for c in names)
+    return files.select("path").repartition(max(1, files.count())).mapInArrow(read, schema)
 
 
 def op1_warc_salvage(spark: SparkSession, sf_dir: str) -> DataFrame:
