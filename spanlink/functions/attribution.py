@@ -11,7 +11,7 @@ import re
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from spanlink.functions import addresses, numerals
 from spanlink.functions.rules import TRACTATES
@@ -130,11 +130,11 @@ def _after(words: list[str]) -> str | None:
     return "maybe" if _is("writer", first) and not first.startswith("ו") and not against else None
 
 
-def _named_before(before: list[str], lead: list[str], behind: list[str]) -> bool:
-    """Whether the nearest named commentary writes, and only locating words lie between it and the citation."""
+def _named_before(before: list[str], lead: list[str], behind: list[str]) -> str | None:
+    """The nearest named commentary, if it writes and only locating words lie between it and the citation."""
     at = next((k for k in reversed(range(len(before))) if _is("family", before[k])), None)
     if at is None or len(before) - at > 8:
-        return False
+        return None
     name, gap = before[at], before[at + 1 :]
     if gap[:1] in (["גופיה"], ["עצמו"]):
         gap = gap[1:]
@@ -142,12 +142,30 @@ def _named_before(before: list[str], lead: list[str], behind: list[str]) -> bool
     gap = gap[verb_after:] + lead
     combined = name.startswith("פרש")
     if not (verb_before or verb_after or combined or name.startswith("ב")):
-        return False
+        return None
     bare = not (verb_before or verb_after or combined)
     behind = behind[1:] if behind[:1] in (["שם"], ["ושם"]) else behind
     if _coordinates(gap) and (bare or _quotes_next(behind)):
-        return False
-    return locates_only(gap) and not _ends_scope(gap)
+        return None
+    return _family(name) if locates_only(gap) and not _ends_scope(gap) else None
+
+
+def _family(word: str) -> str:
+    return "Tosafot" if "תוס" in word else "Rashi"
+
+
+def _named_after(words: list[str]) -> set[str] | None:
+    """Commentaries named by the three words behind; None if what follows may make "Tosafot" the name of another work."""
+    found = set()
+    for k, word in enumerate(words[:3]):
+        if not _is("family", word):
+            continue
+        rest = words[k + 1 :]
+        rest = rest[1:] if rest[:1] == ["שם"] else rest
+        if _family(word) == "Tosafot" and rest and not re.fullmatch("[ברס]?ד[\"']ה", rest[0]) and not _is("writes", rest[0]) and not (rest[0].startswith("ו") and not _is("writer", rest[0])):
+            return None
+        found.add(_family(word))
+    return found
 
 
 def _self_before(before: list[str], lead: list[str], behind: list[str], maybe: bool) -> str | None:
@@ -181,24 +199,43 @@ def writer_of(content: str, start: int, end: int) -> str | None:
     said = _after(after)
     if said in ("self", "other"):
         return said
+    if _prefix_family(content, start, end, behind):
+        return "other"
+    prefix, anchor = _TAGS.sub(" ", content[:start]), _TAGS.sub(" ", content[start:end])
+    # printed places don't end a list of writings, and editorial brackets keep their words
+    open_ = re.sub(r"\(([^()]*)\)", lambda m: " " if _ADDRESS.match(_VOWELS.sub("", _plain(m[1]))) else f" {m[1]} ", prefix)
+    return _self_before(_clause(re.sub(r"[\[\]]", " ", open_)), words_of(_plain(anchor.split("(", 1)[0])), behind, said == "maybe")
+
+
+def _prefix_family(content: str, start: int, end: int, behind: list[str]) -> str | None:
     prefix, anchor = _TAGS.sub(" ", content[:start]), _TAGS.sub(" ", content[start:end])
     lead = _plain(anchor.split("(", 1)[0])
     place = re.search(r"\([^()]+\)", anchor)
     inner = words_of(anchor[place.end() :]) if place else []
     address = None if "(" in anchor else _LAST_ADDRESS.search(lead)
     locator = lead[: address.start()] if address and _NUMERAL.match(re.sub("[^א-ת]", "", address[2])) else lead
-    if _named_before(_clause(prefix), words_of(locator), inner + behind):
-        return "other"
-    # printed places don't end a list of writings, and editorial brackets keep their words
-    open_ = re.sub(r"\(([^()]*)\)", lambda m: " " if _ADDRESS.match(_VOWELS.sub("", _plain(m[1]))) else f" {m[1]} ", prefix)
-    return _self_before(_clause(re.sub(r"[\[\]]", " ", open_)), words_of(lead), behind, said == "maybe")
+    return _named_before(_clause(prefix), words_of(locator), inner + behind)
+
+
+def commentary_of(content: str, start: int, end: int) -> str | None:
+    """The one commentary, Rashi or Tosafot, that is named as the writer at a citation."""
+    if writer_of(content, start, end) != "other":
+        return None
+    after, behind = _following(content, start, end)
+    named = _named_after(after)
+    if named is None:
+        return None
+    before = _prefix_family(content, start, end, behind)
+    families = named | ({before} if before else set())
+    return families.pop() if len(families) == 1 else None
 
 
-@F.pandas_udf(StringType())
-def _governing(content: pd.Series, start: pd.Series, end: pd.Series) -> pd.Series:
-    return pd.Series([None if c is None else writer_of(c, int(a), int(b)) for c, a, b in zip(content, start, end, strict=True)], dtype=object)
+@F.pandas_udf(StructType([StructField("writer", StringType()), StructField("commentary", StringType())]))
+def _governing(content: pd.Series, start: pd.Series, end: pd.Series) -> pd.DataFrame:
+    rows = [(None, None) if c is None else (writer_of(c, a, b), commentary_of(c, a, b)) for c, a, b in zip(content.tolist(), start.tolist(), end.tolist(), strict=True)]
+    return pd.DataFrame(rows, columns=["writer", "commentary"], dtype=object)
 
 
 def governing(content: Column, start: Column, end: Column) -> Column:
-    """`writer_of` for columns; spans in code points."""
+    """(writer, commentary): `writer_of` and `commentary_of` for columns; spans in code points, not null."""
     return _governing(content, start.cast("int"), end.cast("int"))

@@ -32,7 +32,7 @@ from spanlink.schemas import BOOK, LINE, LINKS
 
 Keep = Callable[[DataFrame], DataFrame]
 ROW = [*KEY, "sub"]
-OPTION = "struct<kind:string,offered:string,ref:string,start:int,end:int,direction:string>"
+OPTION = "struct<kind:string,offered:string,ref:string,start:int,end:int,direction:string,shown:string>"
 #: Rules that rebuild a citation from text in the order in which they are asked; `own` comes before the candidates.
 FAILED = ("parenthesized", "chapter", "geresh")
 
@@ -112,7 +112,7 @@ def _continued(trusted: str | None, row: dict) -> dict | None:
         found = f"{title} {':'.join(map(str, numbers))}"
         # a printed verse may be wrong or no citation at all: the words beside it must be that verse's
         ref = found if len(before) == 2 and found in row["evidence"] else None
-    return ref and {"kind": "continued", "offered": None, "ref": ref, "start": row["start"], "end": row["end"], "direction": None}
+    return ref and {"kind": "continued", "offered": None, "ref": ref, "start": row["start"], "end": row["end"], "direction": None, "shown": None}
 
 
 def entries(citations: DataFrame, segments: DataFrame, works: DataFrame | None = None, chapters: DataFrame | None = None) -> DataFrame:
@@ -120,7 +120,7 @@ def entries(citations: DataFrame, segments: DataFrame, works: DataFrame | None =
 
     Only the first row of a list that had candidates resets what was emitted last. Who writes before a list governs all of it.
     """
-    citations = citations.withColumn("writer", attribution.governing(F.col("content"), F.col("start"), F.col("end")))
+    citations = citations.withColumn("governed", attribution.governing(F.col("content"), F.col("start"), F.col("end"))).select("*", "governed.*").drop("governed")
     whole = {"sub": F.lit(0), "rebuilt": F.lit(False), "resets": F.size("candidates") > 0, "given": F.lit(None).cast("string")}
     if works is None or chapters is None:
         return citations.withColumns(whole)
@@ -173,7 +173,7 @@ def options(rows: DataFrame, segments: DataFrame, works: DataFrame | None = None
 
 def checked(found: DataFrame, rows: DataFrame, segments: DataFrame) -> DataFrame:
     """Options that pass all rules without history, with their final ref, span and direction."""
-    facts = rows.select(*ROW, "content", "parts", "candidates", "context", "place", "writer")
+    facts = rows.select(*ROW, "content", "parts", "candidates", "context", "place", "writer", "commentary")
     c = found.join(facts, ROW)
     kind, ref = F.col("kind"), F.col("ref")
     # a candidate keeps its pointing word's duties; what was rebuilt has met them by its own rule
@@ -200,7 +200,13 @@ def checked(found: DataFrame, rows: DataFrame, segments: DataFrame) -> DataFrame
     same = F.coalesce(rules.title_of(F.col("context")) == F.col("t_title"), F.lit(False))
     side = rules.relative_direction(labels(), F.col("anchor"), same, F.col("place"), F.col("t_place"))
     c = c.withColumn("direction", F.when(F.col("relative") & ~F.col("noted"), side).otherwise(F.col("direction")))
-    return c.where(~F.col("relative") | F.col("noted") | F.col("direction").isNotNull()).select(*ROW, "kind", "offered", "ref", "start", "end", "direction")
+    c = c.where(~F.col("relative") | F.col("noted") | F.col("direction").isNotNull())
+    # a side of a leaf with a named commentary is shown as that commentary's, if it has text; history keeps the side itself
+    side = F.regexp_extract(F.col("ref"), "^(.+ [0-9]+[ab])(?::[0-9:]+)?$", 1)
+    upgrade = F.when(kind.isin("candidate", "own", "parenthesized", "chapter") & (side != ""), F.concat(F.col("commentary"), F.lit(" on "), side))
+    notes = segments.where("has_text").select(F.explode(F.array_distinct(F.array(F.col("ref"), F.regexp_replace("ref", ":[0-9:]+$", "")))).alias("shown")).where(F.col("shown").rlike("^(?:Rashi|Tosafot) on ")).distinct()
+    c = c.withColumn("upgrade", upgrade).join(notes, F.col("upgrade") == F.col("shown"), "left")
+    return c.withColumn("direction", F.when(F.col("shown").isNull(), F.col("direction"))).select(*ROW, "kind", "offered", "ref", "start", "end", "direction", "shown")
 
 
 def continuations(rows: DataFrame, segments: DataFrame, found: DataFrame, quoted: DataFrame | None = None) -> DataFrame:
@@ -229,7 +235,7 @@ def continuations(rows: DataFrame, segments: DataFrame, found: DataFrame, quoted
 
 def prepared(rows: DataFrame, good: DataFrame, more: DataFrame) -> DataFrame:
     """A row for each entry as `step` takes it."""
-    o = F.struct("kind", "offered", "ref", F.col("start").cast("int").alias("start"), F.col("end").cast("int").alias("end"), "direction")
+    o = F.struct("kind", "offered", "ref", F.col("start").cast("int").alias("start"), F.col("end").cast("int").alias("end"), "direction", "shown")
     outcomes = good.groupBy(*ROW).agg(F.sort_array(F.collect_list(o)).alias("outcomes"))
     own = F.col("context_type").eqNullSafe("CURRENT_BOOK")
     empty = lambda kind: F.array().cast(kind)
@@ -239,12 +245,12 @@ def prepared(rows: DataFrame, good: DataFrame, more: DataFrame) -> DataFrame:
     return wide.withColumns({"outcomes": F.coalesce("outcomes", empty(f"array<{OPTION}>")), "homes": F.coalesce("homes", empty("array<string>")), "verse": F.coalesce("verse", empty("array<int>")), "evidence": F.coalesce("evidence", empty("array<string>"))})
 
 
-FOLDED = "source string, title string, line_index int, pos int, sub int, kind string, ref string, start int, end int, direction string"
-TAKEN = ("kind", "ref", "start", "end", "direction")
+FOLDED = "source string, title string, line_index int, pos int, sub int, kind string, ref string, start int, end int, direction string, shown string"
+TAKEN = ("kind", "ref", "start", "end", "direction", "shown")
 
 
 def folded(rows: DataFrame) -> DataFrame:
-    """(ROW, kind, ref, start, end, direction) of the citations that get a target, folded in the order of their books.
+    """(ROW, kind, ref, start, end, direction, shown) of the citations that get a target, folded in the order of their books.
 
     A partition's rows are streamed; one history is held, not a book.
     """
@@ -295,13 +301,13 @@ def resolve(citations: DataFrame, segments: DataFrame, works: DataFrame | None =
 
 
 def links(taken: DataFrame, citations: DataFrame) -> DataFrame:
-    """LINKS of folded rows, offsets in UTF-16; only a pointing link carries the line's own context."""
+    """LINKS of folded rows, to what is shown for a target where that differs, offsets in UTF-16; only a pointing link carries the line's own context."""
     c = taken.join(citations.select(*KEY, "content", "context"), KEY)
     at = {x: text.utf16_offset(F.col("content"), F.col(x)) for x in ("start", "end")}
     cols: dict[str, Column] = {
         "line_index_base": F.lit(0),
         **at,
-        "target_ref": F.col("ref"),
+        "target_ref": F.coalesce("shown", "ref"),
         "source_path": F.lit(None),
         "source_hash": content_hash(F.col("content")),
         "context_ref": F.when(F.col("direction").isNotNull(), F.col("context")),

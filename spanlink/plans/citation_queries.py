@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from spanlink.functions import addresses, numerals, rules, text
+from spanlink.functions import addresses, attribution, numerals, rules, text
 from spanlink.functions.numerals import letter_values, spelled
 from spanlink.operators import recover, resolve, sequence
 from spanlink.plans.registry import query
@@ -309,3 +309,14 @@ def resolve_ordered(spark, d):
     chapters = spark.createDataFrame([], resolve.CHAPTERS)
     found = resolve.resolve(c, _ordered_segments(spark), _works(spark), chapters, keep=kept)
     return found.select("title", "line_index", "target_ref", "relative_direction")
+
+
+@query(f"""WITH {NUMBERS} SELECT p_partkey, list_extract(['self', 'other', 'self', NULL, 'ambiguous', 'ambiguous', NULL, 'other'], (f + 1)::INTEGER) AS writer, CASE WHEN f = 1 THEN 'Rashi' END AS commentary FROM p""")
+def governing_writers(spark, d):
+    """Writers before and after a printed leaf: the source itself, a commentary, perhaps one, and none."""
+    before = by_form(F.lit("פירשתי לעיל "), F.lit('רש"י פירש בפרק קמא '), F.lit(""), F.lit("אמרינן התם "), F.lit("כתב לעיל "), F.lit("פירשתי דבר אחר "), F.lit(""), F.lit("הרב כתב שפירשתי לעיל "))
+    after = by_form(F.lit(""), F.lit(""), F.lit(" כתבתי שם"), F.lit(""), F.lit(""), F.lit(""), F.lit(' רש"י לא פירש'), F.lit(""))
+    p = numbered(spark, d).withColumns({"before": before, "anchor": with_("(דף ", F.col("s"), ".)")})
+    content = F.concat("before", "anchor", after)
+    g = attribution.governing(content, F.length("before"), F.length("before") + F.length("anchor"))
+    return p.select("p_partkey", g.alias("g")).select("p_partkey", "g.writer", "g.commentary")

@@ -12,7 +12,7 @@ from tests.test_recover import SCHEMA, catalogs, cite
 def row(labels=(), candidates=(), ok=None, offers=(), **more):
     """A row for `step`; ok: which candidates passed (all); offers: (kind, ref) of rebuilt targets."""
     passed = list(candidates) if ok is None else list(ok)
-    option = lambda kind, offered, ref: {"kind": kind, "offered": offered, "ref": ref, "start": 0, "end": 1, "direction": None}
+    option = lambda kind, offered, ref: {"kind": kind, "offered": offered, "ref": ref, "start": 0, "end": 1, "direction": None, "shown": None}
     base = {"labels": list(labels), "candidates": list(candidates), "rebuilt": False, "resets": bool(candidates), "own_context": False, "address": None, "homes": [], "verse": [], "evidence": [], "start": 0, "end": 1}
     return base | {"outcomes": [option("candidate", c, c) for c in passed] + [option(k, None, r) for k, r in offers]} | more
 
@@ -75,7 +75,7 @@ def test_there_continues_the_proven_work_before():
 def test_books_of_all_rules(spark):
     works, segments, chapters = catalogs(spark)
     segments = segments.withColumn("place", resolve.F.lit(5).cast("long"))
-    more = [("Gone 3:2", "Gone"), ("Gone 4:2", "Gone"), ("Ketubot 13b", "Ketubot"), ("Ketubot 14a", "Ketubot"), ("Gittin 9a", "Gittin"), ("Psalms 18", "Psalms"), ("Sukkah 13b", "Sukkah"), ("Sukkah 14a", "Sukkah"), ("Ketubot 18a", "Ketubot"), ("Gittin 12b", "Gittin")]
+    more = [("Gone 3:2", "Gone"), ("Gone 4:2", "Gone"), ("Ketubot 13b", "Ketubot"), ("Ketubot 14a", "Ketubot"), ("Gittin 9a", "Gittin"), ("Psalms 18", "Psalms"), ("Sukkah 13b", "Sukkah"), ("Sukkah 14a", "Sukkah"), ("Ketubot 18a", "Ketubot"), ("Gittin 12b", "Gittin"), ("Rashi on Gittin 9a:1", "Rashi on Gittin")]
     segments = segments.unionByName(spark.createDataFrame([(r, t, True, 5) for r, t in more], "ref string, title string, has_text boolean, place long"))
     n = lambda *p: [("NAMED" if k % 3 == 0 else "NUMBERED", t) for k, t in enumerate(p)]
     there, own = [("IBID", "שם")], ("Gittin", "גיטין", 21, 21)
@@ -86,19 +86,22 @@ def test_books_of_all_rules(spark):
         "writer": [cite(0, 'רש"י פירש בפרק קמא דסוכה (יג, ב)', [("NAMED", "בפרק קמא דסוכה")], anchor="בפרק קמא דסוכה (יג, ב)")],
         "paren": [cite(0, "בפרק שני (כתובות דף יח.", [("NAMED", "בפרק שני"), ("NAMED", "כתובות"), ("NUMBERED", "דף יח.")])],
         "own": [cite(0, "לקמן יב:", [("RELATIVE", "לקמן")], own=own), cite(1, "בכתובות כתב לקמן יב:", [("RELATIVE", "לקמן")], own=own, anchor="לקמן יב:")],
+        "shown": [cite(0, 'רש"י פירש גיטין ט.', [("NAMED", "גיטין")], ["Gittin 9a"], anchor="גיטין ט."), cite(1, "שם יב:", there)],
         "geresh": [cite(0, "(תהלים יח' לא')", []), cite(1, "שם לא", there, ["Psalms 18:31"])],
     }
     rows = [("s", b, *c[2:], None, None) for b, cites in books.items() for c in cites]
     df = spark.createDataFrame(rows, SCHEMA + ", context string, place long")
-    found = resolve.resolved(df, segments, works, chapters, keep=kept)
+    found = kept(resolve.resolved(df, segments, works, chapters, keep=kept))
     got = {}
     for r in found.collect():
         got.setdefault(r["title"], []).append((r["line_index"], r["sub"], r["kind"], r["ref"]))
+    assert [(r["ref"], r["shown"]) for r in found.where("shown is not null").collect()] == [("Gittin 9a", "Rashi on Gittin 9a")]
     assert {b: sorted(x) for b, x in got.items()} == {
         "lists": [(0, 0, "given", "Psalms 18:31"), (0, 1, "given", "Genesis 1:2"), (1, 0, "given", "Sukkah 13b"), (1, 1, "given", "Sukkah 14a")],
         "there": [(0, 0, "candidate", "Ketubot 13b"), (1, 0, "continued", "Ketubot 14a")],
         "paren": [(0, 0, "parenthesized", "Ketubot 18a")],
         "own": [(0, 0, "own", "Gittin 12b")],
+        "shown": [(0, 0, "candidate", "Gittin 9a"), (1, 0, "continued", "Gittin 12b")],
         "geresh": [(0, 0, "geresh", "Psalms 18:31"), (1, 0, "candidate", "Psalms 18:31")],
     }
 
@@ -137,6 +140,22 @@ def test_who_governs_a_citation(before, anchor, after, want):
     assert attribution.writer_of(text, len(before), len(before) + len(anchor)) == want
 
 
+@pytest.mark.parametrize(
+    ("before", "after", "want"),
+    [
+        ('רש"י פירש ', "", "Rashi"),
+        ("בתוספות ", "", "Tosafot"),
+        ("", ' בתוס\' ד"ה אמר', "Tosafot"),
+        ("", ' פרש"י', "Rashi"),
+        ("", ' תוספות רי"ד פירש', None),
+        ('רש"י פירש ', ' בתוס\' ד"ה', None),
+        ("פירשתי לעיל ", "", None),
+    ],
+)
+def test_commentaries_named_at_a_citation(before, after, want):
+    assert attribution.commentary_of(f"{before}שבועות ב.{after}", len(before), len(before) + 9) == want
+
+
 def test_streams_fold_as_tables_do(spark, tmp_path):
     rows = [row(candidates=["A 3:1"]), THERE, row(candidates=["B 1"], ok=[]), THERE, row(candidates=["A 4:9"]), THERE]
     kinds = "source string, title string, line_index int, pos int, sub int, labels array<string>, candidates array<string>, rebuilt boolean, resets boolean, own_context boolean, start int, end int, "
