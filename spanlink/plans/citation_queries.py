@@ -52,11 +52,11 @@ def leaf_addresses(spark, d):
     return numbered(spark, d).withColumn("a", addresses.daf_address(forms)).where("a is not null").select("p_partkey", "a.daf", "a.side")
 
 
-@query(f"""WITH {NUMBERS}, k AS (SELECT *, p_size % 40 + 1 AS d, CASE WHEN p_size % 2 = 0 THEN 'a' ELSE 'b' END AS side, CASE WHEN f % 2 = 0 THEN 'a' ELSE 'b' END AS said FROM p WHERE f < 4)
+@query(f"""WITH {NUMBERS}, k AS (SELECT *, p_size % 40 + 1 AS d, CASE WHEN p_size % 2 = 0 THEN 'a' ELSE 'b' END AS side, CASE WHEN f % 2 = 0 THEN 'a' ELSE 'b' END AS said FROM p)
 SELECT p_partkey, NOT (d IN (n, tail) AND side = said) AS contradicts, 'Eruvin ' || n || said AS spelled FROM k""")
 def address_agreement(spark, d):
     s = F.col("s")
-    p = numbered(spark, d).where("f < 4").withColumn("r", F.expr("concat('Eruvin ', p_size % 40 + 1, if(p_size % 2 = 0, 'a', 'b'))"))
+    p = numbered(spark, d).withColumn("r", F.expr("concat('Eruvin ', p_size % 40 + 1, if(p_size % 2 = 0, 'a', 'b'))"))
     p = p.withColumn("a", by_form(with_("עירובין ", s, ", א"), with_("להלן עירובין ", s, ",ב"), with_("עירובין ", s, ' ע"א'), with_(s, " ע״ב")))
     return p.select("p_partkey", rules.address_contradicts(F.col("r"), F.col("a")).alias("contradicts"), rules.spelled_ref(F.col("r"), F.col("a")).alias("spelled"))
 
@@ -173,7 +173,7 @@ def own_relative_leaves(spark, d):
 
 
 @query(f"""WITH {NUMBERS} SELECT p_partkey::INTEGER AS line_index, {_OWN} || ' ' || n || 'a' AS ref FROM p WHERE n BETWEEN 2 AND 90 AND f % 8 IN (0, 1, 4)
-UNION ALL SELECT p_partkey::INTEGER, {_OWN} || ' ' || n || 'a' FROM p WHERE n BETWEEN 2 AND 90 AND f = 6 AND n <= 20""")
+UNION ALL SELECT p_partkey::INTEGER, {_OWN} || ' ' || n || 'a' FROM p WHERE n BETWEEN 2 AND 90 AND f IN (6, 7) AND n <= 20""")
 def own_untitled_leaves(spark, d):
     """Untitled sides that all candidates read in the own tractate; other authors, other works before, and chapters that don't hold them leave them out."""
     s = F.col("s")
@@ -182,7 +182,7 @@ def own_untitled_leaves(spark, d):
     ref = F.concat(title, F.lit(" "), F.col("n").cast("string"), F.lit("a"))
     other = F.concat(F.lit("Other "), F.col("n").cast("string"), F.lit("a"))
     candidates = F.when(F.col("f") % 8 == 3, F.array(ref, other)).otherwise(F.array(ref, F.concat(F.lit("Rashi on "), ref)))
-    c = _citations(numbered(spark, d).where("f <> 7"), content, [], candidates)
+    c = _citations(numbered(spark, d), content, [], candidates)
     chapters = spark.createDataFrame([(t, "פרק קמא", 3, 40) for t, _ in _TRACTATES], "title string, name string, first int, last int")
     return recover.own_daf(c, _works(spark), _leaves(spark), chapters).select("line_index", "ref")
 

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from spanlink.functions.text import SAME_PLACE, retitled
 from spanlink.operators import checks, delta, digests
+from spanlink.operators.handoff import escalated
 from spanlink.plans.baseline import probes
 from spanlink.schemas import BOOK, LINE, LINKS
 
@@ -72,6 +73,19 @@ def covered_whole(p: Plan, current: DataFrame, books: DataFrame) -> Plan:
     return Plan(p.changed, p.removed, p.pairs.join(books, BOOK, "left_anti"), compute, p.probed.join(books, BOOK, "left_anti"))
 
 
+def escalate(p: Plan, current: DataFrame, recognize: Callable[[DataFrame], DataFrame]) -> tuple[Plan, DataFrame]:
+    """The second phase of a plan with probes, and the books (BOOK) that it covers whole after all.
+
+    Only the probes' lines are recognized, as lines to mentions (LINE, ..); a book where one of them holds a mention is computed whole, the
+    others are done with what was planned.
+    """
+    lines = current.join(p.compute.join(p.probed, BOOK, "left_semi"), LINE, "left_semi")
+    seen = recognize(lines).select(*LINE, F.lit(True).alias("entity")).distinct()
+    flags = lines.select(*LINE).join(seen, LINE, "left").select(*LINE, F.coalesce("entity", F.lit(False)).alias("entity"))
+    books = escalated(p.probed.withColumn("context_ranges", F.lit(True)), flags)
+    return covered_whole(p, current, books), books
+
+
 def reused_links(links: DataFrame, pairs: DataFrame) -> DataFrame:
     """The old records of reused lines, at their new line numbers."""
     moved = links.join(pairs, (links["source"] == pairs["source"]) & (links["title"] == pairs["title"]) & (links["line_index"] == pairs["old_index"]))
@@ -85,9 +99,17 @@ def renamed(links: DataFrame, renames: list[tuple[str, str]]) -> DataFrame:
     return links
 
 
-def run(current: DataFrame, prior: DataFrame, links: DataFrame, resolve: Callable[[DataFrame], DataFrame], same_engine: bool = True, renames: list[tuple[str, str]] = (), keep: Keep = lambda df: df) -> tuple[Plan, DataFrame]:
-    """The plan and the next version of the links. resolve: lines (source, title, line_index, content, context) to LINKS."""
-    p = plan(current, prior, same_engine, keep=keep)
+def run(current: DataFrame, prior: DataFrame, links: DataFrame, resolve: Callable[[DataFrame], DataFrame], same_engine: bool = True, renames: list[tuple[str, str]] = (), keep: Keep = lambda df: df, known: Known | None = None, recognize: Callable[[DataFrame], DataFrame] | None = None, context_pattern: str = SAME_PLACE) -> tuple[Plan, DataFrame]:
+    """The plan and the next version of the links. resolve: lines (source, title, line_index, content, context) to LINKS.
+
+    With `known` and `recognize`, books that lean on context are probed first where that will do, and only those whose probes find something are computed whole.
+    """
+    if (known is None) != (recognize is None):
+        raise ValueError("known and recognize come together: a probe needs both")
+    p = plan(current, prior, same_engine, context_pattern, keep=keep, known=known)
+    if recognize is not None:
+        p, _ = escalate(p, current, recognize)
+        p = Plan(p.changed, p.removed, keep(p.pairs), keep(p.compute), keep(p.probed))
     links = renamed(links, list(renames))
     kept = links.join(p.changed.select(*BOOK), BOOK, "left_anti").join(p.removed, BOOK, "left_anti")
     todo = current.join(p.compute, LINE, "left_semi")
@@ -99,6 +121,8 @@ def check(current: DataFrame, p: Plan, out: DataFrame) -> None:
     """All that must hold before a version is published."""
     changed = current.join(p.changed.select(*BOOK), BOOK, "left_semi").select(*LINE)
     checks.require(delta.partition_violations(changed, p.pairs, p.compute), "lines not covered once")
+    quiet = p.compute.join(p.probed, BOOK, "left_semi")
+    checks.require(out.join(quiet, LINE, "left_semi").select(*LINE), "records in probes that found nothing")
     checks.require(checks.record_violations(out), "records")
     checks.require(checks.place_violations(out, current), "records off their lines")
     checks.require(checks.duplicate_places(out), "spans with several records")

@@ -497,6 +497,33 @@ def incremental_run(spark, d):
     return links.select(*LINE, "start", "end", "target_ref", "source_hash")
 
 
+_CONTEXT = "(?<![a-z])(der|the)(?![a-z])"
+_HASH = "substr(sha1(string_agg(line_index::VARCHAR || chr(0) || content || chr(0) || context || chr(0), '' ORDER BY line_index)), 1, 16) AS hash, bool_or(regexp_matches(content, '(^|[^a-z])(der|the)($|[^a-z])')) AS leans"
+_COUNTS = "SELECT source, title, coalesce(list_sort(list(DISTINCT n) FILTER (n > 0 AND line_index % 8 = 0 AND line_index > 0)), []) AS counts FROM (SELECT *, coalesce(sum(entity::INTEGER) OVER (PARTITION BY source, title ORDER BY line_index ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS n FROM {}) GROUP BY source, title"
+
+
+@query(f"""WITH {PAIRS},
+hc AS (SELECT source, title, {_HASH} FROM cur GROUP BY ALL), hp AS (SELECT source, title, {_HASH} FROM pri GROUP BY ALL),
+e AS (SELECT source, title, line_index, regexp_matches(content, '{_NUMBER}') AS entity FROM pri),
+u AS (SELECT e.*, new_index FROM e LEFT JOIN pairs p ON p.source = e.source AND p.title = e.title AND p.old_index = e.line_index),
+ec AS (SELECT cur.source, cur.title, cur.line_index, coalesce(u.entity, false) AS entity FROM cur LEFT JOIN u ON u.source = cur.source AND u.title = cur.title AND u.new_index = cur.line_index),
+sc AS ({_COUNTS.format('ec')}), sp AS ({_COUNTS.format('e')}),
+facts AS (SELECT source, title, count(new_index) AS reused, count(*) FILTER (entity AND new_index IS NULL) AS dropped FROM u GROUP BY ALL),
+o AS (SELECT source, title, bool_and(coalesce(line_index > b, true)) AS kept FROM (SELECT *, lag(line_index) OVER (PARTITION BY source, title ORDER BY new_index) AS b FROM u WHERE entity AND new_index IS NOT NULL) GROUP BY ALL),
+probed AS (SELECT hc.source, hc.title FROM hc JOIN hp USING (source, title) JOIN facts USING (source, title) JOIN sc USING (source, title) JOIN sp USING (source, title) LEFT JOIN o USING (source, title)
+  WHERE hc.hash <> hp.hash AND hc.leans AND hp.leans AND reused > 0 AND dropped = 0 AND coalesce(kept, true) AND sc.counts = sp.counts)
+SELECT source, title, coalesce(bool_or(regexp_matches(content, '{_NUMBER}')), false) AS escalated FROM probed LEFT JOIN (SELECT cur.* FROM cur JOIN again USING (source, title, line_index)) USING (source, title) GROUP BY ALL""")
+def probed_books(spark, d):
+    """Changed books that lean on context and are only probed, and whether their probes find something, so that they are computed whole."""
+    current, prior = current_lines(spark, d), prior_lines(spark, d)
+    seams = lambda lines: lines.where("line_index % 8 = 0 and line_index > 0").select(*LINE)
+    flags = prior.select(*LINE, F.col("content").rlike(_NUMBER).alias("entity"))
+    books = delta.needs_context(prior, _CONTEXT).join(delta.seam_counts(flags, seams(prior)).withColumnRenamed("counts", "ibid_seams"), BOOK)
+    p = incremental.plan(current, prior, context_pattern=_CONTEXT, keep=kept, known=incremental.Known(books, flags, seams(current)))
+    _, whole = incremental.escalate(p, current, lambda lines: recognize.by_rule(lines, _NUMBER))
+    return p.probed.join(whole.withColumn("escalated", F.lit(True)), BOOK, "left").select(*BOOK, F.coalesce("escalated", F.lit(False)).alias("escalated"))
+
+
 from spanlink.plans import citation_queries, contract_queries  # noqa: E402, F401  they register theirs
 
 __all__ = ["ORACLE_SQL", "QUERIES"]
