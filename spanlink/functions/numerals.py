@@ -82,11 +82,3 @@ def relative_side(text: Column) -> Column:
 def on_stated_side(direction: Column, own: Column, target: Column) -> Column:
     """Whether a target lies where its pointing word says; the own place is on neither side."""
     return F.when(direction == "above", target < own).when(direction == "below", target > own).otherwise(F.lit(True))
-
-
-def page_addresses(text: Column) -> Column:
-    """All `letters, side` addresses of a text as (daf, side)."""
-    found = F.regexp_extract_all(text, F.lit("([א-ת][א-ת\"'״׳]{0,4})[, ]+ע[\"״]([אב])"), F.lit(1))
-    sides = F.regexp_extract_all(text, F.lit("([א-ת][א-ת\"'״׳]{0,4})[, ]+ע[\"״]([אב])"), F.lit(2))
-    both = F.arrays_zip(found.alias("t"), sides.alias("s"))
-    return F.transform(both, lambda x: F.struct(numeral(x["t"]).alias("daf"), F.when(x["s"] == "א", "a").otherwise("b").alias("side")))

@@ -6,6 +6,7 @@ and stays in built-in functions.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -30,7 +31,37 @@ def by_rule(lines: DataFrame, pattern: str, label: str = "citation") -> DataFram
     return each.select(*LINE, F.lit(label).alias("label"), F.col("s.start").alias("start"), (F.col("s.start") + F.length("s.hit")).alias("end"))
 
 
-def by_model(lines: DataFrame, load: Callable[[], Callable[[list[str]], list[list[dict]]]], batch: int = 150) -> DataFrame:
+def _shape(entities: list[dict], text: str) -> str | None:
+    """What is wrong with a model's answer to a text, if anything."""
+    for e in entities:
+        if not isinstance(e, dict) or set(e) - {"label", "range", "parts"} or not isinstance(e.get("label"), str) or not 0 < len(e["label"]) <= 200:
+            return "label"
+        inner = [(e.get("range"), len(text))] + [(p.get("range"), e["range"][1] - e["range"][0] if isinstance(e.get("range"), (list, tuple)) and len(e["range"]) == 2 else -1) for p in e.get("parts") or []]
+        for span, size in inner:
+            if not isinstance(span, (list, tuple)) or len(span) != 2 or not all(type(x) is int for x in span) or not 0 <= span[0] < span[1] <= size:
+                return "range"
+    return None
+
+
+def _asked(model: Callable[[list[str]], list[list[dict]]], texts: list[str], tries: int) -> list[list[dict]]:
+    """A model's answers. Lost connections and timeouts are asked again, each time after twice as long; a wrong answer is an error at once."""
+    for k in range(tries):
+        try:
+            answers = model(texts)
+            break
+        except (ConnectionError, TimeoutError):
+            if k + 1 == tries:
+                raise
+            time.sleep(2**k)
+    if len(answers) != len(texts):
+        raise ValueError(f"{len(answers)} answers to {len(texts)} texts")
+    for text, entities in zip(texts, answers, strict=True):
+        if problem := _shape(entities, text):
+            raise ValueError(f"a wrong {problem} in the answer to {text[:80]!r}")
+    return answers
+
+
+def by_model(lines: DataFrame, load: Callable[[], Callable[[list[str]], list[list[dict]]]], batch: int = 150, tries: int = 3) -> DataFrame:
     """MENTIONS from a model that load() makes once per task and that answers `batch` texts at a time, one list of entities each."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -39,11 +70,9 @@ def by_model(lines: DataFrame, load: Callable[[], Callable[[list[str]], list[lis
             rows = []
             for at in range(0, len(pdf), batch):
                 part = pdf.iloc[at : at + batch]
-                answers = model(part["content"].fillna("").tolist())
-                if len(answers) != len(part):
-                    raise ValueError(f"{len(answers)} answers to {len(part)} texts")
+                answers = _asked(model, part["content"].fillna("").tolist(), tries)
                 for (source, title, line), entities in zip(part[LINE].itertuples(index=False), answers, strict=True):
-                    rows += [(source, title, line, e["label"], *e["range"], [(p["label"], *p["range"]) for p in e.get("parts", [])]) for e in entities]
+                    rows += [(source, title, line, e["label"], *e["range"], [(p["label"], *p["range"]) for p in e.get("parts") or []]) for e in entities]
             yield pd.DataFrame(rows, columns=MENTIONS.names)
 
     return lines.select(*LINE, "content").mapInPandas(run, MENTIONS)

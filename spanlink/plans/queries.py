@@ -11,6 +11,7 @@ from spanlink.plans import incremental
 from spanlink.plans.registry import ORACLE_SQL, QUERIES, query
 from spanlink.plans.stand_ins import CTE, DIGESTS, PAIRS, current_lines, prior_lines, read
 from spanlink.schemas import BOOK, LINE, LINKS
+from spanlink.sources import artifacts
 from spanlink.sources.kept import kept
 
 # digests and the plan of books
@@ -497,6 +498,12 @@ def incremental_run(spark, d):
     return links.select(*LINE, "start", "end", "target_ref", "source_hash")
 
 
+@query(f"""WITH {CTE} SELECT source, title, count(*) AS n_links FROM (SELECT source, title, unnest(regexp_extract_all(content, '{_NUMBER}')) AS h FROM cur) GROUP BY ROLLUP (source, title) HAVING title IS NOT NULL OR source IS NULL""")
+def store_links(spark, d):
+    """How many links each book's artifact has, and all together."""
+    return artifacts.link_counts(resolve_numbers(current_lines(spark, d)))
+
+
 _CONTEXT = "(?<![a-z])(der|the)(?![a-z])"
 _HASH = "substr(sha1(string_agg(line_index::VARCHAR || chr(0) || content || chr(0) || context || chr(0), '' ORDER BY line_index)), 1, 16) AS hash, bool_or(regexp_matches(content, '(^|[^a-z])(der|the)($|[^a-z])')) AS leans"
 _COUNTS = "SELECT source, title, coalesce(list_sort(list(DISTINCT n) FILTER (n > 0 AND line_index % 8 = 0 AND line_index > 0)), []) AS counts FROM (SELECT *, coalesce(sum(entity::INTEGER) OVER (PARTITION BY source, title ORDER BY line_index ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS n FROM {}) GROUP BY source, title"

@@ -39,6 +39,11 @@ def as_files(links: DataFrame) -> DataFrame:
     return links.select(artifact_path(F.col("source"), F.col("title")).alias("path"), *LINE, "start", "end", "target_ref", canonical(links).alias("line"))
 
 
+def link_counts(links: DataFrame) -> DataFrame:
+    """(source, title, n_links), and a row of nulls with the number of all links of a store."""
+    return links.rollup(*BOOK).agg(F.count("*").alias("n_links")).where("title is not null or source is null")
+
+
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """Records of JSONL artifacts, blank lines apart: unknown keys, missing keys and broken rules are errors that name the file."""
     raw = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.jsonl").text(path)
