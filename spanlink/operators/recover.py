@@ -275,10 +275,22 @@ def code_commentary(citations: DataFrame, segments: DataFrame) -> DataFrame:
 
 
 def chapter_content(refs: DataFrame, segments: DataFrame) -> DataFrame:
-    """(ref, first, last): the first and last segments with text inside a chapter (ref, title, start, end: places); none if it has none."""
-    have = segments.where("has_text").select("title", "place", F.col("ref").alias("segment"))
-    met = refs.join(have, "title").where("start <= place and place <= end")
-    ends = met.groupBy("ref").agg(F.min(F.struct("place", "segment")).alias("a"), F.max(F.struct("place", "segment")).alias("b"))
+    """(ref, first, last): the first and last segments with text inside a chapter (ref, title, start, end: places); none if it has none.
+
+    Both ends are as-of lookups: segments and ends of chapters lie in one order per title, and the last segment passed is carried
+    along, so a chapter costs two rows however many segments it holds.
+    """
+    have = segments.where("has_text").select("title", "place", F.lit(0).alias("asks"), F.struct("place", F.col("ref").alias("segment")).alias("held"), F.lit(None).cast("string").alias("ref"))
+
+    def nearest(end: str, order: list[Column]) -> DataFrame:
+        asked = refs.select("title", F.col(end).alias("place"), F.lit(1).alias("asks"), F.lit(None).cast(have.schema["held"].dataType).alias("held"), "ref")
+        passed = Window.partitionBy("title").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+        return have.unionByName(asked).withColumn("near", F.last("held", ignorenulls=True).over(passed)).where("asks = 1").select("ref", "title", F.col("near").alias(end))
+
+    segment = F.col("held.segment")
+    found = nearest("start", [F.col("place").desc(), "asks", segment.desc()]).join(nearest("end", [F.col("place"), "asks", segment]), ["ref", "title"])
+    inside = found.where("start.place <= end.place").select("ref", F.col("start").alias("a"), F.col("end").alias("b"))
+    ends = inside.groupBy("ref").agg(F.min("a").alias("a"), F.max("b").alias("b"))
     return ends.select("ref", F.col("a.segment").alias("first"), F.col("b.segment").alias("last"))
 
 

@@ -320,3 +320,14 @@ def governing_writers(spark, d):
     content = F.concat("before", "anchor", after)
     g = attribution.governing(content, F.length("before"), F.length("before") + F.length("anchor"))
     return p.select("p_partkey", g.alias("g")).select("p_partkey", "g.writer", "g.commentary")
+
+
+@query("""WITH s AS (SELECT p_brand AS title, p_partkey AS place, p_name || ' ' || p_partkey AS segment FROM part WHERE p_size % 3 <> 0),
+c AS (SELECT o_orderkey::VARCHAR AS ref, 'Brand#' || (o_orderkey % 5 + 1) || (o_custkey % 5 + 1) AS title, o_custkey AS a, o_custkey + o_orderkey % 60 AS b FROM orders)
+SELECT ref, arg_min(segment, place) AS first, arg_max(segment, place) AS last FROM c JOIN s ON c.title = s.title AND place BETWEEN a AND b GROUP BY ref""")
+def chapter_ends(spark, d):
+    """Intervals trimmed to the first and last place with text."""
+    segments = read(spark, d, "part").select(with_(F.col("p_name"), " ", F.col("p_partkey").cast("string")).alias("ref"), F.col("p_brand").alias("title"), F.col("p_partkey").alias("place"), (F.col("p_size") % 3 != 0).alias("has_text"))
+    title = with_("Brand#", (F.col("o_orderkey") % 5 + 1).cast("string"), (F.col("o_custkey") % 5 + 1).cast("string"))
+    refs = read(spark, d, "orders").select(F.col("o_orderkey").cast("string").alias("ref"), title.alias("title"), F.col("o_custkey").alias("start"), (F.col("o_custkey") + F.col("o_orderkey") % 60).alias("end"))
+    return recover.chapter_content(refs, segments)
