@@ -69,13 +69,17 @@ def unique_quotes(quotes: DataFrame, corpus: DataFrame, width: int = 4) -> DataF
     """(quote_id, target): quotes (quote_id, words) whose phrases point to one place of the corpus (target, words) only.
 
     Only phrases that occur once in the corpus are evidence; a quote with evidence for several targets is dropped. Phrases meet as two
-    hashes of 64 bits; those of the corpus that no quote has go before they are counted.
+    hashes of 64 bits of their words. The corpus is counted by itself: it is the catalog, and small beside the quotes, whose own phrases
+    are only looked up, and not shuffled at all where what is left of the corpus can be broadcast.
     """
-    each = lambda rows, key: rows.select(key, F.explode(windows_of(F.col("words"), width)).alias("w")).select(key, F.xxhash64("w.phrase").alias("h1"), F.xxhash64(F.lit(1), "w.phrase").alias("h2"))
-    asked = each(quotes, "quote_id")
-    phrases = each(corpus, "target").join(asked.select("h1", "h2").distinct(), ["h1", "h2"], "left_semi")
-    evidence = phrases.groupBy("h1", "h2").agg(F.count("*").alias("n"), F.min("target").alias("target")).where("n = 1").select("h1", "h2", "target")
-    return unambiguous(asked.join(evidence, ["h1", "h2"]), ["quote_id"], "target")
+
+    def each(rows: DataFrame, key: str) -> DataFrame:
+        phrase = lambda k: [F.get("words", k + n) for n in range(width)]
+        hashes = F.transform(F.sequence(F.lit(0), F.size("words") - width), lambda k: F.struct(F.xxhash64(*phrase(k)).alias("h1"), F.xxhash64(F.lit(1), *phrase(k)).alias("h2")))
+        return rows.where(F.size("words") >= width).select(key, F.explode(hashes).alias("w")).select(key, "w.*")
+
+    evidence = each(corpus, "target").groupBy("h1", "h2").agg(F.count("*").alias("n"), F.min("target").alias("target")).where("n = 1").select("h1", "h2", "target")
+    return unambiguous(each(quotes, "quote_id").join(evidence, ["h1", "h2"]), ["quote_id"], "target")
 
 
 def direct_commentaries(bases: DataFrame, works: DataFrame, families: list[str]) -> DataFrame:
