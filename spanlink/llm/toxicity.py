@@ -6,8 +6,8 @@ exactly zero, so what tasks receive is a short list (bucket, weight), at most 2*
 texts and looks at nothing but the buckets that have a weight.
 
 The model is fitted on at most `max_rows` labelled documents and MAX_FIT_BYTES of features, those whose ids hash lowest; everything is scored.
-Defined cases: null or empty text scores as the bias alone; a document with several labels counts as the largest; with
-no labelled row the model is empty and every score is 0.5; repeated rows score alike.
+Defined cases: null or empty text scores as the bias alone; a document with several labels counts as the largest; without
+a row that is labelled toxic the model is empty and every score is next to 0, so nothing is rejected; repeated rows score alike.
 """
 
 from __future__ import annotations
@@ -77,6 +77,8 @@ def unpacked(raw: bytes, bits: int = BITS) -> np.ndarray:
 
 def fit_ftrl(rows: list[bytes], labels: np.ndarray, bits: int = BITS, alpha: float = 1.0, beta: float = 1.0, l1: float = 12.0, l2: float = 1.0, epochs: int = 4) -> tuple[np.ndarray, np.ndarray, float]:
     """Buckets with a weight, their weights, and the bias. Rows (as packed() makes them) are visited in the order given, each epoch."""
+    if not np.any(labels):
+        return np.empty(0, np.uint32), np.empty(0, np.float32), -35.0
     z, n = np.zeros(1 << bits), np.zeros(1 << bits)
     bias, bias_n = 0.0, 0.0
 
