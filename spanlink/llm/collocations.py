@@ -19,7 +19,7 @@ from __future__ import annotations
 import contextlib
 import itertools
 import uuid
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +32,7 @@ from spanlink.llm.common import materialize, shared_dir, table
 from spanlink.llm.files import resolve
 
 LONGEST, LEAST, BEST, CONTAINED = 3, 10, 2000, 50
-CHUNK_WORDS, BUCKET_ROWS, MEMORY_LIMIT = 3 << 19, 4_000_000, "512MB"
+CHUNK_WORDS, BUCKET_ROWS, MEMORY_LIMIT = 1 << 21, 4_000_000, "512MB"
 HOT_SHARE, HOT_LEAST, SALT = 1 / 10_000, 1_000, 64
 MARKS = r"[.,;:!?\x0A-\x0D]"
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -49,7 +49,7 @@ def pieces(docs: DataFrame) -> DataFrame:
 
 def _totals(names: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(one place of each distinct name, sum of its weights, each place's number of its name)."""
-    order = np.argsort(names, kind="stable")
+    order = np.argsort(names)
     sorted_names = names[order]
     new = np.concatenate([[True], sorted_names[1:] != sorted_names[:-1]])
     number = np.empty(len(names), np.int64)
@@ -110,7 +110,7 @@ def blocks(chunk: pa.Table, longest: int, buckets: int) -> Iterator[tuple[int, b
         return
     h, columns = np.concatenate(hashes), [np.concatenate(x) for x in zip(*columns, strict=True)]
     bucket = (((h ^ (h >> np.uint64(32))) * _ODD) >> np.uint64(16)) % np.uint64(buckets)
-    bucket = bucket.astype(np.uint32)
+    bucket = bucket.astype(np.uint16 if buckets <= 1 << 16 else np.uint32)  # short numbers are sorted by their digits
     order = np.argsort(bucket, kind="stable").astype(np.int32)
     for own in np.split(order, np.flatnonzero(np.diff(bucket[order])) + 1):
         codes = [x[own] for x in columns[:-1]]
@@ -127,13 +127,18 @@ def _columns(longest: int) -> list[str]:
     return ["lang", *[f"w{j}" for j in range(longest)], "n"]
 
 
-def opened(rows: Iterable[tuple[bytes, bytes]], numbers: dict[str, int]) -> Iterator[pa.RecordBatch]:
-    """Grams of blocks (names, grams) with one number for each name; `numbers` grows by the names that are new."""
-    for names, grams in rows:
-        known = pa.ipc.open_stream(names).read_next_batch().column(0).to_pylist()
-        number = np.array([numbers.setdefault(x, len(numbers)) for x in known], np.int32)
-        batch = pa.ipc.open_stream(grams).read_next_batch()
-        yield pa.RecordBatch.from_arrays([pa.array(number[c.to_numpy()]) for c in batch.columns[:-1]] + [batch.column("n")], batch.schema.names)
+def opened(rows: list[tuple[bytes, bytes]]) -> tuple[pa.Array, Iterator[pa.RecordBatch]]:
+    """Names of blocks (names, grams), the empty one first, and the grams with one number for each name."""
+    lists = [pa.array([""]), *[pa.ipc.open_stream(names).read_next_batch().column(0) for names, _ in rows]]
+    coded = pa.concat_arrays(lists).dictionary_encode()
+    number, ends = coded.indices.to_numpy(), np.cumsum([len(x) for x in lists])
+
+    def grams() -> Iterator[pa.RecordBatch]:
+        for (_, block), a, b in zip(rows, ends[:-1], ends[1:], strict=True):
+            batch = pa.ipc.open_stream(block).read_next_batch()
+            yield pa.RecordBatch.from_arrays([pa.array(number[a:b][c.to_numpy()]) for c in batch.columns[:-1]] + [batch.column("n")], batch.schema.names)
+
+    return coded.dictionary, grams()
 
 
 def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
@@ -191,15 +196,13 @@ def gram_counts(found: DataFrame, longest: int = LONGEST, least: int = LEAST) ->
                 by_bucket.setdefault(bucket, []).append(tuple(block))
         names = _columns(longest)
         for rows in by_bucket.values():
-            numbers: dict[str, int] = {"": 0}
-            opening = opened(rows, numbers)
-            first = next(opening)
-            reader = pa.RecordBatchReader.from_batches(first.schema, itertools.chain([first], opening))
+            text, grams = opened(rows)
+            first = next(grams)
+            reader = pa.RecordBatchReader.from_batches(first.schema, itertools.chain([first], grams))
             with _spill(spill) as folder, duckdb.connect(config={"threads": "1", "memory_limit": MEMORY_LIMIT, "preserve_insertion_order": "false", **folder}) as db:
                 db.register("bucket", reader)
                 keys = ", ".join(names[:-1])
                 frequent = db.sql(f"SELECT {keys}, CAST(sum(n) AS BIGINT) AS a FROM bucket GROUP BY {keys} HAVING sum(n) >= {int(least)}").to_arrow_table()
-            text = pa.array(list(numbers))  # numbered in order
             of = lambda c: text.take(frequent.column(c).combine_chunks())  # noqa: B023, E731
             length = sum((frequent.column(c).to_numpy() > 0).astype(np.int32) for c in names[1:-1])
             gram = of("w0")

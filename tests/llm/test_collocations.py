@@ -54,11 +54,12 @@ def test_chunks_cut_between_pieces(monkeypatch):
     batch = pa.RecordBatch.from_pylist([dict(zip(("lang", "piece", "times"), r, strict=True)) for r in rows])
     cut = list(collocations._chunks(iter([batch, batch.slice(0, 2)])))
     assert [c.column("piece").to_pylist() for c in cut] == [["a b c"], ["a b c d e f"], ["a", "b c"], ["b c"], ["a b c"], ["a b c d e f"]]
-    total, place, numbers = Counter(), {}, {"": 0}
+    total, place = Counter(), {}
     for c in cut:
         for bucket, *block in collocations.blocks(c, 3, 5):
-            for r in (r for b in collocations.opened([tuple(block)], numbers) for r in b.to_pylist()):
-                names = list(numbers)
+            text, grams = collocations.opened([tuple(block)])
+            names = text.to_pylist()
+            for r in (r for b in grams for r in b.to_pylist()):
                 gram = " ".join(names[r[w]] for w in ("w0", "w1", "w2") if r[w])
                 total[names[r["lang"]], gram] += r["n"]
                 assert place.setdefault((names[r["lang"]], gram), bucket) == bucket
