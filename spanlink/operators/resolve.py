@@ -115,7 +115,7 @@ def _continued(trusted: str | None, row: dict) -> dict | None:
     return ref and {"kind": "continued", "offered": None, "ref": ref, "start": row["start"], "end": row["end"], "direction": None, "shown": None}
 
 
-def entries(citations: DataFrame, segments: DataFrame, works: DataFrame | None = None, chapters: DataFrame | None = None) -> DataFrame:
+def entries(citations: DataFrame, segments: DataFrame, works: DataFrame | None = None, chapters: DataFrame | None = None, keep: Keep = lambda df: df) -> DataFrame:
     """Citations with sub, rebuilt, resets, given and writer (who governs them): lists cut by their own text are a row for each address, all others as they are.
 
     Only the first row of a list that had candidates resets what was emitted last. Who writes before a list governs all of it.
@@ -126,7 +126,7 @@ def entries(citations: DataFrame, segments: DataFrame, works: DataFrame | None =
         return citations.withColumns(whole)
     lists = recover.chapter_lists(citations, works, segments, chapters).withColumn("leaves", F.lit(True))
     verses = recover.split_verses(citations, works, segments).withColumn("leaves", F.lit(False)).join(lists.select(*KEY).distinct(), KEY, "left_anti")
-    cut = lists.unionByName(verses).select(*KEY, F.col("k").cast("int").alias("sub"), F.col("start").alias("g_start"), F.col("end").alias("g_end"), F.col("ref").alias("given"), "leaves")
+    cut = keep(lists.unionByName(verses).select(*KEY, F.col("k").cast("int").alias("sub"), F.col("start").alias("g_start"), F.col("end").alias("g_end"), F.col("ref").alias("given"), "leaves"))
     plain = citations.join(cut.select(*KEY).distinct(), KEY, "left_anti").withColumns(whole)
     of_lists = citations.join(cut, KEY).withColumns(
         {"start": F.col("g_start"), "end": F.col("g_end"), "rebuilt": F.lit(True), "resets": F.col("leaves") & (F.col("sub") == 0) & (F.size("candidates") > 0), "parts": F.slice("parts", 1, 0)}
@@ -171,8 +171,11 @@ def options(rows: DataFrame, segments: DataFrame, works: DataFrame | None = None
     return out
 
 
-def checked(found: DataFrame, rows: DataFrame, segments: DataFrame) -> DataFrame:
-    """Options that pass all rules without history, with their final ref, span and direction."""
+def checked(found: DataFrame, rows: DataFrame, segments: DataFrame, keep: Keep = lambda df: df) -> DataFrame:
+    """Options that pass all rules without history, with their final ref, span and direction.
+
+    Each mend uses the ref several times, so what is kept between them is read instead of being written out in every use.
+    """
     facts = rows.select(*ROW, "content", "parts", "candidates", "context", "place", "writer", "commentary")
     c = found.join(facts, ROW)
     kind, ref = F.col("kind"), F.col("ref")
@@ -184,8 +187,10 @@ def checked(found: DataFrame, rows: DataFrame, segments: DataFrame) -> DataFrame
     c = c.join(leafed, rules.title_of(ref) == F.col("l_title"), "left")
     second = rules.marked_second_side(ref, F.col("content"), F.col("start"), F.col("end"), F.coalesce("leafed", F.lit(False)))
     c = c.withColumn("second", second).withColumn("ref", F.when(F.col("second").isNotNull(), F.concat("ref", F.lit("b"))).otherwise(ref)).withColumn("end", F.coalesce("second", "end"))
+    c = keep(c.drop("l_title", "leafed", "second"))
     # an address that the anchor spells wins over another one, if it is the only one
     c = c.withColumn("ref", F.when(rules.address_contradicts(ref, F.col("anchor")), rules.spelled_ref(ref, F.col("anchor"))).otherwise(ref))
+    c = keep(c)
     c = c.where(ref.isNotNull() & ~rules.implausible(ref, F.col("anchor")))
     # a writer who governs the citation, or may, is no evidence for the base text that a failed one was rebuilt to
     c = c.where(~kind.isin("given", "geresh") | ~ref.rlike(" [0-9]+[ab]$") | F.col("writer").isNull())
@@ -193,6 +198,7 @@ def checked(found: DataFrame, rows: DataFrame, segments: DataFrame) -> DataFrame
     notes = recover.code_commentary(rows.where("not rebuilt"), segments).select(*KEY, F.col("ref").alias("note"))
     c = c.join(notes, KEY, "left").withColumn("noted", (kind == "candidate") & F.col("note").isNotNull())
     c = c.withColumn("ref", F.when(F.col("noted"), F.col("note")).otherwise(ref)).withColumn("kind", F.when(F.col("noted"), "note").otherwise(kind))
+    c = keep(c)
     title = rules.title_of(ref)
     c = c.where(F.col("noted") | (~rules.base_code_note(title, F.col("anchor")) & ~rules.unproven_number(title, F.col("parts"))))
     known = segments.where("has_text").select("ref", F.col("title").alias("t_title"), F.col("place").alias("t_place"))
@@ -289,9 +295,9 @@ def resolved(citations: DataFrame, segments: DataFrame, works: DataFrame | None
 
     keep: what to do with tables that several rules read, such as writing them; by default they are computed again.
     """
-    rows = keep(entries(complete(citations), segments, works, chapters))
+    rows = keep(entries(complete(citations), segments, works, chapters, keep))
     found = keep(options(rows, segments, works, chapters, quoted))
-    good = keep(checked(found, rows, segments))
+    good = keep(checked(found, rows, segments, keep))
     return folded(prepared(rows, good, continuations(rows, segments, found, quoted)))
 
 
