@@ -1,8 +1,9 @@
-"""Quotations as evidence: a positional inverted index of word pairs, read along diagonals.
+"""Quotations as evidence: a positional inverted index of word pairs (or longer phrases), read along diagonals.
 
 Each pair of adjoining words of the corpus is a posting (pair, work, place). A quotation's pairs meet postings of the same pair; those
 with one difference of places lie on a diagonal, and what is consecutive there is a stretch that both have word for word. So one index answers
-phrases of any length from two words on: n words are n - 1 pairs in a row. Pairs are compared as text, not by hashes.
+phrases of any length from two words on: n words are n - 1 pairs in a row. Pairs are compared as text, not by hashes. Where only stretches of
+`width` words or more are wanted, postings of so many words find the same ones, and frequent pairs meet nothing.
 
 Corpus: work, order (of segments in a work), ref, words. Quotes: a key, words. An empty side gives an empty result; a null or one-word quotation has
 no pairs; equal quotations under different keys are answered each.
@@ -26,27 +27,32 @@ ELLIPSIS = r"""\s+וג(?:ו['"׳״]|ומר)\s*[,;]?\s*$"""
 INTRODUCED = r"""^.*(?:[,.;:!?()\[\]]|(?<![א-ת])(?:ו?שנאמר|דכתיב|כדכתיב|שהרי\s+הוא\s+אומר|ו?שנא['"׳״]|(?:מה\s+)?שכתיב|שכתוב)(?![א-ת]))"""
 
 
-def postings(corpus: DataFrame) -> DataFrame:
+def postings(corpus: DataFrame, width: int = 2) -> DataFrame:
     """(pair, work, at, ref, left): at: place in the work; ref: where the first word is; left: words of that segment from there on.
 
-    Pairs go over the ends of segments, as the text does.
+    Pairs (phrases of `width` words) go over the ends of segments, as the text does.
     """
     before = Window.partitionBy("work").orderBy("order").rowsBetween(Window.unboundedPreceding, -1)
     placed = corpus.where(F.size("words") > 0).withColumn("from", F.coalesce(F.sum(F.size("words")).over(before), F.lit(0)))
     each = placed.select("work", "ref", "from", F.size("words").alias("n"), F.posexplode("words").alias("k", "word"))
     each = each.select("work", "ref", "word", (F.col("from") + F.col("k")).alias("at"), (F.col("n") - F.col("k")).alias("left"))
-    following = F.lead("word").over(Window.partitionBy("work").orderBy("at"))
-    return each.withColumn("next", following).where("next is not null").select(F.concat_ws(" ", "word", "next").alias("pair"), "work", "at", "ref", "left")
+    along = Window.partitionBy("work").orderBy("at")
+    following = each.withColumns({f"next{k}": F.lead("word", k).over(along) for k in range(1, width)})
+    pair = F.concat_ws(" ", "word", *[f"next{k}" for k in range(1, width)])
+    return following.where(F.col(f"next{width - 1}").isNotNull()).select(pair.alias("pair"), "work", "at", "ref", "left")
 
 
-def stretches(quotes: DataFrame, index: DataFrame, keys: list[str]) -> DataFrame:
-    """(keys, work, q, at, length): longest stretches of two words and more that a quotation has in common with a work; q: place in the quotation."""
-    pairs = F.transform(F.sequence(F.lit(0), F.size("words") - 2), lambda k: F.concat_ws(" ", F.get("words", k), F.get("words", k + 1)))
-    asked = quotes.where(F.size("words") > 1).select(*keys, F.posexplode(pairs).alias("q", "pair"))
+def stretches(quotes: DataFrame, index: DataFrame, keys: list[str], width: int = 2) -> DataFrame:
+    """(keys, work, q, at, length): longest stretches of `width` words and more that a quotation has in common with a work; q: place in the quotation.
+
+    index: postings of that width.
+    """
+    pairs = F.transform(F.sequence(F.lit(0), F.size("words") - width), lambda k: F.array_join(F.slice("words", k + 1, width), " "))
+    asked = quotes.where(F.size("words") >= width).select(*keys, F.posexplode(pairs).alias("q", "pair"))
     met = asked.join(index.select("pair", "work", "at"), "pair").withColumn("diagonal", F.col("at") - F.col("q"))
     row = F.row_number().over(Window.partitionBy(*keys, "work", "diagonal").orderBy("q"))
     runs = met.withColumn("run", F.col("q") - row).groupBy(*keys, "work", "diagonal", "run").agg(F.min("q").alias("q"), F.count("*").alias("pairs"))
-    return runs.select(*keys, "work", "q", (F.col("q") + F.col("diagonal")).alias("at"), (F.col("pairs") + 1).alias("length"))
+    return runs.select(*keys, "work", "q", (F.col("q") + F.col("diagonal")).alias("at"), (F.col("pairs") + width - 1).alias("length"))
 
 
 def phrases(found: DataFrame, keys: list[str], width: int = PHRASE) -> DataFrame:

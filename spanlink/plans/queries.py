@@ -286,8 +286,8 @@ def quoted_stretches(spark, d):
     """The longest stretch of four words or more that a document quotes from a benchmark item, and how many there are."""
     split = F.array_remove(F.split(F.coalesce("text", F.lit("")), r"\s+"), "")
     corpus = read(spark, d, "benchmark").select(F.col("item_id").cast("string").alias("work"), F.lit(0).alias("order"), F.col("item_id").cast("string").alias("ref"), split.alias("words"))
-    found = quotes.stretches(read(spark, d, "documents").select("doc_id", split.alias("words")), quotes.postings(corpus), ["doc_id"])
-    return found.where("length >= 4").groupBy("doc_id", "work").agg(F.max("length").alias("longest"), F.count("*").alias("stretches"))
+    found = quotes.stretches(read(spark, d, "documents").select("doc_id", split.alias("words")), quotes.postings(corpus, 4), ["doc_id"], 4)
+    return found.groupBy("doc_id", "work").agg(F.max("length").alias("longest"), F.count("*").alias("stretches"))
 
 
 @query("SELECT r_name AS base, 'Notes on ' || r_name AS title FROM region WHERE r_regionkey % 2 = 0")
