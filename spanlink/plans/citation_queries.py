@@ -22,7 +22,8 @@ p AS (SELECT p_partkey, p_size, p_name, n.n, n.s, n.tail, (p_partkey // {TOP}) %
 def numbered(spark, d):
     known = spark.createDataFrame([(k, spelled(k)) for k in range(1, TOP + 1)], "n long, s string")
     p = read(spark, d, "part").withColumn("n", F.col("p_partkey") % TOP + 1).withColumn("f", F.floor(F.col("p_partkey") / TOP) % 8)
-    return p.join(F.broadcast(known), "n")
+    # a row is a few bytes in its file and many patterns in a rule: a file's rows are dealt to all tasks, before the join, so that rules' filters stay behind both
+    return p.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "p_partkey").join(F.broadcast(known), "n")
 
 
 def by_form(*texts):

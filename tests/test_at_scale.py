@@ -3,6 +3,17 @@
 from pyspark.sql import functions as F
 
 from spanlink.operators import quotes
+from spanlink.plans import citation_queries
+
+SMALL = "/root/testdata/sf0.001"
+
+
+def test_rows_of_one_file_go_to_all_tasks(spark):
+    got = citation_queries.numbered(spark, SMALL)
+    assert got.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # and filters on what is spelled from the joined letters stay behind that
+    plan = got.where(F.concat("s", F.lit("x"), "p_name").rlike("a"))._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("RLIKE") < plan.index("Exchange") or "BroadcastHashJoin" in plan.split("Exchange")[0]
 
 
 def test_long_stretches_by_long_phrases(spark):
