@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from spanlink.functions import attribution
 from spanlink.operators import quotes
 from spanlink.plans import citation_queries
 
@@ -24,3 +25,11 @@ def test_long_stretches_by_long_phrases(spark):
     assert of(4) == of(2) and len(of(4)) == 4
     met = asked.where("id = 1").select("id", "words")
     assert quotes.stretches(met, quotes.postings(corpus, 4), ["id"], 4).count() == 0
+
+
+def test_repeated_citations_are_read_once():
+    attribution._remembered.cache_clear()
+    text = 'רש"י פירש בפרק קמא (דף ב.)'
+    got = attribution._governing.func(*[__import__("pandas").Series(v) for v in ([text] * 5 + [None], [19] * 6, [len(text)] * 6)])
+    assert attribution._remembered.cache_info().misses == 1 and attribution._remembered.cache_info().hits == 4
+    assert list(got["commentary"])[:5] == [attribution.commentary_of(text, 19, len(text))] * 5 and got["writer"][5] is None
