@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from spanlink.functions.addresses import readings, side_after, spelled_addresses
+from spanlink.functions.addresses import let, readings, side_after, spelled_addresses
 from spanlink.functions.numerals import amud, numeral, relative_side, side_of
 from spanlink.functions.text import plain_quotes, without_vowels
 
@@ -46,10 +46,11 @@ def placed_by_pages(source: Column, title: Column) -> Column:
 
 def leading_marker_end(content: Column) -> Column:
     """Where a numeral in parentheses at the start of a line ends, 0 if there is none; "there" isn't one."""
-    token = F.regexp_extract(content, "^\\s*\\(([א-ת'\"׳״]+)\\)", 1)
+    pattern = "^\\s*\\(([א-ת'\"׳״]+)\\)"
+    token = F.regexp_extract(content, pattern, 1)
     letters = F.regexp_replace(token, "['\"׳״]", "")
-    whole = F.length(F.regexp_extract(content, "^\\s*\\(([א-ת'\"׳״]+)\\)", 0))
-    fine = numeral(token).isNotNull() & (letters != "שם") & ~letters.rlike("[ךםןףץ]")
+    whole = F.length(F.regexp_extract(content, pattern, 0))
+    fine = content.rlike(pattern) & numeral(token).isNotNull() & (letters != "שם") & ~letters.rlike("[ךםןףץ]")
     return F.when(fine, whole).otherwise(0)
 
 
@@ -76,17 +77,23 @@ def _sides(ref: Column) -> Column:
 
 def address_contradicts(ref: Column, anchor: Column) -> Column:
     """Whether the anchor spells sides of leaves none of which is the target's."""
-    spelled = spelled_addresses(anchor)
-    sections = F.flatten(F.transform(spelled, lambda a: F.transform(a["dafs"], lambda daf: amud(daf, a["side"]))))
-    return ref.rlike(_LEAF) & (F.size(spelled) > 0) & ~F.arrays_overlap(sections, _sides(ref))
+
+    def contradicts(spelled: Column) -> Column:
+        sections = F.flatten(F.transform(spelled, lambda a: F.transform(a["dafs"], lambda daf: amud(daf, a["side"]))))
+        return (F.size(spelled) > 0) & ~F.arrays_overlap(sections, _sides(ref))
+
+    return ref.rlike(_LEAF) & let(spelled_addresses(anchor), contradicts)
 
 
 def spelled_ref(ref: Column, anchor: Column) -> Column:
     """The one address that the anchor spells, in the target's tractate; null if there are none or several."""
-    spelled = spelled_addresses(anchor)
-    section = amud(F.get(F.get(spelled, 0)["dafs"], 0), F.get(spelled, 0)["side"])
-    leaf = F.concat(F.floor((section + 1) / 2).cast("string"), side_of(section))
-    return F.when(ref.rlike(_LEAF) & (F.size(spelled) == 1), F.concat_ws(" ", F.regexp_extract(ref, _LEAF, 1), leaf))
+
+    def the_one(spelled: Column) -> Column:
+        section = amud(F.get(F.get(spelled, 0)["dafs"], 0), F.get(spelled, 0)["side"])
+        leaf = let(section, lambda x: F.concat(F.floor((x + 1) / 2).cast("string"), side_of(x)))
+        return F.when(F.size(spelled) == 1, F.concat_ws(" ", F.regexp_extract(ref, _LEAF, 1), leaf))
+
+    return F.when(ref.rlike(_LEAF), let(spelled_addresses(anchor), the_one))
 
 
 def marked_second_side(ref: Column, content: Column, start: Column, end: Column, leafed: Column) -> Column:
@@ -94,12 +101,15 @@ def marked_second_side(ref: Column, content: Column, start: Column, end: Column,
 
     leafed: whether the target's book has leaves. The anchor's last word must spell the leaf, or the colon belongs to something else.
     """
-    after = side_after(content, end)
-    more = F.trim(F.regexp_replace(F.substring(content, after["end"] + 1, F.length(content)), "<[^>]*>", "")) != ""
     tokens = F.array_remove(F.split(F.trim(F.regexp_replace(F.substring(content, start + 1, end - start), "<[^>]*>", "")), r"\s+"), "")
     leaf = F.regexp_extract(ref, "^.+ ([0-9]+)$", 1).try_cast("int")
     spells = F.array_contains(readings(F.try_element_at(tokens, F.lit(-1))), leaf)
-    return F.when(leafed & after["colon"] & more & (F.size(tokens) > 0) & spells, after["end"])
+
+    def second(after: Column) -> Column:
+        more = F.trim(F.regexp_replace(F.substring(content, after["end"] + 1, F.length(content)), "<[^>]*>", "")) != ""
+        return F.when(after["colon"] & more & (F.size(tokens) > 0) & spells, after["end"])
+
+    return F.when(leafed & leaf.isNotNull(), let(side_after(content, end), second))
 
 
 def relative_direction(labels: Column, anchor: Column, same_book: Column, own: Column, target: Column) -> Column:
