@@ -149,11 +149,12 @@ def own_daf(citations: DataFrame, works: DataFrame, segments: DataFrame, chapter
     c = c.where(same & (~near | follows)).join(names_elsewhere(citations.where("own_title is not null"), works), KEY, "left_anti")
     target = numerals.amud(F.col("a.daf"), F.col("a.side"))
     c = c.select(*KEY, "own_title", "section", F.col("a.chapter").alias("chapter"), target.alias("target"), side_ref(F.col("own_title"), F.col("a.daf"), F.col("a.side")).alias("ref"))
-    free = c.where("chapter is null").select(*KEY, "ref")
-    led = c.where("chapter is not null").join(_of_works(chapters).withColumnRenamed("work", "own_title"), "own_title").where("first <= target and target <= last")
+    # one pass for both: what no chapter leads goes past the join
+    named = _of_works(chapters).select(F.col("work").alias("led_title"), "name", "first", "last")
+    led = c.join(named, F.col("chapter").isNotNull() & (F.col("own_title") == F.col("led_title")), "left")
     own = F.col("chapter").rlike(f"^{addresses.OWN_CHAPTER}$") & F.col("section").between(F.col("first"), F.col("last"))
-    led = led.where(own | F.array_contains(addresses.lead_names(F.col("chapter")), F.col("name"))).select(*KEY, "ref")
-    return existing(free.unionByName(led).distinct(), segments)
+    holds = F.col("target").between(F.col("first"), F.col("last")) & (own | F.array_contains(addresses.lead_names(F.col("chapter")), F.col("name")))
+    return existing(led.where(F.col("chapter").isNull() | holds).select(*KEY, "ref").distinct(), segments)
 
 
 def _of_works(chapters: DataFrame) -> DataFrame:
@@ -230,7 +231,7 @@ def chapter_lists(citations: DataFrame, works: DataFrame, segments: DataFrame, c
     lead = without_vowels(plain_quotes(F.substring(text, F.lit(1), opening - 1)))
     body = F.regexp_replace(F.substring(text, opening + 1, F.length(text)), "[ )]+$", "")
     one = CHAPTER_SIDE
-    c = citations.where(~F.arrays_overlap(labels(), F.array(*[F.lit(x) for x in ("RELATIVE", "IBID", "DH")])) & (F.regexp_count(text, F.lit("[(]")) == 1) & body.rlike(rf"^\s*(?:{one})(?:\s*[.;]\s*(?:{one})){{0,3}}$"))
+    c = citations.where(F.contains(text, F.lit("(")) & ~F.arrays_overlap(labels(), F.array(*[F.lit(x) for x in ("RELATIVE", "IBID", "DH")])) & (F.regexp_count(text, F.lit("[(]")) == 1) & body.rlike(rf"^\s*(?:{one})(?:\s*[.;]\s*(?:{one})){{0,3}}$"))
     printed, gaps = F.regexp_extract_all(body, F.lit(one), F.lit(0)), F.split(body, one, -1)
     before = lambda k: F.aggregate(F.slice("printed", 1, k), F.lit(0), lambda n, x: n + F.length(x)) + F.aggregate(F.slice("gaps", 1, k + 1), F.lit(0), lambda n, x: n + F.length(x))
     c = c.withColumns({"printed": printed, "gaps": gaps, "from": F.col("start") + opening})
@@ -259,7 +260,8 @@ def code_commentary(citations: DataFrame, segments: DataFrame) -> DataFrame:
     before it, after nothing or after a word that hands over to him.
     """
     visible = lambda x: without_vowels(plain_quotes(F.regexp_replace(x, QUOTED_TAG, " ")))
-    said = citations.where(F.size("candidates") == 1).select(
+    # every form of the note has this letter
+    said = citations.where((F.size("candidates") == 1) & F.contains(anchor(), F.lit("ק"))).select(
         *KEY, F.get("candidates", 0).alias("code"), F.btrim(visible(anchor()), F.lit(" ()[]")).alias("note"), visible(F.substring("content", F.lit(1), F.col("start"))).alias("ahead")
     )
     clause = F.trim(F.regexp_extract(F.regexp_replace("ahead", r"[ (\[]+$", ""), r"([^.:;()\[\]]*)$", 1))

@@ -251,6 +251,26 @@ def prepared(rows: DataFrame, good: DataFrame, more: DataFrame) -> DataFrame:
     return wide.withColumns({"outcomes": F.coalesce("outcomes", empty(f"array<{OPTION}>")), "homes": F.coalesce("homes", empty("array<string>")), "verse": F.coalesce("verse", empty("array<int>")), "evidence": F.coalesce("evidence", empty("array<string>"))})
 
 
+def _objects(column: pa.Array) -> list:
+    """`to_pylist`, by whole columns instead of value by value."""
+    kind = column.type
+    if pa.types.is_struct(kind) and not column.null_count:
+        names = [kind.field(k).name for k in range(kind.num_fields)]
+        return [dict(zip(names, v, strict=True)) for v in zip(*map(_objects, column.flatten()), strict=True)]
+    if pa.types.is_list(kind) and not column.null_count:
+        flat, at = _objects(column.flatten()), column.offsets.to_numpy()
+        at = (at - at[0]).tolist()
+        return [flat[a:b] for a, b in zip(at[:-1], at[1:], strict=True)]
+    if pa.types.is_string(kind) or not column.null_count and (pa.types.is_integer(kind) or pa.types.is_boolean(kind)):
+        return column.to_numpy(zero_copy_only=False).tolist()
+    return column.to_pylist()
+
+
+def _records(batch: pa.RecordBatch) -> Iterator[dict]:
+    names = batch.schema.names
+    return (dict(zip(names, v, strict=True)) for v in zip(*map(_objects, batch.columns), strict=True))
+
+
 FOLDED = "source string, title string, line_index int, pos int, sub int, kind string, ref string, start int, end int, direction string, shown string"
 TAKEN = ("kind", "ref", "start", "end", "direction", "shown")
 
@@ -265,13 +285,14 @@ def folded(rows: DataFrame) -> DataFrame:
         now, history = None, History()
         for batch in batches:
             out = []
-            for row in batch.to_pylist():
+            for row in _records(batch):
                 if (row["source"], row["title"]) != now:
                     now, history = (row["source"], row["title"]), History()
                 history, taken = step(history, row)
                 if taken is not None:
-                    out.append({k: row[k] for k in ROW} | {k: taken[k] for k in TAKEN})
-            yield pa.RecordBatch.from_pylist(out, schema)
+                    out.append([row[k] for k in ROW] + [taken[k] for k in TAKEN])
+            columns = list(zip(*out, strict=True)) or [()] * len(schema)
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
 
     schema = pa.schema([(f.split()[0], pa.int32() if f.endswith("int") else pa.string()) for f in FOLDED.split(", ")])
     ordered = rows.withColumns({k: F.col(k).cast("int") for k in ("line_index", "pos", "sub")}).repartition(*BOOK).sortWithinPartitions(*ROW)

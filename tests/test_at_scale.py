@@ -3,8 +3,9 @@
 from pyspark.sql import functions as F
 
 from spanlink.functions import attribution
-from spanlink.operators import quotes
+from spanlink.operators import quotes, resolve
 from spanlink.plans import citation_queries
+from spanlink.sources.kept import kept
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -33,3 +34,19 @@ def test_repeated_citations_are_read_once():
     got = attribution._governing.func(*[__import__("pandas").Series(v) for v in ([text] * 5 + [None], [19] * 6, [len(text)] * 6)])
     assert attribution._remembered.cache_info().misses == 1 and attribution._remembered.cache_info().hits == 4
     assert list(got["commentary"])[:5] == [attribution.commentary_of(text, 19, len(text))] * 5 and got["writer"][5] is None
+
+
+def test_kept_tables_are_read_by_column(spark):
+    df = kept(spark.range(3).select("id", F.array(F.struct(F.lit(1).alias("x"), F.lit(None).cast("string").alias("y"))).alias("parts")))
+    assert all(f.endswith(".parquet") for f in df.inputFiles()) and df.inputFiles()
+    assert [r["id"] for r in df.orderBy("id").collect()] == [0, 1, 2]
+
+
+def test_rows_of_the_fold_by_columns(spark):
+    import pyarrow as pa
+
+    option = {"kind": "candidate", "offered": None, "ref": "r", "start": 1, "end": None}
+    rows = [{"labels": ["a", None], "outcomes": [option] * k, "rebuilt": k > 1, "verse": [1, 2], "address": None if k else "2a", "n": k or None} for k in range(4)]
+    batch = pa.RecordBatch.from_pylist(rows)
+    for some in (batch, batch.slice(1, 2), batch.slice(4)):
+        assert list(resolve._records(some)) == some.to_pylist()
