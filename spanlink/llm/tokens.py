@@ -49,6 +49,7 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+@functools.cache
 def packing(tokenizer_file: str, end_id: int = END_ID) -> str:
     """How ids lie in tables: unsigned little-endian integers of 16 bits if all fit, else of 32."""
     from tokenizers import Tokenizer

@@ -7,7 +7,8 @@ texts and looks at nothing but the buckets that have a weight.
 
 The model is fitted on at most `max_rows` labelled documents and MAX_FIT_BYTES of features, those whose ids hash lowest; everything is scored.
 Defined cases: null or empty text scores as the bias alone; a document with several labels counts as the largest; without
-a row that is labelled toxic the model is empty and every score is next to 0, so nothing is rejected; repeated rows score alike.
+a row that is labelled toxic the model is empty and every score is next to 0; without any label every score is 0.5; an empty model rejects nothing;
+repeated rows score alike.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ BITS = 20
 STEMS = (4, 6)
 #: Bound of the labelled sample that the model is fitted on.
 MAX_FIT_ROWS = 12_000
-#: Bound of that sample's features on the driver; rows beyond it, in the order of the hashes, are left out.
+#: Bound of that sample's features in the task that fits it; rows beyond it, in the order of the hashes, are left out.
 MAX_FIT_BYTES = 96 << 20
 THRESHOLD = 0.3
 #: Characters of text worked on at once.
@@ -77,7 +78,7 @@ def unpacked(raw: bytes, bits: int = BITS) -> np.ndarray:
 
 def fit_ftrl(rows: list[bytes], labels: np.ndarray, bits: int = BITS, alpha: float = 1.0, beta: float = 1.0, l1: float = 12.0, l2: float = 1.0, epochs: int = 4) -> tuple[np.ndarray, np.ndarray, float]:
     """Buckets with a weight, their weights, and the bias. Rows (as packed() makes them) are visited in the order given, each epoch."""
-    if not np.any(labels):
+    if len(labels) and not np.any(labels):
         return np.empty(0, np.uint32), np.empty(0, np.float32), -35.0
     z, n = np.zeros(1 << bits), np.zeros(1 << bits)
     bias, bias_n = 0.0, 0.0
@@ -146,9 +147,17 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", max_rows: int
         upto = F.sum("n").over(Window.orderBy("h", "doc_id"))
         within = sizes.withColumn("upto", upto).where(F.col("upto") <= MAX_FIT_BYTES).agg(F.max(F.struct("h", "doc_id")).alias("m")).first()["m"]
         sample = sample.where(F.struct("h", "doc_id") <= F.struct(F.lit(within["h"]), F.lit(within["doc_id"]))) if within else sample.limit(0)
-    # a part after the other, so that the driver holds each row once
-    rows = sorted((r["h"], r["doc_id"], bytes(r["buckets"]), r["y"]) for r in sample.coalesce(8).toLocalIterator())
-    return fit_ftrl([r[2] for r in rows], np.array([r[3] for r in rows], np.float64))
+
+    def train(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rows = sorted(row for pdf in batches for row in zip(pdf["h"].tolist(), pdf["doc_id"].tolist(), map(bytes, pdf["buckets"]), pdf["y"].tolist(), strict=True))
+        used, weights, bias = fit_ftrl([r[2] for r in rows], np.array([r[3] for r in rows], np.float64))
+        yield pd.DataFrame({"used": [used.tobytes()], "weights": [weights.tobytes()], "bias": [bias]})
+
+    # the bounded sample is folded in one task, and the driver gets the short model alone
+    models = sample.coalesce(1).mapInPandas(train, "used binary, weights binary, bias double").collect()
+    if not models:
+        return fit_ftrl([], np.empty(0))
+    return np.frombuffer(bytes(models[0]["used"]), np.uint32), np.frombuffer(bytes(models[0]["weights"]), np.float32), models[0]["bias"]
 
 
 def score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray, float], extra: list[str] | None = None) -> DataFrame:
@@ -171,8 +180,10 @@ def score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray, float], extra: l
 
 
 def without_toxic(docs: DataFrame, model: tuple[np.ndarray, np.ndarray, float], threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of `docs` that score below the threshold, all columns as they are."""
+    """The rows of `docs` that score below the threshold, all columns as they are; all rows, if nothing was labelled."""
     used, weights, bias = model
+    if not len(used) and bias == 0:
+        return docs
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         dense = np.zeros(1 << BITS, np.float64)
