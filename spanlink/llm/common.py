@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -45,6 +47,18 @@ def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
     return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
 
 
+@functools.cache
+def _trim() -> Callable[[int], int] | None:
+    return getattr(ctypes.CDLL(None), "malloc_trim", None)
+
+
+def give_back() -> None:
+    """Return what a Python worker has freed to the system: workers outlive their tasks, and what they keep adds to later stages' memory."""
+    pa.default_memory_pool().release_unused()
+    if trim := _trim():
+        trim(0)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -65,6 +79,8 @@ def beside(df: DataFrame, carried: list[str], used: list[str], made: str, start:
         for batch in batches:
             columns = [batch.column(c) for c in carried] + each(batch)
             yield pa.RecordBatch.from_arrays(columns, [*carried, *names])
+            del columns, batch
+            give_back()
 
     rows = df.select(*dict.fromkeys([*carried, *used]))
     names = [field.split()[0] for field in made.split(", ")]

@@ -2,9 +2,10 @@
 
 An exact set-similarity join by prefixes. All shingles have one order, those found often in a sample of the documents last, the others by
 hash; the order decides the cost only, any gives the same pairs. Two sets of similarity 0.8 have a shingle in common within the first
-fifth (and one) of each, so documents that share a shingle there are all candidates there are. Of those, the sizes must allow 0.8, and so
-must the number of shingles that the prefixes have in common: what a set holds beyond its prefix is all that can be added to it. The
-rest are compared shingle for shingle. No pair is missed, at 0.8 or above.
+fifth (and one) of each, so documents that share a shingle there are all candidates there are. The first shingle in common stands even earlier in
+the smaller set, within a ninth: 0.8 takes eight ninths of the smaller one at least. Pairs that meet so, and whose sizes allow 0.8, must also have enough
+shingles of their prefixes in common: what a set holds beyond its prefix is all that can be added to it. The rest are compared
+shingle for shingle. No pair is missed, at 0.8 or above.
 
 Links are found in two rounds, so that large groups don't need all of their pairs. First each set is compared with the one that it shares
 most prefix shingles with, out of the least and the greatest of each shingle's sets. Then the candidates are all pairs of sets in
@@ -28,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from spanlink.llm.common import broadcast_if_small, materialize
+from spanlink.llm.common import broadcast_if_small, give_back, materialize
 from spanlink.llm.graph import components
 from spanlink.llm.simhash import BROADCAST_IDS, SEED, hashes, keyed
 
@@ -62,6 +63,7 @@ def often(docs: DataFrame) -> np.ndarray:
             sets = [shingle_set(t) for t in pdf["text"]]
             if sets:
                 yield pd.DataFrame({"h": np.concatenate(sets).view(np.int64)})
+        give_back()
 
     some = docs.where(F.pmod(F.col("k1"), F.lit(SAMPLE)) == 0).select("text").mapInPandas(run, "h long")
     most = some.groupBy("h").agg(F.count("*").alias("n")).where(F.col("n") >= OFTEN).orderBy(F.desc("n"), "h").limit(MAX_OFTEN)
@@ -86,14 +88,17 @@ def prefixes(docs: DataFrame, last: np.ndarray, at_least: float) -> DataFrame:
                 prefix.append(first[: prefix_length(len(s), at_least)].view(np.int64))
             out = pdf.drop(columns="text").assign(node=np.array(node, np.uint64).view(np.int64), n=n, prefix=prefix)
             yield out[out["n"] > 0]
+            del pdf, out, prefix
+            give_back()
 
     return docs.where("doc_id is not null").select("doc_id", "k1", "k2", "text").mapInPandas(run, "doc_id long, k1 long, k2 long, node long, n int, prefix array<long>")
 
 
-def shared(rows: DataFrame) -> DataFrame:
-    """(h, node, n, least, most): the sets of each prefix shingle that several have."""
+def shared(rows: DataFrame, at_least: float) -> DataFrame:
+    """(h, node, n, early, least, most): the sets of each prefix shingle that several have; early: it may be the first that a set and one as large or larger share."""
     of = Window.partitionBy("h")
-    posted = rows.select("node", "n", F.explode("prefix").alias("h"))
+    early = F.col("pos") <= F.col("n") - F.ceil(F.lit(2 * at_least / (1 + at_least)) * F.col("n") - EPS)
+    posted = rows.select("node", "n", F.posexplode("prefix").alias("pos", "h")).withColumn("early", early).drop("pos")
     return posted.withColumn("least", F.min("node").over(of)).withColumn("most", F.max("node").over(of)).where("least <> most").distinct()
 
 
@@ -104,22 +109,24 @@ def closest(met: DataFrame) -> DataFrame:
     return best.select(F.least("node", "k.other").alias("a"), F.greatest("node", "k.other").alias("b")).distinct()
 
 
-def apart(met: DataFrame, found: DataFrame, at_least: float) -> DataFrame:
+def apart(met: DataFrame, found: DataFrame, rows: DataFrame, at_least: float) -> DataFrame:
     """All pairs (a, b) of sets in different components of (node, component) that may be similar by sizes and prefixes."""
-    labelled = met.join(found, "node", "left").select("h", "node", "n", F.coalesce("component", "node").alias("of"))
+    labelled = met.join(found, "node", "left").select("h", "node", "n", "early", F.coalesce("component", "node").alias("of"))
     sizes = labelled.groupBy("h", "of").agg(F.count("*").alias("size"))
     lists = sizes.groupBy("h").agg(F.max(F.struct("size", "of")).alias("k"), F.count("*").alias("kinds")).where("kinds > 1").select("h", F.col("k.of").alias("main"))
     open_ = materialize(labelled.join(lists, "h"))
     # of a pair in two components one at least is outside the shingle's main one
-    x = open_.where("of <> main").select("h", F.col("node").alias("x"), F.col("n").alias("n_x"), F.col("of").alias("of_x"))
-    y = open_.select("h", F.col("node").alias("y"), F.col("n").alias("n_y"), F.col("of").alias("of_y"), "main")
-    fits = F.least("n_x", "n_y") >= at_least * F.greatest("n_x", "n_y") - EPS
+    x = open_.where("of <> main").select("h", F.col("node").alias("x"), F.col("n").alias("n_x"), F.col("early").alias("early_x"), F.col("of").alias("of_x"))
+    y = open_.select("h", F.col("node").alias("y"), F.col("n").alias("n_y"), F.col("early").alias("early_y"), F.col("of").alias("of_y"), "main")
+    fits = (F.least("n_x", "n_y") >= at_least * F.greatest("n_x", "n_y") - EPS) & (F.col("early_x") | (F.col("n_x") > F.col("n_y"))) & (F.col("early_y") | (F.col("n_y") > F.col("n_x")))
     met = x.join(y, "h").where((F.col("of_x") != F.col("of_y")) & ((F.col("of_y") == F.col("main")) | (F.col("x") < F.col("y"))) & fits)
-    pairs = met.select(*[F.when(F.col("x") < F.col("y"), F.col(p)).otherwise(F.col(q)).alias(c) for p, q, c in (("x", "y", "a"), ("y", "x", "b"))], (F.col("n_x") + F.col("n_y")).alias("both"), F.greatest("n_x", "n_y").alias("larger"))
-    counted = pairs.groupBy("a", "b").agg(F.first("both").alias("both"), F.first("larger").alias("larger"), F.count("*").alias("c"))
+    pairs = materialize(met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    sets = materialize(rows.join(wanted, "node", "left_semi").select("node", "n", "prefix").dropDuplicates(["node"]))
+    side = lambda c: sets.select(F.col("node").alias(c), F.col("n").alias(f"n_{c}"), F.col("prefix").alias(f"prefix_{c}"))
     # prefixes leave ceil(at_least * n) - 1 shingles out
-    most = F.col("c") + F.ceil(at_least * F.col("larger") - EPS) - 1
-    return counted.where(most >= at_least / (1 + at_least) * F.col("both") - EPS).select("a", "b")
+    most = F.size(F.array_intersect("prefix_a", "prefix_b")) + F.ceil(at_least * F.greatest("n_a", "n_b") - EPS) - 1
+    return pairs.join(side("a"), "a").join(side("b"), "b").where(most >= at_least / (1 + at_least) * (F.col("n_a") + F.col("n_b")) - EPS).select("a", "b")
 
 
 def verified(pairs: DataFrame, rows: DataFrame, docs: DataFrame, at_least: float) -> DataFrame:
@@ -128,6 +135,8 @@ def verified(pairs: DataFrame, rows: DataFrame, docs: DataFrame, at_least: float
     def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             yield pd.DataFrame({"node": pdf["node"], "s": [shingle_set(t).tobytes() for t in pdf["text"]]})
+            del pdf
+            give_back()
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -137,6 +146,8 @@ def verified(pairs: DataFrame, rows: DataFrame, docs: DataFrame, at_least: float
                 both = len(np.intersect1d(x, y, assume_unique=True))
                 keep.append(both >= at_least * (len(x) + len(y) - both))
             yield pdf.loc[keep, ["a", "b"]]
+            del pdf
+            give_back()
 
     pairs = materialize(pairs)
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
@@ -151,9 +162,9 @@ def without_similar(docs: DataFrame, at_least: float = SIMILARITY) -> DataFrame:
     """The rows of `docs` but those that links lead from to a smaller doc_id, or to the lesser row key of the same one."""
     docs = keyed(docs)
     rows = materialize(prefixes(docs, often(docs), at_least))
-    met = materialize(shared(rows))
+    met = materialize(shared(rows, at_least))
     first = materialize(verified(closest(met), rows, docs, at_least))
-    rest = verified(apart(met, materialize(components(first)), at_least), rows, docs, at_least)
+    rest = verified(apart(met, materialize(components(first)), rows, at_least), rows, docs, at_least)
     found = materialize(components(first.unionByName(rest)))
     named = rows.join(found, "node", "left").select(F.coalesce("component", "node").alias("of"), F.struct("doc_id", "k1", "k2").alias("k"))
     least = named.groupBy("of").agg(F.min("k").alias("least"), F.max("k").alias("most")).where("least <> most").select("of", "least")

@@ -39,8 +39,10 @@ _HEAD = struct.Struct("<IIQIQI")
 SEGMENT = 1 << 20
 #: Ids in a file, about.
 FILE_TOKENS = 8 << 20
-#: Characters handed to the tokenizer at once, or one longer text.
-BATCH_CHARS = 4 << 20
+#: Rows of a batch whose texts are held as Python strings at once.
+BATCH_ROWS = 512
+#: Characters of these handed to the tokenizer at once, or one longer text.
+BATCH_CHARS = 1 << 20
 
 
 def default_tokenizer() -> str:
@@ -167,9 +169,11 @@ def tokenize(docs: DataFrame, tokenizer_file: str, end_id: int = END_ID) -> Data
         encode, end = encoder(tokenizer_file, kind), np.array([end_id], kind).tobytes()
 
         def run(batch: pa.RecordBatch) -> list[pa.Array]:
-            texts, out = [t or "" for t in batch.column("text").to_pylist()], []
-            for s in by_chars(texts, BATCH_CHARS):
-                out += [ids + end for ids in encode(texts[s])]
+            column, out = batch.column("text"), []
+            for k in range(0, len(column), BATCH_ROWS):
+                texts = [t or "" for t in column.slice(k, BATCH_ROWS).to_pylist()]
+                for s in by_chars(texts, BATCH_CHARS):
+                    out += [ids + end for ids in encode(texts[s])]
             return [pa.array([len(x) // len(end) for x in out], pa.int64()), pa.array(out, pa.binary())]
 
         return run

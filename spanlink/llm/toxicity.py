@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from spanlink.llm.common import beside, materialize, table
+from spanlink.llm.common import beside, give_back, materialize, table
 
 BITS = 20
 STEMS = (4, 6)
@@ -138,6 +138,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", max_rows: int
             texts = pdf["text"].tolist()
             for s in by_chars(texts):
                 yield pdf.iloc[s].drop(columns="text").assign(buckets=[packed(x) for x in distinct_features(texts[s])])
+        give_back()
 
     sample = materialize(labelled_sample(docs, labels, label, max_rows).mapInPandas(run, "h long, doc_id long, y int, buckets binary"))
     if sample.count() > 2 * max_rows:  # repeated ids at most double the sample
@@ -192,6 +193,8 @@ def without_toxic(docs: DataFrame, model: tuple[np.ndarray, np.ndarray, float],
             texts = batch.column("text").to_pylist()
             parts = [score_texts(texts[s], dense, bias) < threshold for s in by_chars(texts)]
             yield batch.filter(pa.array(np.concatenate(parts))) if parts else batch
+            del texts, parts, batch
+            give_back()
 
     return docs.mapInArrow(run, docs.schema)
 

@@ -103,3 +103,24 @@ def test_rows_of_one_id_are_judged_each_for_itself(spark):
     text = " ".join(f"a{k}" for k in range(50))
     df = spark.createDataFrame([(1, text), (7, text), (7, "quite another text altogether of seven words")], "doc_id long, text string")
     assert sorted((r[0], r[1][:5]) for r in similar.without_similar(df).collect()) == [(1, "a0 a1"), (7, "quite")]
+
+
+def test_pairs_of_common_passages_meet_early_or_not_at_all(spark):
+    rng = random.Random(13)
+    passage = [f"p{k}" for k in range(100)]
+    docs = [(d, " ".join([*passage[:80], *(f"r{d}x{k}" for k in range(24))])) for d in range(60)]  # similar to no other
+    docs += [(100 + d, f"{t} more") for d, t in docs[:20]]
+    rng.shuffle(docs)
+    rows = similar.prefixes(similar.keyed(spark.createDataFrame(docs, "doc_id long, text string")), similar.np.empty(0, "u8"), 0.8)
+    met = similar.shared(rows, 0.8)
+    early = {(r["h"], r["node"]): r["early"] for r in met.collect()}
+    assert 0 < sum(early.values()) < 0.75 * len(early)
+    # of shingles in the order of the prefixes, each pair of 0.8 meets where the smaller set's is early
+    sets = {d: similar.shingle_set(t) for d, t in docs}
+    for d in range(20):
+        x, y = sets[d], sets[100 + d]
+        first = min(set(x.tolist()) & set(y.tolist()))
+        node = similar.xxhash.xxh64_intdigest(x.tobytes(), similar.SEED)
+        signed = [int(similar.np.uint64(v).view(similar.np.int64)) for v in (first, node)]
+        assert early[signed[0], signed[1]]
+    assert _left(spark, docs) == sorted(_kept({d: _set(t) for d, t in docs})) == list(range(60))
