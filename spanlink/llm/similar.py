@@ -8,10 +8,16 @@ shingles of their prefixes in common: what a set holds beyond its prefix is all
 shingle for shingle. No pair is missed, at 0.8 or above.
 
 Links are found in two rounds, so that large groups don't need all of their pairs. First each set is compared with the one that it shares
-most prefix shingles with, out of the least and the greatest of each shingle's sets. Then the candidates are all pairs of sets in
-different components of these links: pairs within a component can't change it, so the groups are those of all pairs. The rows of
-that round are linear in a component's size and grow with the pairs between components only; a shingle of many sets of which none
-are similar costs all of their pairs, unless the sample has put it last.
+most prefix shingles with, out of two of each shingle's sets: the least, and the hub, which has the largest share of common shingles. Of a
+text's many altered copies the hub is one with few changes, similar to more of them than any other. Then the candidates are all pairs of sets in
+different components of these links: pairs within a component can't change it, so the groups are those of all pairs.
+
+A shingle of many sets would still give all pairs of those that are like each other, but not enough. Each set has BITS parities of its
+shingles' hashes. A shingle that only one of two sets has flips one parity, so two sets differ in as many shingles at least as in
+parities. Where a shingle has more than SHORT sets, pairs that differ in too many parities are told apart where they meet, and no row is
+made of them; no similar pair is lost. A shingle of fewer sets gives at most SHORT rows for each. So rows grow with the sets and with
+the similar pairs between components. The comparisons where a shingle's sets meet still number the main component's size times the sets outside it, and all pairs of these.
+Sets of several thousand shingles can differ in more than BITS, so that parities tell little of them.
 
 Sets are named by XXH64 of their hashes; equal sets are one node.
 
@@ -26,7 +32,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from spanlink.llm.common import broadcast_if_small, give_back, materialize
@@ -36,6 +42,8 @@ from spanlink.llm.simhash import BROADCAST_IDS, SEED, hashes, keyed
 WIDTH, SIMILARITY = 5, 0.8
 #: A shingle goes last if this many documents of a sample, one of SAMPLE, have it; of more than MAX_OFTEN the most frequent.
 SAMPLE, OFTEN, MAX_OFTEN = 8, 4, 500_000
+#: Parities kept of each set, and how many sets of a shingle meet without them.
+BITS, SHORT = 1024, 16
 #: In the first round, pairs with a smaller share of their shingles in common within the prefixes wait for the second.
 PROMISING = 0.05
 EPS = 1e-9
@@ -55,6 +63,12 @@ def prefix_length(n: int, at_least: float) -> int:
     return n - int(np.ceil(at_least * n - EPS)) + 1
 
 
+def parities(s: np.ndarray) -> np.ndarray:
+    """BITS bits as longs: for each remainder of hashes, if an odd number of them has it."""
+    odd = np.bincount((s % np.uint64(BITS)).astype(np.int64), minlength=BITS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def often(docs: DataFrame) -> np.ndarray:
     """The hashes, in order, of shingles that many documents have, judged by a sample."""
 
@@ -67,15 +81,15 @@ def often(docs: DataFrame) -> np.ndarray:
 
     some = docs.where(F.pmod(F.col("k1"), F.lit(SAMPLE)) == 0).select("text").mapInPandas(run, "h long")
     most = some.groupBy("h").agg(F.count("*").alias("n")).where(F.col("n") >= OFTEN).orderBy(F.desc("n"), "h").limit(MAX_OFTEN)
-    return np.sort(most.select("h").toPandas()["h"].to_numpy(np.int64).view(np.uint64))
+    return np.sort(most.select("h").toArrow()["h"].to_numpy().view(np.uint64))  # no Python object for each
 
 
 def prefixes(docs: DataFrame, last: np.ndarray, at_least: float) -> DataFrame:
-    """(doc_id, k1, k2, node, n, prefix) of rows with shingles: the set's name, size and first shingles in order."""
+    """(doc_id, k1, k2, node, n, prefix, share, bits) of rows with shingles: the set's name, size, first shingles in order, share of common ones and parities."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            node, n, prefix = [], [], []
+            node, n, prefix, share, bits = [], [], [], [], []
             for text in pdf["text"]:
                 s = shingle_set(text)
                 node.append(xxhash.xxh64_intdigest(s.tobytes(), SEED))
@@ -83,44 +97,58 @@ def prefixes(docs: DataFrame, last: np.ndarray, at_least: float) -> DataFrame:
                 if len(last) and len(s):
                     common = last[np.minimum(np.searchsorted(last, s), len(last) - 1)] == s
                     first = np.concatenate([s[~common], s[common]])
+                    share.append(common.mean())
                 else:
                     first = s
+                    share.append(0.0)
+                bits.append(parities(s))
                 prefix.append(first[: prefix_length(len(s), at_least)].view(np.int64))
-            out = pdf.drop(columns="text").assign(node=np.array(node, np.uint64).view(np.int64), n=n, prefix=prefix)
+            out = pdf.drop(columns="text").assign(node=np.array(node, np.uint64).view(np.int64), n=n, prefix=prefix, share=np.array(share, np.float64), bits=bits)
             yield out[out["n"] > 0]
-            del pdf, out, prefix
+            del pdf, out, prefix, bits
             give_back()
 
-    return docs.where("doc_id is not null").select("doc_id", "k1", "k2", "text").mapInPandas(run, "doc_id long, k1 long, k2 long, node long, n int, prefix array<long>")
+    return docs.where("doc_id is not null").select("doc_id", "k1", "k2", "text").mapInPandas(run, "doc_id long, k1 long, k2 long, node long, n int, prefix array<long>, share double, bits array<long>")
 
 
 def shared(rows: DataFrame, at_least: float) -> DataFrame:
-    """(h, node, n, early, least, most): the sets of each prefix shingle that several have; early: it may be the first that a set and one as large or larger share."""
+    """(h, node, n, early, least, hub): the sets of each prefix shingle that several have; early: it may be the first that a set and one as large or larger share."""
     of = Window.partitionBy("h")
     early = F.col("pos") <= F.col("n") - F.ceil(F.lit(2 * at_least / (1 + at_least)) * F.col("n") - EPS)
-    posted = rows.select("node", "n", F.posexplode("prefix").alias("pos", "h")).withColumn("early", early).drop("pos")
-    return posted.withColumn("least", F.min("node").over(of)).withColumn("most", F.max("node").over(of)).where("least <> most").distinct()
+    posted = rows.select("node", "n", "share", F.posexplode("prefix").alias("pos", "h")).withColumn("early", early).drop("pos")
+    met = posted.select("h", "node", "n", "early", F.min("node").over(of).alias("least"), F.max("node").over(of).alias("most"), F.max(F.struct("share", "node")).over(of).alias("k"))
+    return met.where("least <> most").select("h", "node", "n", "early", "least", F.col("k.node").alias("hub")).distinct()
 
 
 def closest(met: DataFrame) -> DataFrame:
-    """(a, b): each set's pair with most shingles in common, out of the least and greatest of each shingle, if these are many."""
-    pairs = met.select("node", "n", F.explode(F.array("least", "most")).alias("other")).where("node <> other").groupBy("node", "other").agg(F.max("n").alias("n"), F.count("*").alias("c"))
+    """(a, b): each set's pair with most shingles in common, out of the least and the hub of each shingle, if these are many."""
+    pairs = met.select("node", "n", F.explode(F.array_distinct(F.array("least", "hub"))).alias("other")).where("node <> other").groupBy("node", "other").agg(F.max("n").alias("n"), F.count("*").alias("c"))
     best = pairs.where(F.col("c") >= PROMISING * F.col("n")).groupBy("node").agg(F.max(F.struct("c", "other")).alias("k"))
     return best.select(F.least("node", "k.other").alias("a"), F.greatest("node", "k.other").alias("b")).distinct()
 
 
+def meeting(open_: DataFrame, at_least: float, near: Column | None = None) -> DataFrame:
+    """(a, b), repeatedly: sets of different components that meet at a shingle early enough, with sizes and, where given, parities near enough."""
+    side = lambda c: [F.col(k).alias(f"{k}_{c}") for k in ("n", "early", "of", "bits") if k in open_.columns]
+    # of a pair in two components one at least is outside the shingle's main one
+    x = open_.where("of <> main").select("h", F.col("node").alias("x"), *side("x"))
+    y = open_.select("h", F.col("node").alias("y"), "main", *side("y"))
+    fits = (F.least("n_x", "n_y") >= at_least * F.greatest("n_x", "n_y") - EPS) & (F.col("early_x") | (F.col("n_x") > F.col("n_y"))) & (F.col("early_y") | (F.col("n_y") > F.col("n_x")))
+    met = (F.col("of_x") != F.col("of_y")) & ((F.col("of_y") == F.col("main")) | (F.col("x") < F.col("y"))) & fits
+    return x.join(y, "h").where(met if near is None else met & near).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+
+
 def apart(met: DataFrame, found: DataFrame, rows: DataFrame, at_least: float) -> DataFrame:
     """All pairs (a, b) of sets in different components of (node, component) that may be similar by sizes and prefixes."""
     labelled = met.join(found, "node", "left").select("h", "node", "n", "early", F.coalesce("component", "node").alias("of"))
     sizes = labelled.groupBy("h", "of").agg(F.count("*").alias("size"))
-    lists = sizes.groupBy("h").agg(F.max(F.struct("size", "of")).alias("k"), F.count("*").alias("kinds")).where("kinds > 1").select("h", F.col("k.of").alias("main"))
-    open_ = materialize(labelled.join(lists, "h"))
-    # of a pair in two components one at least is outside the shingle's main one
-    x = open_.where("of <> main").select("h", F.col("node").alias("x"), F.col("n").alias("n_x"), F.col("early").alias("early_x"), F.col("of").alias("of_x"))
-    y = open_.select("h", F.col("node").alias("y"), F.col("n").alias("n_y"), F.col("early").alias("early_y"), F.col("of").alias("of_y"), "main")
-    fits = (F.least("n_x", "n_y") >= at_least * F.greatest("n_x", "n_y") - EPS) & (F.col("early_x") | (F.col("n_x") > F.col("n_y"))) & (F.col("early_y") | (F.col("n_y") > F.col("n_x")))
-    met = x.join(y, "h").where((F.col("of_x") != F.col("of_y")) & ((F.col("of_y") == F.col("main")) | (F.col("x") < F.col("y"))) & fits)
-    pairs = materialize(met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
+    lists = sizes.groupBy("h").agg(F.max(F.struct("size", "of")).alias("k"), F.count("*").alias("kinds"), F.sum("size").alias("size"))
+    open_ = materialize(labelled.join(lists.where("kinds > 1").select("h", F.col("k.of").alias("main"), "size"), "h"))
+    bits = rows.select("node", "bits").dropDuplicates(["node"])
+    long = materialize(open_.where(F.col("size") > SHORT).join(bits, "node"))
+    differ = sum(F.bit_count(F.col("bits_x")[k].bitwiseXOR(F.col("bits_y")[k])) for k in range(BITS // 64))
+    near = differ <= (1 - at_least) / (1 + at_least) * (F.col("n_x") + F.col("n_y")) + EPS
+    pairs = materialize(meeting(open_.where(F.col("size") <= SHORT), at_least).unionByName(meeting(long, at_least, near)).distinct())
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     sets = materialize(rows.join(wanted, "node", "left_semi").select("node", "n", "prefix").dropDuplicates(["node"]))
     side = lambda c: sets.select(F.col("node").alias(c), F.col("n").alias(f"n_{c}"), F.col("prefix").alias(f"prefix_{c}"))

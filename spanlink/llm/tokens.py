@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from spanlink.llm import huffman
-from spanlink.llm.common import beside, materialize, shared_dir, table
+from spanlink.llm.common import beside, give_back, materialize, shared_dir, table
 from spanlink.llm.files import reading, replacing
 from spanlink.llm.toxicity import by_chars
 
@@ -56,7 +56,9 @@ def packing(tokenizer_file: str, end_id: int = END_ID) -> str:
     """How ids lie in tables: unsigned little-endian integers of 16 bits if all fit, else of 32."""
     from tokenizers import Tokenizer
 
-    return "<u2" if max(Tokenizer.from_file(tokenizer_file).get_vocab_size(), end_id + 1) <= 1 << 16 else "<u4"
+    size = Tokenizer.from_file(tokenizer_file).get_vocab_size()
+    give_back()  # the driver asks this, and needs the tokenizer for nothing else
+    return "<u2" if max(size, end_id + 1) <= 1 << 16 else "<u4"
 
 
 class Encoder:

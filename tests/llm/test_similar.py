@@ -124,3 +124,48 @@ def test_pairs_of_common_passages_meet_early_or_not_at_all(spark):
         signed = [int(similar.np.uint64(v).view(similar.np.int64)) for v in (first, node)]
         assert early[signed[0], signed[1]]
     assert _left(spark, docs) == sorted(_kept({d: _set(t) for d, t in docs})) == list(range(60))
+
+
+def test_a_crowd_of_copies_that_are_not_similar_makes_few_candidates(spark):
+    rng = random.Random(14)
+    base = [f"w{rng.randrange(10**6)}" for _ in range(150)]
+    docs = []
+    for d in range(120):
+        words = list(base)
+        for p in rng.sample(range(5, 145), 1 if d % 20 == 7 else rng.randrange(4, 8)):
+            words[p] = f"e{d}x{p}"
+        docs.append((d, " ".join(words)))
+    sets = {d: _set(t) for d, t in docs}
+    alike = {(a, b) for a in sets for b in sets if a < b and 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b])}
+    rows = similar.materialize(similar.prefixes(similar.keyed(spark.createDataFrame(docs, "doc_id long, text string")), similar.np.empty(0, "u8"), 0.8))
+    of = {r["node"]: r["doc_id"] for r in rows.collect()}
+    none = spark.createDataFrame([], "node long, component long")
+    got = {tuple(sorted((of[r["a"]], of[r["b"]]))) for r in similar.apart(similar.shared(rows, 0.8), none, rows, 0.8).collect()}
+    assert alike <= got and 10 < len(alike) < len(got) + 1 < 2 * len(alike) + 200  # of 7140
+    assert _left(spark, docs) == sorted(_kept(sets))
+
+
+def test_the_hub_is_compared_with_its_copies(spark):
+    rng = random.Random(15)
+    base = [f"w{rng.randrange(10**6)}" for _ in range(150)]
+    docs = [(50, " ".join(base))]
+    for d in range(50):
+        words = list(base)
+        for p in rng.sample(range(5, 145), 3):
+            words[p] = f"e{d}x{p}"
+        docs.append((d, " ".join(words)))
+    frame = similar.keyed(spark.createDataFrame(docs, "doc_id long, text string"))
+    last = similar.np.sort(similar.shingle_set(docs[0][1]))
+    rows = similar.materialize(similar.prefixes(frame, last, 0.8))
+    of = {r["node"]: r["doc_id"] for r in rows.collect()}
+    pairs = {tuple(sorted((of[r["a"]], of[r["b"]]))) for r in similar.closest(similar.shared(rows, 0.8)).collect()}
+    assert sum(50 in p for p in pairs) >= 40
+
+
+def test_sets_differ_in_as_many_shingles_as_in_parities():
+    rng = similar.np.random.default_rng(16)
+    for n in (0, 1, 90, 3000):
+        pool = rng.integers(0, 1 << 63, 2 * n, dtype="u8")
+        x, y = similar.np.unique(pool[: n + n // 3]), similar.np.unique(pool[n // 3 :])
+        bits = (similar.parities(x) ^ similar.parities(y)).view("u8")
+        assert sum(int(b).bit_count() for b in bits) <= len(similar.np.setxor1d(x, y)) and len(bits) * 64 == similar.BITS
