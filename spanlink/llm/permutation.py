@@ -4,7 +4,8 @@ Each vector is represented by its PREFIX nearest pivots in order. Vectors are de
 posts every vector under each pivot of its prefix with the place it has there. For a query the postings of its own pivots are
 added up: a shared pivot at places i and j brings the footrule distance of the two (location-padded) prefixes down by
 2 * (PREFIX - max(i, j)), so the sums rank a block by footrule. The best SHARE of a block is reranked by cosine in
-double precision. The query set meets the index block by block; what leaves a block is K rows per query.
+double precision. The query set meets the index block by block, dealt out to groups of blocks by a merge join: it is copied for every
+group, far more than its own size lets Spark expect, so it must not be broadcast. What leaves a block is K rows per query.
 
 Equal vectors are indexed once, as a class with its least ids: K + 1 of them are all that any answer can need. Pivots are at most
 PIVOTS vectors, lowest hash first, so their broadcast is bounded; every vector is indexed.
@@ -28,6 +29,8 @@ from spanlink.llm.common import materialize, table
 
 #: At most so many pivots; a vector's prefix; rows of a block, about; queries handed over at once.
 PIVOTS, PREFIX, BLOCK, QUERIES = 1024, 48, 4096, 1024
+#: Groups that blocks are dealt into, at least; blocks and bytes of a group, at most: a task holds one.
+GROUPS, TOGETHER, TOGETHER_BYTES = 64, 16, 1 << 26
 #: Of each block, this share is reranked, LEAST rows at least.
 SHARE, LEAST = 0.2, 256
 K = 5
@@ -101,9 +104,18 @@ def build(distinct: DataFrame, pivots: np.ndarray, prefix: int, n: int) -> DataF
     return distinct.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int")).groupBy("block").applyInPandas(run, "block int, ids binary, x binary, permutation binary")
 
 
+def first_vectors(distinct: DataFrame, most: int) -> np.ndarray:
+    """The vectors of lowest hash: ids are chosen before a vector moves, so the driver gets these alone and not as many of each task."""
+    chosen = distinct.select("vec_id", F.xxhash64("vec_id", F.lit("pivot")).alias("h")).orderBy("h", "vec_id").limit(most)
+    rows = distinct.select("vec_id", "vector").join(F.broadcast(chosen), "vec_id").collect()
+    return np.array([r["vector"] for r in sorted(rows, key=lambda r: (r["h"], r["vec_id"]))], np.float64)
+
+
 def search(index: DataFrame, queries: DataFrame, pivots: np.ndarray, prefix: int, n: int, k: int) -> DataFrame:
     """(query, vec_id, score): for each of (query, vector) the k nearest found in every block."""
     dim, blocks = pivots.shape[1], max(1, -(-n // BLOCK))
+    together = max(1, min(TOGETHER, TOGETHER_BYTES // (BLOCK * (8 * dim + 2 * prefix + 8))))
+    groups = max(min(blocks, GROUPS), -(-blocks // together))
 
     def pack(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         x = np.array(pdf["vector"].tolist(), np.float64).reshape(-1, dim)
@@ -120,9 +132,10 @@ def search(index: DataFrame, queries: DataFrame, pivots: np.ndarray, prefix: int
 
     parts = F.pmod(F.xxhash64("query"), F.lit(max(1, -(-n // QUERIES)))).cast("int")
     packed = queries.withColumn("part", parts).groupBy("part").applyInPandas(pack, "ids binary, x binary, own binary")
-    # every pack of queries goes to every block, by an equi-join on the block's number
-    sent = packed.select(F.col("ids").alias("q_ids"), F.col("x").alias("q_x"), "own", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"))
-    return sent.join(index, "block").mapInPandas(run, "query long, vec_id long, score double")
+    # every pack of queries goes to every group of blocks, by an equi-join on the group's number; the join holds a group and streams the packs
+    sent = packed.select(F.col("ids").alias("q_ids"), F.col("x").alias("q_x"), "own", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("group"))
+    dealt = index.withColumn("group", F.pmod("block", F.lit(groups))).drop("block")
+    return sent.join(dealt.hint("merge"), "group").mapInPandas(run, "query long, vec_id long, score double")
 
 
 def nearest(vectors: DataFrame, is_query: Column, k: int = K) -> DataFrame:
@@ -140,8 +153,7 @@ def _nearest(rows: DataFrame, is_query: Column, k: int) -> DataFrame:
     members = materialize(rows.select("key", "vec_id", "vector").withColumn("r", F.row_number().over(least)).where(F.col("r") <= k + 1))
     distinct = materialize(members.where("r = 1").select("key", "vec_id", "vector"))
     n = distinct.count()
-    picked = distinct.select("vec_id", "vector").orderBy(F.xxhash64("vec_id", F.lit("pivot")), "vec_id").limit(min(PIVOTS, max(1, n // 4))).collect()
-    pivots = np.array([r["vector"] for r in picked], np.float64)
+    pivots = first_vectors(distinct, min(PIVOTS, max(1, n // 4)))
     pivots /= np.linalg.norm(pivots, axis=1, keepdims=True)
     prefix = min(PREFIX, len(pivots))
     index = materialize(build(distinct.select("vec_id", "vector"), pivots, prefix, n))
