@@ -264,7 +264,7 @@ def _ordered_citations(spark, d):
         (F.lit('מ"א'), ["NAMED"], F.array(with_("I Kings ", x, ":", y))),
         (with_("(דף ", s, ".)"), [], F.array(leaf("Gittin", x), leaf("Rashi on Gittin", x))),
     ]
-    of = lambda items: F.element_at(F.array(*items), (F.col("f") + 1).cast("int"))
+    of = lambda items: F.coalesce(*[F.when(F.col("f") == k, v) for k, v in enumerate(items)])  # one is spelled, not all twelve
     labelled = [F.array(*[F.lit(v) for v in labels]) if labels else none for _, labels, _ in forms]
     content = of([t for t, _, _ in forms])
     rows = l.select(F.lit("l").alias("source"), F.col("l_orderkey").cast("string").alias("title"), F.col("k").cast("int").alias("line_index"), F.lit(0).alias("pos"), "f", "s", content.alias("content"), of(labelled).alias("labels"), of([c for _, _, c in forms]).alias("candidates"))
